@@ -52,26 +52,31 @@ def bucket_of(col: Column, edges: Sequence) -> Column:
 
 
 def running_sums(df: DataFrame, order_key: str, order_cols: Sequence, sums: dict,
-                 n_buckets: int | None = None) -> DataFrame:
-    """Add inclusive running sums in a total order over the whole frame.
+                 n_buckets: int | None = None, partition_cols: Sequence[str] = ()) -> DataFrame:
+    """Add inclusive running sums in a total order (within each combination
+    of ``partition_cols``, if given).
 
     ``order_key`` is a numeric column monotone in the order given by
     ``order_cols`` (Columns with asc/desc applied); it only decides which
     range a row lands in. ``sums`` maps output name -> Column to sum.
-    Pass 1: running sums inside each range (parallel). Pass 2: range totals
-    (<= n_buckets rows, broadcast) give each range its offset.
+    Pass 1: running sums inside each (partition, range), in parallel.
+    Pass 2: range totals (one row per partition value and range) give each
+    range its offset.
     """
     n_buckets = n_buckets or _default_buckets(df)
     edges = quantile_edges(df, order_key, n_buckets)
     b = "__rb"
+    pc = list(partition_cols)
     d = df.withColumn(b, bucket_of(F.col(order_key), edges))
-    w = W.partitionBy(b).orderBy(*order_cols).rowsBetween(W.unboundedPreceding, W.currentRow)
+    w = W.partitionBy(*pc, b).orderBy(*order_cols).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = d.select("*", *[F.sum(c).over(w).alias(f"__l_{k}") for k, c in sums.items()])
-    totals = d.groupBy(b).agg(*[F.sum(c).alias(f"__t_{k}") for k, c in sums.items()])
-    wo = W.orderBy(b).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(b, *[F.coalesce(F.sum(f"__t_{k}").over(wo), F.lit(0)).alias(f"__o_{k}")
-                                 for k in sums])
-    out = local.join(F.broadcast(offsets), b, "left")
+    totals = d.groupBy(*pc, b).agg(*[F.sum(c).alias(f"__t_{k}") for k, c in sums.items()])
+    wo = W.partitionBy(*pc).orderBy(b).rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(*pc, b, *[F.coalesce(F.sum(f"__t_{k}").over(wo), F.lit(0)).alias(f"__o_{k}")
+                                      for k in sums])
+    if not pc:
+        offsets = F.broadcast(offsets)          # at most n_buckets rows
+    out = local.join(offsets, [*pc, b], "left")
     out = out.select(*df.columns, *[(F.col(f"__l_{k}") + F.coalesce(F.col(f"__o_{k}"), F.lit(0))).alias(k)
                                     for k in sums])
     return out
@@ -86,12 +91,14 @@ def hash_order_key(cols: Sequence, seed) -> tuple[Column, Column]:
 
 
 def global_rank(df: DataFrame, cols: Sequence, seed, name: str = "rank",
-                n_buckets: int | None = None) -> DataFrame:
+                n_buckets: int | None = None, partition_cols: Sequence[str] = ()) -> DataFrame:
     """1-based position of each row in the seeded hash order of ``cols``
-    (rows must be distinct on ``cols``); computed without a global window."""
+    (within ``partition_cols``); computed without a global window. Rows equal
+    on ``cols`` get distinct, interchangeable positions."""
     s, num = hash_order_key(cols, seed)
     d = df.withColumn("__hs", s).withColumn("__hn", num)
-    out = running_sums(d, "__hn", [F.col("__hn"), F.col("__hs")], {name: F.lit(1)}, n_buckets)
+    out = running_sums(d, "__hn", [F.col("__hn"), F.col("__hs")], {name: F.lit(1)}, n_buckets,
+                       partition_cols)
     return out.drop("__hs", "__hn")
 
 

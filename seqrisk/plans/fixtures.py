@@ -7,16 +7,37 @@ and malformed values are injected deterministically from row ids.
 
 from __future__ import annotations
 
+import functools
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+_VIEWS: dict = {}
+
+
+def view(fn):
+    """Derive a fixture view once per (session, directory) and keep it
+    persisted (memory, spilling to disk), as a registered source table would
+    be; lost blocks are recomputed from lineage."""
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, fn.__name__)
+        df = _VIEWS.get(key)
+        if df is None:
+            df = fn(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+            _VIEWS[key] = df
+        return df
+    return wrapper
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- F-A: events
+@view
 def fa_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Laps: race=user_id, driver=event_type, lap=row number per (race, driver)
     by (ts, event_id); every 11th event then dropped (lap gaps); start null for
@@ -33,6 +54,7 @@ def fa_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "props"))
 
 
+@view
 def fa_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status changes: error events; status = char (event_id%6)+1 of '124567'."""
     ev = table(spark, sf_dir, "events")
@@ -41,6 +63,7 @@ def fa_status(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.substring(F.lit("124567"), (F.col("event_id") % 6 + 1).cast("int"), 1).alias("status")))
 
 
+@view
 def fa_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather samples: signup events; air_temp null for event_id%5=0,
     humidity = props.k."""
@@ -51,6 +74,7 @@ def fa_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.get_json_object("props", "$.k").cast("double").alias("humidity")))
 
 
+@view
 def fa_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring requests from the F-A laps: race_id 'YYYY_RR_Ev<race>_<driver>'
     (malformed year for event_id%17=0, missing for %23=0), lap as text
@@ -79,6 +103,7 @@ FB_TRACKS = [("COLD", 5.1, "Permanent", 12), ("ol", 4.0, "Street", 10),
              ("smal", 3.3, "Street", 19), ("HOT", 5.9, "Permanent", 18), ("New", 4.3, "Street", 14)]
 
 
+@view
 def fb_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lap features from lineitem + part (see FIXTURES.md F-B)."""
     li = table(spark, sf_dir, "lineitem")
@@ -112,6 +137,7 @@ def fb_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -------------------------------------------------------- F-C: scored labels
+@view
 def fc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """y = quality, score = round(n_chars / (n_chars + 500), 3)."""
     lab = table(spark, sf_dir, "labels")

@@ -80,3 +80,194 @@ ORACLE["asof_weather"] = with_(FA_LAPS, FA_WEATHER) + """
 SELECT l.event_id, l.race, l.driver, l.lap, round(w.air_temp, 6) AS air_temp,
        round(w.humidity, 6) AS humidity
 FROM fa_laps l ASOF LEFT JOIN fa_weather w ON l.race = w.race AND l.start >= w.time"""
+
+# ------------------------------------------------------------------ F-B CTEs
+FB_LAPS = """
+fb_laps AS (
+  SELECT l_orderkey, l_linenumber,
+         strftime(l_shipdate, '%Y_%m') || '_R' AS RaceId,
+         CAST(year(l_shipdate) AS INTEGER) AS Year,
+         CAST(day(l_shipdate) AS INTEGER) AS LapNumber,
+         CAST(l_suppkey AS VARCHAR) AS Driver,
+         CAST(l_suppkey % 5 AS VARCHAR) AS Team,
+         CASE WHEN l_orderkey % 9 <> 0 THEN l_returnflag END AS Compound,
+         replace(p_name, ' ', '_') AS EventName,
+         CASE WHEN l_orderkey % 10 = 0 THEN 'Q' WHEN l_orderkey % 10 = 1 THEN 'FP' ELSE 'R' END AS SessionType,
+         l_linestatus = 'O' AS IsAccurate,
+         CASE WHEN l_partkey % 7 <> 0 THEN l_extendedprice END AS LapTime,
+         CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END AS TyreLife,
+         l_extendedprice AS SpeedST,
+         CASE WHEN l_linenumber <> 3 THEN l_tax * 1000 END AS SpeedI1,
+         l_discount * 100 AS TrackTemp,
+         l_linenumber AS Position,
+         l_tax * 100 + 20 AS AirTemp,
+         CASE WHEN l_discount >= 0.09 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS Rainfall,
+         l_linenumber = 1 AS FreshTyre,
+         (l_returnflag = 'A' AND l_quantity > 45) AS YellowFlag,
+         CASE WHEN l_orderkey % 11 <> 0 THEN l_quantity < 3 END AS VirtualSafetyCar,
+         (l_quantity = 50 AND l_returnflag = 'R') AS SafetyCar
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+FB_ONSET = """
+fb_st AS (SELECT RaceId, LapNumber, bool_or(coalesce(SafetyCar, false)) AS cur FROM fb_laps
+          WHERE RaceId IS NOT NULL AND LapNumber IS NOT NULL GROUP BY RaceId, LapNumber),
+fb_lab AS (SELECT a.RaceId, a.LapNumber FROM fb_st a JOIN fb_st b
+           ON a.RaceId = b.RaceId AND b.LapNumber = a.LapNumber + 1
+           WHERE b.cur AND NOT a.cur AND a.LapNumber >= 1),
+fb_onset AS (SELECT f.*, CASE WHEN l.RaceId IS NULL THEN 0 ELSE 1 END AS sc_next_lap
+             FROM fb_laps f LEFT JOIN fb_lab l ON f.RaceId = l.RaceId AND f.LapNumber = l.LapNumber)"""
+
+ORACLE["onset_label"] = with_(FB_LAPS, FB_ONSET) + """
+SELECT l_orderkey, l_linenumber, RaceId, LapNumber, Driver, sc_next_lap FROM fb_onset"""
+
+ORACLE["label_stats"] = with_(FB_LAPS, FB_ONSET) + """
+SELECT CAST(sum(sc_next_lap) AS BIGINT) AS positives, count(*) AS total,
+       round(CASE WHEN count(*) > 0 THEN 100.0 * sum(sc_next_lap) / count(*) ELSE 0 END, 6) AS positive_pct
+FROM fb_onset"""
+
+ORACLE["year_holdout"] = with_(FB_LAPS) + """
+SELECT RaceId, count(*) AS n_rows,
+       CASE WHEN CAST(split_part(RaceId, '_', 1) AS INTEGER) = 2001 THEN 'holdout' ELSE 'rest' END AS part
+FROM fb_laps GROUP BY RaceId"""
+
+FB_RACES = """
+fb_r AS (SELECT RaceId, CAST(split_part(RaceId, '_', 1) AS INTEGER) AS yr, count(*) AS n_rows
+         FROM fb_laps GROUP BY RaceId)"""
+
+ORACLE["group_split"] = with_(FB_LAPS, FB_RACES) + """,
+k AS (SELECT RaceId, row_number() OVER (ORDER BY md5(RaceId || '42')) AS rk FROM fb_r WHERE yr <> 2001),
+c AS (SELECT count(*) AS n FROM k)
+SELECT r.RaceId, r.n_rows,
+       CASE WHEN r.yr = 2001 THEN 'holdout' WHEN k.rk <= floor(c.n * 0.2) THEN 'test' ELSE 'train' END AS part
+FROM fb_r r LEFT JOIN k ON r.RaceId = k.RaceId CROSS JOIN c"""
+
+ORACLE["fallback_split"] = with_(FB_LAPS, FB_RACES) + """,
+k AS (SELECT RaceId, n_rows, row_number() OVER (ORDER BY md5(RaceId || '42')) AS rk FROM fb_r),
+c AS (SELECT count(*) AS n FROM k)
+SELECT RaceId, n_rows,
+       CASE WHEN rk <= floor(n * 0.7) THEN 'train' WHEN rk <= floor(n * 0.9) THEN 'test' ELSE 'holdout' END AS part
+FROM k CROSS JOIN c"""
+
+# ------------------------------------------------------------------ F-C CTEs
+FC = """
+fc AS (SELECT l.doc_id, l.quality AS y,
+              round(d.n_chars / (d.n_chars + CAST(500 AS DOUBLE)), 3) AS score
+       FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+ORACLE["stratified_folds"] = with_(FC) + """
+SELECT doc_id, y,
+       CAST((row_number() OVER (PARTITION BY y ORDER BY md5(CAST(doc_id AS VARCHAR) || '42')) - 1) % 5 AS INTEGER) AS fold
+FROM fc"""
+
+ORACLE["prefix_split"] = with_(FC) + """
+SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id) <= floor(0.8 * (SELECT count(*) FROM fc))
+                    THEN 'train' ELSE 'test' END AS part
+FROM fc"""
+
+ORACLE["seeded_sample"] = with_(FA_LAPS) + """
+SELECT event_id, race, lap FROM fa_laps ORDER BY md5(CAST(event_id AS VARCHAR) || '42') LIMIT 500"""
+
+ORACLE["class_weights"] = with_(FC) + """,
+c AS (SELECT y, count(*) AS n FROM fc WHERE y IS NOT NULL GROUP BY y),
+t AS (SELECT sum(n) AS t, count(*) AS k, sum(CASE WHEN y = 0 THEN n END) AS n0,
+             sum(CASE WHEN y = 1 THEN n END) AS n1 FROM c)
+SELECT y, n, round(t / (k * n), 6) AS weight, round(CAST(n0 AS DOUBLE) / n1, 6) AS scale_pos_weight
+FROM c CROSS JOIN t"""
+
+
+def curve(src: str, name: str = "cv") -> str:
+    """Per distinct score: pos, neg, running tps / fps (descending), P, N."""
+    return f"""
+{name}_s AS (SELECT CAST(score AS DOUBLE) AS threshold, CAST(sum(y) AS BIGINT) AS pos,
+                 CAST(sum(1 - y) AS BIGINT) AS neg
+          FROM {src} WHERE score IS NOT NULL AND y IS NOT NULL GROUP BY 1),
+{name}_t AS (SELECT CAST(sum(pos) AS BIGINT) AS P, CAST(sum(neg) AS BIGINT) AS N FROM {name}_s),
+{name} AS (SELECT s.*, CAST(sum(pos) OVER (ORDER BY threshold DESC) AS BIGINT) AS tps,
+                CAST(sum(neg) OVER (ORDER BY threshold DESC) AS BIGINT) AS fps, t.P, t.N
+         FROM {name}_s s CROSS JOIN {name}_t t)"""
+
+
+def metrics_sql(name: str = "cv") -> str:
+    """One row: auc, avg_precision, youden threshold, confusion at it."""
+    return f"""
+{name}_j AS (SELECT threshold, tps, fps,
+                 coalesce(CASE WHEN P > 0 THEN tps / P END, 0) - coalesce(CASE WHEN N > 0 THEN fps / N END, 0) AS j
+          FROM {name}),
+{name}_b AS (SELECT * FROM {name}_j ORDER BY j DESC, threshold DESC LIMIT 1),
+{name}_y AS (SELECT CASE WHEN j > 0 THEN threshold ELSE CAST('inf' AS DOUBLE) END AS t,
+                 CASE WHEN j > 0 THEN j ELSE 0.0 END AS j,
+                 CASE WHEN j > 0 THEN tps ELSE 0 END AS tp, CASE WHEN j > 0 THEN fps ELSE 0 END AS fp
+          FROM {name}_b),
+{name}_a AS (SELECT CASE WHEN max(P) > 0 AND max(N) > 0
+                      THEN sum(neg * (tps - pos / 2.0)) / (CAST(max(P) AS DOUBLE) * max(N)) END AS auc,
+                 CASE WHEN max(P) > 0 THEN sum(pos * (tps / (tps + fps))) / CAST(max(P) AS DOUBLE) END
+                   AS avg_precision, max(P) AS P, max(N) AS N
+          FROM {name}),
+{name}_m AS (SELECT a.auc, a.avg_precision, y.t AS optimal_threshold, y.j AS youden_j,
+                 y.tp, y.fp, a.N - y.fp AS tn, a.P - y.tp AS fn
+          FROM {name}_a a CROSS JOIN {name}_y y),
+{name}_r AS (SELECT *,
+                 coalesce(CASE WHEN tp + fn > 0 THEN tp / CAST(tp + fn AS DOUBLE) END, 0) AS sensitivity,
+                 coalesce(CASE WHEN tn + fp > 0 THEN tn / CAST(tn + fp AS DOUBLE) END, 0) AS specificity,
+                 coalesce(CASE WHEN tp + fp > 0 THEN tp / CAST(tp + fp AS DOUBLE) END, 0) AS precision
+          FROM {name}_m),
+{name}_row AS (SELECT *, coalesce(CASE WHEN precision + sensitivity > 0
+                   THEN 2 * precision * sensitivity / (precision + sensitivity) END, 0) AS f1_score
+          FROM {name}_r)"""
+
+
+ORACLE["roc_curve"] = with_(FC, curve("fc")) + """
+SELECT round(threshold, 6) AS threshold, round(fps / N, 6) AS fpr, round(tps / P, 6) AS tpr, tps, fps FROM cv
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0, 0, 0"""
+
+ORACLE["roc_auc"] = with_(FC, curve("fc"), metrics_sql()) + "SELECT round(auc, 6) AS auc FROM cv_a"
+
+ORACLE["pr_curve"] = with_(FC, curve("fc")) + """
+SELECT round(threshold, 6) AS threshold, round(coalesce(CASE WHEN tps + fps > 0 THEN tps / (tps + fps) END, 0), 6)
+         AS precision, round(coalesce(CASE WHEN P > 0 THEN tps / P END, 1), 6) AS recall FROM cv
+UNION ALL SELECT NULL, 1.0, 0.0"""
+
+ORACLE["avg_precision"] = with_(FC, curve("fc"), metrics_sql()) + \
+    "SELECT round(avg_precision, 6) AS avg_precision FROM cv_a"
+
+ORACLE["youden"] = with_(FC, curve("fc"), metrics_sql()) + """
+SELECT round(optimal_threshold, 6) AS optimal_threshold, round(youden_j, 6) AS youden_j FROM cv_m"""
+
+ORACLE["confusion"] = with_(FC, curve("fc"), metrics_sql()) + """,
+cm AS (SELECT count_if(y = 0 AND score < t) AS tn, count_if(y = 0 AND score >= t) AS fp,
+              count_if(y = 1 AND score < t) AS fn, count_if(y = 1 AND score >= t) AS tp
+       FROM fc CROSS JOIN cv_y)
+SELECT tn, fp, fn, tp,
+       round(coalesce(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, 0), 6) AS sensitivity,
+       round(coalesce(CASE WHEN tn + fp > 0 THEN tn / (tn + fp) END, 0), 6) AS specificity,
+       round(coalesce(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END, 0), 6) AS precision,
+       round(coalesce(CASE WHEN tp + fp > 0 AND tp + fn > 0
+             THEN 2 * (tp / (tp + fp)) * (tp / (tp + fn)) / ((tp / (tp + fp)) + (tp / (tp + fn))) END, 0), 6)
+         AS f1_score
+FROM cm"""
+
+METRIC_SELECT = """round(auc, 6) AS auc, round(avg_precision, 6) AS avg_precision,
+       round(optimal_threshold, 6) AS optimal_threshold, round(sensitivity, 6) AS sensitivity,
+       round(specificity, 6) AS specificity, round(precision, 6) AS precision,
+       round(f1_score, 6) AS f1_score, tp, fp, tn, fn"""
+
+ORACLE["metrics_row"] = with_(FC, curve("fc"), metrics_sql()) + \
+    f"SELECT 'test' AS dataset, {METRIC_SELECT} FROM cv_row"
+
+ORACLE["calibration"] = with_(FC) + """
+SELECT CAST((score > 0.1)::INT + (score > 0.2)::INT + (score > 0.30000000000000004)::INT + (score > 0.4)::INT
+       + (score > 0.5)::INT + (score > 0.6000000000000001)::INT + (score > 0.7000000000000001)::INT
+       + (score > 0.8)::INT + (score > 0.9)::INT AS INTEGER) AS bin,
+       round(avg(score), 6) AS prob_pred, round(avg(CAST(y AS DOUBLE)), 6) AS prob_true, count(*) AS n
+FROM fc WHERE score IS NOT NULL GROUP BY 1"""
+
+ORACLE["base_rate"] = with_(FC) + "SELECT round(avg(CAST(y AS DOUBLE)), 6) AS base_rate FROM fc"
+
+FC_ODD = "fc_odd AS (SELECT * FROM fc WHERE doc_id % 2 = 1)"
+
+ORACLE["metric_lookup"] = with_(FC, FC_ODD, curve("fc_odd"), metrics_sql()) + """
+SELECT 'holdout' AS dataset, round(auc, 6) AS auc, round(optimal_threshold, 6) AS optimal_threshold FROM cv_row
+UNION ALL SELECT 'missing', 0.81, 0.5"""
+
+ORACLE["quality_gate"] = with_(FC, FC_ODD, curve("fc_odd"), metrics_sql()) + """
+SELECT round(auc, 6) AS value, 0.8 AS minimum, auc >= 0.8 AS passed FROM cv_row"""

@@ -14,9 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqrisk.functions.expr import epoch_micros
+from seqrisk.operators.evaluation import (average_precision, base_rate, calibration, confusion,
+                                         latest_metric, metrics_row, pr_curve, quality_gate, rates,
+                                         roc_auc, roc_curve, youden)
 from seqrisk.operators.label import label_stats, onset_label
+from seqrisk.operators.model import balanced_weights
+from seqrisk.operators.split import (prefix_split, seeded_sample, split_by_group, split_labels,
+                                     stratified_folds, year_holdout)
 from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end
 from seqrisk.plans import fixtures as fx
+from seqrisk.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -62,7 +69,8 @@ def q_status_flags(spark, d):
 def q_interval_onset(spark, d):
     """Flagship: J1 + J2 + A3 + A4 on F-A: label each lap with whether a
     safety-car status starts in the next lap of the same race."""
-    lab = onset_label(fa_flagged(spark, d), "race", "lap", "SafetyCar", "sc_next_lap")
+    flagged = materialize(fa_flagged(spark, d))      # read by the step aggregate and the rows
+    lab = onset_label(flagged, "race", "lap", "SafetyCar", "sc_next_lap")
     return lab.select("event_id", "race", "driver", "lap", *FLAG_COLS, "sc_next_lap")
 
 
@@ -73,3 +81,170 @@ def q_asof_weather(spark, d):
                   "race", "start", "race", "time", ["air_temp", "humidity"])
     return j.select("event_id", "race", "driver", "lap", r6("air_temp").alias("air_temp"),
                     r6("humidity").alias("humidity"))
+
+
+# ------------------------------------------------------- labels, splits (F-B)
+@query("onset_label")
+def q_onset_label(spark, d):
+    """A3 + A4 + J7 on F-B: label by (RaceId, LapNumber) from SafetyCar."""
+    lab = onset_label(fx.fb_laps(spark, d), "RaceId", "LapNumber", "SafetyCar", "sc_next_lap")
+    return lab.select("l_orderkey", "l_linenumber", "RaceId", "LapNumber", "Driver", "sc_next_lap")
+
+
+@query("label_stats")
+def q_label_stats(spark, d):
+    """A5 on the F-B onset labels."""
+    lab = onset_label(fx.fb_laps(spark, d), "RaceId", "LapNumber", "SafetyCar", "sc_next_lap")
+    return label_stats(lab, "sc_next_lap").select("positives", "total", r6("positive_pct").alias("positive_pct"))
+
+
+def _parts(frames, key, names=("train", "test", "holdout")):
+    out = None
+    for name, f in zip(names, frames):
+        g = f.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("part", F.lit(name))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+@query("year_holdout")
+def q_year_holdout(spark, d):
+    """P1 + T1 on F-B: holdout = races of 2001 by the year in the key."""
+    hold, rest = year_holdout(fx.fb_laps(spark, d), "RaceId", [2001])
+    return _parts([rest, hold], "RaceId", ("rest", "holdout"))
+
+
+@query("group_split")
+def q_group_split(spark, d):
+    """T2 + J5 + U2 + U3 on F-B: whole races to train / test / holdout."""
+    return _parts(split_by_group(fx.fb_laps(spark, d), "RaceId", 0.2, [2001], 42), "RaceId")
+
+
+@query("fallback_split")
+def q_fallback_split(spark, d):
+    """T3 on F-B: 70/20/10 of races in seeded hash order."""
+    lab = split_labels(fx.fb_laps(spark, d), "RaceId", (0.7, 0.2, 0.1), 42)
+    return lab.groupBy("RaceId", F.col("split").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("stratified_folds")
+def q_stratified_folds(spark, d):
+    """T4 on F-C: 5 folds, stratified by y, seeded hash order of doc_id."""
+    return stratified_folds(fx.fc_scores(spark, d), "y", ["doc_id"], 5, 42).select("doc_id", "y", "fold")
+
+
+@query("prefix_split")
+def q_prefix_split(spark, d):
+    """T5 on F-C: the first 80% of rows by doc_id."""
+    head, tail = prefix_split(fx.fc_scores(spark, d), "doc_id", 0.8)
+    return head.select("doc_id", F.lit("train").alias("part")).unionByName(
+        tail.select("doc_id", F.lit("test").alias("part")))
+
+
+@query("seeded_sample")
+def q_seeded_sample(spark, d):
+    """T6 on F-A laps: exactly 500 rows in seeded hash order of event_id."""
+    return seeded_sample(fx.fa_laps(spark, d), 500, ["event_id"], 42).select("event_id", "race", "lap")
+
+
+# ------------------------------------------------------------ metrics (F-C)
+def fc(spark, d):
+    return fx.fc_scores(spark, d)
+
+
+@query("class_weights")
+def q_class_weights(spark, d):
+    """A6 on F-C."""
+    return balanced_weights(fc(spark, d), "y").select(
+        "y", "n", r6("weight").alias("weight"), r6("scale_pos_weight").alias("scale_pos_weight"))
+
+
+@query("roc_curve")
+def q_roc_curve(spark, d):
+    c = roc_curve(fc(spark, d))
+    return c.select(r6("threshold").alias("threshold"), r6("fpr").alias("fpr"), r6("tpr").alias("tpr"),
+                    "tps", "fps")
+
+
+@query("roc_auc")
+def q_roc_auc(spark, d):
+    return roc_auc(fc(spark, d)).select(r6("auc").alias("auc"))
+
+
+@query("pr_curve")
+def q_pr_curve(spark, d):
+    c = pr_curve(fc(spark, d))
+    return c.select(r6("threshold").alias("threshold"), r6("precision").alias("precision"),
+                    r6("recall").alias("recall"))
+
+
+@query("avg_precision")
+def q_avg_precision(spark, d):
+    return average_precision(fc(spark, d)).select(r6("avg_precision").alias("avg_precision"))
+
+
+@query("youden")
+def q_youden(spark, d):
+    return youden(fc(spark, d)).select(r6("optimal_threshold").alias("optimal_threshold"),
+                                       r6("youden_j").alias("youden_j"))
+
+
+@query("confusion")
+def q_confusion(spark, d):
+    """E6 + E7 at the Youden threshold."""
+    s = fc(spark, d)
+    t = youden(s).select("optimal_threshold").scalar()
+    return rates(confusion(s, t)).select("tn", "fp", "fn", "tp", *[r6(c).alias(c) for c in
+                                         ("sensitivity", "specificity", "precision", "f1_score")])
+
+
+METRIC_COLS = ["auc", "avg_precision", "optimal_threshold", "sensitivity", "specificity", "precision",
+               "f1_score"]
+
+
+@query("metrics_row")
+def q_metrics_row(spark, d):
+    m = metrics_row(fc(spark, d), dataset="test")
+    return m.select("dataset", *[r6(c).alias(c) for c in METRIC_COLS], "tp", "fp", "tn", "fn")
+
+
+@query("calibration")
+def q_calibration(spark, d):
+    return calibration(fc(spark, d)).select("bin", r6("prob_pred").alias("prob_pred"),
+                                            r6("prob_true").alias("prob_true"), "n")
+
+
+@query("base_rate")
+def q_base_rate(spark, d):
+    return base_rate(fc(spark, d)).select(r6("base_rate").alias("base_rate"))
+
+
+def _metrics_table(spark, d):
+    s = fc(spark, d)
+    runs = [(1, "test", s.where(F.col("doc_id") % 2 == 0)), (1, "holdout", s),
+            (2, "holdout", s.where(F.col("doc_id") % 2 == 1))]
+    out = None
+    for run, name, part in runs:
+        m = metrics_row(part, dataset=name).withColumn("run_ts", F.lit(run))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@query("metric_lookup")
+def q_metric_lookup(spark, d):
+    """Latest holdout AUC / threshold, and the defaults for a dataset
+    without runs."""
+    m = _metrics_table(spark, d)
+    rows = []
+    for ds in ("holdout", "missing"):
+        a = latest_metric(m, ds, "auc", 0.81)
+        t = latest_metric(m, ds, "optimal_threshold", 0.5)
+        rows.append(a.select(F.lit(ds).alias("dataset"), r6("auc").alias("auc"),
+                             r6(t.select("optimal_threshold").scalar()).alias("optimal_threshold")))
+    return rows[0].unionByName(rows[1])
+
+
+@query("quality_gate")
+def q_quality_gate(spark, d):
+    """Latest holdout AUC against the 0.80 gate."""
+    g = quality_gate(_metrics_table(spark, d), "holdout", "auc", 0.80)
+    return g.select(r6("value").alias("value"), "minimum", "passed")

@@ -60,3 +60,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     loss, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Persist a frame that several branches of one plan consume (memory,
+    spilling to disk). Column pruning makes the branches' plans differ, so
+    Spark would otherwise recompute the shared part once per branch."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
