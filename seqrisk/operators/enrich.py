@@ -116,8 +116,9 @@ def fill_group_then_global_median(df: DataFrame, cols: Sequence[str], group: str
     if not cols:
         return df
     g1 = fill_group_median(df, cols, group)
-    glob = exact_medians(g1, [], cols)
-    return g1.withColumns({c: F.coalesce(F.col(c), glob.select(F.col(c).cast(df.schema[c].dataType)).scalar())
+    # One scalar subquery carrying every global median (one evaluation).
+    glob = exact_medians(g1, [], cols).select(F.struct(*cols).alias("m")).scalar()
+    return g1.withColumns({c: F.coalesce(F.col(c), glob.getField(c).cast(df.schema[c].dataType))
                            for c in cols})
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from seqrisk.session import cut_lineage
+
 DEFAULT_BUCKETS = 64
 
 
@@ -103,10 +105,10 @@ def global_rank(df: DataFrame, cols: Sequence, seed, name: str = "rank",
 
 
 def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
-                  n_buckets: int = 16, accuracy: int = 10000) -> DataFrame:
+                  n_buckets: int = 16, accuracy: int = 1000) -> DataFrame:
     """Exact (interpolated) median of each value column per group, nulls
-    ignored; a group with no value gets null. One row per group that has at
-    least one row, columns ``group_cols + value_cols``.
+    ignored; a group with no value gets null. One row per group holding at
+    least one non-null value, columns ``group_cols + value_cols``.
 
     Works on distinct (group, column, value) counts, splits each group's
     values into ranges with an approximate quantile sketch, and sorts only the
@@ -116,7 +118,6 @@ def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
     longs = [F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in value_cols]
     long = (df.select(*g, F.explode(F.array(*longs)).alias("__kv"))
             .select(*g, F.col("__kv.k").alias("__k"), F.col("__kv.v").alias("__v")))
-    groups = df.select(*g).distinct() if g else None
     long = long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     gk = g + ["__k"]
     vc = long.groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__c"))
@@ -131,6 +132,10 @@ def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
         stats = vc.groupBy(*gk).agg(F.sum("__c").alias("__n"))
         vb = vc.join(stats, gk).withColumn("__b", F.lit(0))
 
+    # The bucketed value counts feed both the bucket totals and the final
+    # ranking: checkpoint them once (distinct values, not rows) so neither the
+    # input nor the counting is planned or run twice.
+    vb = cut_lineage(vb)
     k1 = F.floor((F.col("__n") + 1) / 2)
     k2 = F.floor(F.col("__n") / 2) + 1
     bt = vb.groupBy(*gk, "__b").agg(F.sum("__c").alias("__bc"), F.first("__n").alias("__n"))
@@ -142,12 +147,9 @@ def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
     tv = vb.join(target, gk + ["__b"])
     wv = W.partitionBy(*gk, "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
     tv = tv.withColumn("__cum", F.col("__before") + F.sum("__c").over(wv))
-    med = tv.groupBy(*gk).agg(
-        ((F.min(F.when(F.col("__cum") >= k1, F.col("__v"))) +
-          F.min(F.when(F.col("__cum") >= k2, F.col("__v")))) / 2).alias("__m"))
-    if g:
-        wide = med.groupBy(*g).agg(*[F.max(F.when(F.col("__k") == c, F.col("__m"))).alias(c)
-                                     for c in value_cols])
-        return groups.join(wide, g, "left")
-    wide = med.agg(*[F.max(F.when(F.col("__k") == c, F.col("__m"))).alias(c) for c in value_cols])
-    return wide
+    def med(c):
+        is_c = F.col("__k") == F.lit(c)
+        lo_v = F.min(F.when(is_c & (F.col("__cum") >= k1), F.col("__v")))
+        hi_v = F.min(F.when(is_c & (F.col("__cum") >= k2), F.col("__v")))
+        return ((lo_v + hi_v) / 2).alias(c)
+    return tv.groupBy(*g).agg(*[med(c) for c in value_cols])

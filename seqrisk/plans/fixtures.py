@@ -9,29 +9,35 @@ from __future__ import annotations
 
 import functools
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from seqrisk.session import cut_lineage
+
 _VIEWS: dict = {}
 
 
 def view(fn):
-    """Derive a fixture view once per (session, directory) and keep it
-    persisted (memory, spilling to disk), as a registered source table would
-    be; lost blocks are recomputed from lineage."""
+    """Derive a view once per (session, directory) and checkpoint it into the
+    shared checkpoint directory: later plans start from a small leaf instead
+    of re-analysing (and re-running) the derivation, and the data survives
+    the loss of an executor."""
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, sf_dir, fn.__name__)
         df = _VIEWS.get(key)
         if df is None:
-            df = fn(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+            df = cut_lineage(fn(spark, sf_dir))
             _VIEWS[key] = df
         return df
     return wrapper
 
 
+def clear_views() -> None:
+    _VIEWS.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,12 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqrisk.functions.expr import epoch_micros
+from seqrisk.config import INTERACTIONS, FeatureRoles, Roles
+from seqrisk.functions.expr import bool_to_int, epoch_micros
+from seqrisk.operators.enrich import (add_seconds_columns, add_track, clean, fill_constant,
+                                     fill_group_median, valid_laps)
+from seqrisk.operators.features import (add_interactions, category_vocab, feature_inputs,
+                                        fit_features, fit_stats, transform_features)
+from seqrisk.operators.scoring import linear_scorer, score_requests
 from seqrisk.operators.evaluation import (average_precision, base_rate, calibration, confusion,
                                          latest_metric, metrics_row, pr_curve, quality_gate, rates,
                                          roc_auc, roc_curve, youden)
 from seqrisk.operators.label import label_stats, onset_label
-from seqrisk.operators.model import balanced_weights
+from seqrisk.operators.model import (balanced_weights, cross_validate, linear_attribution,
+                                     mean_abs_attribution, score, train_classifier)
 from seqrisk.operators.split import (prefix_split, seeded_sample, split_by_group, split_labels,
                                      stratified_folds, year_holdout)
 from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end
@@ -248,3 +255,186 @@ def q_quality_gate(spark, d):
     """Latest holdout AUC against the 0.80 gate."""
     g = quality_gate(_metrics_table(spark, d), "holdout", "auc", 0.80)
     return g.select(r6("value").alias("value"), "minimum", "passed")
+
+
+# ------------------------------------------------- cleaning / enrich (F-B, F-A)
+@fx.view
+def fb_clean(spark, d) -> DataFrame:
+    """Cleaned F-B (the full cleaning stage), derived once per session: the
+    feature, model and report queries all start from it."""
+    return clean(fx.fb_laps(spark, d), Roles(), dim=fx.FB_TRACKS)
+
+
+@query("track_lookup")
+def q_track_lookup(spark, d):
+    """P8 + J4 on F-B: TrackId from EventName, contains-match against the
+    fixture's track dimension (last match wins, defaults otherwise)."""
+    t = add_track(fx.fb_laps(spark, d), "EventName", "TrackId", fx.FB_TRACKS)
+    return t.select("l_orderkey", "l_linenumber", "EventName", "TrackId", r6("TrackLength").alias("TrackLength"),
+                    "TrackType", "Corners")
+
+
+@query("valid_laps")
+def q_valid_laps(spark, d):
+    """P6 + P5 on F-B (and P7 as a flag)."""
+    v = add_seconds_columns(valid_laps(fx.fb_laps(spark, d)))
+    return v.select("l_orderkey", "l_linenumber", "SessionType", r6("LapTime_seconds").alias("LapTime_seconds"),
+                    (F.col("SessionType") == "R").alias("is_race"))
+
+
+@query("two_level_fill")
+def q_two_level_fill(spark, d):
+    """A2 (inside the full cleaning stage) on F-B."""
+    c = fb_clean(spark, d)
+    return c.select("l_orderkey", "l_linenumber", "TrackId", r6("SpeedI1").alias("SpeedI1"),
+                    r6("SpeedST").alias("SpeedST"), r6("TyreLife").alias("TyreLife"))
+
+
+@query("null_defaults")
+def q_null_defaults(spark, d):
+    """P9 + P10 + P13 on F-B."""
+    raw = fx.fb_laps(spark, d).withColumn("vsc_int", bool_to_int("VirtualSafetyCar"))
+    f = fill_constant(fill_constant(raw, False, ["VirtualSafetyCar", "FreshTyre"]), "Unknown", ["Compound"])
+    return f.select("l_orderkey", "l_linenumber", "Compound", "VirtualSafetyCar", "vsc_int")
+
+
+@query("race_median_fill")
+def q_race_median_fill(spark, d):
+    """J3 then A1 on F-A: weather at lap start, nulls filled with the race median."""
+    j = asof_join(fx.fa_laps(spark, d), fx.fa_weather(spark, d).drop("event_id"),
+                  "race", "start", "race", "time", ["air_temp", "humidity"])
+    f = fill_group_median(j, ["air_temp", "humidity"], "race")
+    return f.select("event_id", "race", "lap", r6("air_temp").alias("air_temp"), r6("humidity").alias("humidity"))
+
+
+# ------------------------------------------------------------ features (F-B)
+FB_ROLES = FeatureRoles(categorical=("Team", "Compound"),
+                        numeric=("TrackLength", "Corners", "LapNumber", "Position", "TyreLife", "SpeedI1",
+                                 "SpeedST", "AirTemp", "Rainfall", "TrackTemp"),
+                        boolean=("FreshTyre", "VirtualSafetyCar", "YellowFlag"))
+
+
+def fb_train(spark, d):
+    return fb_clean(spark, d).where(F.col("Year") < 2001)
+
+
+def fb_holdout(spark, d):
+    return fb_clean(spark, d).where(F.col("Year") == 2001)
+
+
+@query("interactions")
+def q_interactions(spark, d):
+    """P11 on cleaned F-B."""
+    x = add_interactions(fb_clean(spark, d), INTERACTIONS)
+    return x.select("l_orderkey", "l_linenumber",
+                    *[r6(f"{a}_{b}_interaction").alias(f"{a}_{b}_interaction") for a, b in INTERACTIONS])
+
+
+@query("fit_stats")
+def q_fit_stats(spark, d):
+    """Exact median, then mean and population std of the imputed column,
+    per numeric feature, fitted on the training rows."""
+    tr = add_interactions(fb_train(spark, d), INTERACTIONS)
+    _, num, _ = feature_inputs(tr, FB_ROLES)
+    st = fit_stats(tr, num)
+    rows = [(c, float(m) if m is not None else None, float(a), float(s)) for c, (m, a, s) in st.items()]
+    df = spark.createDataFrame(rows, "feature string, median double, mean double, std double")
+    return df.select("feature", r6("median").alias("median"), r6("mean").alias("mean"), r6("std").alias("std"))
+
+
+@query("vocab")
+def q_vocab(spark, d):
+    """Sorted categories (null -> 'unknown') of the training rows."""
+    tr = fb_train(spark, d)
+    v = category_vocab(tr, list(FB_ROLES.categorical))
+    rows = [(c, x, i) for c, vals in v.items() for i, x in enumerate(vals)]
+    return spark.createDataFrame(rows, "feature string, category string, position int")
+
+
+@query("scaled_features")
+def q_scaled_features(spark, d):
+    """M1: parameters fitted on train, applied to the holdout rows (numeric
+    and boolean outputs)."""
+    fp = fit_features(fb_train(spark, d), FB_ROLES)
+    t = transform_features(fb_holdout(spark, d), fp, FB_ROLES)
+    cols = list(fp.numeric) + list(fp.boolean)
+    return t.select("l_orderkey", "l_linenumber", *[r6(c).alias(c) for c in cols])
+
+
+@query("one_hot")
+def q_one_hot(spark, d):
+    """M2: one-hot columns named Col_category on the holdout rows."""
+    fp = fit_features(fb_train(spark, d), FB_ROLES)
+    t = transform_features(fb_holdout(spark, d), fp, FB_ROLES)
+    cols = [f"{c}_{v}" for c, vs in fp.categorical.items() for v in vs]
+    return t.select("l_orderkey", "l_linenumber", *cols)
+
+
+@query("passthrough")
+def q_passthrough(spark, d):
+    """The non-feature columns pass through the transform unchanged."""
+    fp = fit_features(fb_train(spark, d), FB_ROLES)
+    t = transform_features(fb_holdout(spark, d), fp, FB_ROLES)
+    keep = ["l_orderkey", "l_linenumber", "RaceId", "Driver", "EventName", "SessionType", "TrackId",
+            "TrackType", "SafetyCar"]
+    return t.select(*keep, r6("LapTime_seconds").alias("LapTime_seconds"))
+
+
+# --------------------------------------------------------------- model (F-B)
+LINEAR = {"TyreLife": 0.01, "TrackTemp": 0.05, "LapNumber": 0.02, "SpeedST": 0.00002, "Position": -0.1}
+LINEAR_B0 = -2.0
+
+
+@query("gbt_scores")
+def q_gbt_scores(spark, d):
+    """M3 + M6 (+A6): class-weighted GBT (few trees) trained on train rows,
+    scoring the holdout. No SQL oracle (rows-only)."""
+    tr = onset_label(fb_train(spark, d), "RaceId", "LapNumber", "SafetyCar")
+    m, fp = train_classifier(tr, "sc_next_lap", FB_ROLES, {"maxIter": 5, "maxDepth": 3})
+    s = score(fb_holdout(spark, d), m, fp, 0.5, FB_ROLES)
+    return s.select("l_orderkey", "l_linenumber", "RaceId", "LapNumber", "sc_probability", "sc_prediction",
+                    "threshold")
+
+
+@query("cv_auc")
+def q_cv_auc(spark, d):
+    """M4 (+T4): 3-fold stratified CV AUC of a small GBT. Rows-only."""
+    tr = onset_label(fb_train(spark, d), "RaceId", "LapNumber", "SafetyCar")
+    folds = cross_validate(tr, "sc_next_lap", ["l_orderkey", "l_linenumber", "Driver"], 3, FB_ROLES,
+                           {"maxIter": 3, "maxDepth": 3})
+    return folds
+
+
+@query("linear_attribution")
+def q_linear_attribution(spark, d):
+    """M8: additive contributions coef * (x - mean over the sample) of a fixed
+    linear scorer, mean |contribution| per feature over a 500-row seeded
+    sample of the cleaned rows."""
+    c = fb_clean(spark, d).withColumn("__id", F.concat_ws("_", "l_orderkey", "l_linenumber", "Driver",
+                                                          "LapNumber", "SpeedST"))
+    s = seeded_sample(c, 500, ["__id"], 42)
+    means = s.agg(*[F.avg(f).alias(f) for f in LINEAR]).first().asDict()
+    a = mean_abs_attribution(linear_attribution(s, LINEAR, means))
+    return a.select("feature", r6("mean_abs").alias("mean_abs"))
+
+
+# ------------------------------------------------------------- scoring (F-A)
+REQ_COEFS = {"TyreLife": 0.01, "TrackTemp": 0.02, "LapNumber": 0.05,
+             "TyreLife_TrackTemp_interaction": 0.001}
+
+
+@query("score_requests")
+def q_score_requests(spark, d):
+    """P2 + P16 + P18 + P19 + M7: the F-A requests scored by a fixed
+    logistic scorer; threshold 0.5."""
+    r = score_requests(fx.fa_requests(spark, d), linear_scorer(REQ_COEFS, -3.0), 0.5, keep=["event_id"])
+    return r.where(F.col("error").isNull()).select(
+        "event_id", "race_id", "lap", "year", "track", r6("probability").alias("probability"), "threshold",
+        "will_deploy_sc")
+
+
+@query("request_errors")
+def q_request_errors(spark, d):
+    """The rejected requests with their error and message."""
+    r = score_requests(fx.fa_requests(spark, d), linear_scorer(REQ_COEFS, -3.0), 0.5, keep=["event_id"])
+    return r.where(F.col("error").isNotNull()).select("event_id", "race_id", "error", "message")

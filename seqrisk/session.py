@@ -21,8 +21,9 @@ BASE_CONF = {
 
 
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                app: str = "seqrisk", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+                app: str = "seqrisk", extra: dict | None = None,
+                driver_memory: str = "16g") -> SparkSession:
+    builder = SparkSession.builder.master(master).appName(app).config("spark.driver.memory", driver_memory)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
