@@ -271,3 +271,178 @@ UNION ALL SELECT 'missing', 0.81, 0.5"""
 
 ORACLE["quality_gate"] = with_(FC, FC_ODD, curve("fc_odd"), metrics_sql()) + """
 SELECT round(auc, 6) AS value, 0.8 AS minimum, auc >= 0.8 AS passed FROM cv_row"""
+
+# ---------------------------------------------------------- F-B cleaning CTEs
+FB_DIM = """
+fb_dim AS (SELECT * FROM (VALUES (0, 'COLD', CAST(5.1 AS DOUBLE), 'Permanent', 12),
+                                 (1, 'ol', CAST(4.0 AS DOUBLE), 'Street', 10),
+                                 (2, 'smal', CAST(3.3 AS DOUBLE), 'Street', 19),
+                                 (3, 'HOT', CAST(5.9 AS DOUBLE), 'Permanent', 18),
+                                 (4, 'New', CAST(4.3 AS DOUBLE), 'Street', 14))
+           t(ord, k, TrackLength, TrackType, Corners))"""
+
+
+def track_cte(src: str, out: str) -> str:
+    """P8 + J4 over ``src``: TrackId, then the last contained dimension key."""
+    return f"""
+{out}_0 AS (SELECT *, split_part(EventName, '_', 1) AS TrackId FROM {src}),
+{out}_m AS (SELECT t.TrackId, arg_max(d.TrackLength, d.ord) AS TrackLength,
+                   arg_max(d.TrackType, d.ord) AS TrackType, arg_max(d.Corners, d.ord) AS Corners
+            FROM (SELECT DISTINCT TrackId FROM {out}_0) t
+            JOIN fb_dim d ON contains(lower(t.TrackId), lower(d.k)) GROUP BY t.TrackId),
+{out} AS (SELECT f.*, coalesce(m.TrackLength, CAST(5.0 AS DOUBLE)) AS TrackLength,
+                 coalesce(m.TrackType, 'Unknown') AS TrackType, CAST(coalesce(m.Corners, 15) AS INTEGER) AS Corners
+          FROM {out}_0 f LEFT JOIN {out}_m m ON f.TrackId = m.TrackId)"""
+
+
+FB_VALID = """
+fb_valid AS (SELECT *, LapTime AS LapTime_seconds FROM fb_laps
+             WHERE SessionType = 'Q' OR (SessionType = 'R' AND LapTime IS NOT NULL AND coalesce(IsAccurate, false)))"""
+
+FB_CLEAN = FB_VALID + "," + FB_DIM + "," + track_cte("fb_valid", "fb_trk") + """,
+fb_b AS (SELECT * REPLACE (coalesce(SafetyCar, false) AS SafetyCar, coalesce(VirtualSafetyCar, false) AS VirtualSafetyCar,
+                           coalesce(YellowFlag, false) AS YellowFlag, coalesce(FreshTyre, false) AS FreshTyre)
+         FROM fb_trk),
+fb_m1 AS (SELECT TrackId, median(SpeedI1) AS m1, median(SpeedST) AS m2, median(TyreLife) AS m3
+          FROM fb_b GROUP BY TrackId),
+fb_g1 AS (SELECT b.* REPLACE (coalesce(b.SpeedI1, m.m1) AS SpeedI1, coalesce(b.SpeedST, m.m2) AS SpeedST,
+                              coalesce(b.TyreLife, m.m3) AS TyreLife)
+          FROM fb_b b LEFT JOIN fb_m1 m ON b.TrackId = m.TrackId),
+fb_gm AS (SELECT median(SpeedI1) AS m1, median(SpeedST) AS m2, median(TyreLife) AS m3 FROM fb_g1),
+fb_g2 AS (SELECT g.* REPLACE (coalesce(g.SpeedI1, gm.m1) AS SpeedI1, coalesce(g.SpeedST, gm.m2) AS SpeedST,
+                              coalesce(g.TyreLife, gm.m3) AS TyreLife)
+          FROM fb_g1 g CROSS JOIN fb_gm gm),
+fb_clean AS (SELECT * REPLACE (coalesce(Compound, 'Unknown') AS Compound, coalesce(Driver, 'Unknown') AS Driver,
+                               coalesce(Team, 'Unknown') AS Team)
+             FROM fb_g2 WHERE SessionType = 'R')"""
+
+ORACLE["track_lookup"] = with_(FB_LAPS, FB_DIM, track_cte("fb_laps", "fb_t")) + """
+SELECT l_orderkey, l_linenumber, EventName, TrackId, round(TrackLength, 6) AS TrackLength, TrackType, Corners
+FROM fb_t"""
+
+ORACLE["valid_laps"] = with_(FB_LAPS, FB_VALID) + """
+SELECT l_orderkey, l_linenumber, SessionType, round(LapTime_seconds, 6) AS LapTime_seconds,
+       SessionType = 'R' AS is_race FROM fb_valid"""
+
+ORACLE["two_level_fill"] = with_(FB_LAPS, FB_CLEAN) + """
+SELECT l_orderkey, l_linenumber, TrackId, round(SpeedI1, 6) AS SpeedI1, round(SpeedST, 6) AS SpeedST,
+       round(TyreLife, 6) AS TyreLife FROM fb_clean"""
+
+ORACLE["null_defaults"] = with_(FB_LAPS) + """
+SELECT l_orderkey, l_linenumber, coalesce(Compound, 'Unknown') AS Compound,
+       coalesce(VirtualSafetyCar, false) AS VirtualSafetyCar,
+       coalesce(CAST(VirtualSafetyCar AS INTEGER), 0) AS vsc_int FROM fb_laps"""
+
+ORACLE["race_median_fill"] = with_(FA_LAPS, FA_WEATHER) + """,
+j AS (SELECT l.event_id, l.race, l.lap, w.air_temp, w.humidity
+      FROM fa_laps l ASOF LEFT JOIN fa_weather w ON l.race = w.race AND l.start >= w.time),
+m AS (SELECT race, median(air_temp) AS ma, median(humidity) AS mh FROM j GROUP BY race)
+SELECT j.event_id, j.race, j.lap, round(coalesce(j.air_temp, m.ma), 6) AS air_temp,
+       round(coalesce(j.humidity, m.mh), 6) AS humidity
+FROM j LEFT JOIN m ON j.race = m.race"""
+
+FB_INTER = """
+fb_x AS (SELECT *, TyreLife * TrackTemp AS TyreLife_TrackTemp_interaction,
+                TrackLength * SpeedST AS TrackLength_SpeedST_interaction,
+                Rainfall * Corners AS Rainfall_Corners_interaction FROM fb_clean),
+fb_tr AS (SELECT * FROM fb_x WHERE Year < 2001),
+fb_ho AS (SELECT * FROM fb_x WHERE Year = 2001)"""
+
+ORACLE["interactions"] = with_(FB_LAPS, FB_CLEAN, FB_INTER) + """
+SELECT l_orderkey, l_linenumber, round(TyreLife_TrackTemp_interaction, 6) AS TyreLife_TrackTemp_interaction,
+       round(TrackLength_SpeedST_interaction, 6) AS TrackLength_SpeedST_interaction,
+       round(Rainfall_Corners_interaction, 6) AS Rainfall_Corners_interaction FROM fb_x"""
+
+FB_NUMERIC = ["TrackLength", "Corners", "LapNumber", "Position", "TyreLife", "SpeedI1", "SpeedST", "AirTemp",
+              "Rainfall", "TrackTemp", "TyreLife_TrackTemp_interaction", "TrackLength_SpeedST_interaction",
+              "Rainfall_Corners_interaction"]
+FB_BOOLEAN = ["FreshTyre", "VirtualSafetyCar", "YellowFlag"]
+
+
+def _stats_cte() -> str:
+    parts = []
+    for c in FB_NUMERIC:
+        parts.append(f"""SELECT '{c}' AS feature, med AS median, avg(coalesce(CAST({c} AS DOUBLE), med)) AS mean,
+         coalesce(nullif(stddev_pop(coalesce(CAST({c} AS DOUBLE), med)), 0), 1) AS std
+  FROM fb_tr CROSS JOIN (SELECT median(CAST({c} AS DOUBLE)) AS med FROM fb_tr) q GROUP BY med""")
+    return "fb_stats AS (" + "\n  UNION ALL ".join(parts) + ")"
+
+
+ORACLE["fit_stats"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, _stats_cte()) + """
+SELECT feature, round(median, 6) AS median, round(mean, 6) AS mean, round(std, 6) AS std FROM fb_stats"""
+
+ORACLE["vocab"] = with_(FB_LAPS, FB_CLEAN, FB_INTER) + """
+SELECT 'Team' AS feature, v AS category, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS position
+FROM (SELECT DISTINCT coalesce(Team, 'unknown') AS v FROM fb_tr)
+UNION ALL
+SELECT 'Compound', v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER)
+FROM (SELECT DISTINCT coalesce(Compound, 'unknown') AS v FROM fb_tr)"""
+
+
+def _scaled_select() -> str:
+    cols = []
+    for c in FB_NUMERIC:
+        cols.append(f"round((coalesce(CAST(h.{c} AS DOUBLE), s_{c}.median) - s_{c}.mean) / s_{c}.std, 6) AS {c}")
+    for c in FB_BOOLEAN:
+        cols.append(f"CAST(coalesce(CAST(h.{c} AS INTEGER), 0) AS DOUBLE) AS {c}")
+    joins = " ".join(f"CROSS JOIN (SELECT * FROM fb_stats WHERE feature = '{c}') s_{c}" for c in FB_NUMERIC)
+    return "SELECT h.l_orderkey, h.l_linenumber, " + ", ".join(cols) + f" FROM fb_ho h {joins}"
+
+
+ORACLE["scaled_features"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, _stats_cte()) + _scaled_select()
+
+ONE_HOT = {"Team": ["0", "1", "2", "3", "4"], "Compound": ["A", "N", "R", "Unknown"]}
+
+ORACLE["one_hot"] = with_(FB_LAPS, FB_CLEAN, FB_INTER) + "SELECT l_orderkey, l_linenumber, " + ", ".join(
+    f"CASE WHEN coalesce({c}, 'unknown') = '{v}' THEN 1.0 ELSE 0.0 END AS {c}_{v}"
+    for c, vs in ONE_HOT.items() for v in vs) + " FROM fb_ho"
+
+ORACLE["passthrough"] = with_(FB_LAPS, FB_CLEAN, FB_INTER) + """
+SELECT l_orderkey, l_linenumber, RaceId, Driver, EventName, SessionType, TrackId, TrackType, SafetyCar,
+       round(LapTime_seconds, 6) AS LapTime_seconds FROM fb_ho"""
+
+LINEAR = {"TyreLife": 0.01, "TrackTemp": 0.05, "LapNumber": 0.02, "SpeedST": 0.00002, "Position": -0.1}
+
+ORACLE["linear_attribution"] = with_(FB_LAPS, FB_CLEAN) + """,
+s AS (SELECT * FROM fb_clean
+      ORDER BY md5(concat_ws('_', l_orderkey, l_linenumber, Driver, LapNumber, SpeedST) || '42') LIMIT 500),
+mu AS (SELECT """ + ", ".join(f"avg({f}) AS {f}" for f in LINEAR) + """ FROM s)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{f}' AS feature, round(avg(abs({w} * (CAST(s.{f} AS DOUBLE) - mu.{f}))), 6) AS mean_abs "
+    f"FROM s CROSS JOIN mu" for f, w in LINEAR.items())
+
+FA_REQ = """
+fa_req0 AS (SELECT *, lpad(CAST(race % 100 AS VARCHAR), 2, '0') || '_Ev' || CAST(race AS VARCHAR) || '_' || driver AS rid
+            FROM fa_laps),
+fa_req AS (
+  SELECT event_id,
+         CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 17 = 0 THEN 'Y_' || rid ELSE '2024_' || rid END AS race_id,
+         CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 19 = 0 THEN 'L' || CAST(lap AS VARCHAR)
+              ELSE CAST(lap AS VARCHAR) END AS lap,
+         CASE WHEN event_id % 4 <> 0 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS tyre
+  FROM fa_req0),
+fa_v AS (
+  SELECT *, race_id IS NULL OR lap IS NULL AS missing, TRY_CAST(trim(lap) AS INTEGER) AS lap_i,
+         TRY_CAST(split_part(race_id, '_', 1) AS INTEGER) AS y0,
+         CASE WHEN regexp_matches(race_id, '^[^_]*_[^_]*_') THEN regexp_extract(race_id, '^[^_]*_[^_]*_(.*)$', 1)
+              ELSE 'Unknown' END AS t0
+  FROM fa_req),
+fa_s AS (
+  SELECT *, coalesce(CAST(tyre AS INTEGER), 10) AS TyreLife, 30 AS TrackTemp FROM fa_v
+  WHERE NOT missing AND lap_i IS NOT NULL),
+fa_p AS (
+  SELECT *, 1.0 / (1.0 + exp(-(-3.0 + 0.01 * TyreLife + 0.02 * TrackTemp + 0.05 * lap_i
+                                  + 0.001 * (TyreLife * TrackTemp)))) AS p FROM fa_s)"""
+
+ORACLE["score_requests"] = with_(FA_LAPS, FA_REQ) + """
+SELECT event_id, race_id, lap_i AS lap, CASE WHEN y0 IS NULL THEN 2024 ELSE y0 END AS year,
+       CASE WHEN y0 IS NULL THEN 'Unknown' ELSE t0 END AS track, round(p, 6) AS probability,
+       0.5 AS threshold, p >= 0.5 AS will_deploy_sc
+FROM fa_p"""
+
+ORACLE["request_errors"] = with_(FA_LAPS, FA_REQ) + """
+SELECT event_id, race_id,
+       CASE WHEN missing THEN 'Invalid request' ELSE 'Invalid value' END AS error,
+       CASE WHEN missing THEN 'Missing required parameters: race_id, lap'
+            ELSE 'invalid literal for int() with base 10: ''' || lap || '''' END AS message
+FROM fa_v WHERE missing OR lap_i IS NULL"""
