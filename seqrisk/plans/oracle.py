@@ -446,3 +446,81 @@ SELECT event_id, race_id,
        CASE WHEN missing THEN 'Missing required parameters: race_id, lap'
             ELSE 'invalid literal for int() with base 10: ''' || lap || '''' END AS message
 FROM fa_v WHERE missing OR lap_i IS NULL"""
+
+# ------------------------------------------------------------------ reports
+SCORE_SQL = "1.0 / (1.0 + exp(-(-2.0 + " + " + ".join(f"({w}) * CAST({f} AS DOUBLE)" for f, w in LINEAR.items()) + ")))"
+
+ORACLE["lap_risk"] = with_(FB_LAPS, FB_CLEAN) + f""",
+sc AS (SELECT *, {SCORE_SQL} AS p FROM fb_clean)
+SELECT RaceId, LapNumber, round(avg(p), 6) AS sc_probability, bool_or(coalesce(SafetyCar, false)) AS SafetyCar,
+       0.5 AS threshold
+FROM sc GROUP BY RaceId, LapNumber"""
+
+ORACLE["race_summary"] = with_(FB_LAPS, FB_CLEAN) + """,
+f AS (SELECT RaceId, TrackId, Year, TrackLength, Corners,
+             row_number() OVER (PARTITION BY RaceId ORDER BY LapNumber, TrackId, Year, TrackLength, Corners) AS rn
+      FROM fb_clean),
+a AS (SELECT RaceId, min(LapNumber) AS min_lap, max(LapNumber) AS max_lap, median(AirTemp) AS m1,
+             median(TrackTemp) AS m2, median(Rainfall) AS m3 FROM fb_clean GROUP BY RaceId)
+SELECT a.RaceId, f.TrackId, f.Year, round(f.TrackLength, 6) AS TrackLength, f.Corners, a.min_lap, a.max_lap,
+       round(a.m1, 6) AS median_AirTemp, round(a.m2, 6) AS median_TrackTemp, round(a.m3, 6) AS median_Rainfall
+FROM a JOIN f ON a.RaceId = f.RaceId AND f.rn = 1"""
+
+ORACLE["race_list"] = with_(FB_LAPS, FB_CLEAN) + """
+SELECT DISTINCT RaceId, 'Race: ' || RaceId AS display_name FROM fb_clean WHERE RaceId IS NOT NULL"""
+
+ORACLE["race_rows"] = with_(FB_LAPS, FB_CLEAN) + """
+SELECT l_orderkey, l_linenumber, LapNumber, Driver FROM fb_clean WHERE RaceId = '1997_03_R'"""
+
+ORACLE["race_rows_parse"] = with_(FB_LAPS) + """
+SELECT DISTINCT RaceId, TRY_CAST(split_part(RaceId, '_', 1) AS INTEGER) AS year,
+       TRY_CAST(split_part(RaceId, '_', 2) AS INTEGER) AS round FROM fb_laps"""
+
+ORACLE["rows_per_season"] = with_(FB_LAPS) + "SELECT Year, count(*) AS laps FROM fb_laps GROUP BY Year"
+
+ORACLE["rows_per_event"] = with_(FB_LAPS) + """
+SELECT Year, EventName, count(*) AS laps FROM fb_laps GROUP BY Year, EventName ORDER BY Year, EventName LIMIT 20"""
+
+FB_COLUMNS = ["l_orderkey", "l_linenumber", "RaceId", "Year", "LapNumber", "Driver", "Team", "Compound",
+              "EventName", "SessionType", "IsAccurate", "LapTime", "TyreLife", "SpeedST", "SpeedI1", "TrackTemp",
+              "Position", "AirTemp", "Rainfall", "FreshTyre", "YellowFlag", "VirtualSafetyCar", "SafetyCar"]
+
+ORACLE["null_fraction"] = with_(FB_LAPS) + ",\nnf AS (" + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS null_fraction FROM fb_laps"
+    for c in FB_COLUMNS) + """)
+SELECT "column", round(null_fraction, 6) AS null_fraction FROM nf ORDER BY null_fraction DESC, "column" LIMIT 10"""
+
+FB_SC = """
+fb_sc AS (SELECT *, CAST(coalesce(contains(TrackStatus, '4'), false) AS INTEGER) AS SC
+          FROM (SELECT *, CASE WHEN l_orderkey % 13 <> 0 THEN CAST(l_orderkey % 1000 AS VARCHAR) END AS TrackStatus
+                FROM fb_laps) q)"""
+
+ORACLE["sc_flag"] = with_(FB_LAPS, FB_SC) + "SELECT l_orderkey, l_linenumber, TrackStatus, SC FROM fb_sc"
+
+ORACLE["value_share"] = with_(FB_LAPS, FB_SC) + """
+SELECT SC, count(*) AS n, round(count(*) / (SELECT count(*) FROM fb_sc WHERE SC IS NOT NULL), 6) AS share
+FROM fb_sc WHERE SC IS NOT NULL GROUP BY SC"""
+
+ORACLE["shape"] = with_(FB_LAPS) + f"SELECT count(*) AS rows, {len(FB_COLUMNS)} AS columns FROM fb_laps"
+
+ORACLE["preview"] = with_(FB_LAPS) + """
+SELECT l_orderkey, l_linenumber, SpeedST, RaceId FROM fb_laps ORDER BY l_orderkey, l_linenumber, SpeedST, RaceId LIMIT 3"""
+
+# ------------------------------------------------------------- F-D sessions
+FD = """
+fd_s AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS round
+         FROM orders),
+fd_schedule AS (SELECT year, round, make_date(year, round, 1) AS event_date, 'Event ' || CAST(round AS VARCHAR) AS event_name
+                FROM fd_s),
+fd_catalog AS (SELECT year, round, 'R' AS session_type FROM fd_schedule WHERE round % 3 <> 0)"""
+
+ORACLE["pending_sessions"] = with_(FD) + """
+SELECT s.year, s.round, t.session_type
+FROM fd_schedule s CROSS JOIN (VALUES ('Q'), ('R')) t(session_type)
+WHERE s.event_date < DATE '1998-06-01'
+  AND NOT EXISTS (SELECT 1 FROM fd_catalog c WHERE c.year = s.year AND c.round = s.round
+                  AND c.session_type = t.session_type)"""
+
+ORACLE["session_key"] = with_(FD) + """
+SELECT year, round, printf('%d_%02d_%s_%s', year, round, replace(event_name, ' ', '_'), 'R') AS session_key
+FROM fd_schedule"""

@@ -14,7 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqrisk.config import INTERACTIONS, FeatureRoles, Roles
-from seqrisk.functions.expr import bool_to_int, epoch_micros
+from seqrisk.functions.expr import (bool_to_int, contains_flag, decide, epoch_micros, normalize_name,
+                                    parse_session_key, session_key)
+from seqrisk.operators.reports import (count_by, lap_risk, null_fraction, preview, race_list, race_rows,
+                                       race_summary, shape, value_share)
+from seqrisk.sources.files import pending_sessions
 from seqrisk.operators.enrich import (add_seconds_columns, add_track, clean, fill_constant,
                                      fill_group_median, valid_laps)
 from seqrisk.operators.features import (add_interactions, category_vocab, feature_inputs,
@@ -438,3 +442,108 @@ def q_request_errors(spark, d):
     """The rejected requests with their error and message."""
     r = score_requests(fx.fa_requests(spark, d), linear_scorer(REQ_COEFS, -3.0), 0.5, keep=["event_id"])
     return r.where(F.col("error").isNotNull()).select("event_id", "race_id", "error", "message")
+
+
+# ------------------------------------------------------------ reports (F-B)
+def fb_scored(spark, d):
+    c = fb_clean(spark, d)
+    p = linear_scorer(LINEAR, LINEAR_B0)(c)
+    return c.withColumns({"sc_probability": p, "sc_prediction": decide(p, 0.5), "threshold": F.lit(0.5)})
+
+
+@query("lap_risk")
+def q_lap_risk(spark, d):
+    """A9 + J6: mean probability and any safety car per (race, lap)."""
+    r = lap_risk(fb_scored(spark, d), "LapNumber", "sc_probability", "SafetyCar", "threshold", by=["RaceId"])
+    return r.select("RaceId", "LapNumber", r6("sc_probability").alias("sc_probability"), "SafetyCar", "threshold")
+
+
+@query("race_summary")
+def q_race_summary(spark, d):
+    """A10 per race of cleaned F-B."""
+    s = race_summary(fb_clean(spark, d), median_cols=("AirTemp", "TrackTemp", "Rainfall"))
+    return s.select("RaceId", "TrackId", "Year", r6("TrackLength").alias("TrackLength"), "Corners", "min_lap",
+                    "max_lap", *[r6(f"median_{c}").alias(f"median_{c}") for c in ("AirTemp", "TrackTemp", "Rainfall")])
+
+
+@query("race_list")
+def q_race_list(spark, d):
+    """Distinct races with display names."""
+    return race_list(fb_clean(spark, d))
+
+
+@query("race_rows")
+def q_race_rows(spark, d):
+    """P20 + T7: one race's rows by lap."""
+    return race_rows(fb_clean(spark, d), "1997_03_R").select("l_orderkey", "l_linenumber", "LapNumber", "Driver")
+
+
+@query("race_rows_parse")
+def q_race_rows_parse(spark, d):
+    """(year, round) from each race key."""
+    k = fx.fb_laps(spark, d).select("RaceId").distinct()
+    return k.select("RaceId", parse_session_key("RaceId").alias("p")).select("RaceId", "p.year", "p.round")
+
+
+@query("rows_per_season")
+def q_rows_per_season(spark, d):
+    """Rows per season."""
+    return count_by(fx.fb_laps(spark, d), ["Year"], name="laps")
+
+
+@query("rows_per_event")
+def q_rows_per_event(spark, d):
+    """A11 + T8: rows per (season, event), first 20 by the keys."""
+    return count_by(fx.fb_laps(spark, d), ["Year", "EventName"], 20, name="laps")
+
+
+@query("null_fraction")
+def q_null_fraction(spark, d):
+    """Top 10 columns by share of nulls."""
+    return null_fraction(fx.fb_laps(spark, d), 10).select("column", r6("null_fraction").alias("null_fraction"))
+
+
+def fb_sc(spark, d):
+    ok = F.col("l_orderkey")
+    t = F.when(ok % 13 != 0, (ok % 1000).cast("string"))
+    return fx.fb_laps(spark, d).withColumn("TrackStatus", t).withColumn("SC", contains_flag("TrackStatus", "4"))
+
+
+@query("sc_flag")
+def q_sc_flag(spark, d):
+    """SC = status string contains '4' (null counts as 0)."""
+    return fb_sc(spark, d).select("l_orderkey", "l_linenumber", "TrackStatus", "SC")
+
+
+@query("value_share")
+def q_value_share(spark, d):
+    """Normalized value counts of the SC flag."""
+    return value_share(fb_sc(spark, d), "SC").select("SC", "n", r6("share").alias("share"))
+
+
+@query("shape")
+def q_shape(spark, d):
+    """Rows and columns."""
+    return shape(fx.fb_laps(spark, d))
+
+
+@query("preview")
+def q_preview(spark, d):
+    """A14 + T8: first 3 rows in key order."""
+    cols = ["l_orderkey", "l_linenumber", "SpeedST", "RaceId"]
+    return preview(fx.fb_laps(spark, d).select(*cols), cols, 3)
+
+
+# ------------------------------------------------------- sessions (F-D, F-A)
+@query("pending_sessions")
+def q_pending_sessions(spark, d):
+    """S9 + J8: past events x {Q, R} not yet in the catalog."""
+    return pending_sessions(fx.fd_schedule(spark, d), fx.fd_catalog(spark, d), "1998-06-01")
+
+
+@query("session_key")
+def q_session_key(spark, d):
+    """P14 + P15: normalized event names in the session key format."""
+    s = fx.fd_schedule(spark, d)
+    return s.select("year", "round", session_key("year", "round", normalize_name("event_name"), F.lit("R"))
+                    .alias("session_key"))
