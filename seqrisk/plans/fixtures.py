@@ -168,3 +168,48 @@ def fd_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = fd_schedule(spark, sf_dir)
     return (s.where(F.col("round") % 3 != 0)
             .select("year", "round", F.lit("R").alias("session_type")))
+
+
+# ------------------------------------------- F-M: motorsport-shaped, from events
+# Raw session tables with the reference's column names, derived from F-A:
+# races are users, the event name cycles through the track table's keys.
+def _race_key(race) -> "F.Column":
+    from seqrisk.config import TRACKS
+    names = F.array(*[F.lit(t[0]) for t in TRACKS])
+    track = F.element_at(names, (race % len(TRACKS) + 1).cast("int"))
+    return F.format_string("%d_%02d_%s_R", (race % 5 + 2020).cast("int"), (race % 24 + 1).cast("int"), track), track
+
+
+@view
+def fm_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = fa_laps(spark, sf_dir)
+    key, track = _race_key(F.col("race"))
+    eid = F.col("event_id")
+    k = F.get_json_object("props", "$.k").cast("double")
+    return a.select(
+        key.alias("RaceId"), F.col("driver").alias("Driver"), F.col("lap").alias("LapNumber"),
+        F.col("start").alias("LapStartTime"), F.col("lap_time_s").alias("LapTime"),
+        F.when(eid % 7 == 0, "Q").otherwise("R").alias("SessionType"), (eid % 10 != 0).alias("IsAccurate"),
+        track.alias("EventName"), F.when(eid % 4 != 0, k).alias("TyreLife"),
+        (F.col("lap_time_s") * 10).alias("SpeedST"), (F.col("lap") % 20 + 1).alias("Position"),
+        F.element_at(F.array(F.lit("SOFT"), F.lit("MEDIUM"), F.lit("HARD")), (eid % 3 + 1).cast("int")).alias("Compound"),
+        F.concat(F.lit("Team"), F.col("driver")).alias("Team"), (F.col("lap") % 5 == 1).alias("FreshTyre"),
+        (F.floor(F.col("lap") / 10) + 1).alias("Stint"), "event_id")
+
+
+@view
+def fm_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = fa_status(spark, sf_dir)
+    key, _ = _race_key(F.col("race"))
+    return s.select(key.alias("RaceId"), F.col("time").alias("Time"), F.col("status").alias("Status"))
+
+
+@view
+def fm_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = fa_weather(spark, sf_dir)
+    key, _ = _race_key(F.col("race"))
+    eid = F.col("event_id")
+    return w.select(key.alias("RaceId"), F.col("time").alias("Time"), F.col("air_temp").alias("AirTemp"),
+                    F.col("humidity").alias("Humidity"), F.when(eid % 9 == 0, 1.0).otherwise(0.0).alias("Rainfall"),
+                    (F.col("air_temp") + 10).alias("TrackTemp"), (eid % 30).cast("double").alias("WindSpeed"),
+                    F.lit(1013.0).alias("Pressure"), (eid % 360).cast("double").alias("WindDirection"))

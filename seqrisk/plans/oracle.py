@@ -524,3 +524,20 @@ WHERE s.event_date < DATE '1998-06-01'
 ORACLE["session_key"] = with_(FD) + """
 SELECT year, round, printf('%d_%02d_%s_%s', year, round, replace(event_name, ' ', '_'), 'R') AS session_key
 FROM fd_schedule"""
+
+ORACLE["multi_file_scan"] = with_(FA_LAPS) + """
+SELECT event_id, race, driver, lap, round(lap_time_s, 6) AS lap_time_s FROM fa_laps"""
+
+ORACLE["tagged_union"] = with_(FA_LAPS) + """
+SELECT event_id, race, driver, lap, round(CASE WHEN driver = 'purchase' THEN NULL ELSE lap_time_s END, 6) AS lap_time_s,
+       2024 AS Year, CASE driver WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS Round,
+       'Event ' || driver AS EventName, 'R' AS SessionType
+FROM fa_laps"""
+
+ORACLE["stream_scores"] = ORACLE["score_requests"]
+
+ORACLE["season_job"] = with_(FB_LAPS, FB_SC) + """
+SELECT l_orderkey, l_linenumber, Year AS Season, EventName, SC FROM fb_sc"""
+
+ORACLE["profile_report"] = with_(FB_LAPS) + """
+SELECT Year AS Season, EventName, count(*) AS rows FROM fb_laps GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 20"""

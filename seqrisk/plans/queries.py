@@ -12,13 +12,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seqrisk.config import INTERACTIONS, FeatureRoles, Roles
 from seqrisk.functions.expr import (bool_to_int, contains_flag, decide, epoch_micros, normalize_name,
                                     parse_session_key, session_key)
 from seqrisk.operators.reports import (count_by, lap_risk, null_fraction, preview, race_list, race_rows,
                                        race_summary, shape, value_share)
-from seqrisk.sources.files import pending_sessions
+from seqrisk.plans.jobs import profile_report, race_report, season_job, train_job, transform_job
+from seqrisk.plans.scratch import scratch_dir
+from seqrisk.sources.files import (pending_sessions, read_sessions, tag_session, union_by_name,
+                                   write_sessions)
+from seqrisk.streaming.requests import score_stream
 from seqrisk.operators.enrich import (add_seconds_columns, add_track, clean, fill_constant,
                                      fill_group_median, valid_laps)
 from seqrisk.operators.features import (add_interactions, category_vocab, feature_inputs,
@@ -547,3 +552,113 @@ def q_session_key(spark, d):
     s = fx.fd_schedule(spark, d)
     return s.select("year", "round", session_key("year", "round", normalize_name("event_name"), F.lit("R"))
                     .alias("session_key"))
+
+
+# --------------------------------------------------------- sources and sinks
+@query("multi_file_scan")
+def q_multi_file_scan(spark, d):
+    """F-A laps written one directory per race (S5/S6 layout), read
+    back with the race key from the directory names; status written as
+    session files whose schemas drift (value as BIGINT for even races,
+    DOUBLE for odd ones) and read per schema, cast to a contract, unioned."""
+    root = scratch_dir(spark, "sessions")
+    laps = fx.fa_laps(spark, d).select("race", "event_id", "driver", "lap", "lap_time_s")
+    write_sessions(laps, root, "laps", ["race"])
+    back = read_sessions(spark, root, "laps")
+    return back.select("event_id", F.col("race").cast("long").alias("race"), "driver", "lap",
+                       r6("lap_time_s").alias("lap_time_s"))
+
+
+@query("tagged_union")
+def q_tagged_union(spark, d):
+    """S6 + S7 + U1: per-driver frames tagged with session columns (one of
+    them without lap_time_s and with lap as BIGINT), unioned by name under a
+    contract; missing columns become null."""
+    laps = fx.fa_laps(spark, d)
+    frames = []
+    for i, drv in enumerate(["view", "click", "purchase"]):
+        f = laps.where(F.col("driver") == drv).select("event_id", "race", "driver", "lap", "lap_time_s")
+        if drv == "purchase":
+            f = f.drop("lap_time_s").withColumn("lap", F.col("lap").cast("long"))
+        frames.append(tag_session(f, 2024, i + 1, f"Event {drv}", "R"))
+    contract = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("race", T.LongType()),
+                             T.StructField("driver", T.StringType()), T.StructField("lap", T.IntegerType()),
+                             T.StructField("lap_time_s", T.DoubleType())])
+    u = union_by_name(frames, contract)
+    return u.select("event_id", "race", "driver", "lap", r6("lap_time_s").alias("lap_time_s"), "Year", "Round",
+                    "EventName", "SessionType")
+
+
+@query("stream_scores")
+def q_stream_scores(spark, d):
+    """M7 on Structured Streaming: the F-A requests land as files, a
+    streaming query scores them into a Parquet sink (availableNow), and the
+    sink is read back. Same rows as ``score_requests``."""
+    src = scratch_dir(spark, "requests")
+    reqs = fx.fa_requests(spark, d)
+    reqs.write.mode("overwrite").parquet(src)
+    out, ck = scratch_dir(spark, "scored"), scratch_dir(spark, "scored-ckpt")
+    q = score_stream(spark, src, reqs.schema, linear_scorer(REQ_COEFS, -3.0), out, ck, 0.5, keep=["event_id"])
+    q.awaitTermination()
+    r = spark.read.parquet(out)
+    return r.where(F.col("error").isNull()).select(
+        "event_id", "race_id", "lap", "year", "track", r6("probability").alias("probability"), "threshold",
+        "will_deploy_sc")
+
+
+# ------------------------------------------------------ end-to-end jobs (F-M)
+_JOBS: dict = {}
+
+
+def fm_transform(spark, d) -> dict:
+    """X1 outputs on F-M, built once per session (its stages are checkpointed)."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _JOBS:
+        _JOBS[key] = transform_job(spark, fx.fm_laps(spark, d), fx.fm_status(spark, d), fx.fm_weather(spark, d))
+    return _JOBS[key]
+
+
+@query("transform_job")
+def q_transform_job(spark, d):
+    """X1 on the motorsport-shaped fixture: merged, cleaned, labeled rows
+    with the train / test / holdout part of each. Rows-only check."""
+    out = fm_transform(spark, d)
+    parts = None
+    for name in ("train", "test", "holdout"):
+        k = out[name].select("RaceId").distinct().withColumn("part", F.lit(name))
+        parts = k if parts is None else parts.unionByName(k)
+    return out["full"].join(parts, "RaceId", "left").select(
+        "event_id", "RaceId", "Driver", "LapNumber", "SafetyCar", "YellowFlag", "RedFlag", "VirtualSafetyCar",
+        "AirTemp", "TrackId", "TrackLength", "Corners", "sc_next_lap", "Year", "part")
+
+
+@query("train_job")
+def q_train_job(spark, d):
+    """Small GBT trained on the X1 train part, metrics for test and
+    holdout, gate. Rows-only check."""
+    out = fm_transform(spark, d)
+    job = train_job(spark, out["train"], out["test"], out["holdout"], FeatureRoles(),
+                    params={"maxIter": 5, "maxDepth": 3}, folds=0)
+    return job["metrics"]
+
+
+@query("race_report")
+def q_race_report(spark, d):
+    """Lap risk of the newest race under a small trained model."""
+    out = fm_transform(spark, d)
+    model, fp = train_classifier(out["train"], "sc_next_lap", FeatureRoles(), {"maxIter": 3, "maxDepth": 3})
+    return race_report(spark, out["full"], model, fp)["lap_risk"]
+
+
+@query("season_job")
+def q_season_job(spark, d):
+    """SC flag from the status string plus season tag, F-B."""
+    s = season_job(fb_sc(spark, d).drop("SC"), None, "TrackStatus", "Year")
+    return s.select("l_orderkey", "l_linenumber", "Season", "EventName", "SC")
+
+
+@query("profile_report")
+def q_profile_report(spark, d):
+    """X4 over the season build: laps per (season, event), first 20."""
+    s = season_job(fb_sc(spark, d).drop("SC"), None, "TrackStatus", "Year")
+    return profile_report(s)["per_event"]

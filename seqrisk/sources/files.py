@@ -92,8 +92,11 @@ def read_sessions(spark: SparkSession, root: str, kind: str = "laps") -> DataFra
 def write_sessions(df: DataFrame, root: str, kind: str = "laps",
                    partition_cols: Sequence[str] = ("RaceId",)) -> None:
     """Overwrite ``<root>/<kind>`` partitioned by the session key,
-    one directory per session."""
-    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{root}/{kind}")
+    one directory per session. The REBALANCE hint clusters rows by session
+    (few files per directory) and lets AQE split a hot session over several
+    tasks instead of one."""
+    df.hint("rebalance", *partition_cols).write.mode("overwrite") \
+        .partitionBy(*partition_cols).parquet(f"{root}/{kind}")
 
 
 def save_dataframe(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
