@@ -105,14 +105,18 @@ def global_rank(df: DataFrame, cols: Sequence, seed, name: str = "rank",
 
 
 def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
-                  n_buckets: int = 16, accuracy: int = 1000) -> DataFrame:
-    """Exact (interpolated) median of each value column per group, nulls
-    ignored; a group with no value gets null. One row per group holding at
-    least one non-null value, columns ``group_cols + value_cols``.
-
-    Works on distinct (group, column, value) counts, splits each group's
-    values into ranges with an approximate quantile sketch, and sorts only the
-    range(s) holding the middle rank, so no task sees a whole hot group.
+                  n_buckets: int = 16, accuracy: int = 1000,
+                  max_group_values: int = 1_000_000) -> DataFrame:
+    """Exact (interpolated) median of each value column per group, nulls and
+    NaN ignored. One row per group holding at least one value, columns
+    ``group_cols + value_cols``.
+
+    Works on distinct (group, column, value) counts. One small job measures
+    the widest group in *distinct values*; up to ``max_group_values`` a
+    window over (group, column) ranks them (bounded work per task). Past it,
+    each group's values are split into ranges by an approximate quantile
+    sketch and only the range(s) holding the middle rank are sorted, so no
+    task sees a whole hot group.
     """
     g = list(group_cols)
     longs = [F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in value_cols]
@@ -121,23 +125,31 @@ def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
     long = long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     gk = g + ["__k"]
     vc = long.groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    k1 = F.floor((F.col("__n") + 1) / 2)
+    k2 = F.floor(F.col("__n") / 2) + 1
+
+    def med(c):
+        is_c = F.col("__k") == F.lit(c)
+        lo_v = F.min(F.when(is_c & (F.col("__cum") >= k1), F.col("__v")))
+        hi_v = F.min(F.when(is_c & (F.col("__cum") >= k2), F.col("__v")))
+        return ((lo_v + hi_v) / 2).alias(c)
 
-    if n_buckets > 1:
-        ps = [i / n_buckets for i in range(1, n_buckets)]
-        stats = vc.groupBy(*gk).agg(F.sum("__c").alias("__n"),
-                                    F.percentile_approx("__v", ps, accuracy).alias("__e"))
-        vb = (vc.join(stats, gk)
-              .withColumn("__b", F.size(F.filter("__e", lambda e: e < F.col("__v")))))
-    else:
-        stats = vc.groupBy(*gk).agg(F.sum("__c").alias("__n"))
-        vb = vc.join(stats, gk).withColumn("__b", F.lit(0))
+    widest = vc.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
+    if widest <= max_group_values or n_buckets <= 1:
+        w_all = W.partitionBy(*gk)
+        w_run = W.partitionBy(*gk).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
+        tv = vc.withColumn("__n", F.sum("__c").over(w_all)).withColumn("__cum", F.sum("__c").over(w_run))
+        return tv.groupBy(*g).agg(*[med(c) for c in value_cols])
 
+    ps = [i / n_buckets for i in range(1, n_buckets)]
+    stats = vc.groupBy(*gk).agg(F.sum("__c").alias("__n"),
+                                F.percentile_approx("__v", ps, accuracy).alias("__e"))
+    vb = (vc.join(stats, gk)
+          .withColumn("__b", F.size(F.filter("__e", lambda e: e < F.col("__v")))))
     # The bucketed value counts feed both the bucket totals and the final
     # ranking: checkpoint them once (distinct values, not rows) so neither the
     # input nor the counting is planned or run twice.
     vb = cut_lineage(vb)
-    k1 = F.floor((F.col("__n") + 1) / 2)
-    k2 = F.floor(F.col("__n") / 2) + 1
     bt = vb.groupBy(*gk, "__b").agg(F.sum("__c").alias("__bc"), F.first("__n").alias("__n"))
     wb = W.partitionBy(*gk).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
     bt = bt.withColumn("__before", F.coalesce(F.sum("__bc").over(wb), F.lit(0)))
@@ -147,9 +159,4 @@ def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
     tv = vb.join(target, gk + ["__b"])
     wv = W.partitionBy(*gk, "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
     tv = tv.withColumn("__cum", F.col("__before") + F.sum("__c").over(wv))
-    def med(c):
-        is_c = F.col("__k") == F.lit(c)
-        lo_v = F.min(F.when(is_c & (F.col("__cum") >= k1), F.col("__v")))
-        hi_v = F.min(F.when(is_c & (F.col("__cum") >= k2), F.col("__v")))
-        return ((lo_v + hi_v) / 2).alias(c)
     return tv.groupBy(*g).agg(*[med(c) for c in value_cols])

@@ -34,8 +34,14 @@ def view(fn):
     return wrapper
 
 
-def clear_views() -> None:
-    _VIEWS.clear()
+BASE_VIEWS = ("fa_laps", "fa_status", "fa_weather", "fa_requests", "fb_laps", "fc_scores")
+
+
+def clear_views(keep: tuple = ()) -> None:
+    """Forget derived views (all, or all but ``keep`` by builder name)."""
+    for k in list(_VIEWS):
+        if k[2] not in keep:
+            del _VIEWS[k]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

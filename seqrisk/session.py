@@ -58,9 +58,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint dir (survives executor
-    loss, unlike a local checkpoint)."""
+    loss, unlike a local checkpoint). The frame is persisted while the
+    checkpoint is written, so it is computed once, not twice."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -18,8 +18,9 @@ def test_exact_medians_match_python(spark):
                          float(rng.randint(0, 3))))
     rows += [("allnull", None, 1.0)]
     df = spark.createDataFrame(rows, "g string, a double, b double")
-    for nb in (1, 4, 16):
-        got = {r.g: (r.a, r.b) for r in exact_medians(df, ["g"], ["a", "b"], n_buckets=nb).collect()}
+    for nb, cap in ((1, 10**6), (4, 0), (16, 0), (16, 10**6)):
+        got = {r.g: (r.a, r.b) for r in
+               exact_medians(df, ["g"], ["a", "b"], n_buckets=nb, max_group_values=cap).collect()}
         for g in {r[0] for r in rows}:
             va = [r[1] for r in rows if r[0] == g and r[1] is not None]
             vb = [r[2] for r in rows if r[0] == g]
@@ -27,8 +28,9 @@ def test_exact_medians_match_python(spark):
             ga = got.get(g, (None, None))[0]
             assert (ga is None and ea is None) or abs(ga - ea) < 1e-12
             assert abs(got[g][1] - statistics.median(vb)) < 1e-12
-    glob = exact_medians(df, [], ["a"]).first()["a"]
-    assert abs(glob - statistics.median([r[1] for r in rows if r[1] is not None])) < 1e-12
+    for cap in (0, 10**6):
+        glob = exact_medians(df, [], ["a"], max_group_values=cap).first()["a"]
+        assert abs(glob - statistics.median([r[1] for r in rows if r[1] is not None])) < 1e-12
 
 
 def test_running_sums_and_rank(spark):
