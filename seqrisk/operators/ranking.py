@@ -112,7 +112,8 @@ def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
     ``group_cols + value_cols``.
 
     Works on distinct (group, column, value) counts. One small job measures
-    the widest group in *distinct values*; up to ``max_group_values`` a
+    the widest group (its row count bounds its distinct values); up to
+    ``max_group_values`` a
     window over (group, column) ranks them (bounded work per task). Past it,
     each group's values are split into ranges by an approximate quantile
     sketch and only the range(s) holding the middle rank are sorted, so no
@@ -134,7 +135,9 @@ def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
         hi_v = F.min(F.when(is_c & (F.col("__cum") >= k2), F.col("__v")))
         return ((lo_v + hi_v) / 2).alias(c)
 
-    widest = vc.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
+    # Rows per group bound its distinct values: one cheap pass (partial
+    # aggregation, one row per group shuffled) decides the plan.
+    widest = (df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0) if g else df.count()
     if widest <= max_group_values or n_buckets <= 1:
         w_all = W.partitionBy(*gk)
         w_run = W.partitionBy(*gk).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
