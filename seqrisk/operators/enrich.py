@@ -34,6 +34,9 @@ def only_session(df: DataFrame, session_type: str = "SessionType", value: str =
     return df.where(F.col(session_type) == value)
 
 
+MAX_DIM_ROWS = 100_000
+
+
 def lookup_contains(df: DataFrame, key: str, dim, attrs: Sequence[str] | None = None,
                     defaults: dict | None = None) -> DataFrame:
     """Case-insensitive *contains* lookup: a row matches every dimension
@@ -58,7 +61,11 @@ def lookup_contains(df: DataFrame, key: str, dim, attrs: Sequence[str] | None =
                     F.when(cond, F.lit(row[i + 1])).otherwise(expr)
             out[a] = expr
         return _apply_lookup(df, out, defaults)
-    # DataFrame dimension: theta-join only the distinct keys against it.
+    # DataFrame dimension: theta-join only the distinct keys against it. The
+    # dimension is broadcast, so its size is checked first.
+    n_dim = dim.limit(MAX_DIM_ROWS + 1).count()
+    if n_dim > MAX_DIM_ROWS:
+        raise ValueError(f"contains-lookup dimension has more than {MAX_DIM_ROWS} rows")
     dcols = dim.columns
     dkey, attrs = dcols[0], list(attrs or [c for c in dcols if c not in (dcols[0], "ord")])
     keys = df.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()

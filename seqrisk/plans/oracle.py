@@ -541,3 +541,11 @@ SELECT l_orderkey, l_linenumber, Year AS Season, EventName, SC FROM fb_sc"""
 
 ORACLE["profile_report"] = with_(FB_LAPS) + """
 SELECT Year AS Season, EventName, count(*) AS rows FROM fb_laps GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 20"""
+
+ORACLE["api_requests"] = with_(FA_LAPS, FA_REQ) + """
+SELECT event_id, lap_i AS lap,
+       round(1.0 / (1.0 + exp(-(-3.0 + 0.01 * coalesce(CAST(tyre AS INTEGER), 10) + 0.001 * 300.0 + 0.1 * 5.412
+                                + 0.01 * 15))), 6) AS probability,
+       1.0 / (1.0 + exp(-(-3.0 + 0.01 * coalesce(CAST(tyre AS INTEGER), 10) + 0.001 * 300.0 + 0.1 * 5.412
+                          + 0.01 * 15))) >= 0.5 AS will_deploy_sc
+FROM fa_v WHERE NOT missing AND lap_i IS NOT NULL"""

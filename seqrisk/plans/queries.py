@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqrisk.config import INTERACTIONS, FeatureRoles, Roles
+from seqrisk.config import API_DEFAULTS, INTERACTIONS, FeatureRoles, Roles
 from seqrisk.functions.expr import (bool_to_int, contains_flag, decide, epoch_micros, normalize_name,
                                     parse_session_key, session_key)
 from seqrisk.operators.reports import (count_by, lap_risk, null_fraction, preview, race_list, race_rows,
@@ -662,3 +662,17 @@ def q_profile_report(spark, d):
     """X4 over the season build: laps per (season, event), first 20."""
     s = season_job(fb_sc(spark, d).drop("SC"), None, "TrackStatus", "Year")
     return profile_report(s)["per_event"]
+
+
+API_COEFS = {"TyreLife": 0.01, "SpeedST": 0.001, "TrackLength": 0.1, "Corners": 0.01}
+
+
+@query("api_requests")
+def q_api_requests(spark, d):
+    """P17 + P18 + P19: the service defaults profile (TrackLength 5.412,
+    SpeedST 300, ...), fixed scorer over the fields that profile provides,
+    threshold 0.5."""
+    r = score_requests(fx.fa_requests(spark, d), linear_scorer(API_COEFS, -3.0), 0.5, defaults=API_DEFAULTS,
+                       keep=["event_id"])
+    return r.where(F.col("error").isNull()).select("event_id", "lap", r6("probability").alias("probability"),
+                                                   "will_deploy_sc")
