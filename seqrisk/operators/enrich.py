@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from seqrisk.config import (BOOLEAN_FILL_COLUMNS, CATEGORY_FILL_COLUMNS, DURATION_COLUMNS,
                             TRACK_DEFAULTS, TRACK_MEDIAN_COLUMNS, TRACKS, Roles)
 from seqrisk.functions.expr import first_token, seconds
-from seqrisk.operators.ranking import exact_medians
+from seqrisk.operators.ranking import exact_medians, medians_of_long, to_long
+from seqrisk.session import cut_lineage
 
 
 def valid_laps(df: DataFrame, session_type: str = "SessionType", lap_time: str = "LapTime",
@@ -101,14 +102,16 @@ def fill_constant(df: DataFrame, value, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(value)) for c in present}) if present else df
 
 
-def fill_group_median(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:
+def fill_group_median(df: DataFrame, cols: Sequence[str], group: str, med: DataFrame | None = None
+                      ) -> DataFrame:
     """A1: nulls (and NaN) get the exact median of the same group, computed
     over the frame's rows; a group without values stays null; rows with a
-    null group key are left alone."""
+    null group key are left alone. The per-group medians (one row per group)
+    are joined back; AQE broadcasts them when small."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    med = exact_medians(df, [group], cols)
+    med = exact_medians(df, [group], cols) if med is None else med
     med = med.select(F.col(group).alias("__g"), *[F.col(c).alias(f"__m_{c}") for c in cols])
     j = df.join(med, F.col(group) == F.col("__g"), "left")
     filled = j.withColumns({c: F.coalesce(_nn(df, c), F.col(f"__m_{c}").cast(df.schema[c].dataType))
@@ -117,14 +120,27 @@ def fill_group_median(df: DataFrame, cols: Sequence[str], group: str) -> DataFra
 
 
 def fill_group_then_global_median(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:
-    """A2: group median first, then the global median *of the filled column*
-    (a second pass); an all-null column stays null."""
+    """A2: group median first, then the global median *of the filled column*;
+    an all-null column stays null.
+
+    The filled column's values are the original values plus, per group, its
+    null count times its median, so the global median is computed from those
+    weighted values: the group-filled rows are never materialized or
+    recomputed."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    g1 = fill_group_median(df, cols, group)
-    # One scalar subquery carrying every global median (one evaluation).
-    glob = exact_medians(g1, [], cols).select(F.struct(*cols).alias("m")).scalar()
+    med = cut_lineage(exact_medians(df, [group], cols))          # one row per group
+    nulls = df.where(F.col(group).isNotNull()).groupBy(group).agg(
+        *[F.sum(F.when(_nn(df, c).isNull(), 1).otherwise(0)).alias(f"__z_{c}") for c in cols])
+    fills = nulls.join(med, group).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"), F.col(f"__z_{c}").cast("long").alias("w"))
+        for c in cols])).alias("s")).select(F.col("s.k").alias("__k"), F.col("s.v").alias("__v"),
+                                            F.col("s.w").alias("__w"))
+    fills = fills.where(F.col("__v").isNotNull() & (F.col("__w") > 0))
+    glob = medians_of_long(to_long(df, [], cols).unionByName(fills), [], cols)
+    glob = glob.select(F.struct(*cols).alias("m")).scalar()     # one scalar subquery, every column
+    g1 = fill_group_median(df, cols, group, med)
     return g1.withColumns({c: F.coalesce(F.col(c), glob.getField(c).cast(df.schema[c].dataType))
                            for c in cols})
 

@@ -120,12 +120,27 @@ def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
     task sees a whole hot group.
     """
     g = list(group_cols)
+    return medians_of_long(to_long(df, g, value_cols), g, value_cols, n_buckets, accuracy, max_group_values)
+
+
+def to_long(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
+    """(group..., __k = column name, __v = value as double, __w = 1) for every
+    non-null, non-NaN value."""
+    g = list(group_cols)
     longs = [F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in value_cols]
     long = (df.select(*g, F.explode(F.array(*longs)).alias("__kv"))
-            .select(*g, F.col("__kv.k").alias("__k"), F.col("__kv.v").alias("__v")))
-    long = long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+            .select(*g, F.col("__kv.k").alias("__k"), F.col("__kv.v").alias("__v"), F.lit(1).cast("long").alias("__w")))
+    return long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+
+
+def medians_of_long(long: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
+                    n_buckets: int = 16, accuracy: int = 1000,
+                    max_group_values: int = 1_000_000) -> DataFrame:
+    """Weighted exact medians over a long (group..., __k, __v, __w) frame:
+    each row stands for ``__w`` copies of its value."""
+    g = list(group_cols)
     gk = g + ["__k"]
-    vc = long.groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    vc = long.groupBy(*gk, "__v").agg(F.sum("__w").alias("__c"))
     k1 = F.floor((F.col("__n") + 1) / 2)
     k2 = F.floor(F.col("__n") / 2) + 1
 
@@ -137,7 +152,7 @@ def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
 
     # Rows per group bound its distinct values: one cheap pass (partial
     # aggregation, one row per group shuffled) decides the plan.
-    widest = (df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0) if g else df.count()
+    widest = long.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
     if widest <= max_group_values or n_buckets <= 1:
         w_all = W.partitionBy(*gk)
         w_run = W.partitionBy(*gk).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
