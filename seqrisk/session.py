@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # pandas-written nanosecond timestamps / timedeltas read as BIGINT ns
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
 

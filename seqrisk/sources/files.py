@@ -42,13 +42,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _to_contract(d: DataFrame, f: T.StructField):
+    """A column cast to the contract type. Timestamps written by pandas arrive
+    as BIGINT nanoseconds (``nanosAsLong``) and are converted, not cast."""
+    src = d.schema[f.name].dataType
+    c = F.col(f.name)
+    if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) and isinstance(src, T.LongType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        c = F.timestamp_add("MICROSECOND", F.floor(c / 1000), epoch)     # time-zone free
+        return c.cast(f.dataType).alias(f.name)
+    return c.cast(f.dataType).alias(f.name)
+
+
 def union_by_name(dfs: Iterable[DataFrame], contract: T.StructType | None = None) -> DataFrame:
     """Bag union by column name, missing columns null; with a contract,
     every input is first cast to the contract's types."""
     out = None
     for d in dfs:
         if contract is not None:
-            d = d.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in d.columns
+            d = d.select(*[_to_contract(d, f) if f.name in d.columns
                            else F.lit(None).cast(f.dataType).alias(f.name) for f in contract.fields],
                          *[c for c in d.columns if c not in contract.fieldNames()])
         out = d if out is None else out.unionByName(d, allowMissingColumns=True)
@@ -61,6 +73,9 @@ def read_session_files(spark: SparkSession, root: str, kind: str = "laps", key:
     ``root``, unioned by name, ``key`` := file name without ``_<kind>.parquet``.
     Unreadable files are skipped. No file: an error when required, else an
     empty frame with the contract's schema (plus ``key``)."""
+    # Nanosecond timestamps / durations written by pandas are read as BIGINT
+    # nanoseconds (instead of failing); the contract converts timestamps.
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     files = list_files(spark, root, f"*_{kind}.parquet")
     if not files:
         if required:

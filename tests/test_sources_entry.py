@@ -54,3 +54,27 @@ def test_entry_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) <= {"gbt_scores", "cv_auc", "transform_job", "train_job", "race_report"}
+
+
+def test_pandas_written_sessions_with_drift(spark, tmp_path):
+    from pyspark.sql import types as T
+    from seqrisk.functions.expr import seconds
+    d = tmp_path / "raw2"
+    d.mkdir()
+    pd.DataFrame({"LapNumber": [1, 2], "LapTime": pd.to_timedelta([90.5, 91], unit="s"),
+                  "LapStartTime": pd.to_datetime(["2023-03-05 15:10:00", "2023-03-05 15:11:30"])}) \
+        .to_parquet(d / "2023_01_A_R_laps.parquet")
+    pd.DataFrame({"LapNumber": [1.0], "LapTime": pd.to_timedelta([88.25], unit="s"),
+                  "LapStartTime": pd.to_datetime(["2023-04-01 12:00:00.5"])}) \
+        .to_parquet(d / "2023_02_B_R_laps.parquet")
+    contract = T.StructType([T.StructField("LapNumber", T.IntegerType()),
+                             T.StructField("LapTime", T.LongType()),
+                             T.StructField("LapStartTime", T.TimestampNTZType())])
+    df = read_session_files(spark, str(d), "laps", contract=contract)
+    rows = sorted(df.select("RaceId", "LapNumber", seconds("LapTime", T.LongType()).alias("s"),
+                            "LapStartTime").collect())
+    import datetime as dt
+    assert [(r.RaceId, r.LapNumber, r.s) for r in rows] == [
+        ("2023_01_A_R", 1, 90.5), ("2023_01_A_R", 2, 91.0), ("2023_02_B_R", 1, 88.25)]
+    assert rows[0].LapStartTime == dt.datetime(2023, 3, 5, 15, 10)
+    assert rows[2].LapStartTime == dt.datetime(2023, 4, 1, 12, 0, 0, 500000)
