@@ -111,13 +111,12 @@ def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence
     NaN ignored. One row per group holding at least one value, columns
     ``group_cols + value_cols``.
 
-    Works on distinct (group, column, value) counts. One small job measures
-    the widest group (its row count bounds its distinct values); up to
-    ``max_group_values`` a
-    window over (group, column) ranks them (bounded work per task). Past it,
-    each group's values are split into ranges by an approximate quantile
-    sketch and only the range(s) holding the middle rank are sorted, so no
-    task sees a whole hot group.
+    One small job measures the widest (group, column) in rows, which bounds
+    its distinct values. Up to ``max_group_values`` Spark's exact percentile
+    aggregate is used: its per-group value map is then bounded. Past it, the
+    distinct (group, column, value) counts of each group are split into
+    ranges by an approximate quantile sketch and only the range(s) holding
+    the middle rank are sorted, so no task holds a whole hot group.
     """
     g = list(group_cols)
     return medians_of_long(to_long(df, g, value_cols), g, value_cols, n_buckets, accuracy, max_group_values)
@@ -154,10 +153,12 @@ def medians_of_long(long: DataFrame, group_cols: Sequence[str], value_cols: Sequ
     # aggregation, one row per group shuffled) decides the plan.
     widest = long.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
     if widest <= max_group_values or n_buckets <= 1:
-        w_all = W.partitionBy(*gk)
-        w_run = W.partitionBy(*gk).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
-        tv = vc.withColumn("__n", F.sum("__c").over(w_all)).withColumn("__cum", F.sum("__c").over(w_run))
-        return tv.groupBy(*g).agg(*[med(c) for c in value_cols])
+        # Checked bound: no (group, column) holds more than max_group_values
+        # values, so Spark's exact percentile (an in-memory value -> count
+        # map per group, merged from map-side partial aggregates) is safe.
+        return long.groupBy(*g).agg(*[
+            F.percentile(F.when(F.col("__k") == F.lit(c), F.col("__v")), F.lit(0.5), F.col("__w")).alias(c)
+            for c in value_cols])
 
     ps = [i / n_buckets for i in range(1, n_buckets)]
     stats = vc.groupBy(*gk).agg(F.sum("__c").alias("__n"),
