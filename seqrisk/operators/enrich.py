@@ -35,7 +35,7 @@ def only_session(df: DataFrame, session_type: str = "SessionType", value: str =
     return df.where(F.col(session_type) == value)
 
 
-MAX_DIM_ROWS = 100_000
+MAX_DIM_ROWS = 10_000     # the theta join costs (distinct keys) x (dimension rows)
 
 
 def lookup_contains(df: DataFrame, key: str, dim, attrs: Sequence[str] | None = None,
