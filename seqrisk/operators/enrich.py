@@ -126,21 +126,23 @@ def fill_group_then_global_median(df: DataFrame, cols: Sequence[str], group: str
     The filled column's values are the original values plus, per group, its
     null count times its median, so the global median is computed from those
     weighted values: the group-filled rows are never materialized or
-    recomputed."""
+    recomputed. One job sizes both steps; one aggregation gives the group
+    medians and null counts (written once, one row per group)."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    med = cut_lineage(exact_medians(df, [group], cols))          # one row per group
-    nulls = df.where(F.col(group).isNotNull()).groupBy(group).agg(
-        *[F.sum(F.when(_nn(df, c).isNull(), 1).otherwise(0)).alias(f"__z_{c}") for c in cols])
-    fills = nulls.join(med, group).select(F.explode(F.array(*[
+    sizes = df.groupBy(group).count().agg(F.max("count").alias("w"), F.sum("count").alias("n")).first()
+    widest, total = (sizes["w"] or 0), (sizes["n"] or 0)
+    nulls = [F.sum(F.when(_nn(df, c).isNull(), 1).otherwise(0)).alias(f"__z_{c}") for c in cols]
+    med = cut_lineage(exact_medians(df, [group], cols, widest=widest, extra_aggs=nulls))
+    fills = med.where(F.col(group).isNotNull()).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"), F.col(f"__z_{c}").cast("long").alias("w"))
         for c in cols])).alias("s")).select(F.col("s.k").alias("__k"), F.col("s.v").alias("__v"),
                                             F.col("s.w").alias("__w"))
     fills = fills.where(F.col("__v").isNotNull() & (F.col("__w") > 0))
-    glob = medians_of_long(to_long(df, [], cols).unionByName(fills), [], cols)
+    glob = medians_of_long(to_long(df, [], cols).unionByName(fills), [], cols, widest=total)
     glob = glob.select(F.struct(*cols).alias("m")).scalar()     # one scalar subquery, every column
-    g1 = fill_group_median(df, cols, group, med)
+    g1 = fill_group_median(df, cols, group, med.select(group, *cols))
     return g1.withColumns({c: F.coalesce(F.col(c), glob.getField(c).cast(df.schema[c].dataType))
                            for c in cols})
 

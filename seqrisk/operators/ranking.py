@@ -106,20 +106,40 @@ def global_rank(df: DataFrame, cols: Sequence, seed, name: str = "rank",
 
 def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
                   n_buckets: int = 16, accuracy: int = 1000,
-                  max_group_values: int = 1_000_000) -> DataFrame:
+                  max_group_values: int = 1_000_000, widest: int | None = None,
+                  extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """Exact (interpolated) median of each value column per group, nulls and
-    NaN ignored. One row per group holding at least one value, columns
-    ``group_cols + value_cols``.
-
-    One small job measures the widest (group, column) in rows, which bounds
-    its distinct values. Up to ``max_group_values`` Spark's exact percentile
-    aggregate is used: its per-group value map is then bounded. Past it, the
-    distinct (group, column, value) counts of each group are split into
-    ranges by an approximate quantile sketch and only the range(s) holding
-    the middle rank are sorted, so no task holds a whole hot group.
+    NaN ignored. Columns ``group_cols + value_cols`` (+ ``extra_aggs``,
+    further aggregates over the same groups); every group with a non-null
+    key and at least one value has a row (callers left-join the result).
+
+    One small job measures the largest group in rows (``widest``, unless the
+    caller knows it), which bounds its distinct values. Up to
+    ``max_group_values`` Spark's exact percentile aggregate runs on the wide
+    frame: its per-group value map is then bounded. Past it, the distinct
+    (group, column, value) counts of each group are split into ranges by an
+    approximate quantile sketch and only the range(s) holding the middle rank
+    are sorted, so no task holds a whole hot group.
     """
     g = list(group_cols)
-    return medians_of_long(to_long(df, g, value_cols), g, value_cols, n_buckets, accuracy, max_group_values)
+    if widest is None:
+        widest = (df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0) if g else df.count()
+    if widest <= max_group_values or n_buckets <= 1:
+        def val(c):
+            x = F.col(c).cast("double")
+            return F.when(~F.isnan(x), x)
+        return df.groupBy(*g).agg(*[F.percentile(val(c), F.lit(0.5)).alias(c) for c in value_cols],
+                                  *extra_aggs)
+    med = medians_of_long(to_long(df, g, value_cols), g, value_cols, n_buckets, accuracy, max_group_values,
+                          widest=widest)
+    if extra_aggs:
+        ex = df.groupBy(*g).agg(*extra_aggs)
+        if g:
+            med = ex.join(med, g, "left")
+        else:   # both sides are one row: the medians ride along as one scalar subquery
+            m = med.select(F.struct(*value_cols).alias("m")).scalar()
+            med = ex.withColumns({c: m.getField(c) for c in value_cols})
+    return med
 
 
 def to_long(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
@@ -134,9 +154,10 @@ def to_long(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str])
 
 def medians_of_long(long: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
                     n_buckets: int = 16, accuracy: int = 1000,
-                    max_group_values: int = 1_000_000) -> DataFrame:
+                    max_group_values: int = 1_000_000, widest: int | None = None) -> DataFrame:
     """Weighted exact medians over a long (group..., __k, __v, __w) frame:
-    each row stands for ``__w`` copies of its value."""
+    each row stands for ``__w`` copies of its value. ``widest`` bounds the
+    rows of any (group, column); measured when not given."""
     g = list(group_cols)
     gk = g + ["__k"]
     vc = long.groupBy(*gk, "__v").agg(F.sum("__w").alias("__c"))
@@ -151,7 +172,8 @@ def medians_of_long(long: DataFrame, group_cols: Sequence[str], value_cols: Sequ
 
     # Rows per group bound its distinct values: one cheap pass (partial
     # aggregation, one row per group shuffled) decides the plan.
-    widest = long.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
+    if widest is None:
+        widest = long.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
     if widest <= max_group_values or n_buckets <= 1:
         # Checked bound: no (group, column) holds more than max_group_values
         # values, so Spark's exact percentile (an in-memory value -> count
