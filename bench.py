@@ -40,6 +40,7 @@ def main() -> None:
         for i in range(warmup + runs):
             fx.clear_views(keep=fx.BASE_VIEWS)
             Q._JOBS.clear()
+            spark.catalog.clearCache()              # no cached frame survives into the next run
             t0 = time.perf_counter()
             Q.QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
             if i >= warmup:                         # warm runs only (JIT, caches of the JVM)
