@@ -11,7 +11,7 @@ from seqrisk.config import (BOOLEAN_FILL_COLUMNS, CATEGORY_FILL_COLUMNS, DURATIO
                             TRACK_DEFAULTS, TRACK_MEDIAN_COLUMNS, TRACKS, Roles)
 from seqrisk.functions.expr import first_token, seconds
 from seqrisk.operators.ranking import exact_medians, medians_of_long, to_long
-from seqrisk.session import cut_lineage
+from seqrisk.session import cut_lineage, materialize
 
 
 def valid_laps(df: DataFrame, session_type: str = "SessionType", lap_time: str = "LapTime",
@@ -134,7 +134,7 @@ def fill_group_then_global_median(df: DataFrame, cols: Sequence[str], group: str
     sizes = df.groupBy(group).count().agg(F.max("count").alias("w"), F.sum("count").alias("n")).first()
     widest, total = (sizes["w"] or 0), (sizes["n"] or 0)
     nulls = [F.sum(F.when(_nn(df, c).isNull(), 1).otherwise(0)).alias(f"__z_{c}") for c in cols]
-    med = cut_lineage(exact_medians(df, [group], cols, widest=widest, extra_aggs=nulls))
+    med = materialize(exact_medians(df, [group], cols, widest=widest, extra_aggs=nulls))
     fills = med.where(F.col(group).isNotNull()).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"), F.col(f"__z_{c}").cast("long").alias("w"))
         for c in cols])).alias("s")).select(F.col("s.k").alias("__k"), F.col("s.v").alias("__v"),
