@@ -86,6 +86,13 @@ def read_session_files(spark: SparkSession, root: str, kind: str = "laps", key:
         return spark.createDataFrame([], T.StructType(fields))
     reader = spark.read.option("ignoreCorruptFiles", "true")
     key_expr = F.regexp_replace(F.col("_metadata.file_name"), f"_{kind}\\.parquet$", "")
+    try:
+        # Common case: one read, schemas merged by Spark (missing columns are
+        # fine); only conflicting column types need the per-schema path.
+        merged = reader.option("mergeSchema", "true").parquet(*files)
+        return union_by_name([merged.withColumn(key, key_expr)], contract)
+    except Exception:
+        pass
     groups: dict[str, list[str]] = {}
     for f in files:
         try:

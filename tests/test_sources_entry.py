@@ -78,3 +78,27 @@ def test_pandas_written_sessions_with_drift(spark, tmp_path):
         ("2023_01_A_R", 1, 90.5), ("2023_01_A_R", 2, 91.0), ("2023_02_B_R", 1, 88.25)]
     assert rows[0].LapStartTime == dt.datetime(2023, 3, 5, 15, 10)
     assert rows[2].LapStartTime == dt.datetime(2023, 4, 1, 12, 0, 0, 500000)
+
+
+def test_lookup_with_dataframe_dimension(spark):
+    from seqrisk.operators.enrich import lookup_contains
+    df = spark.createDataFrame([("Cold_track",), ("smallville",), ("zzz",), (None,)], "TrackId string")
+    dim = spark.createDataFrame([("COLD", 0, 5.1, "Permanent", 12), ("ol", 1, 4.0, "Street", 10),
+                                 ("smal", 2, 3.3, "Street", 19)],
+                                "k string, ord int, TrackLength double, TrackType string, Corners int")
+    got = {r.TrackId: (r.TrackLength, r.TrackType, r.Corners) for r in lookup_contains(df, "TrackId", dim).collect()}
+    assert got["Cold_track"] == (4.0, "Street", 10)            # two keys match: the later one wins
+    assert got["smallville"] == (3.3, "Street", 19)
+    assert got["zzz"] == (5.0, "Unknown", 15) and got[None] == (5.0, "Unknown", 15)
+    lst = [("COLD", 5.1, "Permanent", 12), ("ol", 4.0, "Street", 10), ("smal", 3.3, "Street", 19)]
+    got2 = {r.TrackId: (r.TrackLength, r.TrackType, r.Corners) for r in lookup_contains(df, "TrackId", lst).collect()}
+    assert got2 == got
+
+
+def test_session_files_merge_fast_path(spark, tmp_path):
+    d = tmp_path / "raw3"
+    d.mkdir()
+    pd.DataFrame({"LapNumber": [1], "Speed": [300.0]}).to_parquet(d / "2023_01_A_R_weather.parquet")
+    pd.DataFrame({"LapNumber": [2]}).to_parquet(d / "2023_02_B_R_weather.parquet")
+    got = sorted((r.RaceId, r.LapNumber, r.Speed) for r in read_session_files(spark, str(d), "weather").collect())
+    assert got == [("2023_01_A_R", 1, 300.0), ("2023_02_B_R", 2, None)]
