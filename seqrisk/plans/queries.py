@@ -32,12 +32,12 @@ from seqrisk.operators.scoring import linear_scorer, score_requests
 from seqrisk.operators.evaluation import (average_precision, base_rate, calibration, confusion,
                                          latest_metric, metrics_row, pr_curve, quality_gate, rates,
                                          roc_auc, roc_curve, youden)
-from seqrisk.operators.label import label_stats, onset_label
+from seqrisk.operators.label import attach_labels, label_stats, onset_label, onset_steps
 from seqrisk.operators.model import (balanced_weights, cross_validate, linear_attribution,
                                      mean_abs_attribution, score, train_classifier)
 from seqrisk.operators.split import (prefix_split, seeded_sample, split_by_group, split_labels,
                                      stratified_folds, year_holdout)
-from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end
+from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end, interval_flag_table
 from seqrisk.plans import fixtures as fx
 from seqrisk.session import materialize
 
@@ -85,8 +85,20 @@ def q_status_flags(spark, d):
 def q_interval_onset(spark, d):
     """Flagship: J1 + J2 + A3 + A4 on F-A: label each lap with whether a
     safety-car status starts in the next lap of the same race."""
-    flagged = materialize(fa_flagged(spark, d))      # read by the step aggregate and the rows
-    lab = onset_label(flagged, "race", "lap", "SafetyCar", "sc_next_lap")
+    laps = fa_intervals(spark, d)
+    # The narrow per-lap-key flag table feeds both the labels and the rows.
+    table = materialize(interval_flag_table(laps, fx.fa_status(spark, d), "race", "driver", "lap", "start",
+                                            "interval_end", "race", "time", "status"))
+    # Every step that has rows (a lap whose rows all lack a start has no
+    # table entry but still counts as a step without the flag).
+    flagged_steps = table.groupBy("race", "lap").agg(F.max("SafetyCar").alias("__f"))
+    steps = (laps.where(F.col("race").isNotNull() & F.col("lap").isNotNull()).select("race", "lap").distinct()
+             .join(flagged_steps, ["race", "lap"], "left")
+             .select("race", "lap", F.coalesce(F.col("__f"), F.lit(False)).alias("__cur")))
+    labels = onset_steps(steps, "race", "lap", "__cur")
+    rows = laps.join(table, ["race", "driver", "lap"], "left")
+    rows = rows.select(*laps.columns, *[F.coalesce(F.col(c), F.lit(False)).alias(c) for c in FLAG_COLS])
+    lab = attach_labels(rows, labels, "race", "lap", "sc_next_lap")
     return lab.select("event_id", "race", "driver", "lap", *FLAG_COLS, "sc_next_lap")
 
 
