@@ -35,7 +35,7 @@ def only_session(df: DataFrame, session_type: str = "SessionType", value: str =
     return df.where(F.col(session_type) == value)
 
 
-MAX_DIM_ROWS = 10_000     # the theta join costs (distinct keys) x (dimension rows)
+MAX_KEY_LENGTHS = 256     # distinct dimension key lengths (substring sizes generated per key)
 
 
 def lookup_contains(df: DataFrame, key: str, dim, attrs: Sequence[str] | None = None,
@@ -47,7 +47,8 @@ def lookup_contains(df: DataFrame, key: str, dim, attrs: Sequence[str] | None =
     ``dim`` is either a list of tuples (key, attr1, attr2, ...) -- a fixed,
     driver-side table, compiled into one CASE expression (no join) -- or a
     DataFrame (key column first, then an ``ord`` column, then attributes),
-    resolved over the distinct keys of ``df`` and equi-joined back.
+    resolved over the distinct keys of ``df`` by a substring equi-join and
+    joined back.
     """
     defaults = dict(TRACK_DEFAULTS if defaults is None else defaults)
     k = F.lower(F.col(key))
@@ -62,15 +63,28 @@ def lookup_contains(df: DataFrame, key: str, dim, attrs: Sequence[str] | None =
                     F.when(cond, F.lit(row[i + 1])).otherwise(expr)
             out[a] = expr
         return _apply_lookup(df, out, defaults)
-    # DataFrame dimension: theta-join only the distinct keys against it. The
-    # dimension is broadcast, so its size is checked first.
-    n_dim = dim.limit(MAX_DIM_ROWS + 1).count()
-    if n_dim > MAX_DIM_ROWS:
-        raise ValueError(f"contains-lookup dimension has more than {MAX_DIM_ROWS} rows")
+    # DataFrame dimension: "key contains dim key" becomes an equi-join. Each
+    # distinct key is expanded into its substrings of exactly the dimension's
+    # key lengths (a short list, collected), which are then joined on
+    # equality with the lower-cased dimension keys: exact, no theta join, no
+    # size limit on the dimension (AQE picks broadcast or shuffle).
     dcols = dim.columns
     dkey, attrs = dcols[0], list(attrs or [c for c in dcols if c not in (dcols[0], "ord")])
+    lengths = sorted(r["l"] for r in dim.select(F.length(dkey).alias("l")).where(F.col("l") > 0)
+                     .distinct().limit(MAX_KEY_LENGTHS + 1).collect())
+    if len(lengths) > MAX_KEY_LENGTHS:
+        raise ValueError(f"dimension keys have more than {MAX_KEY_LENGTHS} distinct lengths")
     keys = df.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
-    m = (keys.join(F.broadcast(dim), F.lower(F.col("__key")).contains(F.lower(F.col(dkey))))
+    lk = F.lower(F.col("__key"))
+    def cut(n: int):
+        return lambda i: F.substring(lk, i, F.lit(n))
+
+    subs = F.flatten(F.array(*[
+        F.transform(F.sequence(F.lit(1), F.greatest(F.length(lk) - F.lit(n) + 1, F.lit(1))), cut(n))
+        for n in lengths]))
+    exploded = keys.select("__key", F.explode(F.array_distinct(subs)).alias("__sub")).where(F.length("__sub") > 0)
+    d = dim.select(F.lower(F.col(dkey)).alias("__sub"), "ord", *attrs)
+    m = (exploded.join(d, "__sub")
          .groupBy("__key").agg(F.max_by(F.struct(*attrs), F.col("ord")).alias("__a")))
     j = df.join(m, F.col(key) == F.col("__key"), "left")
     return _apply_lookup(j, {a: F.col(f"__a.{a}") for a in attrs}, defaults).drop("__key", "__a")
