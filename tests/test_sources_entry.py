@@ -102,3 +102,14 @@ def test_session_files_merge_fast_path(spark, tmp_path):
     pd.DataFrame({"LapNumber": [2]}).to_parquet(d / "2023_02_B_R_weather.parquet")
     got = sorted((r.RaceId, r.LapNumber, r.Speed) for r in read_session_files(spark, str(d), "weather").collect())
     assert got == [("2023_01_A_R", 1, 300.0), ("2023_02_B_R", 2, None)]
+
+
+def test_track_table_lookup(spark):
+    from seqrisk.operators.enrich import add_track
+    df = spark.createDataFrame([("Montréal_Grand_Prix",), ("Albert_Park",), ("Lusail_International",), ("Nowhere",)],
+                               "EventName string")
+    got = {r.EventName: (r.TrackId, r.TrackLength, r.TrackType, r.Corners) for r in add_track(df).collect()}
+    assert got["Montréal_Grand_Prix"] == ("Montréal", 4.361, "Street", 14)
+    assert got["Albert_Park"] == ("Albert", 5.0, "Unknown", 15)      # multi-word keys never match a first token
+    assert got["Lusail_International"] == ("Lusail", 5.380, "Permanent", 16)
+    assert got["Nowhere"] == ("Nowhere", 5.0, "Unknown", 15)
