@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqrisk.llm import exact_dedup, mixing, url_filter
+from seqrisk.llm import exact_dedup, minhash, mixing, packing, url_filter
 from seqrisk.llm.common import read
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -20,6 +20,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, class_id, component_id, kept of every document."""
+    member, _ = minhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return member.withColumnRenamed("id", "doc_id")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every document."""
     return exact_dedup.mark_duplicates(read(spark, sf_dir, "documents"))
@@ -39,7 +45,19 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, model, URL_RULES).drop("url")
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op8_exact_dedup": op8_exact_dedup, "op9_url_filter": op9_url_filter}
+def vocabulary() -> str:
+    """Path of the byte-level vocabulary; a parameter of the packing operator."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
+    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary())
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op8_exact_dedup": op8_exact_dedup, "op9_url_filter": op9_url_filter,
+           "op7_minhash_dedup": op7_minhash_dedup, "op10_pack_documents": op10_pack_documents}
 
 ORACLE = {
     "op8_exact_dedup": """
