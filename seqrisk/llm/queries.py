@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqrisk.llm import exact_dedup, minhash, mixing, packing, url_filter
+from seqrisk.llm import exact_dedup, langid, minhash, mixing, packing, quality, url_filter
 from seqrisk.llm.common import read
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -20,6 +20,32 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, n_spans of every document."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = langid.train(docs, ~F.coalesce(held_out, F.lit(False)))
+    found = langid.predict(docs, model)
+    own = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    return found.select(F.col("id").alias("doc_id"), own.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def grades(labels: DataFrame) -> DataFrame:
+    """Graded ratings from the labels: 0 low quality, 1 good but toxic, 2 good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+def op4_quality_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, expected_grade, p_good (grade 1 or more), p_best (grade 2), kept of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, grades(read(spark, sf_dir, "labels")))
+    rated = quality.rate(docs, model)
+    good = F.element_at("tails", 1)
+    return rated.select("doc_id", "expected_grade", good.alias("p_good"), F.try_element_at("tails", F.lit(2)).alias("p_best"),
+                        (good >= 0.5).alias("kept"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id, component_id, kept of every document."""
     member, _ = minhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -57,6 +83,7 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op8_exact_dedup": op8_exact_dedup, "op9_url_filter": op9_url_filter,
+           "op3_language_id": op3_language_id, "op4_quality_grade": op4_quality_grade,
            "op7_minhash_dedup": op7_minhash_dedup, "op10_pack_documents": op10_pack_documents}
 
 ORACLE = {
