@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqrisk.llm import exact_dedup, langid, minhash, mixing, packing, quality, url_filter
+from seqrisk.llm import embed_dedup, exact_dedup, langid, minhash, mixing, packing, quality, url_filter
 from seqrisk.llm.common import read
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -20,6 +20,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector."""
+    return embed_dedup.near_vectors(read(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score, n_spans of every document."""
     docs = read(spark, sf_dir, "documents")
@@ -83,7 +88,7 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op8_exact_dedup": op8_exact_dedup, "op9_url_filter": op9_url_filter,
-           "op3_language_id": op3_language_id, "op4_quality_grade": op4_quality_grade,
+           "op2_embedding_dedup": op2_embedding_dedup, "op3_language_id": op3_language_id, "op4_quality_grade": op4_quality_grade,
            "op7_minhash_dedup": op7_minhash_dedup, "op10_pack_documents": op10_pack_documents}
 
 ORACLE = {
