@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqrisk.llm import embed_dedup, exact_dedup, langid, minhash, mixing, packing, quality, url_filter
+from seqrisk.llm import embed_dedup, exact_dedup, langid, line_dedup, minhash, mixing, packing, quality, secret_scan, url_filter
 from seqrisk.llm.common import read
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -51,6 +51,28 @@ def op4_quality_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (good >= 0.5).alias("kept"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_dropped, clean_sha256 (of the text that is left) of every document."""
+    clean = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("clean_sha256"))
+
+
+def finding_label():
+    """Labelled findings: an assignment to a secret's name with digits in the
+    value, or the fixed form of an access key, is one; a value of letters only or
+    of digits only is not; the others have no label."""
+    value, before = F.col("value"), F.col("before")
+    named = F.rlike(before, F.lit(secret_scan.NAMES + r"\s*[=:]\s*[\"']?$")) & F.rlike(value, F.lit("[0-9]"))
+    return F.when(named | F.rlike(value, F.lit("^AKIA[0-9A-Z]{16}$")), 1).when(F.rlike(value, F.lit("^([A-Za-z]+|[0-9]+)$")), 0)
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, place, length, value_sha256, probability, is_secret of every candidate of every document."""
+    found = secret_scan.scan(read(spark, sf_dir, "documents"), finding_label())
+    return found.select(F.col("id").alias("doc_id"), "place", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"),
+                        F.round("probability", 6).alias("probability"), "is_secret")
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id, component_id, kept of every document."""
     member, _ = minhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -89,6 +111,8 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op8_exact_dedup": op8_exact_dedup, "op9_url_filter": op9_url_filter,
            "op2_embedding_dedup": op2_embedding_dedup, "op3_language_id": op3_language_id, "op4_quality_grade": op4_quality_grade,
+           "op5_line_dedup": op5_line_dedup,
+           "op6_secret_scan": op6_secret_scan,
            "op7_minhash_dedup": op7_minhash_dedup, "op10_pack_documents": op10_pack_documents}
 
 ORACLE = {
