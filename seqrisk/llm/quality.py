@@ -34,6 +34,7 @@ from seqrisk.llm import bytes_text as bt
 FEATURES = 1 << 16
 MAX_LABELLED = 8_000
 EPOCHS = 6
+LEAST_STEPS = 400      # a small sample is gone through more often
 BATCH = 64
 _U = np.uint64
 _SIGN, _CAPITALS, _REPEAT = (_U(x) for x in (0x51ED270B, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -79,7 +80,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, features: i
     w, w2 = np.zeros(features), np.full(features, 1e-3)
     t, t2 = np.concatenate([first[:1], step]), np.full(grades, 1e-3)
     rng = np.random.default_rng(seed)
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_STEPS * BATCH // len(rows)))):
         order = rng.permutation(len(rows))
         for at in range(0, len(rows), BATCH):
             part = [rows[i] for i in order[at:at + BATCH]]
@@ -148,6 +149,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     one = sample.mapInArrow(vectors, "id string, grade int, idx array<int>, val array<float>").repartition(1)
     row = one.mapInArrow(learn, "weights array<float>, thresholds array<double>").first()
+    if row is None:                              # an input known to be empty runs no task
+        return OrdinalModel(np.zeros(features, np.float32), np.full(1, -60.0))
     return OrdinalModel(np.array(row.weights, np.float32), np.array(row.thresholds, np.float64))
 
 
