@@ -7,14 +7,18 @@ and digits (A-Z lower-cased) and of bytes of non-ASCII characters.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
+
 
 BLOCK_BYTES = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _U = np.uint64
+cloudpickle.register_pickle_by_value(sys.modules[__name__])     # goes with the tasks that use it
 
 _fold = np.zeros(256, np.uint8)
 for _c in range(256):
@@ -46,6 +50,9 @@ class _Powers:
         self.base, self.inverse = base, _U(pow(int(base), -1, 1 << 64))
         self.up = self.down = np.ones(1, _U)
 
+    def __reduce__(self):
+        return _Powers, (self.base,)      # the tables are made anew where they are needed
+
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             ones = np.ones(n, _U)

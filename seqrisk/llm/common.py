@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seqrisk.session import cut_lineage as saved  # noqa: F401  (a table in the shared checkpoint folder)
@@ -12,6 +15,12 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_ROWS = 200_000
 
 
+def by_value(module: str) -> None:
+    """Ship a module's code with the tasks that use it, so that executors need
+    no copy of this library."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only; other letters, also those with a case, stay."""
     return F.translate(text, UPPER, UPPER.lower())

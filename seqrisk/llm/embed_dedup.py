@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from seqrisk.llm.common import saved
+from seqrisk.llm.common import by_value, saved
 from seqrisk.llm.components import components
 
 THRESHOLD = 0.93
@@ -42,6 +42,7 @@ SAMPLE_ROWS = 10_000
 AXES = 3
 STEPS = (8, 24, 64, 256)     # leading coordinates after which products are bounded again
 SLACK = 1e-9
+by_value(__name__)
 
 
 def _unit(flat: np.ndarray, dim: int) -> np.ndarray:

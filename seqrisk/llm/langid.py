@@ -31,6 +31,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seqrisk.llm import bytes_text as bt
+from seqrisk.llm.common import by_value
 
 BUCKETS = 1 << 15
 PER_LANGUAGE = 3_000
@@ -39,6 +40,7 @@ SCRIPT_SHARE = 0.01
 GROUP_BYTES = 1 << 24
 SMOOTHING = 0.5
 _U = np.uint64
+by_value(__name__)
 
 # Scripts by first code point of a range (public Unicode blocks); 0 is no script of its own.
 _RANGES = [(0x00, 0), (0xC0, 1), (0x250, 1), (0x2B0, 0), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6),

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from seqrisk.llm import bytes_text as bt
-from seqrisk.llm.common import saved
+from seqrisk.llm.common import by_value, saved
 
 CAPACITY = 1024
 END_ID = 2
@@ -44,6 +44,7 @@ POPULATION = 4
 CHILDREN = 6
 CACHE = 1 << 20
 SPECIAL = b"<|endoftext|>"
+by_value(__name__)
 
 # Byte classes of the vocabulary's split pattern; 4: only the tokenizer itself decides.
 _SPACE, _LETTER, _DIGIT, _OTHER, _ASK = range(5)

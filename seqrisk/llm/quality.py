@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from seqrisk.llm import bytes_text as bt
+from seqrisk.llm.common import by_value
 
 FEATURES = 1 << 16
 MAX_LABELLED = 8_000
@@ -37,6 +38,7 @@ EPOCHS = 6
 LEAST_STEPS = 400      # a small sample is gone through more often
 BATCH = 64
 _U = np.uint64
+by_value(__name__)
 _SIGN, _CAPITALS, _REPEAT = (_U(x) for x in (0x51ED270B, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
