@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from seqrisk.llm.common import lower_ascii, saved, small
+from seqrisk.llm.common import UPPER, saved, small
 
 MIN_CHARS = 20
 LAST = (1 << 63) - 1
@@ -47,12 +47,21 @@ def _windows(text: Column, n: Column, parts: int) -> Column:
         F.sequence(F.lit(0), F.lit(parts - 1)), lambda r: key(longest, r))))
 
 
+def _halves(text: Column, n: Column) -> Column:
+    """The keys of two windows, spelled out (compiled, where the general form is not)."""
+    keys = []
+    for longest in (n, n + 1):
+        q = F.floor(longest / 2).cast("int")
+        keys += [F.xxhash64(longest, F.lit(0), F.right(text, q)), F.xxhash64(longest, F.lit(1), F.left(text, q))]
+    return F.array(*keys)
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line that is not blank: place (id, copy, line), n, h1, h2, norm."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("copy"),
                        F.posexplode(F.split(text, "\n")).alias("line", "raw"))
-    norm = lower_ascii(F.trim(F.regexp_replace("raw", r"[\t\r]", " ")))
+    norm = F.trim(F.translate("raw", "\t\r" + UPPER, "  " + UPPER.lower()))
     rows = rows.select("id", "copy", "line", norm.alias("norm")).where("norm <> ''")
     return rows.select("id", "copy", "line", F.length("norm").alias("n"), F.xxhash64("norm").alias("h1"),
                        F.xxhash64(F.lit(5), "norm").alias("h2"), "norm")
@@ -96,13 +105,12 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                parts: int = 16) -> DataFrame:
     """id, copy (hash of the text), lines: the numbers (from 0) of the lines that go, per row with any."""
     every = _lines(docs, id_col, text_col)
-    keys = F.when(F.col("n") >= min_chars, F.expr("transform(w, k -> k.key)"))
-    places = saved(every.withColumn("w", _windows(F.col("norm"), F.col("n"), 2))
-                   .select("id", "copy", "line", "h1", "h2", keys.alias("keys")))
+    keys = F.when(F.col("n") >= min_chars, _halves(F.col("norm"), F.col("n")))
+    places = saved(every.select("id", "copy", "line", "h1", "h2", keys.alias("keys")))
     classes = saved(places.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.count("*").alias("times"), F.any_value("keys").alias("keys")))
     can = saved(_shared(classes.where("keys is not null").select("h1", "h2", F.explode("keys").alias("key"))).select("h1", "h2").distinct())
     few = small(can)
-    texts = (every.select("h1", "h2", "n", "norm").join(F.broadcast(can) if few else can, ["h1", "h2"], "left_semi")
+    texts = (every.where(F.col("n") >= min_chars).select("h1", "h2", "n", "norm").join(F.broadcast(can) if few else can, ["h1", "h2"], "left_semi")
              .groupBy("h1", "h2").agg(F.first("norm").alias("norm"), F.first("n").alias("n")))
     texts = saved(texts.join(classes.select("h1", "h2", "first"), ["h1", "h2"]))
     narrow = texts.select("h1", "h2", F.explode(_windows(F.col("norm"), F.col("n"), parts)).alias("w")).select("h1", "h2", "w.*")
@@ -130,8 +138,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = gone.select(F.col("id").alias("__id"), F.col("copy").alias("__copy"), F.col("lines").alias("__lines"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     named = docs.withColumn("__hash", F.xxhash64(text))
-    joined = named.join(F.broadcast(gone) if small(gone, 50_000) else gone,
-                        (F.col("__hash") == F.col("__copy")) & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")), "left")
+    # one way to join at every size: texts meet their line numbers by shuffle
+    joined = named.join(gone.hint("merge"), (F.col("__hash") == F.col("__copy")) & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")), "left")
     lines = F.split(F.col(f"`{text_col}`").cast("string"), "\n")
     left = F.concat_ws("\n", F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__lines")), lambda i: F.get(lines, i)))
     cleaned = F.when(F.col("__lines").isNull(), F.col(f"`{text_col}`")).otherwise(left)
