@@ -11,7 +11,7 @@ from seqrisk.config import (BOOLEAN_FILL_COLUMNS, CATEGORY_FILL_COLUMNS, DURATIO
                             TRACK_DEFAULTS, TRACK_MEDIAN_COLUMNS, TRACKS, Roles)
 from seqrisk.functions.expr import first_token, seconds
 from seqrisk.operators.ranking import exact_medians, medians_of_long, to_long
-from seqrisk.session import cut_lineage, materialize
+from seqrisk.session import cut_lineage
 
 
 def valid_laps(df: DataFrame, session_type: str = "SessionType", lap_time: str = "LapTime",
@@ -35,9 +35,6 @@ def only_session(df: DataFrame, session_type: str = "SessionType", value: str =
     return df.where(F.col(session_type) == value)
 
 
-MAX_KEY_LENGTHS = 256     # distinct dimension key lengths (substring sizes generated per key)
-
-
 def lookup_contains(df: DataFrame, key: str, dim, attrs: Sequence[str] | None = None,
                     defaults: dict | None = None) -> DataFrame:
     """Case-insensitive *contains* lookup: a row matches every dimension
@@ -65,24 +62,19 @@ def lookup_contains(df: DataFrame, key: str, dim, attrs: Sequence[str] | None =
         return _apply_lookup(df, out, defaults)
     # DataFrame dimension: "key contains dim key" becomes an equi-join. Each
     # distinct key is expanded into its substrings of exactly the dimension's
-    # key lengths (a short list, collected), which are then joined on
+    # key lengths, which are then joined on
     # equality with the lower-cased dimension keys: exact, no theta join, no
     # size limit on the dimension (AQE picks broadcast or shuffle).
     dcols = dim.columns
     dkey, attrs = dcols[0], list(attrs or [c for c in dcols if c not in (dcols[0], "ord")])
-    lengths = sorted(r["l"] for r in dim.select(F.length(dkey).alias("l")).where(F.col("l") > 0)
-                     .distinct().limit(MAX_KEY_LENGTHS + 1).collect())
-    if len(lengths) > MAX_KEY_LENGTHS:
-        raise ValueError(f"dimension keys have more than {MAX_KEY_LENGTHS} distinct lengths")
+    # the lengths are one array of at most as many numbers as the longest key has characters
+    lengths = dim.where(F.length(dkey) > 0).agg(F.collect_set(F.length(dkey))).scalar()
     keys = df.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
     lk = F.lower(F.col("__key"))
-    def cut(n: int):
-        return lambda i: F.substring(lk, i, F.lit(n))
-
-    subs = F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(lk) - F.lit(n) + 1, F.lit(1))), cut(n))
-        for n in lengths]))
-    exploded = keys.select("__key", F.explode(F.array_distinct(subs)).alias("__sub")).where(F.length("__sub") > 0)
+    sized = keys.select("__key", F.explode(lengths).alias("__n")).where(F.length(lk) >= F.col("__n"))
+    starts = F.sequence(F.lit(1), F.length(lk) - F.col("__n") + 1)
+    exploded = sized.select("__key", F.explode(F.array_distinct(
+        F.transform(starts, lambda i: F.substring(lk, i, F.col("__n"))))).alias("__sub"))
     d = dim.select(F.lower(F.col(dkey)).alias("__sub"), "ord", *attrs)
     m = (exploded.join(d, "__sub")
          .groupBy("__key").agg(F.max_by(F.struct(*attrs), F.col("ord")).alias("__a")))
@@ -140,21 +132,19 @@ def fill_group_then_global_median(df: DataFrame, cols: Sequence[str], group: str
     The filled column's values are the original values plus, per group, its
     null count times its median, so the global median is computed from those
     weighted values: the group-filled rows are never materialized or
-    recomputed. One job sizes both steps; one aggregation gives the group
-    medians and null counts (written once, one row per group)."""
+    recomputed. The group medians and null counts are written once (one row
+    per group)."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    sizes = df.groupBy(group).count().agg(F.max("count").alias("w"), F.sum("count").alias("n")).first()
-    widest, total = (sizes["w"] or 0), (sizes["n"] or 0)
     nulls = [F.sum(F.when(_nn(df, c).isNull(), 1).otherwise(0)).alias(f"__z_{c}") for c in cols]
-    med = materialize(exact_medians(df, [group], cols, widest=widest, extra_aggs=nulls))
+    med = cut_lineage(exact_medians(df, [group], cols, extra_aggs=nulls))
     fills = med.where(F.col(group).isNotNull()).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"), F.col(f"__z_{c}").cast("long").alias("w"))
         for c in cols])).alias("s")).select(F.col("s.k").alias("__k"), F.col("s.v").alias("__v"),
                                             F.col("s.w").alias("__w"))
     fills = fills.where(F.col("__v").isNotNull() & (F.col("__w") > 0))
-    glob = medians_of_long(to_long(df, [], cols).unionByName(fills), [], cols, widest=total)
+    glob = medians_of_long(to_long(df, [], cols).unionByName(fills), [], cols)
     glob = glob.select(F.struct(*cols).alias("m")).scalar()     # one scalar subquery, every column
     g1 = fill_group_median(df, cols, group, med.select(group, *cols))
     return g1.withColumns({c: F.coalesce(F.col(c), glob.getField(c).cast(df.schema[c].dataType))

@@ -20,16 +20,17 @@ INF = float("inf")
 
 
 def curve_counts(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
-    """(threshold, pos, neg, tps, fps, P, N) per distinct non-null score;
-    tps/fps count rows with score >= threshold."""
-    agg = (df.where(F.col(score).isNotNull() & F.col(y).isNotNull())
+    """(threshold, pos, neg, tps, fps, P, N) per distinct score that is neither
+    null nor NaN; tps/fps count rows with score >= threshold. The per-score
+    table is written once (by the running sums); P and N are its last totals."""
+    s = F.col(score).cast("double")
+    agg = (df.where(s.isNotNull() & ~F.isnan(s) & F.col(y).isNotNull())
            .groupBy(F.col(score).cast("double").alias("threshold"))
            .agg(F.sum(F.col(y).cast("long")).alias("pos"),
                 F.sum((1 - F.col(y)).cast("long")).alias("neg")))
-    tot = agg.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    d = agg.withColumn("__o", -F.col("threshold"))
-    cur = running_sums(d, "__o", [F.col("threshold").desc()], {"tps": F.col("pos"), "fps": F.col("neg")})
-    return cur.withColumns({"P": tot.select("P").scalar(), "N": tot.select("N").scalar()})
+    cur = running_sums(agg, [F.col("threshold").desc()], {"tps": F.col("pos"), "fps": F.col("neg")})
+    total = cur.agg(F.struct(F.max("tps").alias("P"), F.max("fps").alias("N")).alias("t")).scalar()
+    return cur.withColumns({"P": total.getField("P"), "N": total.getField("N")})
 
 
 def _ratio(a: Column, b: Column) -> Column:

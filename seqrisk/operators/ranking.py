@@ -1,11 +1,12 @@
-"""Distributed order statistics: running totals, global ranks and exact medians.
-
-A window with an ORDER BY but no PARTITION BY runs in one task, and Spark's
-exact ``percentile`` keeps every distinct value of a group in one in-memory
-map. Both break when one group holds a large share of the data. The helpers
-here split the ordered domain into ranges first (from an approximate
-quantile sketch: small, mergeable), work on each range in parallel, and carry
-the per-range totals (at most ``n_buckets`` rows per group) across.
+"""Distributed order statistics: running totals, last values, global ranks, exact medians.
+
+A window with an ORDER BY but no PARTITION BY runs in one task, and so does a
+window over one hot key; Spark's exact ``percentile`` keeps every distinct
+value of a group in one in-memory map. The helpers here cut (key, order) into
+ranges of about equal row counts (``repartitionByRange``: sampled cut points,
+as many ranges as there are shuffle partitions), so a hot key gets many
+ranges, work on each range in parallel, and carry one row per (key, range)
+across.
 """
 
 from __future__ import annotations
@@ -18,128 +19,108 @@ from pyspark.sql import Window as W
 
 from seqrisk.session import cut_lineage
 
-DEFAULT_BUCKETS = 64
+RANGE = "__rb"
 
 
-def _default_buckets(df: DataFrame) -> int:
-    try:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:
-        n = DEFAULT_BUCKETS
-    return max(8, min(n * 4, 4096))
+def ordered_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``df`` with its range number in ``__rb``, written once: ranges follow
+    (keys, order), rows equal in both share a range."""
+    cut = df.repartitionByRange(*[F.col(k) for k in keys], *order)
+    return cut_lineage(cut.withColumn(RANGE, F.spark_partition_id()))
 
 
-def quantile_edges(df: DataFrame, col: str, n_buckets: int, accuracy: int = 10000) -> list:
-    """At most ``n_buckets - 1`` sorted cut points of ``col`` (one small job;
-    the result is bounded by ``n_buckets``, whatever the data size)."""
-    if n_buckets <= 1:
-        return []
-    ps = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(col), ps, accuracy).alias("e")).first()
-    edges = row["e"] if row is not None else None
-    return sorted({e for e in (edges or []) if e is not None})
+def _carry(local: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join per-(key, range) offsets (columns __k_*, __k_rb) to the rows, null-safe."""
+    on = F.col(RANGE) == F.col("__k_rb")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    return local.join(offsets, on, "left")
 
 
-def bucket_of(col: Column, edges: Sequence) -> Column:
-    """Number of ``edges`` strictly below ``col``: monotone in ``col``, so equal
-    values share a bucket. A balanced CASE tree: log2(len(edges)) compares."""
+def _key_names(keys: Sequence[str]) -> list[Column]:
+    return [*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(RANGE).alias("__k_rb")]
 
-    def go(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(col > F.lit(edges[mid]), go(mid + 1, hi)).otherwise(go(lo, mid))
 
-    return go(0, len(edges))
+def running_sums(df: DataFrame, order_cols: Sequence[Column], sums: dict,
+                 partition_cols: Sequence[str] = ()) -> DataFrame:
+    """Add inclusive running sums in the order ``order_cols`` (Columns with
+    asc / desc applied), within ``partition_cols``. ``sums`` maps output name
+    -> Column to sum. Running sums inside each range, plus the totals of the
+    key's earlier ranges."""
+    pc = list(partition_cols)
+    d = ordered_ranges(df, pc, order_cols)
+    w = W.partitionBy(*pc, RANGE).orderBy(*order_cols).rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = d.select("*", *[F.sum(c).over(w).alias(f"__l_{k}") for k, c in sums.items()])
+    totals = d.groupBy(*pc, RANGE).agg(*[F.sum(c).alias(f"__t_{k}") for k, c in sums.items()])
+    wo = W.partitionBy(*pc).orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(*_key_names(pc), *[F.coalesce(F.sum(f"__t_{k}").over(wo), F.lit(0)).alias(f"__o_{k}")
+                                               for k in sums])
+    out = _carry(local, offsets, pc)
+    return out.select(*df.columns, *[(F.col(f"__l_{k}") + F.coalesce(F.col(f"__o_{k}"), F.lit(0))).alias(k)
+                                     for k in sums])
+
+
+def running_last(df: DataFrame, order_cols: Sequence[str], value: str, name: str,
+                 partition_cols: Sequence[str]) -> DataFrame:
+    """Add ``name``: the last non-null ``value`` up to and including each row in
+    the (ascending) order of ``order_cols``, within ``partition_cols``."""
+    pc = list(partition_cols)
+    order = [F.col(c) for c in order_cols]
+    d = ordered_ranges(df, pc, order)
+    w = W.partitionBy(*pc, RANGE).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = d.withColumn("__l", F.last(value, ignorenulls=True).over(w))
+    ends = d.where(F.col(value).isNotNull()).groupBy(*pc, RANGE).agg(
+        F.max(F.struct(*order_cols, F.col(value).alias("__v")))["__v"].alias("__e"))
+    ranges = d.select(*pc, RANGE).distinct().join(ends, [*pc, RANGE], "left")
+    wo = W.partitionBy(*pc).orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)
+    offsets = ranges.select(*_key_names(pc), F.last("__e", ignorenulls=True).over(wo).alias("__o"))
+    return _carry(local, offsets, pc).select(*df.columns, F.coalesce("__l", "__o").alias(name))
 
 
-def running_sums(df: DataFrame, order_key: str, order_cols: Sequence, sums: dict,
-                 n_buckets: int | None = None, partition_cols: Sequence[str] = ()) -> DataFrame:
-    """Add inclusive running sums in a total order (within each combination
-    of ``partition_cols``, if given).
+def key_text(cols: Sequence, seed) -> Column:
+    """One text per key that tells null, empty and shifted values apart:
+    length and value of each column, '~' for null, joined by '|', then the seed."""
+    parts = []
+    for c in cols:
+        v = (F.col(c) if isinstance(c, str) else c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("~")))
+    return F.concat_ws("|", *parts, F.lit(str(seed)))
 
-    ``order_key`` is a numeric column monotone in the order given by
-    ``order_cols`` (Columns with asc/desc applied); it only decides which
-    range a row lands in. ``sums`` maps output name -> Column to sum.
-    Pass 1: running sums inside each (partition, range), in parallel.
-    Pass 2: range totals (one row per partition value and range) give each
-    range its offset.
-    """
-    n_buckets = n_buckets or _default_buckets(df)
-    edges = quantile_edges(df, order_key, n_buckets)
-    b = "__rb"
-    pc = list(partition_cols)
-    d = df.withColumn(b, bucket_of(F.col(order_key), edges))
-    w = W.partitionBy(*pc, b).orderBy(*order_cols).rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = d.select("*", *[F.sum(c).over(w).alias(f"__l_{k}") for k, c in sums.items()])
-    totals = d.groupBy(*pc, b).agg(*[F.sum(c).alias(f"__t_{k}") for k, c in sums.items()])
-    wo = W.partitionBy(*pc).orderBy(b).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*pc, b, *[F.coalesce(F.sum(f"__t_{k}").over(wo), F.lit(0)).alias(f"__o_{k}")
-                                      for k in sums])
-    if not pc:
-        offsets = F.broadcast(offsets)          # at most n_buckets rows
-    out = local.join(offsets, [*pc, b], "left")
-    out = out.select(*df.columns, *[(F.col(f"__l_{k}") + F.coalesce(F.col(f"__o_{k}"), F.lit(0))).alias(k)
-                                    for k in sums])
-    return out
-
-
-def hash_order_key(cols: Sequence, seed) -> tuple[Column, Column]:
-    """A seeded pseudo-random total order over key columns, identical in any
-    engine with md5: (hex string to sort by, 60-bit numeric prefix of it)."""
-    s = F.md5(F.concat(*[F.col(c).cast("string") for c in cols], F.lit(str(seed))))
-    num = F.conv(F.substring(s, 1, 15), 16, 10).cast("long")
-    return s, num
+
+def hash_order(cols: Sequence, seed) -> Column:
+    """A seeded pseudo-random order over key columns, the same in any engine with md5."""
+    return F.md5(key_text(cols, seed))
 
 
 def global_rank(df: DataFrame, cols: Sequence, seed, name: str = "rank",
-                n_buckets: int | None = None, partition_cols: Sequence[str] = ()) -> DataFrame:
+                partition_cols: Sequence[str] = ()) -> DataFrame:
     """1-based position of each row in the seeded hash order of ``cols``
     (within ``partition_cols``); computed without a global window. Rows equal
-    on ``cols`` get distinct, interchangeable positions."""
-    s, num = hash_order_key(cols, seed)
-    d = df.withColumn("__hs", s).withColumn("__hn", num)
-    out = running_sums(d, "__hn", [F.col("__hn"), F.col("__hs")], {name: F.lit(1)}, n_buckets,
-                       partition_cols)
-    return out.drop("__hs", "__hn")
+    on ``cols`` get distinct, interchangeable positions: give a key that is
+    unique where a row must keep its position."""
+    d = df.withColumn("__hs", hash_order(cols, seed))
+    return running_sums(d, [F.col("__hs")], {name: F.lit(1)}, partition_cols).drop("__hs")
 
 
 def exact_medians(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
-                  n_buckets: int = 16, accuracy: int = 1000,
-                  max_group_values: int = 1_000_000, widest: int | None = None,
                   extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """Exact (interpolated) median of each value column per group, nulls and
     NaN ignored. Columns ``group_cols + value_cols`` (+ ``extra_aggs``,
-    further aggregates over the same groups); every group with a non-null
-    key and at least one value has a row (callers left-join the result).
-
-    One small job measures the largest group in rows (``widest``, unless the
-    caller knows it), which bounds its distinct values. Up to
-    ``max_group_values`` Spark's exact percentile aggregate runs on the wide
-    frame: its per-group value map is then bounded. Past it, the distinct
-    (group, column, value) counts of each group are split into ranges by an
-    approximate quantile sketch and only the range(s) holding the middle rank
-    are sorted, so no task holds a whole hot group.
-    """
+    further aggregates over the same groups, which bring a row for every
+    group); otherwise a group has a row if any of its columns has a value."""
     g = list(group_cols)
-    if widest is None:
-        widest = (df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0) if g else df.count()
-    if widest <= max_group_values or n_buckets <= 1:
-        def val(c):
-            x = F.col(c).cast("double")
-            return F.when(~F.isnan(x), x)
-        return df.groupBy(*g).agg(*[F.percentile(val(c), F.lit(0.5)).alias(c) for c in value_cols],
-                                  *extra_aggs)
-    med = medians_of_long(to_long(df, g, value_cols), g, value_cols, n_buckets, accuracy, max_group_values,
-                          widest=widest)
-    if extra_aggs:
-        ex = df.groupBy(*g).agg(*extra_aggs)
-        if g:
-            med = ex.join(med, g, "left")
-        else:   # both sides are one row: the medians ride along as one scalar subquery
-            m = med.select(F.struct(*value_cols).alias("m")).scalar()
-            med = ex.withColumns({c: m.getField(c) for c in value_cols})
-    return med
+    med = medians_of_long(to_long(df, g, value_cols), g, value_cols)
+    if not extra_aggs:
+        return med
+    extra = df.groupBy(*g).agg(*extra_aggs)
+    if not g:       # both sides are one row: the medians ride along as one scalar subquery
+        m = med.select(F.struct(*value_cols).alias("m")).scalar()
+        return extra.withColumns({c: m.getField(c) for c in value_cols})
+    keyed = med.withColumnsRenamed({c: f"__g_{c}" for c in g})
+    on = F.lit(True)
+    for c in g:
+        on = on & F.col(c).eqNullSafe(F.col(f"__g_{c}"))
+    return extra.join(keyed, on, "left").drop(*[f"__g_{c}" for c in g])
 
 
 def to_long(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
@@ -152,52 +133,27 @@ def to_long(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str])
     return long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
 
 
-def medians_of_long(long: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
-                    n_buckets: int = 16, accuracy: int = 1000,
-                    max_group_values: int = 1_000_000, widest: int | None = None) -> DataFrame:
+def medians_of_long(long: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
     """Weighted exact medians over a long (group..., __k, __v, __w) frame:
-    each row stands for ``__w`` copies of its value. ``widest`` bounds the
-    rows of any (group, column); measured when not given."""
+    each row stands for ``__w`` copies of its value.
+
+    Values are counted per (group, column, value) with map-side combining, and
+    running counts over ranges of (group, column, value) find the values at the
+    two middle ranks. A hot group is spread over as many ranges as its distinct
+    values fill; no task holds a group."""
     g = list(group_cols)
     gk = g + ["__k"]
-    vc = long.groupBy(*gk, "__v").agg(F.sum("__w").alias("__c"))
-    k1 = F.floor((F.col("__n") + 1) / 2)
-    k2 = F.floor(F.col("__n") / 2) + 1
+    counts = long.groupBy(*gk, "__v").agg(F.sum("__w").alias("__c"))
+    cum = running_sums(counts, [F.col("__v")], {"__cum": F.col("__c")}, gk)
+    total = cum.groupBy(*gk).agg(F.max("__cum").alias("__n")).withColumnsRenamed({c: f"__t{c}" for c in gk})
+    on = F.lit(True)
+    for c in gk:
+        on = on & F.col(c).eqNullSafe(F.col(f"__t{c}"))
+    ranked = cum.join(total, on)
+    k1, k2 = F.floor((F.col("__n") + 1) / 2), F.floor(F.col("__n") / 2) + 1
 
     def med(c):
-        is_c = F.col("__k") == F.lit(c)
-        lo_v = F.min(F.when(is_c & (F.col("__cum") >= k1), F.col("__v")))
-        hi_v = F.min(F.when(is_c & (F.col("__cum") >= k2), F.col("__v")))
-        return ((lo_v + hi_v) / 2).alias(c)
-
-    # Rows per group bound its distinct values: one cheap pass (partial
-    # aggregation, one row per group shuffled) decides the plan.
-    if widest is None:
-        widest = long.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
-    if widest <= max_group_values or n_buckets <= 1:
-        # Checked bound: no (group, column) holds more than max_group_values
-        # values, so Spark's exact percentile (an in-memory value -> count
-        # map per group, merged from map-side partial aggregates) is safe.
-        return long.groupBy(*g).agg(*[
-            F.percentile(F.when(F.col("__k") == F.lit(c), F.col("__v")), F.lit(0.5), F.col("__w")).alias(c)
-            for c in value_cols])
-
-    ps = [i / n_buckets for i in range(1, n_buckets)]
-    stats = vc.groupBy(*gk).agg(F.sum("__c").alias("__n"),
-                                F.percentile_approx("__v", ps, accuracy).alias("__e"))
-    vb = (vc.join(stats, gk)
-          .withColumn("__b", F.size(F.filter("__e", lambda e: e < F.col("__v")))))
-    # The bucketed value counts feed both the bucket totals and the final
-    # ranking: checkpoint them once (distinct values, not rows) so neither the
-    # input nor the counting is planned or run twice.
-    vb = cut_lineage(vb)
-    bt = vb.groupBy(*gk, "__b").agg(F.sum("__c").alias("__bc"), F.first("__n").alias("__n"))
-    wb = W.partitionBy(*gk).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
-    bt = bt.withColumn("__before", F.coalesce(F.sum("__bc").over(wb), F.lit(0)))
-    lo, hi = F.col("__before") + 1, F.col("__before") + F.col("__bc")
-    target = bt.where(((k1 >= lo) & (k1 <= hi)) | ((k2 >= lo) & (k2 <= hi))) \
-        .select(*gk, "__b", "__before")
-    tv = vb.join(target, gk + ["__b"])
-    wv = W.partitionBy(*gk, "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    tv = tv.withColumn("__cum", F.col("__before") + F.sum("__c").over(wv))
-    return tv.groupBy(*g).agg(*[med(c) for c in value_cols])
+        at = lambda k: F.min(F.when((F.col("__k") == c) & (F.col("__cum") >= k), F.col("__v")))
+        return ((at(k1) + at(k2)) / 2).alias(c)
+
+    return ranked.groupBy(*g).agg(*[med(c) for c in value_cols])

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from seqrisk.config import FALLBACK_FRACTIONS, HOLDOUT_YEARS, SEED, TEST_FRACTION
 from seqrisk.functions.expr import year_of
-from seqrisk.operators.ranking import global_rank, running_sums
+from seqrisk.operators.ranking import global_rank, hash_order, running_sums
+from seqrisk.session import cut_lineage
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -61,25 +62,26 @@ def split_by_group(df: DataFrame, key: str = "RaceId", test_frac: float = TEST_F
 
 def split_labels(df: DataFrame, key: str, fractions: Sequence[float] = FALLBACK_FRACTIONS,
                  seed=SEED, by_rows: bool | None = None, names=("train", "test", "holdout"),
-                 out: str = "split") -> DataFrame:
+                 out: str = "split", row_key: Sequence[str] | None = None) -> DataFrame:
     """Label rows train / test / holdout by cutting the seeded hash order
-    at floor(f1*n) and floor((f1+f2)*n). Whole groups by ``key``, or single
-    rows when there is at most one group (decided from the distinct-key
-    count, one small job, unless ``by_rows`` is given)."""
-    keys = distinct_keys(df, key)
+    at floor(f1*n) and floor((f1+f2)*n). Whole groups by ``key`` (rows with a
+    null key are one group), or single rows when there is at most one group
+    (decided from the distinct-key count, one small job, unless ``by_rows`` is
+    given). Rows are ordered by ``row_key``, a unique key, else by all columns."""
+    keys = df.select(key).distinct()
     if by_rows is None:
         by_rows = keys.limit(2).count() <= 1
     c1, c2 = float(fractions[0]), round(float(fractions[0]) + float(fractions[1]), 12)
     if by_rows:
-        ranked = global_rank(df.withColumn("__row", F.to_json(F.struct(*df.columns))), ["__row"],
-                             seed, "__rank").drop("__row")
+        plain = [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct"))]
+        ranked = global_rank(df, list(row_key or plain), seed, "__rank")
         n = _count(df)
         lab = _cut(F.col("__rank"), n, c1, c2, names)
         return ranked.withColumn(out, lab).drop("__rank")
     ranked = global_rank(keys, [key], seed, "__rank")
     n = _count(keys)
-    lab = ranked.select(key, _cut(F.col("__rank"), n, c1, c2, names).alias(out))
-    return df.join(lab, key, "left")
+    lab = ranked.select(F.col(key).alias("__key"), _cut(F.col("__rank"), n, c1, c2, names).alias(out))
+    return df.join(lab, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def _cut(rank: Column, n: Column, c1: float, c2: float, names) -> Column:
@@ -98,16 +100,19 @@ def fallback_split(df: DataFrame, key: str = "RaceId", fractions=FALLBACK_FRACTI
 def stratified_folds(df: DataFrame, label: str, key: Sequence[str], k: int = 5, seed=SEED,
                      out: str = "fold") -> DataFrame:
     """T4: fold = (position within the label class, in seeded hash order of
-    ``key``, minus 1) mod k: classes are spread evenly over the folds."""
+    ``key``, minus 1) mod k: classes are spread evenly over the folds. ``key``
+    may hold nulls; make it unique, so that a recomputed row keeps its fold."""
     ranked = global_rank(df, list(key), seed, "__pos", partition_cols=[label])
     return ranked.withColumn(out, ((F.col("__pos") - 1) % F.lit(k)).cast("int")).drop("__pos")
 
 
-def prefix_split(df: DataFrame, order: str, frac: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """T5: the first floor(frac * n) rows in ``order`` (numeric, ties broken
-    arbitrarily) and the rest."""
-    ranked = running_sums(df, order, [F.col(order)], {"__pos": F.lit(1)})
-    cut = F.floor(_count(df) * F.lit(float(frac)))
+def prefix_split(df: DataFrame, order: str, frac: float = 0.8, tie: Sequence[str] = ()
+                 ) -> tuple[DataFrame, DataFrame]:
+    """T5: the first floor(frac * n) rows by ``order``, ties by the columns
+    ``tie`` (together unique), and the rest. Positions are written once, so
+    head and tail are cuts of the same order."""
+    ranked = cut_lineage(running_sums(df, [F.col(order), *[F.col(c) for c in tie]], {"__pos": F.lit(1)}))
+    cut = F.floor(_count(ranked) * F.lit(float(frac)))
     head = ranked.where(F.col("__pos") <= cut).drop("__pos")
     tail = ranked.where(F.col("__pos") > cut).drop("__pos")
     return head, tail
@@ -117,5 +122,4 @@ def seeded_sample(df: DataFrame, n: int, key: Sequence[str], seed=SEED) -> DataF
     """Exactly min(n, rows) rows, the first n in seeded hash order of
     ``key`` (a bounded top-n: per-partition top-n, then one merge of n rows
     per partition)."""
-    s = F.md5(F.concat(*[F.col(c).cast("string") for c in key], F.lit(str(seed))))
-    return df.withColumn("__h", s).orderBy("__h").limit(int(n)).drop("__h")
+    return df.withColumn("__h", hash_order(key, seed)).orderBy("__h").limit(int(n)).drop("__h")

@@ -54,14 +54,12 @@ def fa_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Laps: race=user_id, driver=event_type, lap=row number per (race, driver)
     by (ts, event_id); every 11th event then dropped (lap gaps); start null for
     event_id%13=0; lap_time_s null for event_id%3=0."""
-    from seqrisk.functions.expr import epoch_micros
     from seqrisk.operators.ranking import running_sums
     ev = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "click", "purchase"))
     # lap = row number per (user, type) by (ts, event_id), computed as a
     # range-partitioned running count so one busy user is not one task.
-    ev = ev.withColumn("__o", epoch_micros("ts"))
-    numbered = running_sums(ev, "__o", [F.col("ts"), F.col("event_id")], {"lap": F.lit(1)},
-                            partition_cols=["user_id", "event_type"]).drop("__o")
+    numbered = running_sums(ev, [F.col("ts"), F.col("event_id")], {"lap": F.lit(1)},
+                            partition_cols=["user_id", "event_type"])
     return (numbered.withColumn("lap", F.col("lap").cast("int"))
             .where(F.col("event_id") % 11 != 0)
             .select("event_id", F.col("user_id").alias("race"), F.col("event_type").alias("driver"),

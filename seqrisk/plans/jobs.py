@@ -22,13 +22,12 @@ from seqrisk.operators.model import (cross_validate, cv_summary, feature_importa
 from seqrisk.operators.reports import (count_by, lap_risk, null_fraction, preview, race_list, race_rows,
                                        race_summary, shape, value_share)
 from seqrisk.operators.split import split_by_group
-from seqrisk.operators.temporal import DEFAULT_BUCKET_SECONDS, asof_join, flag_intervals, interval_end
+from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end
 from seqrisk.session import cut_lineage
 from seqrisk.sources.files import save_dataframe
 
 
-def merge_sessions(laps: DataFrame, status: DataFrame, weather: DataFrame, roles: Roles = Roles(),
-                   bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def merge_sessions(laps: DataFrame, status: DataFrame, weather: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """J1 + J2 + J3 + A1: flags from status changes inside each lap, weather
     at lap start, weather gaps filled with race medians."""
     r = roles
@@ -37,9 +36,9 @@ def merge_sessions(laps: DataFrame, status: DataFrame, weather: DataFrame, roles
         if r.lap_time in laps.columns else laps.withColumn(lt, F.lit(None).cast("double"))
     d = interval_end(d, r.race, r.driver, r.lap, r.start, lt, out="__end")
     d = flag_intervals(d, status, r.race, r.driver, r.lap, r.start, "__end", r.race, r.event_time, r.status,
-                       STATUS_FLAGS, bucket_seconds)
+                       STATUS_FLAGS)
     wcols = [c for c in WEATHER_COLUMNS if c in weather.columns]
-    d = asof_join(d, weather, r.race, r.start, r.race, r.event_time, wcols, bucket_seconds,
+    d = asof_join(d, weather, r.race, r.start, r.race, r.event_time, wcols,
                   require=[r.driver, r.lap])
     d = fill_group_median(d, WEATHER_MEDIAN_COLUMNS, r.race)
     return d.drop(lt, "__end")
@@ -47,11 +46,10 @@ def merge_sessions(laps: DataFrame, status: DataFrame, weather: DataFrame, roles
 
 def transform_job(spark: SparkSession, laps: DataFrame, status: DataFrame, weather: DataFrame,
                   out_dir: str | None = None, roles: Roles = Roles(), dim=None,
-                  test_frac: float = TEST_FRACTION, holdout_years=HOLDOUT_YEARS, seed=SEED,
-                  bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> dict:
+                  test_frac: float = TEST_FRACTION, holdout_years=HOLDOUT_YEARS, seed=SEED) -> dict:
     """Merge, clean, label, split; optional Parquet outputs (full
     partitioned by Year, train, test, holdout)."""
-    merged = cut_lineage(merge_sessions(laps, status, weather, roles, bucket_seconds))
+    merged = cut_lineage(merge_sessions(laps, status, weather, roles))
     cleaned = clean(merged, roles, dim)
     labeled = onset_label(cleaned, roles.race, roles.lap, roles.flag, roles.target)
     labeled = cut_lineage(labeled.withColumn(roles.year, year_of(roles.race)))

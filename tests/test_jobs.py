@@ -69,13 +69,3 @@ def test_season_and_profile(spark):
     assert p["shape"].first().rows == 3
     share = {r.SC: r.share for r in p["flag_share"].collect()}
     assert abs(share[1] - 1 / 3) < 1e-12
-
-
-def test_merge_bucket_widths_agree(spark):
-    d = "/root/testdata/sf0.001"
-    laps, status, weather = fx.fm_laps(spark, d), fx.fm_status(spark, d), fx.fm_weather(spark, d)
-    cols = ["event_id", "SafetyCar", "YellowFlag", "RedFlag", "VirtualSafetyCar", "AirTemp"]
-    ref = sorted(tuple(r) for r in merge_sessions(laps, status, weather, bucket_seconds=None).select(*cols).collect())
-    for b in (600, "auto"):
-        got = sorted(tuple(r) for r in merge_sessions(laps, status, weather, bucket_seconds=b).select(*cols).collect())
-        assert got == ref

@@ -1,4 +1,4 @@
-"""A3-A5, T1-T6 on the reference fixtures plus properties."""
+"""Edge cases and properties."""
 
 from pyspark.sql import functions as F
 
@@ -67,3 +67,35 @@ def test_folds_prefix_sample(spark):
     assert tail.count() == 21
     assert seeded_sample(df, 10, ["id"]).count() == 10
     assert seeded_sample(df, 500, ["id"]).count() == 103
+
+
+def test_folds_do_not_change_with_nulls_and_partitions(spark):
+    df = spark.range(0, 400).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("a"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    fold = lambda d: {r.id: r.fold for r in stratified_folds(d, "y", ["a", "id"], 5, 42).collect()}
+    one = fold(df)
+    assert one == fold(df.repartition(7)) == fold(df.orderBy(F.desc("id")).repartition(2))
+    counts = [sum(f == k for f in one.values()) for k in range(5)]
+    assert max(counts) - min(counts) <= 2
+
+
+def test_sample_draws_rows_with_null_keys(spark):
+    df = spark.range(0, 5000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("a"))
+    drawn = seeded_sample(df, 400, ["a", "id"]).where("a is not null").count()
+    assert 15 <= drawn <= 75
+
+
+def test_fallback_split_parts_add_up_with_null_group(spark):
+    df = spark.range(0, 1000).select("id", F.when(F.col("id") % 10 != 0, (F.col("id") % 13).cast("string")).alias("RaceId"))
+    lab = split_labels(df, "RaceId", (0.7, 0.2, 0.1), 42)
+    assert lab.count() == 1000 and lab.where("split is null").count() == 0
+    assert lab.select("RaceId", "split").distinct().count() == 14          # the null group has one part
+    one = split_labels(df.where("RaceId is null"), "RaceId", (0.7, 0.2, 0.1), 42, row_key=["id"])
+    assert {r.split: r["count"] for r in one.groupBy("split").count().collect()} == {"train": 70, "test": 20, "holdout": 10}
+
+
+def test_prefix_split_with_ties_adds_up(spark):
+    df = spark.range(0, 500).select("id", (F.col("id") % 4).alias("o"))
+    head, tail = prefix_split(df, "o", 0.8, tie=["id"])
+    a, b = {r.id for r in head.collect()}, {r.id for r in tail.collect()}
+    assert len(a) == 400 and not a & b and len(a | b) == 500
+    assert a == {i for _, i in sorted((i % 4, i) for i in range(500))[:400]}

@@ -5,7 +5,8 @@ import statistics
 
 from pyspark.sql import functions as F
 
-from seqrisk.operators.ranking import exact_medians, global_rank, running_sums
+from seqrisk.operators.ranking import (exact_medians, global_rank, hash_order, ordered_ranges, running_last,
+                                       running_sums)
 
 
 def test_exact_medians_match_python(spark):
@@ -18,24 +19,48 @@ def test_exact_medians_match_python(spark):
                          float(rng.randint(0, 3))))
     rows += [("allnull", None, 1.0)]
     df = spark.createDataFrame(rows, "g string, a double, b double")
-    for nb, cap in ((1, 10**6), (4, 0), (16, 0), (16, 10**6)):
-        got = {r.g: (r.a, r.b) for r in
-               exact_medians(df, ["g"], ["a", "b"], n_buckets=nb, max_group_values=cap).collect()}
-        for g in {r[0] for r in rows}:
-            va = [r[1] for r in rows if r[0] == g and r[1] is not None]
-            vb = [r[2] for r in rows if r[0] == g]
-            ea = statistics.median(va) if va else None
-            ga = got.get(g, (None, None))[0]
-            assert (ga is None and ea is None) or abs(ga - ea) < 1e-12
-            assert abs(got[g][1] - statistics.median(vb)) < 1e-12
-    for cap in (0, 10**6):
-        glob = exact_medians(df, [], ["a"], max_group_values=cap).first()["a"]
-        assert abs(glob - statistics.median([r[1] for r in rows if r[1] is not None])) < 1e-12
+    got = {r.g: (r.a, r.b) for r in exact_medians(df, ["g"], ["a", "b"]).collect()}
+    for g in {r[0] for r in rows}:
+        va = [r[1] for r in rows if r[0] == g and r[1] is not None]
+        vb = [r[2] for r in rows if r[0] == g]
+        ea = statistics.median(va) if va else None
+        ga = got.get(g, (None, None))[0]
+        assert (ga is None and ea is None) or abs(ga - ea) < 1e-12
+        assert abs(got[g][1] - statistics.median(vb)) < 1e-12
+    glob = exact_medians(df, [], ["a"]).first()["a"]
+    assert abs(glob - statistics.median([r[1] for r in rows if r[1] is not None])) < 1e-12
+
+
+def test_one_group_with_nearly_all_rows_is_many_ranges(spark, no_coalescing):
+    df = spark.range(0, 20_000).select(F.when(F.col("id") % 50 == 0, "small").otherwise("hot").alias("g"),
+                                       (F.col("id") * 7919 % 20_011).cast("double").alias("x"))
+    cut = ordered_ranges(df, ["g"], [F.col("x")])
+    sizes = [r["count"] for r in cut.groupBy("g", "__rb").count().collect()]
+    assert max(sizes) < 0.5 * 20_000                  # the hot group does not sit in one range
+    got = {r.g: r.x for r in exact_medians(df, ["g"], ["x"]).collect()}
+    for g in ("hot", "small"):
+        assert got[g] == statistics.median([i * 7919 % 20_011 for i in range(20_000) if (i % 50 == 0) == (g == "small")])
+
+
+def test_running_last_carries_over_ranges(spark):
+    df = spark.range(0, 1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"),
+                                     F.when(F.col("id") % 200 < 3, F.col("id")).alias("v"))
+    out = running_last(df, ["t"], "v", "last", ["k"]).collect()
+    for r in out:
+        want = max((i for i in range(r.t + 1) if i % 3 == r.k and i % 200 < 3), default=None)
+        assert r["last"] == want
+
+
+def test_hash_order_tells_keys_apart(spark):
+    rows = [("1", "23"), ("12", "3"), (None, "123"), ("", "123"), ("~", "123"), (None, None), ("1:a", None)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert len({r.h for r in df.select(hash_order(["a", "b"], 42).alias("h")).collect()}) == len(rows)
+    assert df.select(hash_order(["a", "b"], 42).alias("h")).where("h is null").count() == 0
 
 
 def test_running_sums_and_rank(spark):
     df = spark.range(0, 500).withColumn("w", (F.col("id") % 7).cast("long"))
-    out = running_sums(df, "id", [F.col("id")], {"cum": F.col("w")}, n_buckets=9).collect()
+    out = running_sums(df, [F.col("id")], {"cum": F.col("w")}).collect()
     acc, exp = 0, {}
     for i in range(500):
         acc += i % 7
@@ -44,7 +69,7 @@ def test_running_sums_and_rank(spark):
     r = global_rank(spark.range(0, 300).withColumnRenamed("id", "k"), ["k"], 42).collect()
     assert sorted(x["rank"] for x in r) == list(range(1, 301))
     import hashlib
-    order = sorted(range(300), key=lambda k: hashlib.md5(f"{k}42".encode()).hexdigest())
+    order = sorted(range(300), key=lambda k: hashlib.md5(f"{len(str(k))}:{k}|42".encode()).hexdigest())
     assert [x.k for x in sorted(r, key=lambda x: x["rank"])] == order
 
 
@@ -53,12 +78,11 @@ def test_two_level_path_with_extra_aggs(spark):
     rows = [("a", 1.0), ("a", None), ("a", 3.0), ("b", None), ("b", None), (None, 10.0), (None, None)]
     df = spark.createDataFrame(rows, "g string, x double")
     extra = [F.count(F.lit(1)).alias("n")]
-    for cap in (0, 10**6):
-        r = exact_medians(df, [], ["x"], max_group_values=cap, extra_aggs=extra).first()
-        assert (r.x, r.n) == (3.0, 7)
-        got = {(r.g, r.x) for r in exact_medians(df, ["g"], ["x"], max_group_values=cap).collect()}
-        # groups without values (and a null key on the two-level path) may be absent: callers left-join
-        assert ("a", 2.0) in got and got <= {("a", 2.0), ("b", None), (None, 10.0)}
+    r = exact_medians(df, [], ["x"], extra_aggs=extra).first()
+    assert (r.x, r.n) == (3.0, 7)
+    assert {(r.g, r.x) for r in exact_medians(df, ["g"], ["x"]).collect()} == {("a", 2.0), (None, 10.0)}
+    assert {(r.g, r.x, r.n) for r in exact_medians(df, ["g"], ["x"], extra_aggs=extra).collect()} == {
+        ("a", 2.0, 3), ("b", None, 2), (None, 10.0, 2)}
     # group fill: a -> 2.0; b stays null then takes the global median of the
     # filled column (1, 2, 3, 10) = 2.5; the null-group row only gets the global
     out = sorted((r.g or "", r.x) for r in fill_group_then_global_median(df, ["x"], "g").collect())
