@@ -1,10 +1,11 @@
 """Feature pipeline: interactions, fitted parameters, transform.
 
-Fitting produces a small parameter set (per numeric column: median, mean,
-population std of the imputed column; per categorical column: its sorted
-vocabulary). Its size is bounded by the number of columns and categories and
-checked, so it is collected to the driver and applied as plain column
-expressions: the transform is one projection, no join, no UDF.
+Fitted parameters are tables: ``stats_table`` (one row per numeric column) and
+``vocab_table`` (one row per category, of any number). ``one_hot_rows`` encodes
+sparsely by joining the vocabulary; the model's pipeline has its own indexers
+and sparse encoders. The wide ``Col_category`` output of ``transform_features``
+takes the vocabulary to the driver, one output column per category, and is for
+columns with few of them.
 """
 
 from __future__ import annotations
@@ -17,9 +18,8 @@ from pyspark.sql import functions as F
 
 from seqrisk.config import FeatureRoles
 from seqrisk.functions.expr import bool_to_int
-from seqrisk.operators.ranking import exact_medians
+from seqrisk.operators.ranking import exact_medians, running_sums
 
-MAX_CATEGORIES = 10000
 UNKNOWN = "unknown"
 
 
@@ -37,21 +37,16 @@ def interaction_names(df_columns: Sequence[str], pairs) -> list[str]:
 
 @dataclass
 class FeatureParams:
-    categorical: dict = field(default_factory=dict)   # col -> sorted categories
+    categorical: dict = field(default_factory=dict)   # col -> sorted categories (wide output)
     numeric: dict = field(default_factory=dict)       # col -> (median, mean, std)
     boolean: list = field(default_factory=list)
     inputs: list = field(default_factory=list)        # feature input columns
+    indexed: list = field(default_factory=list)       # categorical columns that the model encodes
 
     def output_columns(self) -> list[str]:
         cols = [f"{c}_{v}" for c, vs in self.categorical.items() for v in vs]
         return cols + list(self.numeric) + list(self.boolean)
 
-    def to_rows(self) -> list[tuple]:
-        rows = [(c, "category", v, None, None, None) for c, vs in self.categorical.items() for v in vs]
-        rows += [(c, "numeric", None, m, a, s) for c, (m, a, s) in self.numeric.items()]
-        rows += [(c, "boolean", None, None, None, None) for c in self.boolean]
-        return rows
-
 
 def feature_inputs(df: DataFrame, roles: FeatureRoles) -> tuple[list, list, list]:
     cat = [c for c in roles.categorical if c in df.columns]
@@ -62,40 +57,63 @@ def feature_inputs(df: DataFrame, roles: FeatureRoles) -> tuple[list, list, list
     return cat, num, boo
 
 
-def category_vocab(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> dict:
-    """Sorted distinct values per column after null -> 'unknown'. One
-    small aggregation; fails loudly past ``limit`` categories."""
-    out = {}
-    for c in cols:
-        v = F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("v")
-        vals = [r["v"] for r in df.select(v).distinct().limit(limit + 1).collect()]
-        if len(vals) > limit:
-            raise ValueError(f"{c}: more than {limit} categories")
-        out[c] = sorted(vals)
+def _category(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))
+
+
+def vocab_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(feature, category, position): the distinct values per column after
+    null -> 'unknown', numbered from 0 in order. One aggregation for all
+    columns; positions are running counts over ranges of the categories."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), _category(c).alias("category")) for c in cols]))
+    seen = df.select(pairs.alias("p")).select("p.*").distinct()
+    ranked = running_sums(seen, [F.col("category")], {"n": F.lit(1)}, ["feature"])
+    return ranked.select("feature", "category", (F.col("n") - 1).cast("int").alias("position"))
+
+
+def category_vocab(df: DataFrame, cols: Sequence[str]) -> dict:
+    """A8 for the wide output: sorted categories per column, on the driver."""
+    out = {c: [] for c in cols}
+    if cols:
+        for r in vocab_table(df, cols).orderBy("feature", "position").toLocalIterator():
+            out[r["feature"]].append(r["category"])
     return out
 
 
+def one_hot_rows(df: DataFrame, vocab: DataFrame, cols: Sequence[str], ids: Sequence[str]) -> DataFrame:
+    """M2, sparse: one row (ids..., feature, position) per row and column of
+    ``df`` whose category the vocabulary knows; unseen ones have no row."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), _category(c).alias("category")) for c in cols]))
+    long = df.select(*ids, pairs.alias("p")).select(*ids, "p.*")
+    return long.join(vocab, ["feature", "category"]).select(*ids, "feature", "position")
+
+
+def stats_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(feature, median, mean, std): exact median per column, then mean and
+    population std of the median-imputed column (std 0 or undefined counts as
+    1). The medians are one row and ride along as a scalar subquery."""
+    med = exact_medians(df, [], cols).select(F.struct(*cols).alias("m")).scalar()
+    filled = {c: F.coalesce(F.col(c).cast("double"), med.getField(c)) for c in cols}
+    row = df.agg(*[F.avg(filled[c]).alias(f"a_{c}") for c in cols], *[F.stddev_pop(filled[c]).alias(f"s_{c}") for c in cols])
+    one = [F.struct(F.lit(c).alias("feature"), med.getField(c).alias("median"), F.col(f"a_{c}").alias("mean"),
+                    F.coalesce(F.when(F.col(f"s_{c}") != 0, F.col(f"s_{c}")), F.lit(1.0)).alias("std")) for c in cols]
+    return row.select(F.explode(F.array(*one)).alias("r")).select("r.*")
+
+
 def fit_stats(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Exact median per column, then mean and population std of the
-    median-imputed column (std 0 or undefined counts as 1)."""
+    """A7 as col -> (median, mean, std): one row per column."""
     if not cols:
         return {}
-    med = exact_medians(df, [], cols).first()
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(med[c])) for c in cols}
-    row = df.agg(*[F.avg(filled[c]).alias(f"a_{c}") for c in cols],
-                 *[F.stddev_pop(filled[c]).alias(f"s_{c}") for c in cols]).first()
-    out = {}
-    for c in cols:
-        s = row[f"s_{c}"]
-        out[c] = (med[c], row[f"a_{c}"], 1.0 if s is None or s == 0 else s)
-    return out
+    found = {r["feature"]: (r["median"], r["mean"], r["std"]) for r in stats_table(df, cols).collect()}
+    return {c: found[c] for c in cols}
 
 
-def fit_features(train: DataFrame, roles: FeatureRoles = FeatureRoles()) -> FeatureParams:
-    """M1 fit: parameters from the training frame only."""
+def fit_features(train: DataFrame, roles: FeatureRoles = FeatureRoles(), wide: bool = True) -> FeatureParams:
+    """M1 fit: parameters from the training frame only. ``wide`` gathers the
+    vocabularies for ``Col_category`` columns; the model does without."""
     d = add_interactions(train, roles.interactions) if roles.include_interactions else train
     cat, num, boo = feature_inputs(d, roles)
-    return FeatureParams(category_vocab(d, cat), fit_stats(d, num), boo, cat + num + boo)
+    return FeatureParams(category_vocab(d, cat) if wide else {}, fit_stats(d, num), boo, cat + num + boo, [] if wide else cat)
 
 
 def feature_exprs(params: FeatureParams, prefix: str = "") -> list[Column]:

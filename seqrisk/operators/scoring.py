@@ -16,6 +16,7 @@ from seqrisk.config import DEFAULT_THRESHOLD, INTERACTIONS, REQUEST_DEFAULTS
 from seqrisk.functions.expr import decide, parse_race_id
 from seqrisk.operators.features import add_interactions
 
+# The error and message texts of the response contract.
 MISSING = ("Invalid request", "Missing required parameters: race_id, lap")
 
 
@@ -68,12 +69,14 @@ def linear_scorer(coefs: dict, intercept: float) -> Callable[[DataFrame], Column
     return prob
 
 
-def score_requests(df: DataFrame, scorer: Callable[[DataFrame], Column], threshold=DEFAULT_THRESHOLD,
+def score_requests(df: DataFrame, scorer: Callable[[DataFrame], Column] | object, threshold=DEFAULT_THRESHOLD,
                    defaults: dict = REQUEST_DEFAULTS, race_id: str = "race_id", lap: str = "lap",
                    keep: list[str] | None = None) -> DataFrame:
     """M7: validate, parse the race id (year, track), fill defaults, add the
     interactions, score. Valid rows get probability / will_deploy_sc; invalid
-    rows keep error and message with null scores (no invented answers)."""
+    rows keep error and message with null scores (no invented answers).
+    ``scorer`` is a DataFrame -> Column function or a ``ModelScorer`` (a trained
+    model with its feature parameters); batch and stream alike."""
     keep = keep or []
     v = validate_requests(df, race_id, lap)
     parsed = v.withColumn("__p", parse_race_id(race_id))
@@ -82,7 +85,11 @@ def score_requests(df: DataFrame, scorer: Callable[[DataFrame], Column], thresho
     d = add_interactions(d, INTERACTIONS)
     ok = F.col("error").isNull()
     t = F.lit(float(threshold)) if isinstance(threshold, (int, float)) else threshold
-    p = F.when(ok, scorer(d))
+    if hasattr(scorer, "add_probability"):
+        d = scorer.add_probability(d, "__probability")
+        p = F.when(ok, F.col("__probability"))
+    else:
+        p = F.when(ok, scorer(d))
     return d.select(*keep, F.col(race_id).alias("race_id"), F.col("lap_number").alias("lap"),
                     F.when(ok, F.col("Year")).alias("year"), F.when(ok, F.col("TrackId")).alias("track"),
                     p.alias("probability"), F.when(ok, t.cast("double")).alias("threshold"),

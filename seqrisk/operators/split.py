@@ -60,6 +60,19 @@ def split_by_group(df: DataFrame, key: str = "RaceId", test_frac: float = TEST_F
     return not_in_keys(rest, test_keys, key), in_keys(rest, test_keys, key), holdout
 
 
+def label_parts(df: DataFrame, key: str = "RaceId", test_frac: float = TEST_FRACTION,
+                years: Sequence[int] = HOLDOUT_YEARS, seed=SEED, year: Column | None = None, out: str = "part") -> DataFrame:
+    """T2 as one frame: ``df`` with the part of each row. Only the distinct
+    keys are ranked; their parts are joined back. A null key is in train."""
+    y = year_of(key) if year is None else year
+    held = F.coalesce(y.isin(list(years)), F.lit(False))
+    keys = distinct_keys(df.where(~held), key)
+    ranked = global_rank(keys, [key], seed)
+    test = ranked.where(F.col("rank") <= F.floor(_count(keys) * F.lit(float(test_frac)))).select(F.col(key).alias("__key"), F.lit(True).alias("__test"))
+    part = F.when(held, F.lit("holdout")).when(F.col("__test"), F.lit("test")).otherwise(F.lit("train"))
+    return df.join(test, F.col(key) == F.col("__key"), "left").withColumn(out, part).drop("__key", "__test")
+
+
 def split_labels(df: DataFrame, key: str, fractions: Sequence[float] = FALLBACK_FRACTIONS,
                  seed=SEED, by_rows: bool | None = None, names=("train", "test", "holdout"),
                  out: str = "split", row_key: Sequence[str] | None = None) -> DataFrame:

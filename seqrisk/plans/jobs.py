@@ -11,20 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqrisk.config import (AUC_GATE, CV_FOLDS, HOLDOUT_YEARS, SEED, STATUS_FLAGS, TEST_FRACTION,
+from seqrisk.config import (AUC_GATE, CV_FOLDS, DEFAULT_THRESHOLD, HOLDOUT_YEARS, SEED, STATUS_FLAGS, TEST_FRACTION,
                             WEATHER_COLUMNS, WEATHER_MEDIAN_COLUMNS, FeatureRoles, Roles)
 from seqrisk.functions.expr import contains_flag, seconds, year_of
 from seqrisk.operators.enrich import clean, fill_group_median
-from seqrisk.operators.evaluation import metrics_row, quality_gate
+from seqrisk.operators.evaluation import latest_metric, metrics_row, quality_gate
 from seqrisk.operators.label import label_stats, onset_label
 from seqrisk.operators.model import (cross_validate, cv_summary, feature_importance, save_model, score,
                                      train_classifier)
 from seqrisk.operators.reports import (count_by, lap_risk, null_fraction, preview, race_list, race_rows,
                                        race_summary, shape, value_share)
-from seqrisk.operators.split import split_by_group
+from seqrisk.operators.split import label_parts
 from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end
+from seqrisk.plans.scratch import scratch_dir
 from seqrisk.session import cut_lineage
-from seqrisk.sources.files import save_dataframe
+from seqrisk.sources.files import load_dataframe, save_dataframe
 
 
 def merge_sessions(laps: DataFrame, status: DataFrame, weather: DataFrame, roles: Roles = Roles()) -> DataFrame:
@@ -47,37 +48,42 @@ def merge_sessions(laps: DataFrame, status: DataFrame, weather: DataFrame, roles
 def transform_job(spark: SparkSession, laps: DataFrame, status: DataFrame, weather: DataFrame,
                   out_dir: str | None = None, roles: Roles = Roles(), dim=None,
                   test_frac: float = TEST_FRACTION, holdout_years=HOLDOUT_YEARS, seed=SEED) -> dict:
-    """Merge, clean, label, split; optional Parquet outputs (full
-    partitioned by Year, train, test, holdout)."""
+    """Merge, clean, label, split. The result is written once, with a
+    ``part`` column, to ``out_dir``/full (partitioned by part and year) or a
+    scratch table; train, test and holdout are reads of their partitions."""
     merged = cut_lineage(merge_sessions(laps, status, weather, roles))
     cleaned = clean(merged, roles, dim)
     labeled = onset_label(cleaned, roles.race, roles.lap, roles.flag, roles.target)
-    labeled = cut_lineage(labeled.withColumn(roles.year, year_of(roles.race)))
-    train, test, holdout = split_by_group(labeled, roles.race, test_frac, holdout_years, seed,
-                                          year=F.col(roles.year))
-    out = {"full": labeled, "train": train, "test": test, "holdout": holdout}
-    if out_dir:
-        save_dataframe(labeled, f"{out_dir}/full", [roles.year])
-        for k in ("train", "test", "holdout"):
-            save_dataframe(out[k], f"{out_dir}/{k}")
-    out["stats"] = label_stats(labeled, roles.target)
+    labeled = labeled.withColumn(roles.year, year_of(roles.race))
+    labeled = label_parts(labeled, roles.race, test_frac, holdout_years, seed, year=F.col(roles.year))
+    path = f"{out_dir}/full" if out_dir else scratch_dir(spark, "x1")
+    save_dataframe(labeled, path, ["part", roles.year])
+    full = load_dataframe(spark, path)
+    out = {"full": full, **{k: full.where(F.col("part") == k).drop("part") for k in ("train", "test", "holdout")}}
+    out["stats"] = label_stats(full, roles.target)
     return out
 
 
 def train_job(spark: SparkSession, train: DataFrame, test: DataFrame, holdout: DataFrame,
               roles: FeatureRoles = FeatureRoles(), label: str = "sc_next_lap", params: dict | None = None,
               folds: int = CV_FOLDS, run_ts: int = 0, model_dir: str | None = None,
-              cv_key: list[str] | None = None) -> dict:
+              cv_key: list[str] | None = None,
+              metrics_path: str | None = None) -> dict:
     """Features fitted on train, class-weighted GBT, k-fold CV, metrics
-    for test and holdout (one row each), the AUC gate; model + feature
-    parameters saved together when ``model_dir`` is given."""
+    for test and holdout (one row each, appended to the table at
+    ``metrics_path``, which the threshold lookup and the gate read), model +
+    feature parameters saved together when ``model_dir`` is given."""
     model, fp = train_classifier(train, label, roles, params)
     metrics = None
     for name, part in (("test", test), ("holdout", holdout)):
         s = score(part, model, fp, 0.5, roles)
         m = metrics_row(s, label, "sc_probability", name).withColumn("run_ts", F.lit(run_ts))
         metrics = m if metrics is None else metrics.unionByName(m)
-    metrics = cut_lineage(metrics)
+    if metrics_path:
+        metrics.write.mode("append").parquet(metrics_path)
+        metrics = spark.read.parquet(metrics_path)
+    else:
+        metrics = cut_lineage(metrics)
     out = {"model": model, "features": fp, "metrics": metrics,
            "gate": quality_gate(metrics, "holdout", "auc", AUC_GATE)}
     if folds and folds > 1:
@@ -87,10 +93,16 @@ def train_job(spark: SparkSession, train: DataFrame, test: DataFrame, holdout: D
     return out
 
 
+def tuned_threshold(metrics: DataFrame, dataset: str = "holdout"):
+    """The threshold of the latest run, 0.5 where there is none, as a scalar."""
+    return latest_metric(metrics, dataset, "optimal_threshold", DEFAULT_THRESHOLD).select("optimal_threshold").scalar()
+
+
 def race_report(spark: SparkSession, df: DataFrame, model, fp, race_id: str | None = None,
-                threshold: float = 0.5, roles: FeatureRoles = FeatureRoles(), r: Roles = Roles()) -> dict:
+                threshold=0.5, roles: FeatureRoles = FeatureRoles(), r: Roles = Roles()) -> dict:
     """Race list, one race's rows scored, lap risk, race summary and the
-    model's feature importances."""
+    model's feature importances. ``threshold``: a number or a scalar, such as
+    the tuned one that ``tuned_threshold`` reads."""
     races = race_list(df, r.race)
     if race_id is None:
         race_id = races.first()[r.race]
@@ -102,7 +114,7 @@ def race_report(spark: SparkSession, df: DataFrame, model, fp, race_id: str | No
 
 def profile_report(df: DataFrame, season: str = "Season", event: str = "EventName", flag: str = "SC") -> dict:
     """Shape, preview, null fractions, rows per season and event, flag share."""
-    out = {"shape": shape(df), "preview": preview(df, df.columns[:2], 3), "nulls": null_fraction(df, 10)}
+    out = {"shape": shape(df), "preview": preview(df, df.columns[:3], 3), "nulls": null_fraction(df, 10)}
     if season in df.columns:
         out["per_season"] = count_by(df, [season])
         if event in df.columns:
@@ -113,10 +125,23 @@ def profile_report(df: DataFrame, season: str = "Season", event: str = "EventNam
 
 
 def season_job(laps: DataFrame, out_path: str | None = None, status_col: str = "TrackStatus",
-               season_col: str = "Year") -> DataFrame:
-    """Race laps with SC (status string contains '4'), Season and
-    EventName; one Parquet dataset."""
-    d = laps.withColumn("SC", contains_flag(status_col, "4")).withColumn("Season", F.col(season_col))
+               season_col: str = "Year", session_type: str = "SessionType") -> DataFrame:
+    """Laps of race sessions (where the session type is known) with SC
+    (status string contains '4'), Season and EventName; one Parquet dataset,
+    read back when written. No rows is an error."""
+    d = laps.where(F.col(session_type) == "R") if session_type in laps.columns else laps
+    d = d.withColumn("SC", contains_flag(status_col, "4")).withColumn("Season", F.col(season_col))
+    if d.isEmpty():
+        raise ValueError("no race laps to build a season from")
     if out_path:
         save_dataframe(d, out_path)
+        d = load_dataframe(laps.sparkSession, out_path)
     return d
+
+
+def report_rows(section: str, df: DataFrame, item, value=None, text=None) -> DataFrame:
+    """A section of a report as (section, item, value, text) rows."""
+    null = F.lit(None)
+    return df.select(F.lit(section).alias("section"), item.cast("string").alias("item"),
+                     (null if value is None else value).cast("double").alias("value"),
+                     (null if text is None else text).cast("string").alias("text"))

@@ -5,6 +5,8 @@ Fixture views are written once as CTE text and prefixed to each query.
 
 from __future__ import annotations
 
+from seqrisk.config import TRACKS
+
 # ------------------------------------------------------------------ F-A CTEs
 FA_LAPS = """
 fa_laps AS (
@@ -59,6 +61,13 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
 
+def hash_key(*cols: str) -> str:
+    """The seeded order key of the split operators."""
+    texts = [f"CAST({c} AS VARCHAR)" for c in cols]
+    parts = [f"coalesce(CAST(length({t}) AS VARCHAR) || ':' || {t}, '~')" for t in texts]
+    return "md5(" + " || '|' || ".join(parts) + " || '|42')"
+
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["interval_end"] = with_(FA_LAPS, FA_IV) + """
@@ -135,14 +144,14 @@ fb_r AS (SELECT RaceId, CAST(split_part(RaceId, '_', 1) AS INTEGER) AS yr, count
          FROM fb_laps GROUP BY RaceId)"""
 
 ORACLE["group_split"] = with_(FB_LAPS, FB_RACES) + """,
-k AS (SELECT RaceId, row_number() OVER (ORDER BY md5(RaceId || '42')) AS rk FROM fb_r WHERE yr <> 2001),
+k AS (SELECT RaceId, row_number() OVER (ORDER BY """ + hash_key("RaceId") + """) AS rk FROM fb_r WHERE yr <> 2001),
 c AS (SELECT count(*) AS n FROM k)
 SELECT r.RaceId, r.n_rows,
        CASE WHEN r.yr = 2001 THEN 'holdout' WHEN k.rk <= floor(c.n * 0.2) THEN 'test' ELSE 'train' END AS part
 FROM fb_r r LEFT JOIN k ON r.RaceId = k.RaceId CROSS JOIN c"""
 
 ORACLE["fallback_split"] = with_(FB_LAPS, FB_RACES) + """,
-k AS (SELECT RaceId, n_rows, row_number() OVER (ORDER BY md5(RaceId || '42')) AS rk FROM fb_r),
+k AS (SELECT RaceId, n_rows, row_number() OVER (ORDER BY """ + hash_key("RaceId") + """) AS rk FROM fb_r),
 c AS (SELECT count(*) AS n FROM k)
 SELECT RaceId, n_rows,
        CASE WHEN rk <= floor(n * 0.7) THEN 'train' WHEN rk <= floor(n * 0.9) THEN 'test' ELSE 'holdout' END AS part
@@ -156,7 +165,7 @@ fc AS (SELECT l.doc_id, l.quality AS y,
 
 ORACLE["stratified_folds"] = with_(FC) + """
 SELECT doc_id, y,
-       CAST((row_number() OVER (PARTITION BY y ORDER BY md5(CAST(doc_id AS VARCHAR) || '42')) - 1) % 5 AS INTEGER) AS fold
+       CAST((row_number() OVER (PARTITION BY y ORDER BY """ + hash_key("doc_id") + """) - 1) % 5 AS INTEGER) AS fold
 FROM fc"""
 
 ORACLE["prefix_split"] = with_(FC) + """
@@ -165,7 +174,30 @@ SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id) <= floor(0.8 * (SEL
 FROM fc"""
 
 ORACLE["seeded_sample"] = with_(FA_LAPS) + """
-SELECT event_id, race, lap FROM fa_laps ORDER BY md5(CAST(event_id AS VARCHAR) || '42') LIMIT 500"""
+SELECT event_id, race, lap FROM fa_laps ORDER BY """ + hash_key("event_id") + " LIMIT 500"
+
+ORACLE["fallback_split_nulls"] = with_(FB_LAPS) + """,
+g AS (SELECT Compound, count(*) AS n_rows FROM fb_laps GROUP BY Compound),
+k AS (SELECT *, row_number() OVER (ORDER BY """ + hash_key("Compound") + """) AS rk, count(*) OVER () AS n FROM g)
+SELECT Compound, n_rows,
+       CASE WHEN rk <= floor(n * 0.5) THEN 'train' WHEN rk <= floor(n * 0.75) THEN 'test' ELSE 'holdout' END AS part
+FROM k"""
+
+FC_NULL = "fc_n AS (SELECT *, CASE WHEN doc_id % 3 <> 0 THEN doc_id % 7 END AS half FROM fc)"
+
+ORACLE["fallback_split_rows"] = with_(FC, FC_NULL) + """,
+k AS (SELECT doc_id, row_number() OVER (ORDER BY """ + hash_key("half", "doc_id") + """) AS rk, count(*) OVER () AS n FROM fc_n)
+SELECT doc_id, CASE WHEN rk <= floor(n * 0.7) THEN 'train' WHEN rk <= floor(n * 0.9) THEN 'test' ELSE 'holdout' END AS part
+FROM k"""
+
+ORACLE["stratified_folds_nulls"] = with_(FC, FC_NULL) + """
+SELECT doc_id, y, CAST((row_number() OVER (PARTITION BY y ORDER BY """ + hash_key("half", "doc_id") + """) - 1) % 5 AS INTEGER) AS fold
+FROM fc_n"""
+
+ORACLE["prefix_split_ties"] = with_(FC) + """
+SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id % 5, doc_id) <= floor(0.8 * (SELECT count(*) FROM fc))
+                    THEN 'train' ELSE 'test' END AS part
+FROM fc"""
 
 ORACLE["class_weights"] = with_(FC) + """,
 c AS (SELECT y, count(*) AS n FROM fc WHERE y IS NOT NULL GROUP BY y),
@@ -371,12 +403,31 @@ def _stats_cte() -> str:
 ORACLE["fit_stats"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, _stats_cte()) + """
 SELECT feature, round(median, 6) AS median, round(mean, 6) AS mean, round(std, 6) AS std FROM fb_stats"""
 
-ORACLE["vocab"] = with_(FB_LAPS, FB_CLEAN, FB_INTER) + """
-SELECT 'Team' AS feature, v AS category, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS position
-FROM (SELECT DISTINCT coalesce(Team, 'unknown') AS v FROM fb_tr)
-UNION ALL
-SELECT 'Compound', v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER)
-FROM (SELECT DISTINCT coalesce(Compound, 'unknown') AS v FROM fb_tr)"""
+FB_VOCAB = "fb_vocab AS (" + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS feature, v AS category, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS position "
+    f"FROM (SELECT DISTINCT coalesce({c}, 'unknown') AS v FROM fb_tr) q" for c in ("Driver", "Team", "Compound")) + ")"
+
+ORACLE["vocab"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, FB_VOCAB) + "SELECT feature, category, position FROM fb_vocab"
+
+ORACLE["one_hot_sparse"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, FB_VOCAB) + "\nUNION ALL ".join(
+    f"SELECT h.l_orderkey, h.l_linenumber, v.feature, v.position FROM fb_ho h "
+    f"JOIN fb_vocab v ON v.feature = '{c}' AND v.category = coalesce(h.{c}, 'unknown')" for c in ("Driver", "Team", "Compound"))
+
+ORACLE["gbt_scores"] = with_(FB_LAPS, FB_CLEAN, FB_INTER) + """
+SELECT l_orderkey, l_linenumber, RaceId, LapNumber, true AS consistent FROM fb_ho"""
+
+ORACLE["model_round_trip"] = with_(FB_LAPS, FB_CLEAN, FB_INTER) + """
+SELECT l_orderkey, l_linenumber, true AS same FROM fb_ho"""
+
+ORACLE["cv_auc"] = with_(FB_LAPS, FB_CLEAN, FB_INTER) + """,
+st AS (SELECT RaceId, LapNumber, bool_or(coalesce(SafetyCar, false)) AS cur FROM fb_tr
+       WHERE RaceId IS NOT NULL AND LapNumber IS NOT NULL GROUP BY 1, 2),
+lab AS (SELECT a.RaceId, a.LapNumber FROM st a JOIN st b ON a.RaceId = b.RaceId AND b.LapNumber = a.LapNumber + 1
+        WHERE b.cur AND NOT a.cur AND a.LapNumber >= 1),
+y AS (SELECT CASE WHEN l.RaceId IS NULL THEN 0 ELSE 1 END AS y FROM fb_tr t
+      LEFT JOIN lab l ON t.RaceId = l.RaceId AND t.LapNumber = l.LapNumber),
+f AS (SELECT y, (row_number() OVER (PARTITION BY y) - 1) % 5 AS fold FROM y)
+SELECT CAST(fold AS INTEGER) AS fold, count(*) AS rows, CAST(sum(y) AS BIGINT) AS positives, true AS auc_ok FROM f GROUP BY fold"""
 
 
 def _scaled_select() -> str:
@@ -404,12 +455,18 @@ SELECT l_orderkey, l_linenumber, RaceId, Driver, EventName, SessionType, TrackId
 LINEAR = {"TyreLife": 0.01, "TrackTemp": 0.05, "LapNumber": 0.02, "SpeedST": 0.00002, "Position": -0.1}
 
 ORACLE["linear_attribution"] = with_(FB_LAPS, FB_CLEAN) + """,
-s AS (SELECT * FROM fb_clean
-      ORDER BY md5(concat_ws('_', l_orderkey, l_linenumber, Driver, LapNumber, SpeedST) || '42') LIMIT 500),
-mu AS (SELECT """ + ", ".join(f"avg({f}) AS {f}" for f in LINEAR) + """ FROM s)
+mu AS (SELECT """ + ", ".join(f"avg({f}) AS {f}" for f in LINEAR) + """ FROM fb_clean)
 """ + "\nUNION ALL\n".join(
     f"SELECT '{f}' AS feature, round(avg(abs({w} * (CAST(s.{f} AS DOUBLE) - mu.{f}))), 6) AS mean_abs "
-    f"FROM s CROSS JOIN mu" for f, w in LINEAR.items())
+    f"FROM fb_clean s CROSS JOIN mu" for f, w in LINEAR.items())
+
+ORACLE["lap_attribution"] = with_(FB_LAPS, FB_CLEAN) + """,
+mu AS (SELECT """ + ", ".join(f"avg({f}) AS {f}" for f in LINEAR) + """ FROM fb_clean),
+one AS (SELECT * FROM fb_clean WHERE RaceId = '1997_03_R'
+        ORDER BY LapNumber, l_orderkey, l_linenumber, Driver, SpeedST LIMIT 1)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{f}' AS feature, round({w} * (CAST(s.{f} AS DOUBLE) - mu.{f}), 6) AS attribution "
+    f"FROM one s CROSS JOIN mu" for f, w in LINEAR.items())
 
 FA_REQ = """
 fa_req0 AS (SELECT *, lpad(CAST(race % 100 AS VARCHAR), 2, '0') || '_Ev' || CAST(race AS VARCHAR) || '_' || driver AS rid
@@ -526,6 +583,16 @@ SELECT year, round, printf('%d_%02d_%s_%s', year, round, replace(event_name, ' '
 FROM fd_schedule"""
 
 ORACLE["multi_file_scan"] = with_(FA_LAPS) + """
+SELECT event_id, 'S' || (race % 4) AS RaceId, race, driver, lap,
+       CASE WHEN race % 4 <> 3 THEN round(lap_time_s, 6) END AS lap_time_s FROM fa_laps"""
+
+ORACLE["session_kinds"] = with_(FA_LAPS, FA_STATUS, FA_WEATHER) + """
+SELECT 'laps' AS kind, 'S' || (race % 4) AS RaceId, count(*) AS n, 0 AS unreadable FROM fa_laps GROUP BY 2
+UNION ALL SELECT 'track_status', 'S' || (race % 4), count(*), 0 FROM fa_status GROUP BY 2
+UNION ALL SELECT 'weather', 'S' || (race % 4), count(*), 0 FROM fa_weather GROUP BY 2
+UNION ALL SELECT 'damaged', 'S9', 0, 1"""
+
+ORACLE["partitioned_scan"] = with_(FA_LAPS) + """
 SELECT event_id, race, driver, lap, round(lap_time_s, 6) AS lap_time_s FROM fa_laps"""
 
 ORACLE["tagged_union"] = with_(FA_LAPS) + """
@@ -537,10 +604,102 @@ FROM fa_laps"""
 ORACLE["stream_scores"] = ORACLE["score_requests"]
 
 ORACLE["season_job"] = with_(FB_LAPS, FB_SC) + """
-SELECT l_orderkey, l_linenumber, Year AS Season, EventName, SC FROM fb_sc"""
-
-ORACLE["profile_report"] = with_(FB_LAPS) + """
-SELECT Year AS Season, EventName, count(*) AS rows FROM fb_laps GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 20"""
+SELECT l_orderkey, l_linenumber, Year AS Season, EventName, SC FROM fb_sc WHERE SessionType = 'R'"""
+
+PROFILE_COLUMNS = ["l_orderkey", "l_linenumber", "SpeedST", "EventName", "TrackStatus", "Compound", "SessionType", "Year", "SC", "Season"]
+
+ORACLE["profile_report"] = with_(FB_LAPS, FB_SC) + """,
+s AS (SELECT *, Year AS Season FROM fb_sc WHERE SessionType = 'R'),
+nf AS (""" + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS item, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS v FROM s" for c in PROFILE_COLUMNS) + """)
+SELECT 'shape' AS section, 'rows' AS item, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM s
+UNION ALL SELECT 'shape', 'columns', """ + str(len(PROFILE_COLUMNS)) + """.0, NULL
+UNION ALL (SELECT 'preview', l_orderkey || '_' || l_linenumber, round(SpeedST, 6), EventName FROM s ORDER BY l_orderkey, l_linenumber, SpeedST LIMIT 3)
+UNION ALL (SELECT 'nulls', item, round(v, 6), NULL FROM nf ORDER BY v DESC, item LIMIT 10)
+UNION ALL SELECT 'per_season', CAST(Season AS VARCHAR), count(*), NULL FROM s GROUP BY Season
+UNION ALL (SELECT 'per_event', Season || ' ' || EventName, count(*), NULL FROM s GROUP BY Season, EventName ORDER BY Season, EventName LIMIT 20)
+UNION ALL SELECT 'flag_share', CAST(SC AS VARCHAR), round(count(*) / (SELECT count(*) FROM s), 6), NULL FROM s GROUP BY SC"""
+
+ORACLE["model_requests"] = with_(FA_LAPS, FA_REQ) + """
+SELECT event_id, NOT missing AND lap_i IS NOT NULL AS scored, true AS consistent FROM fa_v"""
+
+# ------------------------------------------------------------- F-M: end-to-end jobs
+_NAMES = "[" + ", ".join(f"'{t[0]}'" for t in TRACKS) + "]"
+_KEY = f"printf('%d_%02d_%s_R', CAST(race % 5 + 2020 AS INTEGER), CAST(race % 24 + 1 AS INTEGER), {_NAMES}[CAST(race % {len(TRACKS)} AS INTEGER) + 1])"
+_DIM = ", ".join(f"({i}, '{k}', CAST({n} AS DOUBLE), {c})" for i, (k, n, _, c) in enumerate(TRACKS))
+
+FM = f"""
+fm_laps AS (
+  SELECT event_id, {_KEY} AS RaceId, driver AS Driver, lap AS LapNumber, start, lap_time_s,
+         CASE WHEN event_id % 7 = 0 THEN 'Q' ELSE 'R' END AS SessionType, event_id % 10 <> 0 AS IsAccurate,
+         {_NAMES}[CAST(race % {len(TRACKS)} AS INTEGER) + 1] AS EventName
+  FROM fa_laps),
+fm_status AS (SELECT {_KEY} AS RaceId, time, status FROM fa_status),
+fm_weather AS (
+  SELECT RaceId, time, air_temp AS AirTemp FROM (
+    SELECT {_KEY} AS RaceId, time, air_temp, row_number() OVER (
+      PARTITION BY {_KEY}, time ORDER BY air_temp DESC NULLS LAST, humidity DESC NULLS LAST, event_id % 9 = 0 DESC,
+      event_id % 360 DESC) AS rn FROM fa_weather) q WHERE rn = 1),
+fm_next AS (SELECT RaceId, Driver, LapNumber - 1 AS lap, min(start) AS next_start FROM fm_laps
+            WHERE start IS NOT NULL GROUP BY 1, 2, 3),
+fm_iv AS (
+  SELECT l.*, CASE WHEN l.start IS NOT NULL THEN coalesce(n.next_start,
+           l.start + to_microseconds(CAST(round(l.lap_time_s * 1000000) AS BIGINT)), l.start + INTERVAL 120 SECOND) END AS stop
+  FROM fm_laps l LEFT JOIN fm_next n ON l.RaceId = n.RaceId AND l.Driver = n.Driver AND l.LapNumber = n.lap),
+fm_fl AS (
+  SELECT i.RaceId, i.Driver, i.LapNumber, bool_or(s.status = '2') AS YellowFlag, bool_or(s.status = '4') AS SafetyCar,
+         bool_or(s.status = '5') AS RedFlag, bool_or(s.status = '6') AS VirtualSafetyCar
+  FROM fm_iv i JOIN fm_status s ON s.RaceId = i.RaceId AND s.time >= i.start AND s.time < i.stop GROUP BY 1, 2, 3),
+fm_wx AS (SELECT i.*, w.AirTemp FROM fm_iv i ASOF LEFT JOIN fm_weather w ON i.RaceId = w.RaceId AND i.start >= w.time),
+fm_med AS (SELECT RaceId, median(AirTemp) AS m FROM fm_wx GROUP BY RaceId),
+fm_merged AS (
+  SELECT x.* REPLACE (coalesce(x.AirTemp, m.m) AS AirTemp), coalesce(f.YellowFlag, false) AS YellowFlag,
+         coalesce(f.SafetyCar, false) AS SafetyCar, coalesce(f.RedFlag, false) AS RedFlag,
+         coalesce(f.VirtualSafetyCar, false) AS VirtualSafetyCar, split_part(x.EventName, '_', 1) AS TrackId
+  FROM fm_wx x LEFT JOIN fm_med m ON x.RaceId = m.RaceId
+  LEFT JOIN fm_fl f ON x.RaceId = f.RaceId AND x.Driver = f.Driver AND x.LapNumber = f.LapNumber),
+fm_dim AS (SELECT * FROM (VALUES {_DIM}) t(ord, k, TrackLength, Corners)),
+fm_trk AS (SELECT t.TrackId, arg_max(d.TrackLength, d.ord) AS TrackLength, arg_max(d.Corners, d.ord) AS Corners
+           FROM (SELECT DISTINCT TrackId FROM fm_merged) t JOIN fm_dim d ON contains(lower(t.TrackId), lower(d.k)) GROUP BY 1),
+fm_clean AS (
+  SELECT m.*, coalesce(t.TrackLength, CAST(5.0 AS DOUBLE)) AS TrackLength, CAST(coalesce(t.Corners, 15) AS INTEGER) AS Corners,
+         CAST(split_part(m.RaceId, '_', 1) AS INTEGER) AS Year
+  FROM fm_merged m LEFT JOIN fm_trk t ON m.TrackId = t.TrackId
+  WHERE SessionType = 'R' AND lap_time_s IS NOT NULL AND IsAccurate),
+fm_st AS (SELECT RaceId, LapNumber, bool_or(SafetyCar) AS cur FROM fm_clean GROUP BY 1, 2),
+fm_lab AS (SELECT a.RaceId, a.LapNumber FROM fm_st a JOIN fm_st b ON a.RaceId = b.RaceId AND b.LapNumber = a.LapNumber + 1
+           WHERE b.cur AND NOT a.cur AND a.LapNumber >= 1),
+fm_keys AS (SELECT RaceId, row_number() OVER (ORDER BY {hash_key("RaceId")}) AS rk, count(*) OVER () AS n
+            FROM (SELECT DISTINCT RaceId FROM fm_clean WHERE Year <> 2024) q),
+fm_full AS (
+  SELECT c.*, CASE WHEN l.RaceId IS NULL THEN 0 ELSE 1 END AS sc_next_lap,
+         CASE WHEN c.Year = 2024 THEN 'holdout' WHEN k.rk <= floor(k.n * 0.2) THEN 'test' ELSE 'train' END AS part
+  FROM fm_clean c LEFT JOIN fm_lab l ON c.RaceId = l.RaceId AND c.LapNumber = l.LapNumber
+  LEFT JOIN fm_keys k ON c.RaceId = k.RaceId)"""
+
+FM_ALL = with_(FA_LAPS, FA_STATUS, FA_WEATHER, FM)
+
+ORACLE["transform_job"] = FM_ALL + """
+SELECT event_id, RaceId, Driver, LapNumber, SafetyCar, YellowFlag, RedFlag, VirtualSafetyCar, round(AirTemp, 6) AS AirTemp,
+       TrackId, round(TrackLength, 6) AS TrackLength, Corners, sc_next_lap, Year, part FROM fm_full"""
+
+ORACLE["train_job"] = FM_ALL + """,
+p AS (SELECT part, CAST(count(*) AS DOUBLE) AS n, CAST(sum(sc_next_lap) AS DOUBLE) AS pos FROM fm_full WHERE part <> 'train' GROUP BY part)
+SELECT 'rows' AS section, part AS item, n AS value, CAST(NULL AS VARCHAR) AS text FROM p
+UNION ALL SELECT 'positives', part, pos, NULL FROM p
+UNION ALL SELECT 'auc_in_range', part, 1.0, NULL FROM p
+UNION ALL SELECT 'gate', 'holdout', 1.0, NULL
+UNION ALL SELECT 'cv', 'train', 1.0, NULL"""
+
+ORACLE["race_report"] = FM_ALL + """,
+r AS (SELECT * FROM fm_full WHERE RaceId = (SELECT max(RaceId) FROM fm_full))
+SELECT 'races' AS section, RaceId AS item, CAST(NULL AS DOUBLE) AS value, 'Race: ' || RaceId AS text FROM (SELECT DISTINCT RaceId FROM fm_full) q
+UNION ALL SELECT 'rows', CAST(LapNumber AS VARCHAR), count(*), NULL FROM r GROUP BY LapNumber
+UNION ALL SELECT 'lap_risk', CAST(LapNumber AS VARCHAR), 1.0, CAST(bool_or(SafetyCar) AS VARCHAR) FROM r GROUP BY LapNumber
+UNION ALL SELECT 'summary', 'laps', max(LapNumber) - min(LapNumber), NULL FROM r
+UNION ALL SELECT 'summary', 'TrackLength', round(min(TrackLength), 6), min(TrackId) FROM r
+UNION ALL SELECT 'summary', 'median_AirTemp', round(median(AirTemp), 6), NULL FROM r
+UNION ALL SELECT 'importance', 'sum', 1.0, NULL"""
 
 ORACLE["api_requests"] = with_(FA_LAPS, FA_REQ) + """
 SELECT event_id, lap_i AS lap,

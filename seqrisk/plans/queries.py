@@ -9,6 +9,7 @@ two engines can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,27 +20,29 @@ from seqrisk.functions.expr import (bool_to_int, contains_flag, decide, epoch_mi
                                     parse_session_key, session_key)
 from seqrisk.operators.reports import (count_by, lap_risk, null_fraction, preview, race_list, race_rows,
                                        race_summary, shape, value_share)
-from seqrisk.plans.jobs import profile_report, race_report, season_job, train_job, transform_job
+from seqrisk.plans.jobs import (profile_report, race_report, report_rows, season_job, train_job,
+                                transform_job, tuned_threshold)
 from seqrisk.plans.scratch import scratch_dir
-from seqrisk.sources.files import (pending_sessions, read_sessions, tag_session, union_by_name,
-                                   write_sessions)
+from seqrisk.sources.files import (load_dataframe, pending_sessions, read_session_files, read_sessions, tag_session,
+                                   union_by_name, unreadable_files, write_session_files, write_sessions)
 from seqrisk.streaming.requests import score_stream
 from seqrisk.operators.enrich import (add_seconds_columns, add_track, clean, fill_constant,
                                      fill_group_median, valid_laps)
-from seqrisk.operators.features import (add_interactions, category_vocab, feature_inputs,
-                                        fit_features, fit_stats, transform_features)
+from seqrisk.operators.features import (add_interactions, feature_inputs, fit_features, one_hot_rows,
+                                        stats_table, transform_features, vocab_table)
 from seqrisk.operators.scoring import linear_scorer, score_requests
 from seqrisk.operators.evaluation import (average_precision, base_rate, calibration, confusion,
                                          latest_metric, metrics_row, pr_curve, quality_gate, rates,
                                          roc_auc, roc_curve, youden)
 from seqrisk.operators.label import attach_labels, label_stats, onset_label, onset_steps
-from seqrisk.operators.model import (balanced_weights, cross_validate, linear_attribution,
-                                     mean_abs_attribution, score, train_classifier)
+from seqrisk.operators.model import (ModelScorer, balanced_weights, cross_validate, lap_attribution,
+                                     linear_attribution, load_model, mean_abs_attribution, save_model, score,
+                                     train_classifier)
 from seqrisk.operators.split import (prefix_split, seeded_sample, split_by_group, split_labels,
                                      stratified_folds, year_holdout)
 from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end, interval_flag_table
 from seqrisk.plans import fixtures as fx
-from seqrisk.session import materialize
+from seqrisk.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -87,7 +90,7 @@ def q_interval_onset(spark, d):
     safety-car status starts in the next lap of the same race."""
     laps = fa_intervals(spark, d)
     # The narrow per-lap-key flag table feeds both the labels and the rows.
-    table = materialize(interval_flag_table(laps, fx.fa_status(spark, d), "race", "driver", "lap", "start",
+    table = cut_lineage(interval_flag_table(laps, fx.fa_status(spark, d), "race", "driver", "lap", "start",
                                             "interval_end", "race", "time", "status"))
     # Every step that has rows (a lap whose rows all lack a start has no
     # table entry but still counts as a step without the flag).
@@ -154,6 +157,39 @@ def q_fallback_split(spark, d):
     return lab.groupBy("RaceId", F.col("split").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("fallback_split_nulls")
+def q_fallback_split_nulls(spark, d):
+    """T3 on F-B by Compound, which is null in some rows: the null group is a
+    group, and the parts add up to all rows."""
+    lab = split_labels(fx.fb_laps(spark, d), "Compound", (0.5, 0.25, 0.25), 42)
+    return lab.groupBy("Compound", F.col("split").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("fallback_split_rows")
+def q_fallback_split_rows(spark, d):
+    """T3, row branch, on F-C: 70/20/10 of the rows in seeded hash order of a
+    key with nulls."""
+    s = fc_null_key(spark, d).withColumn("one", F.lit("only"))
+    return split_labels(s, "one", (0.7, 0.2, 0.1), 42, row_key=["half", "doc_id"]).select("doc_id", F.col("split").alias("part"))
+
+
+def fc_null_key(spark, d):
+    return fx.fc_scores(spark, d).withColumn("half", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") % 7))
+
+
+@query("stratified_folds_nulls")
+def q_stratified_folds_nulls(spark, d):
+    """T4 on F-C with a key column that is null in a third of the rows."""
+    return stratified_folds(fc_null_key(spark, d), "y", ["half", "doc_id"], 5, 42).select("doc_id", "y", "fold")
+
+
+@query("prefix_split_ties")
+def q_prefix_split_ties(spark, d):
+    """T5 on F-C by a column with ties, broken by doc_id."""
+    head, tail = prefix_split(fx.fc_scores(spark, d).withColumn("o", F.col("doc_id") % 5), "o", 0.8, tie=["doc_id"])
+    return head.select("doc_id", F.lit("train").alias("part")).unionByName(tail.select("doc_id", F.lit("test").alias("part")))
+
+
 @query("stratified_folds")
 def q_stratified_folds(spark, d):
     """T4 on F-C: 5 folds, stratified by y, seeded hash order of doc_id."""
@@ -329,10 +365,11 @@ def q_race_median_fill(spark, d):
 
 
 # ------------------------------------------------------------ features (F-B)
-FB_ROLES = FeatureRoles(categorical=("Team", "Compound"),
+FB_ROLES = FeatureRoles(categorical=("Driver", "Team", "Compound"),
                         numeric=("TrackLength", "Corners", "LapNumber", "Position", "TyreLife", "SpeedI1",
                                  "SpeedST", "AirTemp", "Rainfall", "TrackTemp"),
                         boolean=("FreshTyre", "VirtualSafetyCar", "YellowFlag"))
+WIDE_ROLES = replace(FB_ROLES, categorical=("Team", "Compound"))      # one output column per category
 
 
 def fb_train(spark, d):
@@ -357,26 +394,28 @@ def q_fit_stats(spark, d):
     per numeric feature, fitted on the training rows."""
     tr = add_interactions(fb_train(spark, d), INTERACTIONS)
     _, num, _ = feature_inputs(tr, FB_ROLES)
-    st = fit_stats(tr, num)
-    rows = [(c, float(m) if m is not None else None, float(a), float(s)) for c, (m, a, s) in st.items()]
-    df = spark.createDataFrame(rows, "feature string, median double, mean double, std double")
-    return df.select("feature", r6("median").alias("median"), r6("mean").alias("mean"), r6("std").alias("std"))
+    return stats_table(tr, num).select("feature", r6("median").alias("median"), r6("mean").alias("mean"), r6("std").alias("std"))
 
 
 @query("vocab")
 def q_vocab(spark, d):
     """Sorted categories (null -> 'unknown') of the training rows."""
     tr = fb_train(spark, d)
-    v = category_vocab(tr, list(FB_ROLES.categorical))
-    rows = [(c, x, i) for c, vals in v.items() for i, x in enumerate(vals)]
-    return spark.createDataFrame(rows, "feature string, category string, position int")
+    return vocab_table(tr, list(FB_ROLES.categorical))
+
+
+@query("one_hot_sparse")
+def q_one_hot_sparse(spark, d):
+    """M2, sparse, with Driver: the set positions of the holdout rows."""
+    cols = list(FB_ROLES.categorical)
+    return one_hot_rows(fb_holdout(spark, d), vocab_table(fb_train(spark, d), cols), cols, ["l_orderkey", "l_linenumber"])
 
 
 @query("scaled_features")
 def q_scaled_features(spark, d):
     """M1: parameters fitted on train, applied to the holdout rows (numeric
     and boolean outputs)."""
-    fp = fit_features(fb_train(spark, d), FB_ROLES)
+    fp = fit_features(fb_train(spark, d), FB_ROLES, wide=False)
     t = transform_features(fb_holdout(spark, d), fp, FB_ROLES)
     cols = list(fp.numeric) + list(fp.boolean)
     return t.select("l_orderkey", "l_linenumber", *[r6(c).alias(c) for c in cols])
@@ -385,8 +424,8 @@ def q_scaled_features(spark, d):
 @query("one_hot")
 def q_one_hot(spark, d):
     """M2: one-hot columns named Col_category on the holdout rows."""
-    fp = fit_features(fb_train(spark, d), FB_ROLES)
-    t = transform_features(fb_holdout(spark, d), fp, FB_ROLES)
+    fp = fit_features(fb_train(spark, d), WIDE_ROLES)
+    t = transform_features(fb_holdout(spark, d), fp, WIDE_ROLES)
     cols = [f"{c}_{v}" for c, vs in fp.categorical.items() for v in vs]
     return t.select("l_orderkey", "l_linenumber", *cols)
 
@@ -394,8 +433,8 @@ def q_one_hot(spark, d):
 @query("passthrough")
 def q_passthrough(spark, d):
     """The non-feature columns pass through the transform unchanged."""
-    fp = fit_features(fb_train(spark, d), FB_ROLES)
-    t = transform_features(fb_holdout(spark, d), fp, FB_ROLES)
+    fp = fit_features(fb_train(spark, d), WIDE_ROLES)
+    t = transform_features(fb_holdout(spark, d), fp, WIDE_ROLES)
     keep = ["l_orderkey", "l_linenumber", "RaceId", "Driver", "EventName", "SessionType", "TrackId",
             "TrackType", "SafetyCar"]
     return t.select(*keep, r6("LapTime_seconds").alias("LapTime_seconds"))
@@ -408,37 +447,78 @@ LINEAR_B0 = -2.0
 
 @query("gbt_scores")
 def q_gbt_scores(spark, d):
-    """M3 + M6 (+A6): class-weighted GBT (few trees) trained on train rows,
-    scoring the holdout. No SQL oracle (rows-only)."""
+    """M3 + M6 (+A6): class-weighted GBT trained on train rows (few trees, as an
+    argument), scoring the holdout. Returns each row's checks: a probability
+    within 0 and 1, and a decision that follows from it and the threshold."""
     tr = onset_label(fb_train(spark, d), "RaceId", "LapNumber", "SafetyCar")
     m, fp = train_classifier(tr, "sc_next_lap", FB_ROLES, {"maxIter": 5, "maxDepth": 3})
-    s = score(fb_holdout(spark, d), m, fp, 0.5, FB_ROLES)
-    return s.select("l_orderkey", "l_linenumber", "RaceId", "LapNumber", "sc_probability", "sc_prediction",
-                    "threshold")
+    return _checked(score(fb_holdout(spark, d), m, fp, 0.5, FB_ROLES), ["l_orderkey", "l_linenumber", "RaceId", "LapNumber"])
+
+
+def _checked(s, ids, p="sc_probability", decision="sc_prediction"):
+    ok = F.col(p).between(0.0, 1.0) & (F.col(decision).cast("int") == (F.col(p) >= F.col("threshold")).cast("int"))
+    return s.select(*ids, ok.alias("consistent"))
+
+
+@query("model_round_trip")
+def q_model_round_trip(spark, d):
+    """M5: a saved and reloaded model gives every holdout row the same score."""
+    tr = onset_label(fb_train(spark, d), "RaceId", "LapNumber", "SafetyCar")
+    m, fp = train_classifier(tr, "sc_next_lap", FB_ROLES, {"maxIter": 3, "maxDepth": 3})
+    path = scratch_dir(spark, "model")
+    save_model(m, fp, path)
+    m2, fp2 = load_model(path)
+    one = score(fb_holdout(spark, d), m, fp, 0.5, FB_ROLES)
+    both = score(one.drop("sc_prediction", "threshold").withColumnRenamed("sc_probability", "p1"), m2, fp2, 0.5, FB_ROLES)
+    return both.select("l_orderkey", "l_linenumber", (F.col("p1") == F.col("sc_probability")).alias("same"))
+
+
+@query("model_requests")
+def q_model_requests(spark, d):
+    """M7 with a trained model: the F-A requests scored by a (model, parameters)
+    pair at the tuned threshold that the metrics table holds (E11). Each valid
+    request has a consistent score, each invalid one none."""
+    out = fm_transform(spark, d)
+    metrics = scratch_dir(spark, "metrics")
+    job = train_job(spark, out["train"], out["test"], out["holdout"], FeatureRoles(), params={"maxIter": 3, "maxDepth": 3},
+                    folds=0, metrics_path=metrics)
+    t = tuned_threshold(load_dataframe(spark, metrics))
+    r = score_requests(fx.fa_requests(spark, d), ModelScorer(job["model"], job["features"]), t, keep=["event_id"])
+    ok = F.col("probability").between(0.0, 1.0) & (F.col("will_deploy_sc") == (F.col("probability") >= F.col("threshold")))
+    return r.select("event_id", F.col("probability").isNotNull().alias("scored"), F.coalesce(ok, F.col("error").isNotNull()).alias("consistent"))
 
 
 @query("cv_auc")
 def q_cv_auc(spark, d):
-    """M4 (+T4): 3-fold stratified CV AUC of a small GBT. Rows-only."""
+    """M4 (+T4): 5-fold stratified CV of a GBT (few trees, as an argument): rows
+    and positives of each fold, and whether its AUC is one."""
     tr = onset_label(fb_train(spark, d), "RaceId", "LapNumber", "SafetyCar")
-    folds = cross_validate(tr, "sc_next_lap", ["l_orderkey", "l_linenumber", "Driver"], 3, FB_ROLES,
-                           {"maxIter": 3, "maxDepth": 3})
-    return folds
+    folds = cross_validate(tr, "sc_next_lap", ["l_orderkey", "l_linenumber", "Driver"], 5, FB_ROLES,
+                           {"maxIter": 2, "maxDepth": 2})
+    return folds.select("fold", "rows", "positives", F.coalesce(F.col("auc").between(0.0, 1.0), F.lit(True)).alias("auc_ok"))
 
 
 @query("linear_attribution")
 def q_linear_attribution(spark, d):
-    """M8: additive contributions coef * (x - mean over the sample) of a fixed
-    linear scorer, mean |contribution| per feature over a 500-row seeded
-    sample of the cleaned rows."""
-    c = fb_clean(spark, d).withColumn("__id", F.concat_ws("_", "l_orderkey", "l_linenumber", "Driver",
-                                                          "LapNumber", "SpeedST"))
-    s = seeded_sample(c, 500, ["__id"], 42)
-    means = s.agg(*[F.avg(f).alias(f) for f in LINEAR]).first().asDict()
-    a = mean_abs_attribution(linear_attribution(s, LINEAR, means))
+    """M8: additive contributions coef * (x - mean) of a fixed linear scorer,
+    mean |contribution| per feature over all cleaned rows."""
+    c = fb_clean(spark, d)
+    a = mean_abs_attribution(linear_attribution(c, LINEAR, linear_means(c)))
     return a.select("feature", r6("mean_abs").alias("mean_abs"))
 
 
+def linear_means(df) -> dict:
+    return df.agg(*[F.avg(f).alias(f) for f in LINEAR]).first().asDict()
+
+
+@query("lap_attribution")
+def q_lap_attribution(spark, d):
+    """M8 for one chosen lap: the first of race 1997_03_R."""
+    c = fb_clean(spark, d)
+    one = lap_attribution(race_rows(c, "1997_03_R"), LINEAR, ["LapNumber", "l_orderkey", "l_linenumber", "Driver", "SpeedST"], linear_means(c))
+    return one.select("feature", r6("attribution").alias("attribution"))
+
+
 # ------------------------------------------------------------- scoring (F-A)
 REQ_COEFS = {"TyreLife": 0.01, "TrackTemp": 0.02, "LapNumber": 0.05,
              "TyreLife_TrackTemp_interaction": 0.001}
@@ -567,18 +647,58 @@ def q_session_key(spark, d):
 
 
 # --------------------------------------------------------- sources and sinks
+LAP_CONTRACT = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("race", T.LongType()),
+                             T.StructField("driver", T.StringType()), T.StructField("lap", T.IntegerType()),
+                             T.StructField("lap_time_s", T.DoubleType())])
+
+
+def session_folder(spark, d) -> str:
+    """F-A as flat session files, four sessions (race modulo 4) of three kinds:
+    lap is BIGINT in one session and DOUBLE in another, lap_time_s lacks in a
+    third, and one more session's laps file is no Parquet at all."""
+    root = scratch_dir(spark, "flat")
+    key = F.concat(F.lit("S"), (F.col("race") % 4).cast("string"))
+    laps = fx.fa_laps(spark, d).select("event_id", "race", "driver", "lap", "lap_time_s")
+    for i in range(4):
+        own = key == f"S{i}"
+        part = laps.where(own)
+        part = part.withColumn("lap", F.col("lap").cast("bigint")) if i == 1 else part.withColumn("lap", F.col("lap").cast("double")) if i == 2 else part
+        write_session_files({"laps": part.drop("lap_time_s") if i == 3 else part, "track_status": fx.fa_status(spark, d).where(own),
+                             "weather": fx.fa_weather(spark, d).where(own)}, root, f"S{i}")
+    spark.createDataFrame([("not a data file",)], "value string").coalesce(1).write.text(f"{root}/S9_laps.parquet")
+    return root
+
+
 @query("multi_file_scan")
 def q_multi_file_scan(spark, d):
-    """F-A laps written one directory per race (S5/S6 layout), read
-    back with the race key from the directory names; status written as
-    session files whose schemas drift (value as BIGINT for even races,
-    DOUBLE for odd ones) and read per schema, cast to a contract, unioned."""
+    """Flat ``<key>_laps.parquet`` files with drifting types, a lacking
+    column and a damaged file, read under a contract; the key is the file name."""
+    back = read_session_files(spark, session_folder(spark, d), "laps", contract=LAP_CONTRACT)
+    return back.select("event_id", "RaceId", "race", "driver", "lap", r6("lap_time_s").alias("lap_time_s"))
+
+
+@query("session_kinds")
+def q_session_kinds(spark, d):
+    """S2, S3, S6 and the report of damaged files: rows per kind and session;
+    a kind that nobody wrote reads as empty."""
+    root = session_folder(spark, d)
+    out = None
+    for kind, contract in (("laps", LAP_CONTRACT), ("track_status", None), ("weather", None), ("car_data", LAP_CONTRACT)):
+        f = read_session_files(spark, root, kind, contract=contract, required=kind == "laps")
+        f = f.groupBy("RaceId").agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "RaceId", "n", F.lit(0).alias("unreadable"))
+        out = f if out is None else out.unionByName(f)
+    bad = unreadable_files(spark, root, "laps").select(F.lit("damaged").alias("kind"), "RaceId", F.lit(0).cast("long").alias("n"), F.lit(1).alias("unreadable"))
+    return out.unionByName(bad)
+
+
+@query("partitioned_scan")
+def q_partitioned_scan(spark, d):
+    """S5 / S6, native layout: F-A laps written one directory per race and read
+    back with the race key from the directory names."""
     root = scratch_dir(spark, "sessions")
-    laps = fx.fa_laps(spark, d).select("race", "event_id", "driver", "lap", "lap_time_s")
-    write_sessions(laps, root, "laps", ["race"])
+    write_sessions(fx.fa_laps(spark, d).select("race", "event_id", "driver", "lap", "lap_time_s"), root, "laps", ["race"])
     back = read_sessions(spark, root, "laps")
-    return back.select("event_id", F.col("race").cast("long").alias("race"), "driver", "lap",
-                       r6("lap_time_s").alias("lap_time_s"))
+    return back.select("event_id", F.col("race").cast("long").alias("race"), "driver", "lap", r6("lap_time_s").alias("lap_time_s"))
 
 
 @query("tagged_union")
@@ -633,47 +753,78 @@ def fm_transform(spark, d) -> dict:
 @query("transform_job")
 def q_transform_job(spark, d):
     """X1 on the motorsport-shaped fixture: merged, cleaned, labeled rows
-    with the train / test / holdout part of each. Rows-only check."""
-    out = fm_transform(spark, d)
-    parts = None
-    for name in ("train", "test", "holdout"):
-        k = out[name].select("RaceId").distinct().withColumn("part", F.lit(name))
-        parts = k if parts is None else parts.unionByName(k)
-    return out["full"].join(parts, "RaceId", "left").select(
+    with the train / test / holdout part of each."""
+    return fm_transform(spark, d)["full"].select(
         "event_id", "RaceId", "Driver", "LapNumber", "SafetyCar", "YellowFlag", "RedFlag", "VirtualSafetyCar",
-        "AirTemp", "TrackId", "TrackLength", "Corners", "sc_next_lap", "Year", "part")
+        r6("AirTemp").alias("AirTemp"), "TrackId", r6("TrackLength").alias("TrackLength"), "Corners", "sc_next_lap", "Year", "part")
 
 
 @query("train_job")
 def q_train_job(spark, d):
-    """Small GBT trained on the X1 train part, metrics for test and
-    holdout, gate. Rows-only check."""
+    """GBT trained on the X1 train part (few trees, as an argument), metrics
+    of test and holdout appended to a table and read back, the gate, 5-fold
+    CV. As report rows: what the data fixes (rows, positives) by value, what
+    the model decides by its checks (1 = holds)."""
     out = fm_transform(spark, d)
-    job = train_job(spark, out["train"], out["test"], out["holdout"], FeatureRoles(),
-                    params={"maxIter": 5, "maxDepth": 3}, folds=0)
-    return job["metrics"]
+    job = train_job(spark, out["train"], out["test"], out["holdout"], FeatureRoles(), params={"maxIter": 2, "maxDepth": 2},
+                    folds=5, cv_key=["event_id"], metrics_path=scratch_dir(spark, "metrics"))
+    m, auc = job["metrics"], F.coalesce(F.col("auc").between(0.0, 1.0), F.lit(True)).cast("int")
+    gate = job["gate"].select((F.col("passed").eqNullSafe(F.col("value") >= F.col("minimum"))).cast("int").alias("ok"))
+    cv = job["cv"].select((F.col("mean_auc").between(0.0, 1.0) & (F.col("std_auc") >= 0)).cast("int").alias("ok"))
+    parts = [report_rows("rows", m, F.col("dataset"), F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")),
+             report_rows("positives", m, F.col("dataset"), F.col("tp") + F.col("fn")),
+             report_rows("auc_in_range", m, F.col("dataset"), auc),
+             report_rows("gate", gate, F.lit("holdout"), F.col("ok")), report_rows("cv", cv, F.lit("train"), F.col("ok"))]
+    return _long(parts)
+
+
+def _long(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @query("race_report")
 def q_race_report(spark, d):
-    """Lap risk of the newest race under a small trained model."""
+    """Every section of the report on the newest race under a trained model
+    (few trees, as an argument): races, rows, lap risk, summary, importances."""
     out = fm_transform(spark, d)
-    model, fp = train_classifier(out["train"], "sc_next_lap", FeatureRoles(), {"maxIter": 3, "maxDepth": 3})
-    return race_report(spark, out["full"], model, fp)["lap_risk"]
+    model, fp = train_classifier(out["train"], "sc_next_lap", FeatureRoles(), {"maxIter": 2, "maxDepth": 2})
+    rep = race_report(spark, out["full"], model, fp)
+    risk, summary = rep["lap_risk"], rep["summary"]
+    counts = rep["rows"].groupBy("LapNumber").agg(F.count(F.lit(1)).alias("n"))
+    total = rep["importance"].agg(F.sum("importance").alias("s"))
+    return _long([
+        report_rows("races", rep["races"], F.col("RaceId"), None, F.col("display_name")),
+        report_rows("rows", counts, F.col("LapNumber"), F.col("n")),
+        report_rows("lap_risk", risk, F.col("LapNumber"), F.col("sc_probability").between(0.0, 1.0).cast("int"), F.col("SafetyCar")),
+        report_rows("summary", summary, F.lit("laps"), F.col("max_lap") - F.col("min_lap")),
+        report_rows("summary", summary, F.lit("TrackLength"), r6("TrackLength"), F.col("TrackId")),
+        report_rows("summary", summary, F.lit("median_AirTemp"), r6("median_AirTemp")),
+        report_rows("importance", total, F.lit("sum"), F.round("s", 6).isin(0.0, 1.0).cast("int"))])
 
 
 @query("season_job")
 def q_season_job(spark, d):
-    """SC flag from the status string plus season tag, F-B."""
-    s = season_job(fb_sc(spark, d).drop("SC"), None, "TrackStatus", "Year")
+    """Race laps with SC flag from the status string and season tag,
+    F-B, written as one dataset and read back."""
+    s = season_job(fb_sc(spark, d).drop("SC"), scratch_dir(spark, "season"), "TrackStatus", "Year")
     return s.select("l_orderkey", "l_linenumber", "Season", "EventName", "SC")
 
 
 @query("profile_report")
 def q_profile_report(spark, d):
-    """X4 over the season build: laps per (season, event), first 20."""
-    s = season_job(fb_sc(spark, d).drop("SC"), None, "TrackStatus", "Year")
-    return profile_report(s)["per_event"]
+    """X4 over the season build: every section as report rows."""
+    cols = ["l_orderkey", "l_linenumber", "SpeedST", "EventName", "TrackStatus", "Compound", "SessionType", "Year"]
+    p = profile_report(season_job(fb_sc(spark, d).select(*cols), None, "TrackStatus", "Year"))
+    return _long([
+        report_rows("shape", p["shape"], F.lit("rows"), F.col("rows")), report_rows("shape", p["shape"], F.lit("columns"), F.col("columns")),
+        report_rows("preview", p["preview"], F.concat_ws("_", "l_orderkey", "l_linenumber"), r6("SpeedST"), F.col("EventName")),
+        report_rows("nulls", p["nulls"], F.col("column"), r6("null_fraction")),
+        report_rows("per_season", p["per_season"], F.col("Season"), F.col("rows")),
+        report_rows("per_event", p["per_event"], F.concat_ws(" ", "Season", "EventName"), F.col("rows")),
+        report_rows("flag_share", p["flag_share"], F.col("SC"), r6("share"))])
 
 
 API_COEFS = {"TyreLife": 0.01, "SpeedST": 0.001, "TrackLength": 0.1, "Corners": 0.01}

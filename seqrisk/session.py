@@ -72,11 +72,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{base}/seqrisk-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Persist a frame that several branches of one plan consume (memory,
-    spilling to disk). Column pruning makes the branches' plans differ, so
-    Spark would otherwise recompute the shared part once per branch."""
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +32,11 @@ def _fs(spark: SparkSession, path: str):
 
 
 def list_files(spark: SparkSession, root: str, pattern: str) -> list[str]:
-    """Paths under ``root`` matching a glob (a metadata listing on the driver:
-    names only, no data)."""
+    """Paths of files, or of datasets that are folders, under ``root`` matching
+    a glob (a metadata listing on the driver: names only, no data)."""
     fs, p, jvm = _fs(spark, root)
     st = fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, pattern))
-    return sorted(s.getPath().toString() for s in (st or []) if s.isFile())
+    return sorted(s.getPath().toString() for s in (st or []))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -67,15 +69,24 @@ def union_by_name(dfs: Iterable[DataFrame], contract: T.StructType | None = None
     return out
 
 
+def _key(path, kind: str):
+    """Session key: the name of the file (or folder) without ``_<kind>.parquet``."""
+    return F.regexp_extract(path, rf"([^/]+)_{kind}\.parquet(/[^/]*)?$", 1)
+
+
 def read_session_files(spark: SparkSession, root: str, kind: str = "laps", key: str = "RaceId",
                        contract: T.StructType | None = None, required: bool = True) -> DataFrame:
     """S1 (required) / S2, S3 (optional): every ``*_<kind>.parquet`` under
     ``root``, unioned by name, ``key`` := file name without ``_<kind>.parquet``.
-    Unreadable files are skipped. No file: an error when required, else an
-    empty frame with the contract's schema (plus ``key``)."""
-    # Nanosecond timestamps / durations written by pandas are read as BIGINT
-    # nanoseconds (instead of failing); the contract converts timestamps.
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    Files without a Parquet footer are skipped whole (``unreadable_files`` lists
+    them). No file: an error when required, else an empty frame with the
+    contract's schema (plus ``key``).
+
+    One read with merged schemas; only where column types conflict, one read
+    per distinct schema, cast to the contract. Timestamps that pandas wrote in
+    nanoseconds need ``spark.sql.legacy.parquet.nanosAsLong`` in the session
+    (``get_session`` sets it); the contract converts them.
+    """
     files = list_files(spark, root, f"*_{kind}.parquet")
     if not files:
         if required:
@@ -85,20 +96,21 @@ def read_session_files(spark: SparkSession, root: str, kind: str = "laps", key:
             fields.append(T.StructField(key, T.StringType()))
         return spark.createDataFrame([], T.StructType(fields))
     reader = spark.read.option("ignoreCorruptFiles", "true")
-    key_expr = F.regexp_replace(F.col("_metadata.file_name"), f"_{kind}\\.parquet$", "")
+    key_expr = _key(F.col("_metadata.file_path"), kind)
     try:
-        # Common case: one read, schemas merged by Spark (missing columns are
-        # fine); only conflicting column types need the per-schema path.
         merged = reader.option("mergeSchema", "true").parquet(*files)
         return union_by_name([merged.withColumn(key, key_expr)], contract)
-    except Exception:
-        pass
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
     groups: dict[str, list[str]] = {}
     for f in files:
         try:
             schema = reader.parquet(f).schema
-        except Exception:  # unreadable file: skipped, as the reference logs and skips
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            continue                          # no footer: skipped whole
         groups.setdefault(schema.json(), []).append(f)
     frames = [reader.parquet(*paths).withColumn(key, key_expr) for paths in groups.values()]
     if not frames:
@@ -106,6 +118,24 @@ def read_session_files(spark: SparkSession, root: str, kind: str = "laps", key:
     return union_by_name(frames, contract)
 
 
+def unreadable_files(spark: SparkSession, root: str, kind: str = "laps", key: str = "RaceId") -> DataFrame:
+    """(key, path, error) of the files of a kind that do not begin and end with
+    the Parquet mark. Reads the files, so it is for reports, not for every scan."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*").load(root)
+    mark = F.lit("PAR1").cast("binary")
+    whole = (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark)
+    ours = raw.where(F.col("path").rlike(rf"_{kind}\.parquet(/(part-|[^_./])[^/]*)?$") & ~whole)
+    return ours.select(_key(F.col("path"), kind).alias(key), "path", F.lit("no Parquet mark").alias("error"))
+
+
+def write_session_files(frames: dict, root: str, key: str) -> None:
+    """The kinds of one session (laps, weather, car data, track status) as
+    ``<root>/<key>_<kind>.parquet``; kinds that are None are left out."""
+    for kind, df in frames.items():
+        if df is not None:
+            df.write.mode("overwrite").parquet(f"{root}/{key}_{kind}.parquet")
+
+
 def read_sessions(spark: SparkSession, root: str, kind: str = "laps") -> DataFrame:
     """S1-S3, Spark-native layout (partition discovery of the session key)."""
     return spark.read.option("ignoreCorruptFiles", "true").parquet(f"{root}/{kind}")

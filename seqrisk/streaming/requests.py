@@ -26,7 +26,7 @@ def request_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
 
 
 def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
-                 scorer: Callable[[DataFrame], Column], out_dir: str, checkpoint_dir: str,
+                 scorer: Callable[[DataFrame], Column] | object, out_dir: str, checkpoint_dir: str,
                  threshold=DEFAULT_THRESHOLD, keep: list[str] | None = None, available_now: bool = True):
     """Start the streaming scoring query; returns the StreamingQuery."""
     s = score_requests(request_stream(spark, source_dir, schema), scorer, threshold, keep=keep)

@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from seqrisk.config import FeatureRoles
 from seqrisk.plans import fixtures as fx
-from seqrisk.plans.jobs import merge_sessions, profile_report, season_job, train_job, transform_job
+from seqrisk.plans.jobs import merge_sessions, profile_report, season_job, train_job, transform_job, tuned_threshold
 
 R = "2023_01_Bahrain_R"
 
@@ -15,26 +17,23 @@ def t(h, m, s=0):
     return dt.datetime(2023, 3, 5, h, m, s)
 
 
-def test_merge_on_reference_rows(spark):
+def test_merge_and_label_of_own_rows(spark):
     laps = spark.createDataFrame(
-        [(R, "HAM", "Mercedes", 1, t(15, 10), 90.0, "R", True, "Bahrain", 3),
-         (R, "HAM", "Mercedes", 2, t(15, 11, 30), 89.0, "R", True, "Bahrain", 2),
-         (R, "HAM", "Mercedes", 3, t(15, 13), 91.0, "R", True, "Bahrain", 2)],
+        [(R, "x1", "T", 11, t(9, 0), 100.0, "R", True, "Monza", 3), (R, "x1", "T", 12, t(9, 2), 110.0, "R", True, "Monza", 2),
+         (R, "x1", "T", 13, t(9, 4), None, "R", True, "Monza", 2), (R, "x1", "T", 14, t(9, 6), 95.0, "R", True, "Monza", 1)],
         "RaceId string, Driver string, Team string, LapNumber int, LapStartTime timestamp_ntz, LapTime double, "
         "SessionType string, IsAccurate boolean, EventName string, Position int")
-    status = spark.createDataFrame([(R, t(15, 12), "2"), (R, t(15, 14), "4")],
-                                   "RaceId string, Time timestamp_ntz, Status string")
-    weather = spark.createDataFrame([(R, t(15, 9), 28.5, 45.0, 0.0, 36.0), (R, t(15, 12, 30), 29.0, 44.0, 0.0, 37.0)],
-                                    "RaceId string, Time timestamp_ntz, AirTemp double, Humidity double, "
-                                    "Rainfall double, TrackTemp double")
+    status = spark.createDataFrame([(R, t(9, 2, 30), "4"), (R, t(9, 5), "2")], "RaceId string, Time timestamp_ntz, Status string")
+    weather = spark.createDataFrame([(R, t(9, 1), 17.0, 60.0, 0.0, 30.0), (R, t(9, 3), None, 61.0, 0.0, 31.0), (R, t(9, 5), 19.0, 62.0, 0.0, 32.0)],
+                                    "RaceId string, Time timestamp_ntz, AirTemp double, Humidity double, Rainfall double, TrackTemp double")
     m = {r.LapNumber: r for r in merge_sessions(laps, status, weather).collect()}
-    assert m[2].YellowFlag and not m[2].SafetyCar and m[3].SafetyCar
-    assert [m[i].AirTemp for i in (1, 2, 3)] == [28.5, 28.5, 29.0]
-    out = transform_job(spark, laps, status, weather, holdout_years=(2024,))
-    full = {r.LapNumber: r for r in out["full"].collect()}
-    assert full[2].sc_next_lap == 1 and full[1].sc_next_lap == 0
-    assert full[1].TrackId == "Bahrain" and full[1].TrackLength == 5.412 and full[1].Corners == 15
-    assert full[1].Year == 2023
+    assert [m[i].SafetyCar for i in (11, 12, 13, 14)] == [False, True, False, False] and m[13].YellowFlag
+    # lap 11 starts before any sample and lap 13's sample is null: both get the median of 17 and 19
+    assert [m[i].AirTemp for i in (11, 12, 13, 14)] == [18.0, 17.0, 18.0, 19.0]
+    full = {r.LapNumber: r for r in transform_job(spark, laps, status, weather, holdout_years=(2024,))["full"].collect()}
+    assert sorted(full) == [11, 12, 14]                     # lap 13 has no lap time
+    assert [full[i].sc_next_lap for i in (11, 12, 14)] == [1, 0, 0]
+    assert full[11].TrackId == "Monza" and full[11].TrackLength == 5.793 and full[11].Corners == 11 and full[11].Year == 2023
 
 
 def test_transform_and_train_on_tables(spark, tmp_path):
@@ -50,8 +49,14 @@ def test_transform_and_train_on_tables(spark, tmp_path):
     assert full.where(F.col("SessionType") != "R").count() == 0
     back = spark.read.parquet(str(tmp_path / "x1" / "full"))
     assert back.count() == n and "Year" in back.columns
-    job = train_job(spark, tr, te, ho, FeatureRoles(), params={"maxIter": 2, "maxDepth": 2}, folds=0,
-                    model_dir=str(tmp_path / "model"))
+    job = train_job(spark, tr, te, ho, FeatureRoles(), params={"maxIter": 2, "maxDepth": 2}, folds=2, cv_key=["event_id"],
+                    model_dir=str(tmp_path / "model"), metrics_path=str(tmp_path / "metrics"), run_ts=1)
+    train_job(spark, tr, te, ho, FeatureRoles(), params={"maxIter": 1, "maxDepth": 1}, folds=0, metrics_path=str(tmp_path / "metrics"), run_ts=2)
+    table = spark.read.parquet(str(tmp_path / "metrics"))
+    assert table.count() == 4
+    last = table.where("run_ts = 2 and dataset = 'holdout'").first()
+    assert spark.range(1).select(tuned_threshold(table).alias("t")).first().t == last.optimal_threshold
+    assert 0 <= job["cv"].first().mean_auc <= 1
     rows = {r.dataset: r for r in job["metrics"].collect()}
     assert set(rows) == {"test", "holdout"}
     for r in rows.values():
@@ -67,5 +72,7 @@ def test_season_and_profile(spark):
     p = profile_report(s)
     assert {r.Season: r.rows for r in p["per_season"].collect()} == {2023: 2, 2024: 1}
     assert p["shape"].first().rows == 3
+    with pytest.raises(ValueError):
+        season_job(laps.withColumn("SessionType", F.lit("Q")))
     share = {r.SC: r.share for r in p["flag_share"].collect()}
     assert abs(share[1] - 1 / 3) < 1e-12

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 
 from seqrisk.sources.files import (pending_sessions, read_session_files, read_sessions, union_by_name,
-                                   write_sessions)
+                                   unreadable_files, write_sessions)
 
 
 def test_flat_session_files(spark, tmp_path):
@@ -20,6 +20,8 @@ def test_flat_session_files(spark, tmp_path):
     df = read_session_files(spark, str(d), "laps")
     got = sorted((r.RaceId, r.LapNumber, float(r.LapTime)) for r in df.collect())
     assert got == [("2023_01_A_R", 1, 90.0), ("2023_01_A_R", 2, 91.0), ("2023_02_B_R", 1, 88.5)]
+    bad = unreadable_files(spark, str(d), "laps").collect()
+    assert [r.RaceId for r in bad] == ["2023_03_C_R"] and bad[0].path.endswith("2023_03_C_R_laps.parquet")
     empty = read_session_files(spark, str(d), "track_status", required=False)
     assert empty.count() == 0 and "RaceId" in empty.columns
     with pytest.raises(FileNotFoundError):
@@ -53,7 +55,8 @@ def test_entry_contract(spark):
     assert df.count() > 0
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) <= {"gbt_scores", "cv_auc", "transform_job", "train_job", "race_report"}
+    from seqrisk.plans.queries import QUERIES
+    assert set(QUERIES) <= set(o)
 
 
 def test_pandas_written_sessions_with_drift(spark, tmp_path):
