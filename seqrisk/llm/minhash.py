@@ -9,11 +9,15 @@ probability Jaccard of the weighted shingles.
 
 Texts of equal words are one class with one signature. Signatures are cut
 into bands; classes that share a band are candidates. Per band value all
-classes are compared with the smallest one (a star, not all pairs). Where a
+classes are compared with the smallest one (a star, not all pairs), and with
+a few others chosen by hash if they are many. Where a
 band value still holds more than one component, every pair between members of
-different components is compared too, apart from pairs inside the largest
-component: so each candidate pair is either compared or already connected.
-Comparison recomputes the exact probability Jaccard from the whole texts.
+different components is compared too, unless it cannot reach the threshold:
+with a and b the shares of weight that two texts have in shingles of no other
+text in question, their probability Jaccard is at most
+(1 - a) (1 - b) / (1 - a b). So each candidate pair is compared, already
+connected or impossible. Comparison recomputes the exact probability Jaccard
+from the whole texts.
 
 Defined cases: null texts and texts without a word link with nothing; a text
 of fewer than five words is one shingle; rows with a null id keep a null
@@ -30,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from seqrisk.llm import bytes_text as bt
-from seqrisk.llm.common import saved, small
+from seqrisk.llm.common import by_value, saved, small
 from seqrisk.llm.components import components
 
 WORDS = 5
 SIMILARITY = 0.8
+PIVOTS, MANY = 3, 8      # more centres of comparison for band values with many texts
 BANDS, ROWS = 24, 7      # a pair of similarity 0.8 shares a band with probability 0.996
 _U = np.uint64
+by_value(__name__)
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -140,6 +146,22 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataF
             .mapInArrow(work, "a long, b long, similarity double"))
 
 
+def own_share(texts: DataFrame, size: int) -> DataFrame:
+    """(node, own): share of a text's shingle weight in shingles of no other of ``texts``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, n, data, offsets in bt.blocks(batch.column(1)):
+                _, _, (h, d, c) = _shingles(data, offsets, size)
+                share = c / np.bincount(d, c, n)[d]
+                yield pa.record_batch([batch.column(0).slice(at, n).take(pa.array(d)), pa.array(h.view(np.int64)), pa.array(share)],
+                                      names=["node", "shingle", "share"])
+
+    each = texts.select("id", "text").mapInArrow(work, "node long, shingle long, share double")
+    alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("share").alias("share")).where("n = 1")
+    return alone.groupBy("node").agg(F.sum("share").alias("own"))
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame) -> DataFrame:
     """Texts of the given ids, one row each, as a table."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -159,9 +181,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = saved(known.groupBy("key1", "key2").agg(F.min("id").alias("class_id"), F.any_value("bands").alias("bands")))
     member = saved(classes.select("class_id", F.posexplode("bands").alias("band", "value"))
                    .select(F.xxhash64("band", "value").alias("bucket"), F.col("class_id").alias("node")))
-    hubs = member.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    shared = saved(member.join(hubs, "bucket").select("bucket", "node", "hub"))
-    stars = saved(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    by_hash = [F.min(F.struct(F.xxhash64(F.lit(p), "node"), "node"))["node"] for p in range(PIVOTS)]
+    hubs = member.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("hub"), F.array(*by_hash).alias("more")).where("n > 1")
+    hubs = hubs.select("bucket", F.when(F.col("n") > MANY, F.array_distinct(F.concat(F.array("hub"), "more"))).otherwise(F.array("hub")).alias("hubs"))
+    shared = saved(member.join(hubs, "bucket").select("bucket", "node", "hubs"))
+    stars = shared.select("node", F.explode("hubs").alias("hub")).where("node <> hub")
+    stars = saved(stars.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
     texts = _texts(docs, id_col, text_col, shared.select(F.col("node").alias("id")).distinct())
     links = saved(verify(stars, texts, size, least))
     found = components(links)
@@ -171,8 +196,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = (per.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("parts"))
              .where("parts > 1").drop("parts"))
     rest = saved(labelled.join(mixed, "bucket"))
-    minor = rest.where("component <> main").select("bucket", F.col("node").alias("u"), F.col("component").alias("cu"))
-    more = (minor.join(rest, "bucket").where("cu <> component and (component = main or u < node)")
+    left = saved(rest.select(F.col("node").alias("id")).distinct())
+    own = own_share(texts.join(F.broadcast(left) if small(left) else left, "id", "left_semi"), size)
+    # what cannot reach the threshold with any text leaves first, then pairs that cannot
+    rest = saved(rest.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0))).where(F.col("own") <= 1 - least + 1e-9))
+    minor = rest.where("component <> main").select("bucket", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("own").alias("ou"))
+    can = (1 - F.col("own")) * (1 - F.col("ou")) >= (least - 1e-9) * (1 - F.col("own") * F.col("ou"))
+    more = (minor.join(rest.withColumnRenamed("bucket", "other"), (F.col("bucket") == F.col("other")) & can & F.expr(
+                "cu <> component and (component = main or u < node)"))
             .select(F.least("u", "node").alias("a"), F.greatest("u", "node").alias("b")).distinct()
             .join(stars, ["a", "b"], "left_anti"))
     links = saved(links.unionByName(verify(saved(more), texts, size, least)))
