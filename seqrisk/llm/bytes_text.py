@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _U = np.uint64
 cloudpickle.register_pickle_by_value(sys.modules[__name__])     # goes with the tasks that use it

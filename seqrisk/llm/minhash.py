@@ -39,6 +39,7 @@ from seqrisk.llm.components import components
 
 WORDS = 5
 SIMILARITY = 0.8
+PAIRS_AT_ONCE = 512       # bounds the shingles that a task holds
 PIVOTS, MANY = 3, 8      # more centres of comparison for band values with many texts
 BANDS, ROWS = 24, 7      # a pair of similarity 0.8 shares a band with probability 0.996
 _U = np.uint64
@@ -126,7 +127,7 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataF
     """Pairs (a, b) with similarity of at least ``least``, with it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, PAIRS_AT_ONCE) for b in batches for k in range(0, b.num_rows, PAIRS_AT_ONCE)):
             sides = []
             for col in (2, 3):
                 found = []
