@@ -15,7 +15,9 @@ band value still holds more than one component, every pair between members of
 different components is compared too, unless it cannot reach the threshold:
 with a and b the shares of weight that two texts have in shingles of no other
 text in question, their probability Jaccard is at most
-(1 - a) (1 - b) / (1 - a b). So each candidate pair is compared, already
+(1 - a) (1 - b) / (1 - a b); if no shingle repeats in either, it is the Jaccard
+of sets of x and y shingles that share at most c = min(x (1 - a), y (1 - b)),
+so at most c / (x + y - c). So each candidate pair is compared, already
 connected or impossible. Comparison recomputes the exact probability Jaccard
 from the whole texts.
 
@@ -81,7 +83,8 @@ def _shingles(data: np.ndarray, offsets: np.ndarray, size: int):
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int) -> DataFrame:
-    """id, key1, key2 (of the word sequence; null without words), bands."""
+    """id, key1, key2 (of the word sequence; null without words), total (number of
+    shingles), plain (none repeats), bands."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,12 +99,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: in
                 k2 = bt.span_hashes(bt.mix(word ^ _U(0x5851F42D4C957F2D)), first[:-1], first[1:])
                 empty = np.diff(first) == 0
                 lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * bands, key.view(np.int64).ravel())
+                total = np.bincount(d, c, n).astype(np.int64)
                 yield pa.record_batch([batch.column(0).slice(at, n), pa.array(k1.view(np.int64), mask=empty),
-                                       pa.array(k2.view(np.int64), mask=empty), lists],
-                                      names=["id", "key1", "key2", "bands"])
+                                       pa.array(k2.view(np.int64), mask=empty), pa.array(total),
+                                       pa.array(total == np.bincount(d, minlength=n)), lists],
+                                      names=["id", "key1", "key2", "total", "plain", "bands"])
 
     rows_ = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return rows_.mapInArrow(work, "id long, key1 long, key2 long, bands array<long>")
+    return rows_.mapInArrow(work, "id long, key1 long, key2 long, total long, plain boolean, bands array<long>")
 
 
 def probability_jaccard(h1: np.ndarray, w1: np.ndarray, h2: np.ndarray, w2: np.ndarray) -> float:
@@ -179,7 +184,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     sig = saved(signatures(docs, id_col, text_col, size, bands, rows))
     known = sig.where("id is not null and key1 is not null")
-    classes = saved(known.groupBy("key1", "key2").agg(F.min("id").alias("class_id"), F.any_value("bands").alias("bands")))
+    classes = saved(known.groupBy("key1", "key2").agg(F.min("id").alias("class_id"), F.any_value("total").alias("total"),
+                                                        F.any_value("plain").alias("plain"), F.any_value("bands").alias("bands")))
     member = saved(classes.select("class_id", F.posexplode("bands").alias("band", "value"))
                    .select(F.xxhash64("band", "value").alias("bucket"), F.col("class_id").alias("node")))
     by_hash = [F.min(F.struct(F.xxhash64(F.lit(p), "node"), "node"))["node"] for p in range(PIVOTS)]
@@ -200,9 +206,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = saved(rest.select(F.col("node").alias("id")).distinct())
     own = own_share(texts.join(F.broadcast(left) if small(left) else left, "id", "left_semi"), size)
     # what cannot reach the threshold with any text leaves first, then pairs that cannot
-    rest = saved(rest.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0))).where(F.col("own") <= 1 - least + 1e-9))
-    minor = rest.where("component <> main").select("bucket", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("own").alias("ou"))
-    can = (1 - F.col("own")) * (1 - F.col("ou")) >= (least - 1e-9) * (1 - F.col("own") * F.col("ou"))
+    size_of = classes.select(F.col("class_id").alias("node"), "total", "plain")
+    rest = saved(rest.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
+                 .where(F.col("own") <= 1 - least + 1e-9).join(size_of, "node"))
+    minor = rest.where("component <> main").select("bucket", F.col("node").alias("u"), F.col("component").alias("cu"),
+                                                   F.col("own").alias("ou"), F.col("total").alias("tu"), F.col("plain").alias("pu"))
+    some = (1 - F.col("own")) * (1 - F.col("ou")) >= (least - 1e-9) * (1 - F.col("own") * F.col("ou"))
+    common = F.least(F.col("total") * (1 - F.col("own")), F.col("tu") * (1 - F.col("ou")))
+    can = some & (~(F.col("plain") & F.col("pu")) | (common * (1 + least) >= (least - 1e-9) * (F.col("total") + F.col("tu"))))
     more = (minor.join(rest.withColumnRenamed("bucket", "other"), (F.col("bucket") == F.col("other")) & can & F.expr(
                 "cu <> component and (component = main or u < node)"))
             .select(F.least("u", "node").alias("a"), F.greatest("u", "node").alias("b")).distinct()
