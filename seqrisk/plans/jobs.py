@@ -35,7 +35,7 @@ def merge_sessions(laps: DataFrame, status: DataFrame, weather: DataFrame, roles
     lt = "__lap_s"
     d = laps.withColumn(lt, seconds(r.lap_time, laps.schema[r.lap_time].dataType)) \
         if r.lap_time in laps.columns else laps.withColumn(lt, F.lit(None).cast("double"))
-    d = interval_end(d, r.race, r.driver, r.lap, r.start, lt, out="__end")
+    d = cut_lineage(interval_end(d, r.race, r.driver, r.lap, r.start, lt, out="__end"))   # feeds points and rows
     d = flag_intervals(d, status, r.race, r.driver, r.lap, r.start, "__end", r.race, r.event_time, r.status,
                        STATUS_FLAGS)
     wcols = [c for c in WEATHER_COLUMNS if c in weather.columns]

@@ -63,11 +63,11 @@ def r6(c):
 # ------------------------------------------------------------ temporal (F-A)
 def fa_intervals(spark, d) -> DataFrame:
     return interval_end(fx.fa_laps(spark, d), "race", "driver", "lap", "start", "lap_time_s",
-                        out="interval_end")
+                        out="interval_end").drop("props")
 
 
 def fa_flagged(spark, d) -> DataFrame:
-    return flag_intervals(fa_intervals(spark, d), fx.fa_status(spark, d), "race", "driver", "lap",
+    return flag_intervals(cut_lineage(fa_intervals(spark, d)), fx.fa_status(spark, d), "race", "driver", "lap",
                           "start", "interval_end", "race", "time", "status")
 
 
@@ -88,7 +88,7 @@ def q_status_flags(spark, d):
 def q_interval_onset(spark, d):
     """Flagship: J1 + J2 + A3 + A4 on F-A: label each lap with whether a
     safety-car status starts in the next lap of the same race."""
-    laps = fa_intervals(spark, d)
+    laps = cut_lineage(fa_intervals(spark, d))      # feeds the points, the steps and the rows
     # The narrow per-lap-key flag table feeds both the labels and the rows.
     table = cut_lineage(interval_flag_table(laps, fx.fa_status(spark, d), "race", "driver", "lap", "start",
                                             "interval_end", "race", "time", "status"))
@@ -315,10 +315,9 @@ def q_quality_gate(spark, d):
 
 
 # ------------------------------------------------- cleaning / enrich (F-B, F-A)
-@fx.view
 def fb_clean(spark, d) -> DataFrame:
-    """Cleaned F-B (the full cleaning stage), derived once per session: the
-    feature, model and report queries all start from it."""
+    """Cleaned F-B (the full cleaning stage): the feature, model and report
+    queries all start from it."""
     return clean(fx.fb_laps(spark, d), Roles(), dim=fx.FB_TRACKS)
 
 
@@ -376,8 +375,10 @@ def fb_train(spark, d):
     return fb_clean(spark, d).where(F.col("Year") < 2001)
 
 
-def fb_holdout(spark, d):
-    return fb_clean(spark, d).where(F.col("Year") == 2001)
+def fb_parts(spark, d):
+    """(train, holdout) of one cleaning stage, written once."""
+    c = cut_lineage(fb_clean(spark, d))
+    return c.where(F.col("Year") < 2001), c.where(F.col("Year") == 2001)
 
 
 @query("interactions")
@@ -392,7 +393,7 @@ def q_interactions(spark, d):
 def q_fit_stats(spark, d):
     """Exact median, then mean and population std of the imputed column,
     per numeric feature, fitted on the training rows."""
-    tr = add_interactions(fb_train(spark, d), INTERACTIONS)
+    tr = add_interactions(cut_lineage(fb_train(spark, d).select(*FB_ROLES.numeric)), INTERACTIONS)
     _, num, _ = feature_inputs(tr, FB_ROLES)
     return stats_table(tr, num).select("feature", r6("median").alias("median"), r6("mean").alias("mean"), r6("std").alias("std"))
 
@@ -408,15 +409,17 @@ def q_vocab(spark, d):
 def q_one_hot_sparse(spark, d):
     """M2, sparse, with Driver: the set positions of the holdout rows."""
     cols = list(FB_ROLES.categorical)
-    return one_hot_rows(fb_holdout(spark, d), vocab_table(fb_train(spark, d), cols), cols, ["l_orderkey", "l_linenumber"])
+    train, holdout = fb_parts(spark, d)
+    return one_hot_rows(holdout, vocab_table(train, cols), cols, ["l_orderkey", "l_linenumber"])
 
 
 @query("scaled_features")
 def q_scaled_features(spark, d):
     """M1: parameters fitted on train, applied to the holdout rows (numeric
     and boolean outputs)."""
-    fp = fit_features(fb_train(spark, d), FB_ROLES, wide=False)
-    t = transform_features(fb_holdout(spark, d), fp, FB_ROLES)
+    train, holdout = fb_parts(spark, d)
+    fp = fit_features(train, FB_ROLES, wide=False)
+    t = transform_features(holdout, fp, FB_ROLES)
     cols = list(fp.numeric) + list(fp.boolean)
     return t.select("l_orderkey", "l_linenumber", *[r6(c).alias(c) for c in cols])
 
@@ -424,8 +427,9 @@ def q_scaled_features(spark, d):
 @query("one_hot")
 def q_one_hot(spark, d):
     """M2: one-hot columns named Col_category on the holdout rows."""
-    fp = fit_features(fb_train(spark, d), WIDE_ROLES)
-    t = transform_features(fb_holdout(spark, d), fp, WIDE_ROLES)
+    train, holdout = fb_parts(spark, d)
+    fp = fit_features(train, WIDE_ROLES)
+    t = transform_features(holdout, fp, WIDE_ROLES)
     cols = [f"{c}_{v}" for c, vs in fp.categorical.items() for v in vs]
     return t.select("l_orderkey", "l_linenumber", *cols)
 
@@ -433,8 +437,9 @@ def q_one_hot(spark, d):
 @query("passthrough")
 def q_passthrough(spark, d):
     """The non-feature columns pass through the transform unchanged."""
-    fp = fit_features(fb_train(spark, d), WIDE_ROLES)
-    t = transform_features(fb_holdout(spark, d), fp, WIDE_ROLES)
+    train, holdout = fb_parts(spark, d)
+    fp = fit_features(train, WIDE_ROLES)
+    t = transform_features(holdout, fp, WIDE_ROLES)
     keep = ["l_orderkey", "l_linenumber", "RaceId", "Driver", "EventName", "SessionType", "TrackId",
             "TrackType", "SafetyCar"]
     return t.select(*keep, r6("LapTime_seconds").alias("LapTime_seconds"))
@@ -450,9 +455,10 @@ def q_gbt_scores(spark, d):
     """M3 + M6 (+A6): class-weighted GBT trained on train rows (few trees, as an
     argument), scoring the holdout. Returns each row's checks: a probability
     within 0 and 1, and a decision that follows from it and the threshold."""
-    tr = onset_label(fb_train(spark, d), "RaceId", "LapNumber", "SafetyCar")
+    train, holdout = fb_parts(spark, d)
+    tr = onset_label(train, "RaceId", "LapNumber", "SafetyCar")
     m, fp = train_classifier(tr, "sc_next_lap", FB_ROLES, {"maxIter": 5, "maxDepth": 3})
-    return _checked(score(fb_holdout(spark, d), m, fp, 0.5, FB_ROLES), ["l_orderkey", "l_linenumber", "RaceId", "LapNumber"])
+    return _checked(score(holdout, m, fp, 0.5, FB_ROLES), ["l_orderkey", "l_linenumber", "RaceId", "LapNumber"])
 
 
 def _checked(s, ids, p="sc_probability", decision="sc_prediction"):
@@ -463,12 +469,13 @@ def _checked(s, ids, p="sc_probability", decision="sc_prediction"):
 @query("model_round_trip")
 def q_model_round_trip(spark, d):
     """M5: a saved and reloaded model gives every holdout row the same score."""
-    tr = onset_label(fb_train(spark, d), "RaceId", "LapNumber", "SafetyCar")
+    train, holdout = fb_parts(spark, d)
+    tr = onset_label(train, "RaceId", "LapNumber", "SafetyCar")
     m, fp = train_classifier(tr, "sc_next_lap", FB_ROLES, {"maxIter": 3, "maxDepth": 3})
     path = scratch_dir(spark, "model")
     save_model(m, fp, path)
     m2, fp2 = load_model(path)
-    one = score(fb_holdout(spark, d), m, fp, 0.5, FB_ROLES)
+    one = score(holdout, m, fp, 0.5, FB_ROLES)
     both = score(one.drop("sc_prediction", "threshold").withColumnRenamed("sc_probability", "p1"), m2, fp2, 0.5, FB_ROLES)
     return both.select("l_orderkey", "l_linenumber", (F.col("p1") == F.col("sc_probability")).alias("same"))
 
@@ -502,7 +509,7 @@ def q_cv_auc(spark, d):
 def q_linear_attribution(spark, d):
     """M8: additive contributions coef * (x - mean) of a fixed linear scorer,
     mean |contribution| per feature over all cleaned rows."""
-    c = fb_clean(spark, d)
+    c = cut_lineage(fb_clean(spark, d).select(*LINEAR))
     a = mean_abs_attribution(linear_attribution(c, LINEAR, linear_means(c)))
     return a.select("feature", r6("mean_abs").alias("mean_abs"))
 
@@ -514,7 +521,7 @@ def linear_means(df) -> dict:
 @query("lap_attribution")
 def q_lap_attribution(spark, d):
     """M8 for one chosen lap: the first of race 1997_03_R."""
-    c = fb_clean(spark, d)
+    c = cut_lineage(fb_clean(spark, d).select(*LINEAR, "RaceId", "l_orderkey", "l_linenumber", "Driver"))
     one = lap_attribution(race_rows(c, "1997_03_R"), LINEAR, ["LapNumber", "l_orderkey", "l_linenumber", "Driver", "SpeedST"], linear_means(c))
     return one.select("feature", r6("attribution").alias("attribution"))
 
@@ -739,15 +746,9 @@ def q_stream_scores(spark, d):
 
 
 # ------------------------------------------------------ end-to-end jobs (F-M)
-_JOBS: dict = {}
-
-
 def fm_transform(spark, d) -> dict:
-    """X1 outputs on F-M, built once per session (its stages are checkpointed)."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _JOBS:
-        _JOBS[key] = transform_job(spark, fx.fm_laps(spark, d), fx.fm_status(spark, d), fx.fm_weather(spark, d))
-    return _JOBS[key]
+    """X1 outputs on F-M."""
+    return transform_job(spark, fx.fm_laps(spark, d), fx.fm_status(spark, d), fx.fm_weather(spark, d))
 
 
 @query("transform_job")
