@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seqrisk.llm import exact_dedup, minhash, mixing, packing, quality
 from seqrisk.llm.common import read, saved
-from seqrisk.llm.queries import grades, vocabulary
+from seqrisk.llm.queries import TOP_GRADE, grades, vocabulary
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of a good grade is at least one half."""
-    model = quality.train(docs, grades(read(spark, sf_dir, "labels")))
-    return quality.keep_good(docs, model)
+    """Documents that rate as good and not toxic (the top grade)."""
+    model = quality.train(docs, grades(read(spark, sf_dir, "labels")), top=TOP_GRADE)
+    return quality.keep_good(docs, model, grade=TOP_GRADE)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

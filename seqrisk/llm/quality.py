@@ -15,14 +15,16 @@ Defined cases: a null text, or one without a token, has expected grade 0 and
 all tail probabilities 0 (rejected); labels with a null id or grade are not
 used, of several labels of an id the smallest counts; with no labels, or
 labels of one grade, all documents with a token get that grade (without any:
-the highest); an empty table gives an empty result; output columns replace
+the highest); grades up to ``top`` have a tail also where no label has them;
+an empty table gives an empty result; output columns replace
 columns of the same name.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,8 @@ MAX_LABELLED = 8_000
 EPOCHS = 6
 LEAST_STEPS = 400      # a small sample is gone through more often
 BATCH = 64
+TOP_KEPT = 0.98        # share of the top grade's held-out documents that the selection is to keep
+LEAST_RANGE = 0.5, 0.8
 _U = np.uint64
 by_value(__name__)
 _SIGN, _CAPITALS, _REPEAT = (_U(x) for x in (0x51ED270B, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -46,6 +50,7 @@ _SIGN, _CAPITALS, _REPEAT = (_U(x) for x in (0x51ED270B, 0xC2B2AE3D27D4EB4F, 0x1
 class OrdinalModel:
     weights: np.ndarray       # float32, one per hashed feature
     thresholds: np.ndarray    # ascending, one per grade above 0
+    least: float = 0.5        # of the top grade's probability, for a document to be selected
 
     def tails(self, score: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1..K, one row per text."""
@@ -113,9 +118,24 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, features: i
     return OrdinalModel(w.astype(np.float32), theta)
 
 
+def selection(rows: list[tuple[str, int, np.ndarray, np.ndarray]], grades: int, features: int) -> float:
+    """The probability of the top grade from which on a document is selected:
+    the highest (within ``LEAST_RANGE``) that keeps ``TOP_KEPT`` of the top
+    grade's documents in a quarter of ``rows`` (id first) held out of a fit."""
+    held = [zlib.crc32(f"select {r[0]}".encode()) % 4 == 2 for r in rows]
+    seen = [r[1:] for r, out in zip(rows, held) if not out]
+    best = [r for r, out in zip(rows, held) if out and r[1] == grades]
+    if not best or len({g for g, _, _ in seen}) < 2:
+        return LEAST_RANGE[0]
+    model = fit(seen, grades, features)
+    p = model.tails(np.array([(model.weights[idx] * val).sum() for _, _, idx, val in best]))[:, -1]
+    return float(np.clip(np.quantile(p, 1 - TOP_KEPT, method="lower"), *LEAST_RANGE))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade",
-          features: int = FEATURES, max_rows: int = MAX_LABELLED) -> OrdinalModel:
-    """Fit on the documents that ``labels`` (id, grade) rates."""
+          features: int = FEATURES, max_rows: int = MAX_LABELLED, top: int = 1) -> OrdinalModel:
+    """Fit on the documents that ``labels`` (id, grade) rates; ``top`` is the
+    highest grade there can be, should no label have it."""
     rated = (labels.where(F.col(f"`{grade_col}`") >= 0).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{grade_col}`").cast("int").alias("grade"))
              .where("id is not null").groupBy("id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(max_rows))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -141,19 +161,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             rows += [(i, g, idx[k].values.to_numpy(), val[k].values.to_numpy()) for k, (i, g) in enumerate(zip(ids, grade)) if len(idx[k])]
         rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
         seen = [r[1:] for r in rows]
-        top = max((g for g, _, _ in seen), default=0)
+        best = max((g for g, _, _ in seen), default=top)
         if len({g for g, _, _ in seen}) > 1:
-            model = fit(seen, top, features)
+            model = replace(fit(seen, max(best, top), features), least=selection(rows, max(best, top), features))
         else:                                    # nothing to tell apart: everything is that grade
-            model = OrdinalModel(np.zeros(features, np.float32), np.full(max(top, 1), -60.0 if top or not seen else 60.0))
+            model = OrdinalModel(np.zeros(features, np.float32), np.where(np.arange(max(best, top)) < best, -60.0, 60.0))
         yield pa.record_batch([pa.array([model.weights.tolist()], pa.list_(pa.float32())),
-                               pa.array([model.thresholds.tolist()], pa.list_(pa.float64()))], names=["weights", "thresholds"])
+                               pa.array([model.thresholds.tolist()], pa.list_(pa.float64())), pa.array([model.least])],
+                              names=["weights", "thresholds", "least"])
 
     one = sample.mapInArrow(vectors, "id string, grade int, idx array<int>, val array<float>").repartition(1)
-    row = one.mapInArrow(learn, "weights array<float>, thresholds array<double>").first()
+    row = one.mapInArrow(learn, "weights array<float>, thresholds array<double>, least double").first()
     if row is None:                              # an input known to be empty runs no task
-        return OrdinalModel(np.zeros(features, np.float32), np.full(1, -60.0))
-    return OrdinalModel(np.array(row.weights, np.float32), np.array(row.thresholds, np.float64))
+        return OrdinalModel(np.zeros(features, np.float32), np.full(top, -60.0))
+    return OrdinalModel(np.array(row.weights, np.float32), np.array(row.thresholds, np.float64), row.least)
 
 
 def rate(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
@@ -180,8 +201,9 @@ def rate(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFr
     return rows.mapInArrow(work, schema)
 
 
-def keep_good(docs: DataFrame, model: OrdinalModel, text_col: str = "text", grade: int = 1, least: float = 0.5) -> DataFrame:
-    """``docs`` whose probability of at least ``grade`` is ``least`` or more."""
+def keep_good(docs: DataFrame, model: OrdinalModel, text_col: str = "text", grade: int = -1, least: float | None = None) -> DataFrame:
+    """``docs`` whose probability of at least ``grade`` (-1: the top one) is ``least`` (the model's own) or more."""
+    least = model.least if least is None else least
     rated = rate(docs.withColumnsRenamed({c: f"__own_{c}" for c in ("expected_grade", "tails") if c in docs.columns}), model,
                  text_col if text_col not in ("expected_grade", "tails") else f"__own_{text_col}")
     good = rated.where(F.element_at("tails", grade) >= least).drop("expected_grade", "tails")

@@ -35,6 +35,9 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), own.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+TOP_GRADE = 2
+
+
 def grades(labels: DataFrame) -> DataFrame:
     """Graded ratings from the labels: 0 low quality, 1 good but toxic, 2 good."""
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
@@ -42,13 +45,13 @@ def grades(labels: DataFrame) -> DataFrame:
 
 
 def op4_quality_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, expected_grade, p_good (grade 1 or more), p_best (grade 2), kept of every document."""
+    """doc_id, expected_grade, p_good (grade 1 or more), p_best (grade 2), kept (by p_best) of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.train(docs, grades(read(spark, sf_dir, "labels")))
+    model = quality.train(docs, grades(read(spark, sf_dir, "labels")), top=TOP_GRADE)
     rated = quality.rate(docs, model)
-    good = F.element_at("tails", 1)
-    return rated.select("doc_id", "expected_grade", good.alias("p_good"), F.try_element_at("tails", F.lit(2)).alias("p_best"),
-                        (good >= 0.5).alias("kept"))
+    best = F.element_at("tails", TOP_GRADE)
+    return rated.select("doc_id", "expected_grade", F.element_at("tails", 1).alias("p_good"), best.alias("p_best"),
+                        (best >= model.least).alias("kept"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,27 @@ def test_quality_odd_inputs(spark):
     assert quality.keep_good(docs, low).count() == 0
 
 
+def test_toxic_documents_are_not_kept(spark, tmp_path):
+    import corpus_pipeline
+    docs, labels = rated(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    known = labels.where("doc_id % 2 = 0 and doc_id < 1200").selectExpr("doc_id", "int(grade > 0) AS quality", "int(grade = 1) AS toxic")
+    known.write.parquet(f"{tmp_path}/labels.parquet")
+    marked = {r.doc_id: r for r in queries.op4_quality_grade(spark, str(tmp_path)).collect()}
+    passed = {r.doc_id for r in corpus_pipeline.quality_classifier(spark, docs, str(tmp_path)).collect()}
+    assert passed == {i for i, r in marked.items() if r.kept}
+    share = lambda g: np.mean([i in passed for i in range(1, 1200, 2) if i % 3 == g])
+    assert share(0) < 0.02 and share(1) < 0.1 and share(2) > 0.95
+    assert np.mean([marked[i].p_good >= 0.5 for i in range(1, 1200, 6)]) > 0.95      # good but toxic
+
+
+def test_top_grade_without_labels_of_it(spark):
+    docs, labels = rated(spark)
+    for seen, kept in (("grade < 2", 0), ("grade = 1", 0), ("grade = 2", 1200), ("false", 1200)):
+        model = quality.train(docs, labels.where(seen), top=2)
+        assert len(model.thresholds) == 2 and quality.keep_good(docs, model).count() == kept
+
+
 def test_languages_and_spans(spark):
     rng = random.Random(4)
     vocabulary = {"en": "the of and water house through which".split(), "de": "der und nicht wasser haus durch schön".split(),
