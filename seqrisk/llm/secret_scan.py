@@ -1,6 +1,8 @@
 """Secret scans (6): candidates by pattern, false positives removed by a forest.
 
-Candidates are runs of 16 or more key characters. A random forest on their
+Candidates are runs of 16 or more key characters, and whole values of any
+length and characters behind a secret's name and = or : (up to the closing
+quote, else up to a blank), unless such a value is just a run. A random forest on their
 length, character transitions, dictionary coverage, path and neighbouring
 words decides which are secrets; it is trained on labelled findings. All of it
 is DataFrame work and Spark ML.
@@ -33,6 +35,12 @@ DICTIONARY = 5_000
 MAX_LABELLED = 4_000
 TREES, DEPTH = 30, 8
 NAMES = r"(?i)(pass|passwd|password|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)"
+# A name, its assignment and an opening quote (group 1), then the value. A value that is
+# itself a name with an assignment is left to the match that starts there.
+_VALUE = (rf"""(?<=")(?!{CANDIDATE}")[^"\r\n]+(?=")|(?<=')(?!{CANDIDATE}')[^'\r\n]+(?=')"""
+          r"""|(?:(?<!["'])|(?<=")(?![^"\r\n]*")|(?<=')(?![^'\r\n]*'))"""
+          rf"""(?!{CANDIDATE}["',;]{{0,3}}(?:\s|$))(?!\S*{NAMES}["']?\s*[=:]+>?[\s"'])[^\s"']\S*?(?=["',;]{{0,3}}(?:\s|$))""")
+NAMED = rf"""({NAMES}["']?\s*[=:]+>?\s*["']?)(?:{_VALUE})"""
 BUCKETS = 8
 
 FEATURES = ["length", "digits", "uppers", "lowers", "signs", "hex", "distinct", "to_digit", "from_digit", "case_change",
@@ -41,7 +49,7 @@ FEATURES = ["length", "digits", "uppers", "lowers", "signs", "hex", "distinct",
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """id, path, place (number within the text), value, before, after."""
+    """id, path, place (number within the text, runs first), value, before, after."""
     text = F.col(f"`{text_col}`").cast("string")
     between = F.split(text, CANDIDATE, -1)
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), 0)
@@ -49,9 +57,15 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item = F.transform("found", lambda v, i: F.struct(
         v.alias("value"), F.right(F.get("between", i), F.lit(CONTEXT)).alias("before"),
         F.left(F.get("between", i + 1), F.lit(CONTEXT)).alias("after")))
-    rows = docs.where(text.rlike(CANDIDATE)).select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit("")).alias("path"),
-                                                    found.alias("found"), between.alias("between"))
-    return rows.select("id", "path", F.posexplode(item).alias("place", "c")).select("id", "path", "place", "c.*")
+    named = F.transform("named", lambda v, i: F.struct(
+        F.substring(v, F.length(F.get("heads", i)) + 1, F.length(v)).alias("value"),
+        F.right(F.concat(F.get("apart", i), F.get("heads", i)), F.lit(CONTEXT)).alias("before"),
+        F.left(F.get("apart", i + 1), F.lit(CONTEXT)).alias("after")))
+    rows = docs.where(text.rlike(CANDIDATE) | text.rlike(NAMED)).select(
+        F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit("")).alias("path"),
+        found.alias("found"), between.alias("between"), F.regexp_extract_all(text, F.lit(NAMED), 0).alias("named"),
+        F.regexp_extract_all(text, F.lit(NAMED), 1).alias("heads"), F.split(text, NAMED, -1).alias("apart"))
+    return rows.select("id", "path", F.posexplode(F.concat(item, named)).alias("place", "c")).select("id", "path", "place", "c.*")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY) -> DataFrame:

@@ -131,6 +131,32 @@ def test_secret_scan_removes_false_positives(spark):
     assert secret_scan.scan(empty(spark), queries.finding_label()).count() == 0
 
 
+def test_values_behind_a_name_are_candidates(spark):
+    run = "0123456789abcdef0123"
+    cases = [("password = hunter2!", ["hunter2!"]), ("pwd: s3cr.t@x9 next", ["s3cr.t@x9"]), ("db_passwd='Tr0ub4 dor&3' x", ["Tr0ub4 dor&3"]),
+             ('{"Password": "a#1$%", "user": "bob"}', ["a#1$%"]), (f'token = "{run}"', [run]), (f"auth={run}, then", [run]), ('password = ""', []),
+             (f"secret={run}.x!", [run, f"{run}.x!"]), ("token: password = q.9;", ["q.9"]), ('auth: token="my pass 1"', ["my pass 1"]),
+             ('pwd="open9! more', ["open9!"]), ("password:\n  x1", ["x1"]), ("password", []), ("the author: Smith", []), (None, [])]
+    docs = frame(spark, [(i, t, "en", "src", 1) for i, (t, _) in enumerate(cases)] + [(99, "pwd=" + "a!" * 500_000, "en", "src", 1)])
+    found = secret_scan.candidates(docs).where("id < 99").collect()
+    for i, (_, want) in enumerate(cases):
+        mine = sorted((r.place, r.value) for r in found if r.id == i)
+        assert mine == list(enumerate(want)), (cases[i], mine)
+    assert all(cases[r.id][0].replace("\n", " ").find(r.before.replace("\n", " ") + r.value + r.after.replace("\n", " ")) >= 0 for r in found)
+    assert secret_scan.candidates(docs).where("id = 99 and length(value) = 1000000").count() == 1
+
+
+def test_short_passwords_are_found(spark):
+    rng = random.Random(11)
+    word = lambda s, n: "".join(rng.choice(s) for _ in range(n))
+    rows = []
+    for i in range(240):
+        t = (f" password = {word('abcdefghkmnp', 5)}.{word('23456789', 3)}! ", f" password: {rng.choice(['alpha', 'beta', 'gamma'])} ", " ")[i % 3]
+        rows.append((i, prose(rng, 12) + t + prose(rng, 4), "en", "src", 1))
+    out = secret_scan.scan(frame(spark, rows), queries.finding_label()).collect()
+    assert len(out) == 160 and all(r.is_secret == (r.id % 3 == 0) for r in out)
+
+
 TEXTS = ["it's  a 'test' don't we'll  \n\n x\t y  ", "", None, "'s 're I'm he'd 'LL '", "a <|endoftext|> b", "漢字 test × ÷ é à", " lead", "trail ",
          "\n\n\n", "x'", "it'sound 'v 've've'", "1234 56a7 !!?? ... a'l 'l", "\x1c\x0b\x00 \u00a0 ²", "naïve Éa\u00aa", "'s", "''s 's's'd  'm"]
 
