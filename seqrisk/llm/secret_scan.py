@@ -10,7 +10,7 @@ is DataFrame work and Spark ML.
 The dictionary is the ``DICTIONARY`` most frequent words of all documents; a
 candidate's coverage is the share of its letter trigrams that dictionary words
 hold (an equality join on distinct candidates). Training uses at most
-``MAX_LABELLED`` findings of each label (smallest hashes), each once as it is
+``MAX_LABELLED`` different findings of each label (smallest hashes), each once as it is
 and once without its neighbours, so that the string itself counts too.
 
 Defined cases: null and empty texts have no candidates; a null path is an
@@ -117,7 +117,7 @@ _NEIGHBOURS = ["named", "assigned", "quoted", *[f"word_{k}" for k in range(BUCKE
 def fit_forest(labelled: DataFrame, max_rows: int = MAX_LABELLED, trees: int = TREES, depth: int = DEPTH,
                seed: int = 6) -> RandomForestClassificationModel | None:
     """Fit on featurised findings with a column ``label`` (1 secret, 0 not)."""
-    rows = labelled.where("label in (0, 1)").select("value", F.col("label").cast("double").alias("label"), *FEATURES)
+    rows = labelled.where("label in (0, 1)").select("value", F.col("label").cast("double").alias("label"), *FEATURES).distinct()
     order = (F.xxhash64("value"), "value", *FEATURES)
     part = [rows.where(F.col("label") == k).orderBy(*order).limit(max_rows) for k in (0.0, 1.0)]
     bounded = saved(part[0].unionByName(part[1]))

@@ -157,6 +157,18 @@ def test_short_passwords_are_found(spark):
     assert len(out) == 160 and all(r.is_secret == (r.id % 3 == 0) for r in out)
 
 
+def test_forest_sample_holds_a_finding_once(spark, monkeypatch):
+    key = lambda i: f"{zlib.crc32(str(i).encode()):08x}" * 3
+    rows = [(i, f"token = {key(i)} sent", "en", "src", 1) for i in range(40)] + [(i, f"see {'alphabetagamma' + 'xyz'[i % 3] * 4}", "en", "src", 1) for i in range(40, 46)]
+    rows += [(100 + n * 40 + i, rows[i][1], "en", "src", 1) for i in range(40) for n in range(10)]
+    found = secret_scan.featurise(secret_scan.candidates(frame(spark, rows)), secret_scan.dictionary(frame(spark, rows)))
+    kept, write = [], secret_scan.saved
+    monkeypatch.setattr(secret_scan, "saved", lambda df: kept.append(write(df)) or kept[-1])
+    assert secret_scan.fit_forest(found.withColumn("label", queries.finding_label()), max_rows=30, trees=2) is not None
+    assert kept[0].where("label = 1").select("value").distinct().count() == 30
+    assert kept[0].where("label = 0").count() == 3
+
+
 TEXTS = ["it's  a 'test' don't we'll  \n\n x\t y  ", "", None, "'s 're I'm he'd 'LL '", "a <|endoftext|> b", "漢字 test × ÷ é à", " lead", "trail ",
          "\n\n\n", "x'", "it'sound 'v 've've'", "1234 56a7 !!?? ... a'l 'l", "\x1c\x0b\x00 \u00a0 ²", "naïve Éa\u00aa", "'s", "''s 's's'd  'm"]
 
