@@ -48,7 +48,11 @@ _RANGES = [(0x00, 0), (0xC0, 1), (0x250, 1), (0x2B0, 0), (0x370, 2), (0x400, 3),
            (0x1200, 0), (0x1E00, 1), (0x1F00, 2), (0x2000, 0), (0x3040, 12), (0x3100, 0), (0x3400, 13), (0xA000, 0),
            (0xAC00, 11), (0xD7B0, 0), (0xF900, 13), (0xFB00, 0)]
 SCRIPTS = 14
-_low, _script = np.array([r[0] for r in _RANGES]), np.array([r[1] for r in _RANGES])
+# Script of every code point up to U+FFFF; signs and digits within a range have none.
+_SCRIPT = np.zeros(1 << 16, np.uint8)
+for (_at, _number), (_end, _) in zip(_RANGES, _RANGES[1:]):
+    if _number:
+        _SCRIPT[_at:_end] = [_number * chr(c).isalpha() for c in range(_at, _end)]
 
 
 @dataclass(frozen=True)
@@ -69,7 +73,7 @@ def _scripts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
         padded = np.append(data, np.zeros(2, np.uint8)).astype(np.int64)
         b0, b1, b2 = padded[lead], padded[lead + 1] & 63, padded[lead + 2] & 63
         code = np.where(b0 < 0xE0, (b0 & 31) << 6 | b1, np.where(b0 < 0xF0, (b0 & 15) << 12 | b1 << 6 | b2, 0))
-        found = _script[np.searchsorted(_low, code, "right") - 1]
+        found = _SCRIPT[code]
         word = np.searchsorted(start, lead, "right") - 1
         some = (found > 0) & (word >= 0)
         script[word[some]] = found[some]

@@ -101,6 +101,15 @@ def test_languages_and_spans(spark):
     assert langid.predict(empty(spark), model).count() == 0
 
 
+def test_signs_and_digits_are_no_letters(spark):
+    rows = [(i, "the water house" if i % 2 else "вода дом", "en" if i % 2 else "ru", "s", 1) for i in range(40)]
+    model = langid.train(frame(spark, rows), F.lit(True))
+    odd = ["3 × 4", "8 ÷ 2 = 4", "\u0661\u0662\u0663", "\u0967\u0968", "\u0e51 \u0e52", "\u0482 \u037e"]
+    out = {r.id: r for r in langid.predict(frame(spark, [(i, t, None, "s", 1) for i, t in enumerate([*odd, "3 × дом"])]), model).collect()}
+    assert [(out[i].lang_pred, out[i].score, out[i].spans) for i in range(len(odd))] == [("und", 0.0, [])] * len(odd)
+    assert out[len(odd)].lang_pred == "ru" and out[len(odd)].score == 1
+
+
 def test_viterbi_matches_dynamic_programming():
     rng = np.random.default_rng(5)
     first = np.array([0, 4, 4, 13, 20, 21])
