@@ -88,9 +88,9 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_urls(pages: DataFrame, limit: int = url_filter.MAX_LABELLED) -> DataFrame:
-    """The small labelled table: the ``limit`` urls of smallest hash, labelled 1
+    """The small labelled table: the ``limit`` different urls of smallest hash, labelled 1
     if the host or path holds an unwanted word."""
-    bounded = pages.where("url is not null").select("url").orderBy(F.xxhash64("url"), "url").limit(limit)
+    bounded = pages.where("url is not null").select("url").distinct().orderBy(F.xxhash64("url"), "url").limit(limit)
     return bounded.select("url", F.lower("url").rlike("|".join(UNWANTED_WORDS)).cast("int").alias("label"))
 
 

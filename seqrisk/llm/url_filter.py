@@ -95,9 +95,9 @@ def _featurise(df: DataFrame, features: int) -> DataFrame:
 def fit_urls(labelled: DataFrame, features: int = FEATURES, reg: float = 1e-3,
              max_rows: int = MAX_LABELLED) -> LogisticRegressionModel | None:
     """Fit on ``labelled`` (url, label 0 or 1). The table is meant to be small:
-    at most ``max_rows`` rows are used, those of the smallest url hash."""
+    at most ``max_rows`` different rows are used, those of the smallest url hash."""
     host, path = split_url(F.col("url"))
-    bounded = (labelled.where("url is not null and label in (0, 1)").select("url", F.col("label").cast("double"))
+    bounded = (labelled.where("url is not null and label in (0, 1)").select("url", F.col("label").cast("double")).distinct()
                .orderBy(F.xxhash64("url"), "url", "label").limit(max_rows))
     train = _featurise(bounded.withColumns({"host": host, "path": path}), features).select("__features", "label")
     if train.select("label").distinct().count() < 2:

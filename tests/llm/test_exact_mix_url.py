@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from seqrisk.llm import exact_dedup, mixing, queries, url_filter
 from tests.llm.helpers import awkward, clashing, empty, frame
@@ -122,6 +123,19 @@ def test_urls_split_and_rules(spark):
             assert (r.host, r.path, r.rule, r.verdict) == (host, path, best[1], best[2])
 
 
+def test_repeated_urls_do_not_fill_the_labelled_table(spark):
+    urls = [f"http://host{i}.com/{'casino' if i % 4 == 0 else 'news'}/{i}" for i in range(60)]
+    pages = spark.createDataFrame([(u,) for u in urls for _ in range(40)], "url string")
+    table = queries.labelled_urls(pages, 50)
+    assert table.count() == 50 and table.distinct().count() == 50
+    every = queries.labelled_urls(pages, 1000).select("url", "label")
+    assert every.count() == 60
+    first = {r.url: r.label for r in every.orderBy(F.xxhash64("url"), "url").collect()}
+    other = next(i for i, v in enumerate(first.values()) if v != list(first.values())[0])
+    rows = [(u, v) for u, v in first.items() for _ in range(40)]
+    assert url_filter.fit_urls(spark.createDataFrame(rows, "url string, label int"), max_rows=other + 1) is not None
+
+
 def test_url_model_learns_and_bears_odd_tables(spark):
     good = [f"http://site{i}.example.net/en/{i}" for i in range(60)]
     bad = [f"http://casino-win{i}.example.net/en/{i}" for i in range(20)]
