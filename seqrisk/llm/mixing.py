@@ -13,7 +13,8 @@ Distributed: a source's documents are dealt by hash into chunks of about
 ``CHUNK_ROWS`` rows, each chunk leaves one residual document, and the
 residuals of a level are dealt again, until every source has one (a reduction
 tree of log(rows) / log(CHUNK_ROWS) levels). A source with a third of all
-rows only has more chunks. Each level is written as a narrow table in the
+rows only has more chunks; rows that repeat in full are counted and numbered,
+and each is dealt by a hash of its own. Each level is written as a narrow table in the
 shared folder. Randomness is a hash of seed, level and rows: reruns agree.
 
 Defined cases: a null text has size 0; documents of size 0 are never taken;
@@ -91,15 +92,27 @@ def row_hash(id_col: str, text_col: str, source_col: str, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{source_col}`"), F.col(f"`{text_col}`"))
 
 
+def _numbered(rows: DataFrame, block: int) -> DataFrame:
+    """``rows`` (id, source, size, row_hash) with h: the row hash, for further
+    copies of a row with their number. Copies are counted, and made in blocks."""
+    counted = saved(rows.groupBy("id", "source", "size", "row_hash").agg(F.count("*").alias("m")))
+    blocks = counted.where("m > 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("m") - 1) / block))))
+    inside = F.sequence(F.col("block") * block, F.least(F.col("m"), (F.col("block") + 1) * block) - 1)
+    more = blocks.repartition("row_hash", "block").withColumn("k", F.explode(inside))
+    h = F.when(F.col("k") == 0, F.col("row_hash")).otherwise(F.xxhash64("row_hash", "k"))
+    cols = ("id", "source", "size", "row_hash")
+    return counted.where("m = 1").select(*cols, F.col("row_hash").alias("h")).unionByName(more.select(*cols, h.alias("h")))
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: Sequence[float] = (5, 2, 1), total: float = 1.5, cap: float = 2.0,
                 seed: int = SEED, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One row per document: id, row_hash, source, size, source_size, target,
     copies, taken (copies x size)."""
-    rows = saved(docs.select(
+    rows = saved(_numbered(docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
         text_size(F.col(f"`{text_col}`")).alias("size"),
-        row_hash(id_col, text_col, source_col, seed).alias("h")))
+        row_hash(id_col, text_col, source_col, seed).alias("row_hash")), chunk_rows))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"),
                                        F.sum(F.expr("if(size > 0, 1L, 0L)")).alias("n_rows"))
     targets = saved(source_targets(sizes, weights, total, cap))
@@ -112,7 +125,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     settled = asked.where("p = 0").withColumn("up", F.lit(0))
     open_ = asked.where("p > 0")
 
-    fields = ["size", "h", "id", "source", "source_size", "target", "whole", "p"]
+    fields = ["size", "h", "row_hash", "id", "source", "source_size", "target", "whole", "p"]
     types = dict(asked.dtypes)
     item = "struct<" + ",".join(f"{f}:{types[f]}" for f in fields) + ">"
     done = [asked.where("p = 0").select(*fields, F.lit(0).alias("up"))]
@@ -137,7 +150,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for part_ in done[1:]:
         out = out.unionByName(part_)
     copies = F.col("whole") + F.col("up")
-    return out.select("id", F.col("h").alias("row_hash"), "source", "size", "source_size", "target",
+    return out.select("id", "row_hash", "source", "size", "source_size", "target",
                       copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 

@@ -91,6 +91,24 @@ def test_mix_keeps_expectations(spark):
         assert abs(total[s] - want[s] / sum(1 + i % 7 for i in range(300) if "ab"[i % 2] == s)) < 0.1
 
 
+def test_repeated_rows_are_dealt_over_chunks(spark, monkeypatch):
+    rows = [(7, "one two three", "en", "a", 1)] * 2000 + [(100 + i, "one two", "en", "ab"[i % 2], 1) for i in range(400)]
+    most, write = [], mixing.saved
+
+    def watch(df):
+        out = write(df)
+        if "end" in out.columns:
+            most.append(out.agg(F.max(F.size("end.out") + 1)).first()[0])
+        return out
+    monkeypatch.setattr(mixing, "saved", watch)
+    out = mixing.mix_sources(frame(spark, rows), chunk_rows=16).collect()
+    assert len(out) == 2400 and sum(r.id == 7 for r in out) == 2000 and max(most) < 60
+    for s in "ab":
+        mine = [r for r in out if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 3
+    assert len({r.row_hash for r in out if r.id == 7}) == 1
+
+
 def test_take_mix_repeats_rows(spark):
     docs = clashing(frame(spark))
     mixed = Counter()
