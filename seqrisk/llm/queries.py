@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqrisk.llm import embed_dedup, exact_dedup, langid, line_dedup, minhash, mixing, packing, quality, secret_scan, url_filter
+from seqrisk.llm import conversation_repair, embed_dedup, exact_dedup, langid, line_dedup, minhash, mixing, packing, quality, secret_scan, token_alignment, url_filter
 from seqrisk.llm.common import read
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -112,11 +112,23 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document."""
+    import public_tokenizers
+    return token_alignment.align_tokens(read(spark, sf_dir, "documents"), vocabulary(), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of every conversation."""
+    return conversation_repair.repair_conversations(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {"op1_mix_sources": op1_mix_sources, "op8_exact_dedup": op8_exact_dedup, "op9_url_filter": op9_url_filter,
            "op2_embedding_dedup": op2_embedding_dedup, "op3_language_id": op3_language_id, "op4_quality_grade": op4_quality_grade,
            "op5_line_dedup": op5_line_dedup,
            "op6_secret_scan": op6_secret_scan,
-           "op7_minhash_dedup": op7_minhash_dedup, "op10_pack_documents": op10_pack_documents}
+           "op7_minhash_dedup": op7_minhash_dedup, "op10_pack_documents": op10_pack_documents,
+           "op12_token_alignment": op12_token_alignment, "op13_conversation_repair": op13_conversation_repair}
 
 ORACLE = {
     "op8_exact_dedup": """
