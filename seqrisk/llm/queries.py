@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seqrisk.llm import conversation_repair, embed_dedup, exact_dedup, langid, line_dedup, minhash, mixing, packing, quality, secret_scan, token_alignment, url_filter
+from seqrisk.llm import (conversation_repair, embed_dedup, exact_dedup, html_extract, labelled_pages, langid, line_dedup, minhash, mixing,
+                         packing, quality, secret_scan, token_alignment, url_filter)
 from seqrisk.llm.common import read
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -112,6 +113,11 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    return html_extract.extract(read(spark, sf_dir, "pages"), html_extract.fit(labelled_pages.labelled_pages()))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document."""
     import public_tokenizers
@@ -128,7 +134,7 @@ QUERIES = {"op1_mix_sources": op1_mix_sources, "op8_exact_dedup": op8_exact_dedu
            "op5_line_dedup": op5_line_dedup,
            "op6_secret_scan": op6_secret_scan,
            "op7_minhash_dedup": op7_minhash_dedup, "op10_pack_documents": op10_pack_documents,
-           "op12_token_alignment": op12_token_alignment, "op13_conversation_repair": op13_conversation_repair}
+           "op11_html_extraction": op11_html_extraction, "op12_token_alignment": op12_token_alignment, "op13_conversation_repair": op13_conversation_repair}
 
 ORACLE = {
     "op8_exact_dedup": """
