@@ -368,12 +368,20 @@ class BoostedModel:
         return spark.createDataFrame([(k, v / total) for k, v in gain.items()], "feature string, importance double")
 
     def node_table(self, spark: SparkSession) -> DataFrame:
-        """One row per node: the model as a table."""
-        rows = [(t, i, self.names[f] if f != _NONE else None, self.cuts[f][c - 1] if f != _NONE and not self.categorical[f] else None,
+        """One row per node: the model as a table. ``path``: its turns from the root, L and R."""
+        def paths(tree: Tree) -> list[str]:
+            out = [""] * len(tree.feature)
+            for i, f in enumerate(tree.feature):        # children come behind their parent
+                if f != _NONE:
+                    out[tree.left[i]], out[tree.right[i]] = out[i] + "L", out[i] + "R"
+            return out
+
+        rows = [(t, i, path, self.names[f] if f != _NONE else None, self.cuts[f][c - 1] if f != _NONE and not self.categorical[f] else None,
                  self.words[f][c] if f != _NONE and self.categorical[f] else None, bool(m), le if f != _NONE else None, ri if f != _NONE else None, v, h, g)
                 for t, tree in enumerate(self.trees)
-                for i, (f, c, m, le, ri, v, h, g) in enumerate(zip(tree.feature, tree.cut, tree.missing_left, tree.left, tree.right, tree.value, tree.cover, tree.gain))]
-        return spark.createDataFrame(rows, "tree int, node int, feature string, threshold double, category string, missing_left boolean, "
+                for i, (path, f, c, m, le, ri, v, h, g) in enumerate(zip(paths(tree), tree.feature, tree.cut, tree.missing_left, tree.left, tree.right,
+                                                                     tree.value, tree.cover, tree.gain))]
+        return spark.createDataFrame(rows, "tree int, node int, path string, feature string, threshold double, category string, missing_left boolean, "
                                            "left int, right int, value double, cover double, gain double")
 
     def save(self, spark: SparkSession, path: str) -> None:

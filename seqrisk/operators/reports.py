@@ -16,6 +16,19 @@ def race_rows(df: DataFrame, race_id: str, race: str = "RaceId", lap: str = "Lap
     return df.where(F.col(race) == F.lit(race_id)).orderBy(lap)
 
 
+def lap_rows(rows: DataFrame, lap_number: int | None = None, lap: str = "LapNumber") -> DataFrame:
+    """P20: the rows of one lap; of the lowest lap if no number is given."""
+    if lap_number is None:
+        return rows.where(F.col(lap) == rows.agg(F.min(lap).alias("m")).select("m").scalar())
+    return rows.where(F.col(lap) == F.lit(lap_number))
+
+
+def flagged_laps(rows: DataFrame, flag: str = "SafetyCar", lap: str = "LapNumber", by: Sequence[str] = ("RaceId",)) -> DataFrame:
+    """P20: the laps (per race) with any row under the flag, and how many rows are; a null flag is none."""
+    return (rows.where(F.coalesce(F.col(flag).cast("boolean"), F.lit(False)) & F.col(lap).isNotNull())
+            .groupBy(*by, lap).agg(F.count(F.lit(1)).alias("rows")))
+
+
 def lap_risk(scored: DataFrame, lap: str = "LapNumber", prob: str = "sc_probability",
              flag: str = "SafetyCar", threshold: str = "threshold", by: Sequence[str] = ()) -> DataFrame:
     """A9 + J6: per lap, mean probability and whether any row had the flag;

@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 
 from seqrisk.config import (AUC_GATE, CV_FOLDS, DEFAULT_THRESHOLD, HOLDOUT_YEARS, SEED, STATUS_FLAGS, TEST_FRACTION,
                             WEATHER_COLUMNS, WEATHER_MEDIAN_COLUMNS, FeatureRoles, Roles)
-from seqrisk.functions.expr import contains_flag, seconds, year_of
+from seqrisk.functions.expr import contains_flag, decide, seconds, year_of
+from seqrisk.operators.attribution import attribute, margin
+from seqrisk.operators.boosting import BoostedModel, BoostParams, fit_boosted, fold_auc
 from seqrisk.operators.enrich import clean, fill_group_median
-from seqrisk.operators.evaluation import latest_metric, metrics_row, quality_gate
+from seqrisk.operators.evaluation import calibration, latest_metric, metrics_row, quality_gate, roc_curve
 from seqrisk.operators.label import label_stats, onset_label
 from seqrisk.operators.model import (cross_validate, cv_summary, feature_importance, save_model, score,
                                      train_classifier)
-from seqrisk.operators.reports import (count_by, lap_risk, null_fraction, preview, race_list, race_rows,
+from seqrisk.operators.reports import (count_by, lap_risk, lap_rows, null_fraction, preview, race_list, race_rows,
                                        race_summary, shape, value_share)
 from seqrisk.operators.split import label_parts
 from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end
@@ -98,18 +100,53 @@ def tuned_threshold(metrics: DataFrame, dataset: str = "holdout"):
     return latest_metric(metrics, dataset, "optimal_threshold", DEFAULT_THRESHOLD).select("optimal_threshold").scalar()
 
 
-def race_report(spark: SparkSession, df: DataFrame, model, fp, race_id: str | None = None,
-                threshold=0.5, roles: FeatureRoles = FeatureRoles(), r: Roles = Roles()) -> dict:
+def race_report(spark: SparkSession, df: DataFrame, model, fp=None, race_id: str | None = None,
+                threshold=0.5, roles: FeatureRoles = FeatureRoles(), r: Roles = Roles(), lap: int | None = None,
+                row_order: list[str] | None = None) -> dict:
     """Race list, one race's rows scored, lap risk, race summary and the
     model's feature importances. ``threshold``: a number or a scalar, such as
-    the tuned one that ``tuned_threshold`` reads."""
+    the tuned one that ``tuned_threshold`` reads. A boosted model of the library's
+    own also explains a chosen ``lap`` (the race's first one if none is given):
+    ``attribution`` holds what each feature adds to the log odds of the lap's
+    first row in ``row_order``, ``margin`` the log odds and their base."""
     races = race_list(df, r.race)
     if race_id is None:
         race_id = races.first()[r.race]
     rows = race_rows(df, race_id, r.race, r.lap)
-    scored = score(rows, model, fp, threshold, roles)
-    return {"races": races, "rows": rows, "lap_risk": lap_risk(scored, r.lap, "sc_probability", r.flag),
-            "summary": race_summary(rows, r.race, r.lap), "importance": feature_importance(model, fp)}
+    own = isinstance(model, BoostedModel)
+    scored = decided(model.add_probability(rows, "sc_probability"), threshold) if own else score(rows, model, fp, threshold, roles)
+    out = {"races": races, "rows": rows, "lap_risk": lap_risk(scored, r.lap, "sc_probability", r.flag),
+           "summary": race_summary(rows, r.race, r.lap),
+           "importance": model.importance(spark) if own else feature_importance(model, fp)}
+    if own:
+        chosen = lap_rows(rows, lap, r.lap).orderBy(*(row_order or [r.driver])).limit(1)
+        out["attribution"] = attribute(chosen, model, [r.lap])
+        out["margin"] = margin(chosen, model, [r.lap])
+    return out
+
+
+def decided(scored: DataFrame, threshold, prob: str = "sc_probability") -> DataFrame:
+    """The 0/1 prediction at a number or scalar threshold, and the threshold used."""
+    t = threshold if not isinstance(threshold, (int, float)) else F.lit(float(threshold))
+    return scored.withColumns({"sc_prediction": decide(prob, t), "threshold": t.cast("double")})
+
+
+def boosted_job(spark: SparkSession, train: DataFrame, holdout: DataFrame, label: str = "sc_next_lap", roles: FeatureRoles = FeatureRoles(),
+                params: BoostParams = BoostParams(), folds: int = CV_FOLDS, key: list[str] | None = None, model_path: str | None = None,
+                scores_path: str | None = None) -> dict:
+    """X2 with the library's own boosted trees: the model and its folds from the same passes; AUC of each fold from its
+    held-out scores; the holdout's scores, metrics, curve and calibration from one written table."""
+    fit = fit_boosted(train, label, roles, params, folds, key=key)
+    model = fit.models[0]
+    scored = model.add_probability(holdout, "score").select(F.col(label).alias("y"), "score")
+    path = scores_path or scratch_dir(spark, "scores")
+    save_dataframe(scored, path)
+    scored = load_dataframe(spark, path)
+    if model_path:
+        model.save(spark, model_path)
+    return {"model": model, "cv": fold_auc(fit.held_out_scores()) if folds else None, "scores": scored,
+            "metrics": metrics_row(scored, "y", "score", "holdout"), "roc": roc_curve(scored, "y", "score"),
+            "calibration": calibration(scored, "y", "score")}
 
 
 def profile_report(df: DataFrame, season: str = "Season", event: str = "EventName", flag: str = "SC") -> dict:

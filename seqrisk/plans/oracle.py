@@ -708,3 +708,116 @@ SELECT event_id, lap_i AS lap,
        1.0 / (1.0 + exp(-(-3.0 + 0.01 * coalesce(CAST(tyre AS INTEGER), 10) + 0.001 * 300.0 + 0.1 * 5.412
                           + 0.01 * 15))) >= 0.5 AS will_deploy_sc
 FROM fa_v WHERE NOT missing AND lap_i IS NOT NULL"""
+
+# ------------------------------------------------- boosted trees (F-B), grown in SQL
+BOOST_CAT = ["Driver", "Team", "Compound"]
+BOOST_NUM = ["TrackLength", "Corners", "LapNumber", "Position", "TyreLife", "AirTemp", "Rainfall", "TrackTemp"]
+BOOST_BOOL = ["FreshTyre", "VirtualSafetyCar", "YellowFlag"]
+
+
+def _boost_columns(src: str) -> str:
+    """The features as the model reads them, numeric nulls filled with the training median."""
+    cols = [f"coalesce(CAST({src}.{c} AS VARCHAR), 'unknown') AS x_{c}" for c in BOOST_CAT]
+    cols += [f"coalesce(CAST({src}.{c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM fb_tr)) AS x_{c}" for c in BOOST_NUM]
+    cols += [f"coalesce(CAST({src}.{c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM fb_tr)) AS x_{c}" for c in BOOST_BOOL]
+    return ", ".join(cols)
+
+
+BOOST_ROWS = """
+bt_st AS (SELECT RaceId, LapNumber, bool_or(coalesce(SafetyCar, false)) AS cur FROM fb_tr
+          WHERE RaceId IS NOT NULL AND LapNumber IS NOT NULL GROUP BY 1, 2),
+bt_lab AS (SELECT a.RaceId, a.LapNumber FROM bt_st a JOIN bt_st b ON a.RaceId = b.RaceId AND b.LapNumber = a.LapNumber + 1
+           WHERE b.cur AND NOT a.cur AND a.LapNumber >= 1),
+bt_y AS (SELECT t.*, CASE WHEN l.RaceId IS NULL THEN 0 ELSE 1 END AS y FROM fb_tr t
+         LEFT JOIN bt_lab l ON t.RaceId = l.RaceId AND t.LapNumber = l.LapNumber),
+bt_n AS (SELECT count_if(y = 0) / CAST(count_if(y = 1) AS DOUBLE) AS w FROM bt_y),
+bt AS (SELECT bt_y.l_orderkey, bt_y.l_linenumber, y, """ + _boost_columns("bt_y") + """,
+              CAST((row_number() OVER (PARTITION BY y ORDER BY """ + hash_key("l_orderkey", "l_linenumber", "Driver") + """) - 1) % 5 AS INTEGER) AS fold,
+              CASE WHEN y = 1 THEN -0.5 * w ELSE 0.5 END AS g, CASE WHEN y = 1 THEN 0.25 * w ELSE 0.25 END AS h
+       FROM bt_y CROSS JOIN bt_n)"""
+
+
+def best_split(name: str, src: str) -> str:
+    """CTE with the best split of ``src``: every value of every numeric feature and every category is tried."""
+    tried = []
+    for i, c in enumerate(BOOST_CAT):
+        tried.append(f"SELECT {i} AS i, '{c}' AS feature, CAST(NULL AS DOUBLE) AS threshold, x_{c} AS category, "
+                     f"(SELECT sum(g) FROM {src}) - sum(g) AS gl, (SELECT sum(h) FROM {src}) - sum(h) AS hl FROM {src} GROUP BY x_{c}")
+    for i, c in enumerate(BOOST_NUM + BOOST_BOOL, len(BOOST_CAT)):
+        before = "OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        tried.append(f"SELECT {i}, '{c}', v, NULL, sum(g) {before}, sum(h) {before} "
+                     f"FROM (SELECT x_{c} AS v, sum(g) AS g, sum(h) AS h FROM {src} GROUP BY 1) q")
+    return f"""
+{name}_t AS ({' UNION ALL '.join(tried)}),
+{name}_a AS (SELECT sum(g) AS g, sum(h) AS h FROM {src}),
+{name} AS (SELECT t.*, a.g, a.h, round(gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1), 9) AS gain
+           FROM {name}_t t CROSS JOIN {name}_a a WHERE hl >= 1 AND h - hl >= 1
+           ORDER BY gain DESC, i, threshold, category LIMIT 1)"""
+
+
+def goes_left(split: str, row: str) -> str:
+    tests = [f"WHEN '{c}' THEN {row}.x_{c} <> {split}.category" for c in BOOST_CAT]
+    tests += [f"WHEN '{c}' THEN {row}.x_{c} < {split}.threshold" for c in BOOST_NUM + BOOST_BOOL]
+    return f"CASE {split}.feature {' '.join(tests)} END"
+
+
+BOOST_DEPTH2 = ",".join([BOOST_ROWS, best_split("b0", "bt"),
+                         f" btl AS (SELECT bt.* FROM bt CROSS JOIN b0 WHERE {goes_left('b0', 'bt')})",
+                         f" btr AS (SELECT bt.* FROM bt CROSS JOIN b0 WHERE NOT {goes_left('b0', 'bt')})",
+                         best_split("bl", "btl"), best_split("br", "btr")])
+BOOST_HOLDOUT = f"bh AS (SELECT fb_ho.l_orderkey, fb_ho.l_linenumber, fb_ho.LapNumber, {_boost_columns('fb_ho')} FROM fb_ho)"
+
+
+def _leaf(g: str, h: str) -> str:
+    return f"-0.3 * ({g}) / ({h} + 1)"
+
+
+def _node_row(path: str, split: str) -> str:
+    return (f"SELECT '{path}' AS path, feature, round(threshold, 6) AS threshold, category, round(gain, 6) AS gain, round(h, 6) AS cover, "
+            f"round({_leaf('g', 'h')}, 6) AS value FROM {split}")
+
+
+def _leaf_rows(path: str, split: str) -> str:
+    none = "CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), 0.0"
+    return (f"SELECT '{path}L', {none}, round(hl, 6), round({_leaf('gl', 'hl')}, 6) FROM {split} UNION ALL "
+            f"SELECT '{path}R', {none}, round(h - hl, 6), round({_leaf('g - gl', 'h - hl')}, 6) FROM {split}")
+
+
+ORACLE["boosted_tree"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, BOOST_DEPTH2) + "\nUNION ALL ".join(
+    [_node_row("", "b0"), _node_row("L", "bl"), _node_row("R", "br"), _leaf_rows("L", "bl"), _leaf_rows("R", "br")])
+
+ORACLE["boosted_scores"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, BOOST_DEPTH2, BOOST_HOLDOUT, f"""
+m AS (SELECT bh.l_orderkey, bh.l_linenumber,
+             CASE WHEN {goes_left('b0', 'bh')}
+                  THEN CASE WHEN {goes_left('bl', 'bh')} THEN {_leaf('bl.gl', 'bl.hl')} ELSE {_leaf('bl.g - bl.gl', 'bl.h - bl.hl')} END
+                  ELSE CASE WHEN {goes_left('br', 'bh')} THEN {_leaf('br.gl', 'br.hl')} ELSE {_leaf('br.g - br.gl', 'br.h - br.hl')} END END AS z
+      FROM bh CROSS JOIN b0 CROSS JOIN bl CROSS JOIN br)""") + """
+SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-z)), 6) AS sc_probability, CAST(1 / (1 + exp(-z)) >= 0.5 AS INTEGER) AS sc_prediction FROM m"""
+
+_FOLDS = [f" f{k}_s AS (SELECT * FROM bt WHERE fold <> {k}),{best_split(f'f{k}', f'f{k}_s')}" for k in range(5)]
+_FOLD_SCORES = "f_s AS (" + " UNION ALL ".join(
+    f"SELECT fold, y, CASE WHEN {goes_left(f'f{k}', 'bt')} THEN {_leaf(f'f{k}.gl', f'f{k}.hl')} ELSE {_leaf(f'f{k}.g - f{k}.gl', f'f{k}.h - f{k}.hl')} END AS z "
+    f"FROM bt CROSS JOIN f{k} WHERE fold = {k}" for k in range(5)) + ")"
+ORACLE["boosted_folds"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, BOOST_ROWS, *_FOLDS, _FOLD_SCORES, """
+f_z AS (SELECT fold, z, sum(y) AS pos, sum(1 - y) AS neg FROM f_s GROUP BY 1, 2),
+f_c AS (SELECT *, sum(pos) OVER (PARTITION BY fold ORDER BY z DESC) AS tps FROM f_z)""") + """
+SELECT fold, CAST(sum(pos + neg) AS BIGINT) AS rows, CAST(sum(pos) AS BIGINT) AS positives,
+       round(sum(neg * (tps - pos / 2.0)) / (sum(pos) * CAST(sum(neg) AS DOUBLE)), 6) AS auc FROM f_c GROUP BY fold"""
+
+BOOST_STUMP = BOOST_ROWS + "," + best_split("b0", "bt") + f""",
+b0_v AS (SELECT *, {_leaf('gl', 'hl')} AS vl, {_leaf('g - gl', 'h - hl')} AS vr,
+                feature || CASE WHEN category IS NULL THEN '' ELSE '_' || category END AS player FROM b0),
+b0_b AS (SELECT *, (hl * vl + (h - hl) * vr) / h AS base FROM b0_v)"""
+
+ORACLE["tree_attribution"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, BOOST_STUMP, BOOST_HOLDOUT) + f"""
+SELECT l_orderkey, l_linenumber, player AS feature, round(CASE WHEN {goes_left('b0_b', 'bh')} THEN vl ELSE vr END - base, 6) AS attribution,
+       round(CASE WHEN {goes_left('b0_b', 'bh')} THEN vl ELSE vr END, 6) AS margin FROM bh CROSS JOIN b0_b"""
+
+ORACLE["race_attribution"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, BOOST_STUMP, f"""
+br AS (SELECT fb_x.l_orderkey, fb_x.l_linenumber, fb_x.Driver, fb_x.SpeedST, fb_x.LapNumber, fb_x.SafetyCar, {_boost_columns('fb_x')} FROM fb_x WHERE RaceId = '1997_03_R'),
+z AS (SELECT br.*, player, base, CASE WHEN {goes_left('b0_b', 'br')} THEN vl ELSE vr END AS z FROM br CROSS JOIN b0_b),
+one AS (SELECT * FROM z WHERE LapNumber = 5 ORDER BY l_orderkey, l_linenumber, Driver, SpeedST LIMIT 1)""") + """
+SELECT 'attribution' AS section, player AS item, round(z - base, 6) AS value, CAST(NULL AS VARCHAR) AS text FROM one
+UNION ALL SELECT 'base', '5', round(base, 6), NULL FROM one UNION ALL SELECT 'margin', '5', round(z, 6), NULL FROM one
+UNION ALL SELECT 'lap_risk', CAST(LapNumber AS VARCHAR), round(avg(1 / (1 + exp(-z))), 6), NULL FROM z GROUP BY LapNumber
+UNION ALL SELECT 'flagged', CAST(LapNumber AS VARCHAR), CAST(count(*) AS DOUBLE), NULL FROM z WHERE coalesce(SafetyCar, false) GROUP BY LapNumber"""

@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 from seqrisk.config import API_DEFAULTS, INTERACTIONS, FeatureRoles, Roles
 from seqrisk.functions.expr import (bool_to_int, contains_flag, decide, epoch_micros, normalize_name,
                                     parse_session_key, session_key)
-from seqrisk.operators.reports import (count_by, lap_risk, null_fraction, preview, race_list, race_rows,
+from seqrisk.operators.reports import (count_by, flagged_laps, lap_risk, null_fraction, preview, race_list, race_rows,
                                        race_summary, shape, value_share)
-from seqrisk.plans.jobs import (profile_report, race_report, report_rows, season_job, train_job,
+from seqrisk.plans.jobs import (boosted_job, decided, profile_report, race_report, report_rows, season_job, train_job,
                                 transform_job, tuned_threshold)
 from seqrisk.plans.scratch import scratch_dir
 from seqrisk.sources.files import (load_dataframe, pending_sessions, read_session_files, read_sessions, tag_session,
@@ -38,6 +38,8 @@ from seqrisk.operators.label import attach_labels, label_stats, onset_label, ons
 from seqrisk.operators.model import (ModelScorer, balanced_weights, cross_validate, lap_attribution,
                                      linear_attribution, load_model, mean_abs_attribution, save_model, score,
                                      train_classifier)
+from seqrisk.operators.attribution import attribute, base_value
+from seqrisk.operators.boosting import BoostParams, cross_validate_boosted, fit_boosted, fold_auc, load_boosted
 from seqrisk.operators.split import (prefix_split, seeded_sample, split_by_group, split_labels,
                                      stratified_folds, year_holdout)
 from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end, interval_flag_table
@@ -505,6 +507,87 @@ def q_cv_auc(spark, d):
     return folds.select("fold", "rows", "positives", F.coalesce(F.col("auc").between(0.0, 1.0), F.lit(True)).alias("auc_ok"))
 
 
+BOOST_ROLES = FeatureRoles(categorical=("Driver", "Team", "Compound"),
+                           numeric=("TrackLength", "Corners", "LapNumber", "Position", "TyreLife", "AirTemp", "Rainfall", "TrackTemp"),
+                           boolean=("FreshTyre", "VirtualSafetyCar", "YellowFlag"), include_interactions=False)
+ROW_KEY = ["l_orderkey", "l_linenumber", "Driver"]
+
+
+def fb_labelled(spark, d):
+    return onset_label(fb_train(spark, d), "RaceId", "LapNumber", "SafetyCar")
+
+
+def one_tree(train, depth):
+    """One unsampled tree, so that SQL can grow the same one."""
+    return fit_boosted(train, "sc_next_lap", BOOST_ROLES, BoostParams(trees=1, depth=depth, rate=0.3, rows=1.0, columns=1.0), key=ROW_KEY).models[0]
+
+
+@query("boosted_tree")
+def q_boosted_tree(spark, d):
+    """M3 (+A6): every node of a class-weighted tree of depth 2 over all training rows: split, gain, cover, value."""
+    t = one_tree(fb_labelled(spark, d), 2).node_table(spark)
+    return t.select("path", "feature", r6("threshold").alias("threshold"), "category", r6("gain").alias("gain"), r6("cover").alias("cover"),
+                    r6("value").alias("value"))
+
+
+@query("boosted_scores")
+def q_boosted_scores(spark, d):
+    """M3 + M5 + M6: that tree saved, loaded and applied to every holdout row."""
+    train, holdout = fb_parts(spark, d)
+    path = scratch_dir(spark, "boosted")
+    one_tree(onset_label(train, "RaceId", "LapNumber", "SafetyCar"), 2).save(spark, path)
+    s = decided(load_boosted(spark, path).add_probability(holdout, "sc_probability"), 0.5)
+    return s.select("l_orderkey", "l_linenumber", r6("sc_probability").alias("sc_probability"), "sc_prediction")
+
+
+@query("boosted_folds")
+def q_boosted_folds(spark, d):
+    """M4 (+T4): 5 folds grown in the same passes (one split each, so that SQL can follow): AUC of each from the scores
+    of its held-out rows."""
+    scores = cross_validate_boosted(fb_labelled(spark, d), "sc_next_lap", ROW_KEY, 5, BOOST_ROLES,
+                                    BoostParams(trees=1, depth=1, rate=0.3, rows=1.0, columns=1.0))
+    return fold_auc(scores).select("fold", "rows", "positives", r6("auc").alias("auc"))
+
+
+@query("boosted_job")
+def q_boosted_job(spark, d):
+    """X2 with sampled trees of full depth (20 of them, as an argument) and 5 folds in the same passes: metrics of the
+    written holdout scores, fold AUC, importances, as report rows."""
+    train, holdout = fb_parts(spark, d)
+    lab = lambda x: onset_label(x, "RaceId", "LapNumber", "SafetyCar")
+    job = boosted_job(spark, lab(train), lab(holdout), "sc_next_lap", BOOST_ROLES, BoostParams(trees=20), 5, ROW_KEY)
+    m = job["metrics"]
+    return _long([report_rows("cv_auc", job["cv"], F.col("fold"), r6("auc")), report_rows("cv_rows", job["cv"], F.col("fold"), F.col("rows")),
+                  *[report_rows("holdout", m, F.lit(c), r6(c)) for c in METRIC_COLS],
+                  report_rows("holdout", m, F.lit("rows"), F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")),
+                  report_rows("calibration", job["calibration"], F.col("bin"), r6("prob_true")),
+                  report_rows("importance", job["model"].importance(spark), F.col("feature"), r6("importance"))])
+
+
+@query("tree_attribution")
+def q_tree_attribution(spark, d):
+    """M8: exact attribution of a one-split tree for every holdout row, beside the margin that base and attribution give."""
+    train, holdout = fb_parts(spark, d)
+    model = one_tree(onset_label(train, "RaceId", "LapNumber", "SafetyCar"), 1)
+    keys = ["l_orderkey", "l_linenumber"]
+    a = attribute(holdout, model, keys)
+    return a.select(*keys, "feature", r6("attribution").alias("attribution"), r6(F.col("attribution") + F.lit(base_value(model))).alias("margin"))
+
+
+@query("race_attribution")
+def q_race_attribution(spark, d):
+    """X3 + M8 + P20: the report of race 1997_03_R under a boosted tree explains its lap 5, and lists the laps under a
+    safety car."""
+    c = cut_lineage(fb_clean(spark, d))
+    model = one_tree(onset_label(c.where(F.col("Year") < 2001), "RaceId", "LapNumber", "SafetyCar"), 1)
+    rep = race_report(spark, c, model, race_id="1997_03_R", lap=5, row_order=["l_orderkey", "l_linenumber", "Driver", "SpeedST"])
+    return _long([report_rows("attribution", rep["attribution"], F.col("feature"), r6("attribution")),
+                  report_rows("base", rep["margin"], F.col("LapNumber"), r6("base")),
+                  report_rows("margin", rep["margin"], F.col("LapNumber"), r6("margin")),
+                  report_rows("lap_risk", rep["lap_risk"], F.col("LapNumber"), r6("sc_probability")),
+                  report_rows("flagged", flagged_laps(rep["rows"]), F.col("LapNumber"), F.col("rows"))])
+
+
 @query("linear_attribution")
 def q_linear_attribution(spark, d):
     """M8: additive contributions coef * (x - mean) of a fixed linear scorer,
