@@ -82,9 +82,9 @@ def session_key(year, rnd, event, session_type) -> Column:
 
 
 def decide(prob, threshold) -> Column:
-    """prediction = prob >= threshold, as 0/1."""
+    """prediction = prob >= threshold, as 0/1; none for a null or NaN probability."""
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    return (_c(prob) >= t).cast("int")
+    return F.when(~F.isnan(_c(prob)), (_c(prob) >= t).cast("int"))
 
 
 def epoch_seconds(col) -> Column:

@@ -117,7 +117,7 @@ def fill_group_median(df: DataFrame, cols: Sequence[str], group: str, med: DataF
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    med = exact_medians(df, [group], cols) if med is None else med
+    med = exact_medians(cut_lineage(df.select(group, *cols)), [group], cols) if med is None else med
     med = med.select(F.col(group).alias("__g"), *[F.col(c).alias(f"__m_{c}") for c in cols])
     j = df.join(med, F.col(group) == F.col("__g"), "left")
     filled = j.withColumns({c: F.coalesce(_nn(df, c), F.col(f"__m_{c}").cast(df.schema[c].dataType))
@@ -132,19 +132,21 @@ def fill_group_then_global_median(df: DataFrame, cols: Sequence[str], group: str
     The filled column's values are the original values plus, per group, its
     null count times its median, so the global median is computed from those
     weighted values: the group-filled rows are never materialized or
-    recomputed. The group medians and null counts are written once (one row
-    per group)."""
+    recomputed. The group and the columns are written once, narrow, for all
+    passes of the medians; the group medians and null counts too (one row per
+    group)."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
+    narrow = cut_lineage(df.select(group, *cols))
     nulls = [F.sum(F.when(_nn(df, c).isNull(), 1).otherwise(0)).alias(f"__z_{c}") for c in cols]
-    med = cut_lineage(exact_medians(df, [group], cols, extra_aggs=nulls))
+    med = cut_lineage(exact_medians(narrow, [group], cols, extra_aggs=nulls))
     fills = med.where(F.col(group).isNotNull()).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"), F.col(f"__z_{c}").cast("long").alias("w"))
         for c in cols])).alias("s")).select(F.col("s.k").alias("__k"), F.col("s.v").alias("__v"),
                                             F.col("s.w").alias("__w"))
     fills = fills.where(F.col("__v").isNotNull() & (F.col("__w") > 0))
-    glob = medians_of_long(to_long(df, [], cols).unionByName(fills), [], cols)
+    glob = medians_of_long(to_long(narrow, [], cols).unionByName(fills), [], cols)
     glob = glob.select(F.struct(*cols).alias("m")).scalar()     # one scalar subquery, every column
     g1 = fill_group_median(df, cols, group, med.select(group, *cols))
     return g1.withColumns({c: F.coalesce(F.col(c), glob.getField(c).cast(df.schema[c].dataType))

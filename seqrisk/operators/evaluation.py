@@ -106,9 +106,11 @@ def youden(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
 
 
 def confusion(df: DataFrame, threshold, y: str = "y", score: str = "score") -> DataFrame:
-    """(tn, fp, fn, tp) with prediction = score >= threshold."""
+    """(tn, fp, fn, tp) with prediction = score >= threshold; a row whose
+    score is null or NaN, or whose label is null, counts nowhere (as in the curves)."""
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    pred = F.col(score) >= t
+    s = F.col(score).cast("double")
+    pred = F.when(~F.isnan(s), s >= t)
     yy = F.col(y) == 1
     return df.agg(F.count_if(~yy & ~pred).alias("tn"), F.count_if(~yy & pred).alias("fp"),
                   F.count_if(yy & ~pred).alias("fn"), F.count_if(yy & pred).alias("tp"))
@@ -143,11 +145,12 @@ def metrics_row(df: DataFrame, y: str = "y", score: str = "score", dataset: str
 def calibration(df: DataFrame, y: str = "y", score: str = "score", bins: int = CALIBRATION_BINS
                 ) -> DataFrame:
     """Uniform bins over [0, 1], right-closed (lo, hi] with 0 in the
-    first bin; per non-empty bin: mean score, positive fraction, count."""
+    first bin; per non-empty bin: mean score, positive fraction, count. Null and
+    NaN scores are in no bin."""
     edges = [i * (1.0 / bins) for i in range(1, bins)]
     p = F.col(score).cast("double")
     b = sum((F.when(p > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
-    return (df.where(p.isNotNull()).groupBy(b.alias("bin"))
+    return (df.where(p.isNotNull() & ~F.isnan(p)).groupBy(b.alias("bin"))
             .agg(F.avg(p).alias("prob_pred"), F.avg(F.col(y).cast("double")).alias("prob_true"),
                  F.count(F.lit(1)).alias("n")))
 
@@ -160,9 +163,12 @@ def base_rate(df: DataFrame, y: str = "y") -> DataFrame:
 def latest_metric(metrics: DataFrame, dataset: str, name: str, default: float,
                   run: str = "run_ts") -> DataFrame:
     """The value of ``name`` in the latest run for ``dataset``, or
-    ``default`` when there is none. One row."""
+    ``default`` when there is none. One row. Runs of the same time are ordered by
+    their ``run_id`` where the table has one, then by the value, so the order of
+    the rows never decides."""
     m = metrics.where(F.col("dataset") == dataset)
-    return m.agg(F.coalesce(F.max_by(F.col(name), F.col(run)), F.lit(float(default))).alias(name))
+    order = F.struct(run, *(["run_id"] if "run_id" in metrics.columns else []), name)
+    return m.agg(F.coalesce(F.max_by(F.col(name), order), F.lit(float(default))).alias(name))
 
 
 def quality_gate(metrics: DataFrame, dataset: str = "holdout", name: str = "auc",

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from seqrisk.config import FeatureRoles
 from seqrisk.functions.expr import bool_to_int
 from seqrisk.operators.ranking import exact_medians, running_sums
+from seqrisk.session import cut_lineage
 
 UNKNOWN = "unknown"
 
@@ -91,7 +92,9 @@ def one_hot_rows(df: DataFrame, vocab: DataFrame, cols: Sequence[str], ids: Sequ
 def stats_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(feature, median, mean, std): exact median per column, then mean and
     population std of the median-imputed column (std 0 or undefined counts as
-    1). The medians are one row and ride along as a scalar subquery."""
+    1). The medians are one row and ride along as a scalar subquery; the columns
+    are written once for all passes."""
+    df = cut_lineage(df.select(*cols))
     med = exact_medians(df, [], cols).select(F.struct(*cols).alias("m")).scalar()
     filled = {c: F.coalesce(F.col(c).cast("double"), med.getField(c)) for c in cols}
     row = df.agg(*[F.avg(filled[c]).alias(f"a_{c}") for c in cols], *[F.stddev_pop(filled[c]).alias(f"s_{c}") for c in cols])

@@ -133,27 +133,75 @@ def to_long(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str])
     return long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
 
 
+FINE = 4096            # buckets that a refinement cuts a range into
+LAST_ROWS = 2_000_000  # values still asked for that are counted one by one
+
+
+def _coarse(v: Column) -> Column:
+    """A monotone bucket number: 32 per doubling of |v|, by sign."""
+    return F.signum(v).cast("int") * F.floor(F.log2(1.0 + F.abs(v) * 1048576.0) * 32.0)
+
+
+def _fine(v: Column, lo: Column, hi: Column) -> Column:
+    """A monotone bucket number within [lo, hi]; both ends have their own (they may be infinite)."""
+    part = F.nanvl((v - lo) / (hi - lo), F.lit(0.5))
+    return F.when(v <= lo, 0).when(v >= hi, FINE + 1).otherwise(1 + F.floor(part * (FINE - 1)))
+
+
+def _hold(hist: DataFrame, keys: Sequence[str], need: Column) -> DataFrame:
+    """Of (keys, bucket, count, lo, hi) rows, the bucket of each key that holds its rank ``need``, and the rank in it."""
+    w = W.partitionBy(*keys).orderBy("__d")
+    before = F.sum("__c").over(w) - F.col("__c")
+    kept = hist.withColumn("__b", before).where((F.col("__b") < need) & (need <= F.col("__b") + F.col("__c")))
+    return kept.select(*keys, (need - F.col("__b")).alias("__need"), "__c", "__lo", "__hi")
+
+
 def medians_of_long(long: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
     """Weighted exact medians over a long (group..., __k, __v, __w) frame:
     each row stands for ``__w`` copies of its value.
 
-    Values are counted per (group, column, value) with map-side combining, and
-    running counts over ranges of (group, column, value) find the values at the
-    two middle ranks. A hot group is spread over as many ranges as its distinct
-    values fill; no task holds a group."""
+    Selection, without an order of the values: a pass counts values by bucket
+    (map-side combined) and keeps the bucket that holds a middle rank; while
+    more than ``LAST_ROWS`` values lie in kept buckets, the next pass counts them
+    more finely, between each bucket's own least and greatest value; the rest are
+    counted one by one. Kept buckets are a written table of two rows per (group,
+    column) at most, so the join that finds what lies in them is a broadcast one
+    where that table is small and a shuffled one beyond. Buckets per (group,
+    column) are bounded, so a hot group is as much work for a task as any other.
+    ``long`` is read once per pass: hand in a written table where it is dear to
+    derive."""
     g = list(group_cols)
     gk = g + ["__k"]
-    counts = long.groupBy(*gk, "__v").agg(F.sum("__w").alias("__c"))
-    cum = running_sums(counts, [F.col("__v")], {"__cum": F.col("__c")}, gk)
-    total = cum.groupBy(*gk).agg(F.max("__cum").alias("__n")).withColumnsRenamed({c: f"__t{c}" for c in gk})
-    on = F.lit(True)
-    for c in gk:
-        on = on & F.col(c).eqNullSafe(F.col(f"__t{c}"))
-    ranked = cum.join(total, on)
-    k1, k2 = F.floor((F.col("__n") + 1) / 2), F.floor(F.col("__n") / 2) + 1
+    rk = [*gk, "__r"]
+    stats = [F.sum("__w").alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")]
+    hist = long.groupBy(*gk, _coarse(F.col("__v")).alias("__d")).agg(*stats)
+    n = F.sum("__c").over(W.partitionBy(*gk))
+    asked = hist.withColumn("__n", F.array(F.floor((n + 1) / 2), F.floor(n / 2) + 1)).select("*", F.posexplode("__n").alias("__r", "__need"))
+    held = cut_lineage(_hold(asked, rk, F.col("__need")))
+    sure = []
+    while True:
+        sure.append(held.where(F.col("__lo") == F.col("__hi")).select(*rk, F.col("__lo").alias("__m")))
+        open_ = held.where(F.col("__lo") < F.col("__hi"))
+        left = open_.agg(F.sum("__c")).first()[0] or 0
+        if not left:
+            break
+        targets = open_.drop("__c").withColumnsRenamed({c: f"__t{c}" for c in gk})
+        on = (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi"))
+        for c in gk:
+            on = on & F.col(c).eqNullSafe(F.col(f"__t{c}"))
+        inside = long.join(targets, on)
+        if left <= LAST_ROWS:
+            hist = inside.groupBy(*rk, "__need", F.col("__v").alias("__d")).agg(*stats)
+            sure.append(_hold(hist, rk, F.col("__need")).select(*rk, F.col("__lo").alias("__m")))
+            break
+        bucket = _fine(F.col("__v"), F.col("__lo"), F.col("__hi"))
+        held = cut_lineage(_hold(inside.groupBy(*rk, "__need", bucket.alias("__d")).agg(*stats), rk, F.col("__need")))
+    out = sure[0]
+    for d in sure[1:]:
+        out = out.unionByName(d)
 
     def med(c):
-        at = lambda k: F.min(F.when((F.col("__k") == c) & (F.col("__cum") >= k), F.col("__v")))
-        return ((at(k1) + at(k2)) / 2).alias(c)
+        at = lambda r: F.max(F.when((F.col("__k") == c) & (F.col("__r") == r), F.col("__m")))
+        return ((at(0) + at(1)) / 2).alias(c)
 
-    return ranked.groupBy(*g).agg(*[med(c) for c in value_cols])
+    return out.groupBy(*g).agg(*[med(c) for c in value_cols])

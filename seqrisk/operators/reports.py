@@ -51,8 +51,8 @@ def race_summary(df: DataFrame, race: str = "RaceId", lap: str = "LapNumber",
     base = base.select(race, *[F.col(f"__f.{c}").alias(c) for c in first_cols], "min_lap", "max_lap")
     if median_cols:
         med = exact_medians(df, [race], median_cols)
-        med = med.select(race, *[F.col(c).alias(f"median_{c}") for c in median_cols])
-        base = base.join(med, race, "left")
+        med = med.select(F.col(race).alias("__race"), *[F.col(c).alias(f"median_{c}") for c in median_cols])
+        base = base.join(med, F.col(race).eqNullSafe(F.col("__race")), "left").drop("__race")     # the null race has medians too
     return base
 
 

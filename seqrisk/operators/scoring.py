@@ -94,3 +94,69 @@ def score_requests(df: DataFrame, scorer: Callable[[DataFrame], Column] | object
                     F.when(ok, F.col("Year")).alias("year"), F.when(ok, F.col("TrackId")).alias("track"),
                     p.alias("probability"), F.when(ok, t.cast("double")).alias("threshold"),
                     F.when(ok, decide(p, t) == 1).alias("will_deploy_sc"), "error", "message")
+
+
+# Messages for bodies that cannot be read as a request.
+NOT_JSON = ("Invalid request", "The body is not JSON")
+BAD_LAP = ("Invalid value", "lap must be a number or text")
+BAD_LAP_DATA = ("Invalid value", "lap_data must be an object")
+
+
+def parse_bodies(df: DataFrame, body: str = "body", defaults: dict = REQUEST_DEFAULTS) -> DataFrame:
+    """Raw JSON request bodies as (race_id, lap, lap_data struct) beside the
+    columns of ``df``, with ``body_error`` / ``body_message`` for those that are none.
+
+    The text is parsed once into a VARIANT, and each field is taken from it with
+    its type. Not JSON, a lap that is an object or a list, a ``lap_data`` that is
+    no object, and a field of it that does not read as its default's type are
+    errors of their own (the first of them, fields in the order of ``defaults``).
+    A body that is JSON but no object, and one without race_id or lap (or with
+    null), lacks the required parameters, which ``validate_requests`` reports. A
+    lap that is a number is cut to its whole part, as is a true or false one."""
+    v = "__v"
+    d = df.withColumn(v, F.try_parse_json(F.col(body)))
+    part = lambda path, kind: F.try_variant_get(F.col(v), f"$.{path}", kind)
+    type_of = lambda path: F.schema_of_variant(part(path, "variant"))
+    lap_type, data_type = type_of("lap"), type_of("lap_data")
+    number = part("lap", "double")
+    lap = (F.when(lap_type == "STRING", part("lap", "string")).when(lap_type == "BOOLEAN", part("lap", "boolean").cast("int").cast("string"))
+           .otherwise(F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).cast("string")))
+    fields, problems = [], []
+    for k, default in defaults.items():
+        kind = lit_type(default)
+        kind = "double" if kind == "int" else kind
+        value, given = part(f"lap_data.{k}", kind), type_of(f"lap_data.{k}")
+        wrong = given.isNotNull() & (given != "VOID") & value.isNull()
+        if kind != "string":
+            wrong = wrong | (given == "STRING") & F.col("__object")       # a quoted number is text
+        else:
+            wrong = wrong | given.startswith("OBJECT") | given.startswith("ARRAY")
+        what = {"boolean": "true or false", "double": "a number", "string": "text"}[kind]
+        problems.append(F.when(wrong, F.lit(f"lap_data.{k}: not {what}")))
+        fields.append(F.when(~wrong, value).alias(k))
+    d = d.withColumn("__object", F.coalesce(data_type.startswith("OBJECT"), F.lit(False)))
+    bad_data = data_type.isNotNull() & (data_type != "VOID") & ~F.col("__object")
+    broken = F.col(body).isNull() | F.col(v).isNull()
+    bad_lap = lap_type.startswith("OBJECT") | lap_type.startswith("ARRAY")
+    cases = [(broken, NOT_JSON), (bad_lap, BAD_LAP), (bad_data, BAD_LAP_DATA)]
+    error, message = F.lit(None).cast("string"), F.coalesce(*problems) if problems else F.lit(None).cast("string")
+    error = F.when(message.isNotNull(), "Invalid value")
+    for test, (e, m) in reversed(cases):
+        hit = F.coalesce(test, F.lit(False))
+        error, message = F.when(hit, e).otherwise(error), F.when(hit, m).otherwise(message)
+    lacking = ~broken & (part("race_id", "string").isNull() | type_of("lap").isNull() | (type_of("lap") == "VOID"))
+    lacking = F.coalesce(lacking, F.lit(False))          # reported before any value is looked at
+    out = d.select(*df.columns, part("race_id", "string").alias("race_id"), lap.alias("lap"), F.struct(*fields).alias("lap_data"),
+                   F.when(~lacking, error).alias("body_error"), F.when(~lacking, message).alias("body_message"))
+    return out
+
+
+def score_bodies(df: DataFrame, scorer: Callable[[DataFrame], Column] | object, threshold=DEFAULT_THRESHOLD, defaults: dict = REQUEST_DEFAULTS,
+                 body: str = "body", keep: list[str] | None = None) -> DataFrame:
+    """M7 from raw bodies, batch or stream: the columns of ``score_requests``; every row has a score or its error."""
+    keep = keep or []
+    parsed = parse_bodies(df.select(*keep, body), body, defaults)
+    s = score_requests(parsed, scorer, threshold, defaults, keep=[*keep, "body_error", "body_message"])
+    fine = F.col("body_error").isNull()
+    scored = [F.when(fine, F.col(c)).alias(c) for c in ("race_id", "lap", "year", "track", "probability", "threshold", "will_deploy_sc")]
+    return s.select(*keep, *scored, F.coalesce("body_error", "error").alias("error"), F.coalesce("body_message", "message").alias("message"))

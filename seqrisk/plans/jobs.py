@@ -18,6 +18,7 @@ from seqrisk.operators.attribution import attribute, margin
 from seqrisk.operators.boosting import BoostedModel, BoostParams, fit_boosted, fold_auc
 from seqrisk.operators.enrich import clean, fill_group_median
 from seqrisk.operators.evaluation import calibration, latest_metric, metrics_row, quality_gate, roc_curve
+from seqrisk.operators.ledger import commit_run, read_ledger, run_key
 from seqrisk.operators.label import label_stats, onset_label
 from seqrisk.operators.model import (cross_validate, cv_summary, feature_importance, save_model, score,
                                      train_classifier)
@@ -72,9 +73,10 @@ def train_job(spark: SparkSession, train: DataFrame, test: DataFrame, holdout: D
               cv_key: list[str] | None = None,
               metrics_path: str | None = None) -> dict:
     """Features fitted on train, class-weighted GBT, k-fold CV, metrics
-    for test and holdout (one row each, appended to the table at
-    ``metrics_path``, which the threshold lookup and the gate read), model +
-    feature parameters saved together when ``model_dir`` is given."""
+    for test and holdout (one row each, committed to the ledger at
+    ``metrics_path`` under a key derived from the inputs, so that a repeated job
+    leaves one; the threshold lookup and the gate read it), model + feature
+    parameters saved together when ``model_dir`` is given."""
     model, fp = train_classifier(train, label, roles, params)
     metrics = None
     for name, part in (("test", test), ("holdout", holdout)):
@@ -82,8 +84,9 @@ def train_job(spark: SparkSession, train: DataFrame, test: DataFrame, holdout: D
         m = metrics_row(s, label, "sc_probability", name).withColumn("run_ts", F.lit(run_ts))
         metrics = m if metrics is None else metrics.unionByName(m)
     if metrics_path:
-        metrics.write.mode("append").parquet(metrics_path)
-        metrics = spark.read.parquet(metrics_path)
+        settings = {"label": label, "params": params, "run_ts": run_ts, "roles": str(roles)}
+        commit_run(metrics, metrics_path, run_key({"train": train, "test": test, "holdout": holdout}, settings), run_ts)
+        metrics = read_ledger(spark, metrics_path)
     else:
         metrics = cut_lineage(metrics)
     out = {"model": model, "features": fp, "metrics": metrics,

@@ -821,3 +821,40 @@ SELECT 'attribution' AS section, player AS item, round(z - base, 6) AS value, CA
 UNION ALL SELECT 'base', '5', round(base, 6), NULL FROM one UNION ALL SELECT 'margin', '5', round(z, 6), NULL FROM one
 UNION ALL SELECT 'lap_risk', CAST(LapNumber AS VARCHAR), round(avg(1 / (1 + exp(-z))), 6), NULL FROM z GROUP BY LapNumber
 UNION ALL SELECT 'flagged', CAST(LapNumber AS VARCHAR), CAST(count(*) AS DOUBLE), NULL FROM z WHERE coalesce(SafetyCar, false) GROUP BY LapNumber"""
+
+# ------------------------------------------------- ledger, folders, raw bodies
+FC_COARSE = "fc1 AS (SELECT doc_id, y, round(score, 1) AS score FROM fc)"
+TWO_RUNS = with_(FC, FC_COARSE, curve("fc1", "c1"), metrics_sql("c1"), curve("fc", "c2"), metrics_sql("c2"))
+
+ORACLE["metrics_ledger"] = TWO_RUNS + f"""
+SELECT CAST(1 AS BIGINT) AS run_ts, 'holdout' AS dataset, {METRIC_SELECT} FROM c1_row
+UNION ALL SELECT 2, 'holdout', {METRIC_SELECT} FROM c2_row"""
+
+ORACLE["ledger_lookup"] = TWO_RUNS + """
+SELECT 'holdout' AS dataset, round(auc, 6) AS auc, round(optimal_threshold, 6) AS optimal_threshold, auc >= 0.8 AS passed FROM c2_row
+UNION ALL SELECT 'missing', 0.81, 0.5, true"""
+
+ORACLE["pending_in_folder"] = ORACLE["pending_sessions"]
+
+FA_BODY = """
+fa_b AS (SELECT *, CASE WHEN event_id % 31 = 0 THEN 'The body is not JSON'
+                        WHEN event_id % 37 = 0 OR race_id IS NULL OR (lap IS NULL AND (event_id % 41 = 0 OR event_id % 43 = 0 OR event_id % 47 <> 0))
+                        THEN 'Missing required parameters: race_id, lap'
+                        WHEN event_id % 41 = 0 THEN 'lap_data must be an object' WHEN event_id % 43 = 0 THEN 'lap_data.TyreLife: not a number'
+                        WHEN event_id % 47 = 0 THEN 'lap must be a number or text'
+                        WHEN lap_i IS NULL THEN 'invalid literal for int() with base 10: \'\'' || lap || '\'\'' END AS message
+         FROM fa_v),
+fa_bp AS (SELECT *, 1.0 / (1.0 + exp(-(-3.0 + 0.01 * coalesce(CAST(tyre AS INTEGER), 10) + 0.02 * 30.0 + 0.05 * lap_i
+                                       + 0.001 * (coalesce(CAST(tyre AS INTEGER), 10) * 30.0)))) AS p FROM fa_b)"""
+
+ORACLE["request_bodies"] = with_(FA_LAPS, FA_REQ, FA_BODY) + """
+SELECT event_id, CASE WHEN message IS NULL OR message LIKE 'Missing%' OR message LIKE 'invalid%' THEN CASE WHEN event_id % 37 <> 0 THEN race_id END END AS race_id,
+       CASE WHEN message IS NULL THEN lap_i END AS lap, CASE WHEN message IS NULL THEN coalesce(y0, 2024) END AS year,
+       CASE WHEN message IS NULL THEN CASE WHEN y0 IS NULL THEN 'Unknown' ELSE t0 END END AS track, CASE WHEN message IS NULL THEN round(p, 6) END AS probability,
+       CASE WHEN message IS NULL THEN p >= 0.5 END AS will_deploy_sc,
+       CASE WHEN message LIKE 'Missing%' OR message LIKE 'The body%' THEN 'Invalid request' WHEN message IS NOT NULL THEN 'Invalid value' END AS error, message
+FROM fa_bp"""
+
+ORACLE["body_stream"] = with_(FA_LAPS, FA_REQ, FA_BODY) + """
+SELECT race_id, lap_i AS lap, CAST(NULL AS VARCHAR) AS message, count(*) AS n, round(max(p), 6) AS probability FROM fa_bp WHERE message IS NULL GROUP BY 1, 2
+UNION ALL SELECT NULL, NULL, message, count(*), NULL FROM fa_bp WHERE message IS NOT NULL GROUP BY message"""

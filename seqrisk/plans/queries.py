@@ -23,17 +23,18 @@ from seqrisk.operators.reports import (count_by, flagged_laps, lap_risk, null_fr
 from seqrisk.plans.jobs import (boosted_job, decided, profile_report, race_report, report_rows, season_job, train_job,
                                 transform_job, tuned_threshold)
 from seqrisk.plans.scratch import scratch_dir
-from seqrisk.sources.files import (load_dataframe, pending_sessions, read_session_files, read_sessions, tag_session,
+from seqrisk.sources.files import (load_dataframe, pending_in_folder, pending_sessions, read_session_files, read_sessions, tag_session,
                                    union_by_name, unreadable_files, write_session_files, write_sessions)
-from seqrisk.streaming.requests import score_stream
+from seqrisk.streaming.requests import score_body_stream, score_stream
 from seqrisk.operators.enrich import (add_seconds_columns, add_track, clean, fill_constant,
                                      fill_group_median, valid_laps)
 from seqrisk.operators.features import (add_interactions, feature_inputs, fit_features, one_hot_rows,
                                         stats_table, transform_features, vocab_table)
-from seqrisk.operators.scoring import linear_scorer, score_requests
+from seqrisk.operators.scoring import linear_scorer, score_bodies, score_requests
 from seqrisk.operators.evaluation import (average_precision, base_rate, calibration, confusion,
                                          latest_metric, metrics_row, pr_curve, quality_gate, rates,
                                          roc_auc, roc_curve, youden)
+from seqrisk.operators.ledger import commit_run, read_ledger, run_key
 from seqrisk.operators.label import attach_labels, label_stats, onset_label, onset_steps
 from seqrisk.operators.model import (ModelScorer, balanced_weights, cross_validate, lap_attribution,
                                      linear_attribution, load_model, mean_abs_attribution, save_model, score,
@@ -316,6 +317,37 @@ def q_quality_gate(spark, d):
     return g.select(r6("value").alias("value"), "minimum", "passed")
 
 
+def _two_runs(spark, d) -> DataFrame:
+    """A ledger of two runs over all scored labels: an older one on a coarser score, and a newer one that was committed
+    twice, as a retried job does."""
+    s = fc(spark, d)
+    path = scratch_dir(spark, "ledger")
+    runs = [(1, "score to one place", s.withColumn("score", F.round("score", 1))), (2, "score", s), (2, "score", s)]
+    for ts, what, rows in runs:
+        commit_run(metrics_row(rows, dataset="holdout"), path, run_key({"scores": rows}, {"what": what}), ts)
+    return read_ledger(spark, path)
+
+
+@query("metrics_ledger")
+def q_metrics_ledger(spark, d):
+    """The ledger's rows: one per run, in spite of the repeated commit."""
+    m = _two_runs(spark, d)
+    return m.select("run_ts", "dataset", *[r6(c).alias(c) for c in METRIC_COLS], "tp", "fp", "tn", "fn")
+
+
+@query("ledger_lookup")
+def q_ledger_lookup(spark, d):
+    """E11 + E12 over all rows: AUC and threshold of the latest holdout run, its gate, and the defaults where there is no run."""
+    m = _two_runs(spark, d)
+    rows = []
+    for ds in ("holdout", "missing"):
+        t = latest_metric(m, ds, "optimal_threshold", 0.5)
+        g = quality_gate(m, ds, "auc", 0.80, 0.81)
+        rows.append(g.select(F.lit(ds).alias("dataset"), r6("value").alias("auc"), r6(t.select("optimal_threshold").scalar()).alias("optimal_threshold"),
+                             "passed"))
+    return rows[0].unionByName(rows[1])
+
+
 # ------------------------------------------------- cleaning / enrich (F-B, F-A)
 def fb_clean(spark, d) -> DataFrame:
     """Cleaned F-B (the full cleaning stage): the feature, model and report
@@ -395,7 +427,7 @@ def q_interactions(spark, d):
 def q_fit_stats(spark, d):
     """Exact median, then mean and population std of the imputed column,
     per numeric feature, fitted on the training rows."""
-    tr = add_interactions(cut_lineage(fb_train(spark, d).select(*FB_ROLES.numeric)), INTERACTIONS)
+    tr = add_interactions(fb_train(spark, d).select(*FB_ROLES.numeric), INTERACTIONS)
     _, num, _ = feature_inputs(tr, FB_ROLES)
     return stats_table(tr, num).select("feature", r6("median").alias("median"), r6("mean").alias("mean"), r6("std").alias("std"))
 
@@ -631,6 +663,39 @@ def q_request_errors(spark, d):
     return r.where(F.col("error").isNotNull()).select("event_id", "race_id", "error", "message")
 
 
+def fa_bodies(spark, d):
+    """The F-A requests as raw JSON texts, some of them damaged (FIXTURES.md)."""
+    eid, text = F.col("event_id"), F.to_json(F.struct("race_id", "lap", "lap_data"))
+    worn = F.to_json(F.struct("race_id", "lap", F.struct(F.lit("worn").alias("TyreLife")).alias("lap_data")))
+    fast = F.to_json(F.struct("race_id", "lap", F.lit("fast").alias("lap_data")))
+    nested = F.to_json(F.struct("race_id", F.struct(F.lit(3).alias("n")).alias("lap"), "lap_data"))
+    whole = F.to_json(F.struct("race_id", F.coalesce(F.col("lap").try_cast("int"), F.lit(0)).alias("lap"), "lap_data"))
+    body = (F.when(eid % 31 == 0, F.expr("substring(b, 1, length(b) - 1)")).when(eid % 37 == 0, F.concat(F.lit("["), F.col("b"), F.lit("]")))
+            .when(eid % 41 == 0, fast).when(eid % 43 == 0, worn).when(eid % 47 == 0, nested)
+            .when((eid % 2 == 0) & F.col("lap").rlike("^[0-9]+$"), whole).otherwise(F.col("b")))
+    return fx.fa_requests(spark, d).withColumn("b", text).select("event_id", body.alias("body"))
+
+
+@query("request_bodies")
+def q_request_bodies(spark, d):
+    """M7 + P18 from raw bodies: each has a score or its own error."""
+    r = score_bodies(fa_bodies(spark, d), linear_scorer(REQ_COEFS, -3.0), 0.5, keep=["event_id"])
+    return r.select("event_id", "race_id", "lap", "year", "track", r6("probability").alias("probability"), "will_deploy_sc", "error", "message")
+
+
+@query("body_stream")
+def q_body_stream(spark, d):
+    """M7 + P18 on a stream of raw bodies: scored requests, and rejected ones from the dead-letter folder."""
+    src, out, dead, ck = (scratch_dir(spark, n) for n in ("bodies", "scored", "dead", "ck"))
+    fa_bodies(spark, d).select("body").write.text(src)
+    score_body_stream(spark, src, linear_scorer(REQ_COEFS, -3.0), out, dead, ck).awaitTermination()
+    good = spark.read.parquet(out).groupBy("race_id", "lap").agg(F.count(F.lit(1)).alias("n"), r6(F.max("probability")).alias("probability"))
+    bad = spark.read.parquet(dead).groupBy("error", "message").agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None)
+    return good.select("race_id", "lap", none.cast("string").alias("message"), "n", "probability").unionByName(
+        bad.select(none.cast("string").alias("race_id"), none.cast("int").alias("lap"), "message", "n", none.cast("double").alias("probability")))
+
+
 # ------------------------------------------------------------ reports (F-B)
 def fb_scored(spark, d):
     c = fb_clean(spark, d)
@@ -728,6 +793,15 @@ def q_pending_sessions(spark, d):
     return pending_sessions(fx.fd_schedule(spark, d), fx.fd_catalog(spark, d), "1998-06-01")
 
 
+@query("pending_in_folder")
+def q_pending_in_folder(spark, d):
+    """S9 + J8: past events x {Q, R} without a lap file; the catalogue is what lies in the folder."""
+    root = scratch_dir(spark, "raw")
+    name = F.concat_ws("_", F.col("year").cast("string"), F.lpad(F.col("round").cast("string"), 2, "0"), F.lit("Some_Event"), "session_type", F.lit("laps.parquet"))
+    fx.fd_catalog(spark, d).withColumn("file", name).repartition("file").write.partitionBy("file").parquet(root)
+    return pending_in_folder(spark, fx.fd_schedule(spark, d), root, "1998-06-01")
+
+
 @query("session_key")
 def q_session_key(spark, d):
     """P14 + P15: normalized event names in the session key format."""

@@ -182,3 +182,23 @@ def pending_sessions(schedule: DataFrame, catalog: DataFrame, now, types: Sequen
     past = schedule.where(F.col(date_col) < now_c)
     wanted = past.select(*keys, F.explode(F.array(*[F.lit(t) for t in types])).alias("session_type"))
     return wanted.join(catalog.select(*keys, "session_type"), [*keys, "session_type"], "left_anti")
+
+
+def session_catalog(spark: SparkSession, root: str, kind: str = "laps") -> DataFrame:
+    """(year, round, event, session_type, files, bytes) of the sessions whose
+    ``<year>_<round>_<event>_<type>_<kind>.parquet`` is under ``root``, at any
+    depth, as a file or a folder of files. Spark lists the tree (in a job where
+    it is wide) and reads no file. Other names are ignored; no folder is an error."""
+    if not path_exists(spark, root):
+        raise FileNotFoundError(root)
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+             .select(F.regexp_extract(F.url_decode(F.regexp_replace("path", r"\+", "%2B")), rf"([^/=]+)_{kind}\.parquet(/[^/]*)?$", 1).alias("k"), "length"))
+    part = lambda i: F.regexp_extract("k", r"^(\d{4})_(\d+)_(.+)_([^_]+)$", i)
+    named = found.where(part(1) != "").select(part(1).cast("int").alias("year"), part(2).cast("int").alias("round"), part(3).alias("event"),
+                                              part(4).alias("session_type"), "length")
+    return named.groupBy("year", "round", "event", "session_type").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def pending_in_folder(spark: SparkSession, schedule: DataFrame, root: str, now, types: Sequence[str] = ("Q", "R"), kind: str = "laps") -> DataFrame:
+    """S9 + J8: past sessions of the schedule that have no file under ``root``."""
+    return pending_sessions(schedule, session_catalog(spark, root, kind).select("year", "round", "session_type").distinct(), now, types)

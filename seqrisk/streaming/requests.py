@@ -11,10 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqrisk.config import DEFAULT_THRESHOLD
-from seqrisk.operators.scoring import score_requests
+from seqrisk.session import cut_lineage
+from seqrisk.operators.scoring import score_bodies, score_requests
 
 
 def request_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
@@ -34,3 +36,22 @@ def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
          .option("checkpointLocation", checkpoint_dir).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def score_body_stream(spark: SparkSession, source_dir: str, scorer: Callable[[DataFrame], Column] | object, out_dir: str, dead_dir: str,
+                      checkpoint_dir: str, threshold=DEFAULT_THRESHOLD, available_now: bool = True):
+    """M7 + P18 on raw bodies, one JSON text per line of the files in ``source_dir``: scored rows go to ``out_dir``,
+    rejected ones with their body and error to ``dead_dir``. Each micro-batch writes its own partition of both and
+    overwrites it when it is repeated, so a restart neither loses nor doubles a request."""
+    lines = spark.readStream.schema("value string").text(source_dir).withColumnRenamed("value", "body").withColumn("raw", F.col("body"))
+    scored = score_bodies(lines, scorer, threshold, keep=["raw"])
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = cut_lineage(batch)                       # both sinks read what was scored once
+        for part, path in ((rows.where("error is null").drop("raw", "error", "message"), out_dir),
+                           (rows.where("error is not null").select("raw", "error", "message"), dead_dir)):
+            part.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    w = scored.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()

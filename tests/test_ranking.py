@@ -87,3 +87,27 @@ def test_two_level_path_with_extra_aggs(spark):
     # filled column (1, 2, 3, 10) = 2.5; the null-group row only gets the global
     out = sorted((r.g or "", r.x) for r in fill_group_then_global_median(df, ["x"], "g").collect())
     assert out == [("", 2.5), ("", 10.0), ("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", 2.5), ("b", 2.5)]
+
+
+def test_medians_by_selection_of_awkward_values(spark, monkeypatch):
+    """Every number of passes gives the same: values near together, far apart, infinite, signed zeros, weights, ties."""
+    import random
+    import statistics
+
+    from seqrisk.operators import ranking as rk
+    inf = float("inf")
+    rng = random.Random(11)
+    groups = {"near": [1.0 + i * 2 ** -52 for i in range(501)], "far": [10.0 ** rng.randint(-300, 300) * rng.choice([-1, 1]) for _ in range(400)],
+              "inf": [inf, -inf, inf, 3.0, 3.5, -inf], "ends": [-inf, 1.0, 2.0, 3.0, inf], "zero": [0.0, -0.0, 0.0, 1e-320, 5e-324], "tie": [7.0] * 50 + [8.0] * 50,
+              "one": [2.5], None: [float(rng.randint(0, 1000)) for _ in range(999)]}
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("nan", float("nan")), ("nan", None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, x double").repartition(3)
+    want = {g: statistics.median(vs) for g, vs in groups.items()}
+    for last in (2_000_000, 20):
+        monkeypatch.setattr(rk, "LAST_ROWS", last)
+        got = {r.g: r.x for r in rk.exact_medians(df, ["g"], ["x"]).collect()}
+        assert got == want
+    long = spark.createDataFrame([("k", 1.0, 5), ("k", 2.0, 4), ("k", 9.0, 1)], "__k string, __v double, __w long")
+    assert rk.medians_of_long(long, [], ["k"]).first()["k"] == 1.5
+    assert rk.medians_of_long(long.limit(0), [], ["k"]).first()["k"] is None
