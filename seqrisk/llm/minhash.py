@@ -13,13 +13,16 @@ classes are compared with the smallest one (a star, not all pairs), and with
 a few others chosen by hash if they are many. Where a
 band value still holds more than one component, every pair between members of
 different components is compared too, unless it cannot reach the threshold:
-with a and b the shares of weight that two texts have in shingles of no other
-text in question, their probability Jaccard is at most
+with a and b at most the shares of weight that two texts have in shingles that
+the other lacks, their probability Jaccard is at most
 (1 - a) (1 - b) / (1 - a b); if no shingle repeats in either, it is the Jaccard
 of sets of x and y shingles that share at most c = min(x (1 - a), y (1 - b)),
-so at most c / (x + y - c). So each candidate pair is compared, already
-connected or impossible. Comparison recomputes the exact probability Jaccard
-from the whole texts.
+so at most c / (x + y - c). Two such shares are known without the texts: that
+of shingles of no other text in question, and that of the bits that only one of
+the two has in a map of ``MAP_BITS`` bits which a text's shingles set (each such
+bit is a shingle that the other lacks). So each candidate pair is compared,
+already connected or impossible. Comparison recomputes the exact probability
+Jaccard from the whole texts.
 
 Defined cases: null texts and texts without a word link with nothing; a text
 of fewer than five words is one shingle; rows with a null id keep a null
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from seqrisk.llm import bytes_text as bt
 from seqrisk.llm.common import by_value, saved, small
@@ -43,6 +46,7 @@ WORDS = 5
 SIMILARITY = 0.8
 PAIRS_AT_ONCE = 512       # bounds the shingles that a task holds
 PIVOTS, MANY = 3, 8      # more centres of comparison for band values with many texts
+MAP_BITS = 1024          # of a text's shingle map; a bound only, so its size changes no result
 BANDS, ROWS = 24, 7      # a pair of similarity 0.8 shares a band with probability 0.996
 _U = np.uint64
 by_value(__name__)
@@ -84,7 +88,7 @@ def _shingles(data: np.ndarray, offsets: np.ndarray, size: int):
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int) -> DataFrame:
     """id, key1, key2 (of the word sequence; null without words), total (number of
-    shingles), plain (none repeats), bands."""
+    shingles), plain (none repeats), bits (the shingle map), bands."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,15 +102,18 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: in
                 k1 = bt.span_hashes(word, first[:-1], first[1:])
                 k2 = bt.span_hashes(bt.mix(word ^ _U(0x5851F42D4C957F2D)), first[:-1], first[1:])
                 empty = np.diff(first) == 0
+                bits = np.zeros((n, MAP_BITS // 64), _U)
+                np.bitwise_or.at(bits, (d, ((h >> _U(6)) % _U(MAP_BITS // 64)).astype(np.int64)), _U(1) << (h & _U(63)))
+                maps = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * bits.shape[1], bits.view(np.int64).ravel())
                 lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * bands, key.view(np.int64).ravel())
                 total = np.bincount(d, c, n).astype(np.int64)
                 yield pa.record_batch([batch.column(0).slice(at, n), pa.array(k1.view(np.int64), mask=empty),
                                        pa.array(k2.view(np.int64), mask=empty), pa.array(total),
-                                       pa.array(total == np.bincount(d, minlength=n)), lists],
-                                      names=["id", "key1", "key2", "total", "plain", "bands"])
+                                       pa.array(total == np.bincount(d, minlength=n)), maps, lists],
+                                      names=["id", "key1", "key2", "total", "plain", "bits", "bands"])
 
     rows_ = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return rows_.mapInArrow(work, "id long, key1 long, key2 long, total long, plain boolean, bands array<long>")
+    return rows_.mapInArrow(work, "id long, key1 long, key2 long, total long, plain boolean, bits array<long>, bands array<long>")
 
 
 def probability_jaccard(h1: np.ndarray, w1: np.ndarray, h2: np.ndarray, w2: np.ndarray) -> float:
@@ -181,11 +188,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id of texts with equal words), component_id (the smallest id
     linked with it, directly or not) and kept; and the compared pairs of
     classes that are similar (a, b, similarity)."""
-    spark = docs.sparkSession
     sig = saved(signatures(docs, id_col, text_col, size, bands, rows))
     known = sig.where("id is not null and key1 is not null")
     classes = saved(known.groupBy("key1", "key2").agg(F.min("id").alias("class_id"), F.any_value("total").alias("total"),
-                                                        F.any_value("plain").alias("plain"), F.any_value("bands").alias("bands")))
+                                                        F.any_value("plain").alias("plain"), F.any_value("bits").alias("bits"),
+                                                        F.any_value("bands").alias("bands")))
     member = saved(classes.select("class_id", F.posexplode("bands").alias("band", "value"))
                    .select(F.xxhash64("band", "value").alias("bucket"), F.col("class_id").alias("node")))
     by_hash = [F.min(F.struct(F.xxhash64(F.lit(p), "node"), "node"))["node"] for p in range(PIVOTS)]
@@ -206,13 +213,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = saved(rest.select(F.col("node").alias("id")).distinct())
     own = own_share(texts.join(F.broadcast(left) if small(left) else left, "id", "left_semi"), size)
     # what cannot reach the threshold with any text leaves first, then pairs that cannot
-    size_of = classes.select(F.col("class_id").alias("node"), "total", "plain")
+    size_of = classes.select(F.col("class_id").alias("node"), "total", "plain", "bits")
     rest = saved(rest.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
                  .where(F.col("own") <= 1 - least + 1e-9).join(size_of, "node"))
     minor = rest.where("component <> main").select("bucket", F.col("node").alias("u"), F.col("component").alias("cu"),
-                                                   F.col("own").alias("ou"), F.col("total").alias("tu"), F.col("plain").alias("pu"))
-    some = (1 - F.col("own")) * (1 - F.col("ou")) >= (least - 1e-9) * (1 - F.col("own") * F.col("ou"))
-    common = F.least(F.col("total") * (1 - F.col("own")), F.col("tu") * (1 - F.col("ou")))
+                                                   F.col("own").alias("ou"), F.col("total").alias("tu"), F.col("plain").alias("pu"), F.col("bits").alias("bu"))
+
+    def lacking(one: str, other: str) -> Column:
+        """Number of bits that only ``one`` of two maps has."""
+        each = [F.bit_count(F.col(one)[i].bitwiseAND(F.bitwise_not(F.col(other)[i]))) for i in range(MAP_BITS // 64)]
+        return sum(each[1:], each[0])
+
+    a = F.greatest("own", lacking("bits", "bu") / F.col("total"))
+    b = F.greatest("ou", lacking("bu", "bits") / F.col("tu"))
+    some = (1 - a) * (1 - b) >= (least - 1e-9) * (1 - a * b)
+    common = F.least(F.col("total") * (1 - a), F.col("tu") * (1 - b))
     can = some & (~(F.col("plain") & F.col("pu")) | (common * (1 + least) >= (least - 1e-9) * (F.col("total") + F.col("tu"))))
     more = (minor.join(rest.withColumnRenamed("bucket", "other"), (F.col("bucket") == F.col("other")) & can & F.expr(
                 "cu <> component and (component = main or u < node)"))
