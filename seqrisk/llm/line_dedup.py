@@ -109,8 +109,12 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     places = saved(every.select("id", "copy", "line", "h1", "h2", keys.alias("keys")))
     classes = saved(places.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.count("*").alias("times"), F.any_value("keys").alias("keys")))
     can = saved(_shared(classes.where("keys is not null").select("h1", "h2", F.explode("keys").alias("key"))).select("h1", "h2").distinct())
+    # a class's text is read at its first place: only documents that hold one are split again
+    seeds = saved(classes.join(can, ["h1", "h2"], "left_semi").select(F.col("first.id").alias("__id")).distinct())
+    own = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST))
+    some = docs.join(F.broadcast(seeds) if small(seeds) else seeds, own == F.col("__id"), "left_semi")
     few = small(can)
-    texts = (every.where(F.col("n") >= min_chars).select("h1", "h2", "n", "norm").join(F.broadcast(can) if few else can, ["h1", "h2"], "left_semi")
+    texts = (_lines(some, id_col, text_col).where(F.col("n") >= min_chars).select("h1", "h2", "n", "norm").join(F.broadcast(can) if few else can, ["h1", "h2"], "left_semi")
              .groupBy("h1", "h2").agg(F.first("norm").alias("norm"), F.first("n").alias("n")))
     texts = saved(texts.join(classes.select("h1", "h2", "first"), ["h1", "h2"]))
     narrow = texts.select("h1", "h2", F.explode(_windows(F.col("norm"), F.col("n"), parts)).alias("w")).select("h1", "h2", "w.*")

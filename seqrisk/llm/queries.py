@@ -55,9 +55,13 @@ def op4_quality_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (best >= model.least).alias("kept"))
 
 
+LEAST_LINE = 5
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_lines, n_dropped, clean_sha256 (of the text that is left) of every document."""
-    clean = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    """doc_id, n_lines, n_dropped, clean_sha256 (of the text that is left) of every document. Lines of
+    ``LEAST_LINE`` characters or more go for one edit, shorter ones (list marks, numbers) only when equal."""
+    clean = line_dedup.dedup_lines(read(spark, sf_dir, "documents"), min_chars=LEAST_LINE)
     return clean.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("clean_sha256"))
 
 
