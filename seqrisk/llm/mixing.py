@@ -6,8 +6,12 @@ part is taken as it is. The fractional parts are rounded by the pivotal
 method: two documents trade probability mass, weighted by their sizes, in a
 random direction that keeps expectations, until one of them is 0 or 1; the
 other goes on to the next document. So a source's words stay at its target up
-to the one document that is left over. Chunks run from long to short documents,
-so that this one tends to be short.
+to the one document that is left over, which tends to be a long one, as in a
+trade the shorter document is settled. It is settled to the nearer side; what
+is then missing or too much is made good by other documents: up to ``SWAPS``
+times, some of about ``CANDIDATES`` documents of a source (chosen by hash; all of
+a small source) change sides: any one of them, then, from long to short, those
+that bring the source nearer to its target; of all first ones the best.
 
 Distributed: a source's documents are dealt by hash into chunks of about
 ``CHUNK_ROWS`` rows, each chunk leaves one residual document, and the
@@ -32,6 +36,7 @@ from seqrisk.llm.common import null_safe, saved, small
 
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_ROWS = 128
+SWAPS, CANDIDATES = 4, 64
 SEED = 20240
 
 
@@ -122,10 +127,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = F.floor(ask + 1e-9)
     part = ask - whole
     asked = joined.withColumns({"whole": whole.cast("int"), "p": F.when(part < 1e-9, 0.0).otherwise(part)})
-    settled = asked.where("p = 0").withColumn("up", F.lit(0))
-    open_ = asked.where("p > 0")
-
-    fields = ["size", "h", "row_hash", "id", "source", "source_size", "target", "whole", "p"]
+    asked = asked.withColumn("free", (F.col("p") > 0).cast("int"))
+    fields = ["size", "h", "row_hash", "id", "source", "source_size", "target", "whole", "free", "p"]
     types = dict(asked.dtypes)
     item = "struct<" + ",".join(f"{f}:{types[f]}" for f in fields) + ">"
     done = [asked.where("p = 0").select(*fields, F.lit(0).alias("up"))]
@@ -144,16 +147,41 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             break
         chunks, level = -(-chunks // chunk_rows), level + 1
         now = left.withColumn("chunks", F.ceil(F.col("chunks") / chunk_rows)).select(*fields, "chunks")
-    last = F.expr(_UNIFORM.format(key=f"{seed}, -1, h")) < F.col("p")
-    done.append(left.select(*fields, last.cast("int").alias("up")))
+    done.append(left.select(*fields, (F.col("p") >= 0.5).cast("int").alias("up")))
     out = done[0]
     for part_ in done[1:]:
         out = out.unionByName(part_)
+    out = saved(_nearer(saved(out), small(targets)))
     copies = F.col("whole") + F.col("up")
     return out.select("id", "row_hash", "source", "size", "source_size", "target",
                       copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
+def _nearer(out: DataFrame, few: bool) -> DataFrame:
+    """``out`` with single documents of each source changed from ``whole`` to ``whole`` + 1 copies or back, where that
+    brings the source's words nearer to its target. Of a source, sums and about ``CANDIDATES`` documents are gathered."""
+    wide = 1 << 40
+    for _ in range(SWAPS):
+        taken = F.sum((F.col("whole") + F.col("up")) * F.col("size"))
+        able = (F.col("free") == 1) & (F.col("size") > 0)
+        gap = out.groupBy(F.col("source").alias("s"), "target").agg(taken.alias("taken"), F.count_if(able).alias("n"))
+        gap = gap.select("s", "n", (F.col("target") - F.col("taken")).alias("gap"))
+        joined = out.where(able).join(F.broadcast(gap) if few else gap, F.col("source").eqNullSafe(F.col("s")))
+        drawn = joined.where(F.pmod(F.xxhash64("h", F.lit(3)), F.lit(wide)) * F.col("n") < F.lit(CANDIDATES * wide).cast("double"))
+        move = F.when(F.col("up") == 0, F.col("size")).otherwise(-F.col("size"))
+        lists = drawn.groupBy("s", "gap").agg(F.sort_array(F.collect_list(F.struct("size", "h", move.alias("move"))), asc=False).alias("xs"))
+        tried = F.expr("array_min(transform(xs, a -> transform(array(aggregate(xs, named_struct('gap', gap - a.move, 'swaps', array(a.h)), "
+                       "(t, x) -> if(x.h <> a.h and abs(t.gap - x.move) < abs(t.gap), "
+                       "named_struct('gap', t.gap - x.move, 'swaps', array_append(t.swaps, x.h)), t))), "
+                       "t -> named_struct('miss', abs(t.gap), 'swaps', t.swaps))[0]))")
+        best = saved(lists.withColumn("t", tried).where("t.miss < abs(gap) - 1e-9").select("s", F.explode("t.swaps").alias("swap")))
+        if best.isEmpty():
+            break
+        marked = out.join(F.broadcast(best) if few else best, F.col("source").eqNullSafe(F.col("s")) & (F.col("h") == F.col("swap")), "left")
+        out = saved(marked.withColumn("up", F.when(F.col("swap").isNotNull(), 1 - F.col("up")).otherwise(F.col("up"))).drop("s", "swap"))
+    return out
+
+
 def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              seed: int = SEED, **settings) -> DataFrame:
     """``docs`` with each row as often as the mix takes it. Rows that repeat
