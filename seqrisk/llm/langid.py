@@ -15,8 +15,10 @@ one table of languages x buckets; it goes to the tasks with the function.
 Prediction reads whole texts in one pass without a shuffle.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0
-and no spans; texts whose letters are in no known script get the language
-with most training documents and score 0; without training rows everything is
+and no spans; texts whose letters are in no script of the training words get the
+language with most training documents and score 0; of languages with equal
+scores the first by name counts; repeated rows count as often in training and
+each get a row; without training rows everything is
 ``und``; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -42,17 +44,21 @@ SMOOTHING = 0.5
 _U = np.uint64
 by_value(__name__)
 
-# Scripts by first code point of a range (public Unicode blocks); 0 is no script of its own.
+# Scripts by first code point of a range (public Unicode blocks); 0 is none of these.
 _RANGES = [(0x00, 0), (0xC0, 1), (0x250, 1), (0x2B0, 0), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6),
            (0x700, 0), (0x900, 7), (0x980, 8), (0xA00, 0), (0xE00, 9), (0xE80, 0), (0x10A0, 10), (0x1100, 11),
            (0x1200, 0), (0x1E00, 1), (0x1F00, 2), (0x2000, 0), (0x3040, 12), (0x3100, 0), (0x3400, 13), (0xA000, 0),
            (0xAC00, 11), (0xD7B0, 0), (0xF900, 13), (0xFB00, 0)]
-SCRIPTS = 14
-# Script of every code point up to U+FFFF; signs and digits within a range have none.
-_SCRIPT = np.zeros(1 << 16, np.uint8)
-for (_at, _number), (_end, _) in zip(_RANGES, _RANGES[1:]):
-    if _number:
-        _SCRIPT[_at:_end] = [_number * chr(c).isalpha() for c in range(_at, _end)]
+LISTED = 14
+PLANES = 4               # code points above have no script
+# All other letters: one class for each 128 code points of the first plane, and for each 4096 of the others.
+SCRIPTS = LISTED + (1 << 16 >> 7) + (PLANES << 16 >> 12)
+# Script of every code point; signs and digits have none.
+_SCRIPT = np.zeros(PLANES << 16, np.uint16)
+for (_at, _number), (_end, _) in zip(_RANGES, [*_RANGES[1:], (PLANES << 16, 0)]):
+    for _c in range(max(_at, 0x80), _end):
+        if chr(_c).isalpha():
+            _SCRIPT[_c] = _number or LISTED + (_c >> 7 if _c < 1 << 16 else (1 << 9) + (_c >> 12))
 
 
 @dataclass(frozen=True)
@@ -70,10 +76,10 @@ def _scripts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     script = (letters[end] > letters[start]).astype(np.int64)
     lead = np.flatnonzero(data >= 0xC0)
     if len(lead):
-        padded = np.append(data, np.zeros(2, np.uint8)).astype(np.int64)
-        b0, b1, b2 = padded[lead], padded[lead + 1] & 63, padded[lead + 2] & 63
-        code = np.where(b0 < 0xE0, (b0 & 31) << 6 | b1, np.where(b0 < 0xF0, (b0 & 15) << 12 | b1 << 6 | b2, 0))
-        found = _SCRIPT[code]
+        padded = np.append(data, np.zeros(3, np.uint8)).astype(np.int64)
+        b0, b1, b2, b3 = padded[lead], padded[lead + 1] & 63, padded[lead + 2] & 63, padded[lead + 3] & 63
+        code = np.where(b0 < 0xE0, (b0 & 31) << 6 | b1, np.where(b0 < 0xF0, (b0 & 15) << 12 | b1 << 6 | b2, (b0 & 7) << 18 | b1 << 12 | b2 << 6 | b3))
+        found = _SCRIPT[np.where(code < len(_SCRIPT), code, 0)]
         word = np.searchsorted(start, lead, "right") - 1
         some = (found > 0) & (word >= 0)
         script[word[some]] = found[some]
