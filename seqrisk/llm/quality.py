@@ -139,7 +139,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rated = (labels.where(F.col(f"`{grade_col}`") >= 0).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{grade_col}`").cast("int").alias("grade"))
              .where("id is not null").groupBy("id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(max_rows))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    sample = texts.join(F.broadcast(rated), "id").select("id", "text", "grade")   # at most max_rows rows
+    # one text per id (that of the smallest hash), so at most max_rows rows
+    sample = (texts.join(F.broadcast(rated), "id").groupBy("id", "grade").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+              .select("id", "text", "grade"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
