@@ -5,7 +5,8 @@ leave first, then rows alone in (length, hash of the first characters), and
 only the rest have their whole text hashed. Every level counts with a
 map-side partial aggregate, so a third of all rows in one group is one row
 per task. The keys that survive a level are broadcast when they were counted
-and are few, else joined by shuffle on narrow rows.
+and are few, else joined by shuffle; the whole-text hash is taken behind that
+join in both cases.
 
 Defined cases: a null text counts as empty; the normalised text lower-cases
 A-Z only; of equal texts the row with the largest id stays (a null id is
@@ -35,55 +36,66 @@ def _prefix(col: str, chars: int) -> Column:
     return F.xxhash64(lower_ascii(F.substring(_text(col), 1, chars)))
 
 
-def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """One row per group of two or more rows with equal texts: text_sha256,
-    keep_id, group_size, n_keep (rows that carry keep_id)."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.octet_length(_text(text_col)).alias("len"),
-                       _prefix(text_col, prefix_chars).alias("prefix"))
-    rows = saved(rows.select("len", "prefix"))
+def _suspects(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int) -> DataFrame:
+    """The (len, prefix) keys that more than one row has, as a table."""
+    rows = saved(docs.select(F.octet_length(_text(text_col)).alias("len"), _prefix(text_col, prefix_chars).alias("prefix")))
     lengths = saved(rows.groupBy("len").count().where("count > 1").select("len"))
     by_length = rows.join(F.broadcast(lengths) if small(lengths) else lengths, "len", "left_semi")
-    keys = saved(by_length.groupBy("len", "prefix").count().where("count > 1").select("len", "prefix"))
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
-                        F.octet_length(_text(text_col)).alias("len"),
-                        _prefix(text_col, prefix_chars).alias("prefix"))
-    if small(keys):  # whole texts are hashed after the filter
-        full = texts.join(F.broadcast(keys), ["len", "prefix"], "left_semi").select("id", _sha("text").alias("text_sha256"))
-    else:            # hashing first keeps texts out of the shuffle
-        full = (texts.select("id", "len", "prefix", _sha("text").alias("text_sha256"))
-                .join(keys, ["len", "prefix"], "left_semi").select("id", "text_sha256"))
-    per_id = full.groupBy("text_sha256", "id").count()
+    return saved(by_length.groupBy("len", "prefix").count().where("count > 1").select("len", "prefix"))
+
+
+def _keyed(docs: DataFrame, keys: DataFrame, text_col: str, prefix_chars: int) -> DataFrame:
+    """``docs`` with __sha: the hash of the whole text of rows whose key is in ``keys``, null for all others. The text is
+    only read in full behind this join, at every size."""
+    found = keys.select(F.col("len").alias("__l"), F.col("prefix").alias("__p"), F.lit(True).alias("__hit"))
+    on = (F.octet_length(_text(text_col)) == F.col("__l")) & (_prefix(text_col, prefix_chars) == F.col("__p"))
+    joined = docs.join(F.broadcast(found) if small(keys) else found, on, "left")
+    return joined.withColumn("__sha", F.when(F.col("__hit"), _sha(text_col))).drop("__l", "__p", "__hit")
+
+
+def _groups(keyed: DataFrame, id_col: str) -> DataFrame:
+    """One row per group of two or more rows with equal texts: text_sha256,
+    keep_id, group_size, n_keep (rows that carry keep_id)."""
+    per_id = keyed.where("__sha is not null").groupBy(F.col("__sha").alias("text_sha256"), F.col(f"`{id_col}`").alias("id")).count()
     return (per_id.groupBy("text_sha256")
             .agg(F.sum("count").alias("group_size"), F.max(F.struct("id", "count")).alias("top"))
             .where("group_size > 1")
             .select("text_sha256", F.col("top.id").alias("keep_id"), "group_size", F.col("top.count").alias("n_keep")))
 
 
+def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 prefix_chars: int = PREFIX_CHARS) -> DataFrame:
+    """One row per group of two or more rows with equal texts: text_sha256,
+    keep_id, group_size, n_keep (rows that carry keep_id)."""
+    two = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    return _groups(_keyed(two, _suspects(docs, id_col, text_col, prefix_chars), text_col, prefix_chars), id_col)
+
+
 def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256."""
-    groups = equal_groups(docs, id_col, text_col, prefix_chars)
+    """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256
+    (asked of every row, so it is made once more in this projection). Rows meet
+    the groups by broadcast where these were counted and are few."""
+    groups = saved(equal_groups(docs, id_col, text_col, prefix_chars))
     rows = docs.select(F.col(f"`{id_col}`").alias(id_col), _sha(text_col).alias("text_sha256"))
     keep = F.when(F.col("group_size").isNull(), F.col(f"`{id_col}`")).otherwise(F.col("keep_id"))
-    return rows.join(groups, "text_sha256", "left").select(
+    return rows.join(F.broadcast(groups) if small(groups) else groups, "text_sha256", "left").select(
         f"`{id_col}`", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.col(f"`{id_col}`").eqNullSafe(keep).alias("kept"), "text_sha256")
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """``docs`` without all but one row of each group of equal texts. Only the
-    rows of groups pass a shuffle when the groups are few."""
-    groups = saved(equal_groups(docs, id_col, text_col, prefix_chars))
-    if small(groups):
-        groups = F.broadcast(groups)
-    sha, keep, size, n = "__sha", "__keep", "__size", "__n_keep"
-    named = groups.select(F.col("text_sha256").alias(sha), F.col("keep_id").alias(keep),
-                          F.col("group_size").alias(size), F.col("n_keep").alias(n))
-    joined = docs.withColumn(sha, _sha(text_col)).join(named, sha, "left")
-    stays = joined.where(F.col(size).isNull() | F.col(f"`{id_col}`").eqNullSafe(F.col(keep)))
+    """``docs`` without all but one row of each group of equal texts. Rows of no
+    suspect key pass without their text being hashed."""
+    keys = _suspects(docs, id_col, text_col, prefix_chars)
+    keyed = _keyed(docs, keys, text_col, prefix_chars)
+    groups = saved(_groups(_keyed(docs.select(f"`{id_col}`", f"`{text_col}`"), keys, text_col, prefix_chars), id_col))
+    named = groups.select(F.col("text_sha256").alias("__of"), F.col("keep_id").alias("__keep"),
+                          F.col("group_size").alias("__size"), F.col("n_keep").alias("__n_keep"))
+    joined = keyed.join(F.broadcast(named) if small(groups) else named, F.col("__sha") == F.col("__of"), "left")
+    stays = joined.where(F.col("__size").isNull() | F.col(f"`{id_col}`").eqNullSafe(F.col("__keep")))
     cols = [f"`{c}`" for c in docs.columns]
-    once = stays.where(F.coalesce(F.col(n), F.lit(1)) == 1).select(*cols)
-    repeated = stays.where(F.col(n) > 1).dropDuplicates([sha]).select(*cols)
+    once = stays.where(F.coalesce(F.col("__n_keep"), F.lit(1)) == 1).select(*cols)
+    repeated = stays.where(F.col("__n_keep") > 1).dropDuplicates(["__sha"]).select(*cols)
     return once.unionByName(repeated)
