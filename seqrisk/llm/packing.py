@@ -355,7 +355,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, island
     for d in done[1:]:
         out = out.unionByName(d)
     place = W.partitionBy("seq").orderBy(F.col("length").desc(), "uid").rowsBetween(W.unboundedPreceding, -1)
-    number = F.xxhash64("seq.level", "seq.block", "seq.bin")
+    # (level, block, bin) as one number: bins of a block are fewer than 2^16, blocks of a level fewer than 2^40; a piece
+    # that is a sequence of its own takes its unique id above all of these
+    number = F.when(F.col("seq.level") < 0, F.col("seq.block") + F.lit(1 << 62)).otherwise(
+        F.shiftleft(F.shiftleft(F.col("seq.level").cast("long"), 40) + F.col("seq.block"), 16) + F.col("seq.bin"))
     return out.select("uid", "seq", F.coalesce(F.sum("length").over(place), F.lit(0)).alias("offset")).select(
         "uid", number.alias("sequence_id"), "offset")
 
