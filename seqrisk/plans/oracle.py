@@ -804,6 +804,19 @@ f_c AS (SELECT *, sum(pos) OVER (PARTITION BY fold ORDER BY z DESC) AS tps FROM
 SELECT fold, CAST(sum(pos + neg) AS BIGINT) AS rows, CAST(sum(pos) AS BIGINT) AS positives,
        round(sum(neg * (tps - pos / 2.0)) / (sum(pos) * CAST(sum(neg) AS DOUBLE)), 6) AS auc FROM f_c GROUP BY fold"""
 
+_TREE_Z = f"""CASE WHEN {goes_left('b0', 'bj')}
+                  THEN CASE WHEN {goes_left('bl', 'bj')} THEN {_leaf('bl.gl', 'bl.hl')} ELSE {_leaf('bl.g - bl.gl', 'bl.h - bl.hl')} END
+                  ELSE CASE WHEN {goes_left('br', 'bj')} THEN {_leaf('br.gl', 'br.hl')} ELSE {_leaf('br.g - br.gl', 'br.h - br.hl')} END END"""
+ORACLE["boosted_job"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, BOOST_DEPTH2, f"""
+bj_st AS (SELECT RaceId, LapNumber, bool_or(coalesce(SafetyCar, false)) AS cur FROM fb_ho
+          WHERE RaceId IS NOT NULL AND LapNumber IS NOT NULL GROUP BY 1, 2),
+bj_lab AS (SELECT a.RaceId, a.LapNumber FROM bj_st a JOIN bj_st b ON a.RaceId = b.RaceId AND b.LapNumber = a.LapNumber + 1
+           WHERE b.cur AND NOT a.cur AND a.LapNumber >= 1),
+bj AS (SELECT CASE WHEN l.RaceId IS NULL THEN 0 ELSE 1 END AS y, {_boost_columns('fb_ho')}
+       FROM fb_ho LEFT JOIN bj_lab l ON fb_ho.RaceId = l.RaceId AND fb_ho.LapNumber = l.LapNumber),
+bj_s AS (SELECT y, 1 / (1 + exp(-({_TREE_Z}))) AS score FROM bj CROSS JOIN b0 CROSS JOIN bl CROSS JOIN br)""",
+                              curve("bj_s"), metrics_sql()) + f"SELECT 'holdout' AS dataset, {METRIC_SELECT} FROM cv_row"
+
 BOOST_STUMP = BOOST_ROWS + "," + best_split("b0", "bt") + f""",
 b0_v AS (SELECT *, {_leaf('gl', 'hl')} AS vl, {_leaf('g - gl', 'h - hl')} AS vr,
                 feature || CASE WHEN category IS NULL THEN '' ELSE '_' || category END AS player FROM b0),

@@ -76,3 +76,22 @@ def test_season_and_profile(spark):
         season_job(laps.withColumn("SessionType", F.lit("Q")))
     share = {r.SC: r.share for r in p["flag_share"].collect()}
     assert abs(share[1] - 1 / 3) < 1e-12
+
+
+def test_boosted_job_finds_a_planted_signal(spark, tmp_path):
+    """Sampled trees and folds in the same passes: fold and holdout AUC above a floor, recomputed from the written scores."""
+    from seqrisk.config import FeatureRoles
+    from seqrisk.operators.boosting import BoostParams, load_boosted
+    from seqrisk.plans.jobs import boosted_job
+    df = spark.range(1500).selectExpr("id", "cast(pmod(hash(id), 40) as double) LapNumber", "concat('t', pmod(hash(id, 1), 6)) Team",
+                                      "cast(pmod(hash(id, 2), 100) < if(pmod(hash(id), 40) > 25, 80, 8) as int) y")
+    roles = FeatureRoles(categorical=["Team"], numeric=["LapNumber"], boolean=[], interactions=[], include_interactions=False)
+    path, scores = str(tmp_path / "m"), str(tmp_path / "s")
+    job = boosted_job(spark, df.where("id < 1000"), df.where("id >= 1000"), "y", roles, BoostParams(trees=4, depth=3, rate=0.3), 5, ["id"], path, scores)
+    folds = job["cv"].collect()
+    assert len(folds) == 5 and sum(r["rows"] for r in folds) == 1000 and min(r["auc"] for r in folds) > 0.75
+    rows = [(r["y"], r["score"]) for r in spark.read.parquet(scores).collect()]
+    pos, neg = [s for y, s in rows if y], [s for y, s in rows if not y]
+    want = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+    assert len(rows) == 500 and want > 0.75 and abs(job["metrics"].first()["auc"] - want) < 1e-9
+    assert load_boosted(spark, path).trees == job["model"].trees
