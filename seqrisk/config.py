@@ -104,12 +104,9 @@ SEED = 42
 TEST_FRACTION = 0.2
 HOLDOUT_YEARS = (2024,)
 FALLBACK_FRACTIONS = (0.7, 0.2, 0.1)
-SAMPLE_ROWS = 500
 CALIBRATION_BINS = 10
 AUC_GATE = 0.80
-DEFAULT_AUC = 0.81
 DEFAULT_THRESHOLD = 0.5
-SESSION_TYPES = ("Q", "R")
 
 # Request defaults for optional lap fields (batch-scoring profile).
 REQUEST_DEFAULTS = {
