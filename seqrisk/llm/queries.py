@@ -147,4 +147,38 @@ ORACLE = {
         g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN g USING (text_sha256)
     """,
+    # links by plain cosines within a label, components by reachability
+    "op2_embedding_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        x AS (SELECT vec_id, label, len(e) AS dim, i, e[i] AS x FROM v, unnest(range(1, len(e) + 1)) t(i)),
+        f AS (SELECT vec_id, label, list(x ORDER BY i) AS e FROM x WHERE x IS NOT NULL GROUP BY vec_id, label, dim HAVING count(*) = dim),
+        u AS (SELECT *, list_dot_product(e, e) AS n2 FROM f),
+        w AS (SELECT vec_id, label, e, sqrt(n2) AS n FROM u WHERE label IS NOT NULL AND isfinite(n2) AND n2 > 0),
+        links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM w a JOIN w b ON a.label = b.label AND a.vec_id <> b.vec_id
+                  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93 END),
+        reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+        low AS (SELECT x, min(y) AS m FROM reach GROUP BY 1), many AS (SELECT x, count(*) AS n FROM links GROUP BY 1)
+        SELECT vec_id, coalesce(many.n, 0) AS n_links, least(vec_id, coalesce(low.m, vec_id)) AS component_id,
+               vec_id = least(vec_id, coalesce(low.m, vec_id)) AS kept
+        FROM v LEFT JOIN low ON low.x = vec_id LEFT JOIN many ON many.x = vec_id
+    """,
+    # lines within one edit share the first or the last half of the longer one's length; then the place of the edit is sought
+    "op5_line_dedup": """
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+        l AS (SELECT doc_id, i AS line, parts[i] AS raw, trim(translate(parts[i], chr(9) || chr(13) || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     '  abcdefghijklmnopqrstuvwxyz'), ' ') AS norm FROM d, unnest(range(1, len(parts) + 1)) t(i)),
+        p AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS LAST, line) AS place FROM l),
+        c AS (SELECT norm, length(norm) AS n, min(place) AS place FROM p WHERE norm <> '' GROUP BY 1),
+        z AS (SELECT *, n + i AS longest FROM c, (VALUES (0), (1)) t(i) WHERE n >= 5),
+        k AS (SELECT *, 0 AS side, left(norm, longest // 2) AS part FROM z UNION ALL SELECT *, 1, right(norm, longest // 2) FROM z),
+        pairs AS (SELECT DISTINCT a.norm AS a, a.n AS na, b.norm AS b, b.n AS nb FROM k a JOIN k b USING (longest, side, part)
+                  WHERE a.place < b.place AND greatest(a.n, b.n) = longest),
+        near AS (SELECT DISTINCT b AS norm FROM pairs, unnest(range(0, greatest(na, nb))) t(i)
+                 WHERE left(a, i) = left(b, i) AND substr(a, i + CASE WHEN na >= nb THEN 2 ELSE 1 END) = substr(b, i + CASE WHEN nb >= na THEN 2 ELSE 1 END)),
+        marked AS (SELECT p.*, p.norm <> '' AND (near.norm IS NOT NULL OR p.place > c.place) AS gone
+                   FROM p LEFT JOIN c ON p.norm = c.norm LEFT JOIN near ON p.norm = near.norm)
+        SELECT doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS n_dropped,
+               sha256(coalesce(string_agg(raw, chr(10) ORDER BY line) FILTER (WHERE NOT gone), '')) AS clean_sha256
+        FROM marked GROUP BY doc_id
+    """,
 }
