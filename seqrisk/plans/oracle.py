@@ -592,6 +592,14 @@ UNION ALL SELECT 'track_status', 'S' || (race % 4), count(*), 0 FROM fa_status G
 UNION ALL SELECT 'weather', 'S' || (race % 4), count(*), 0 FROM fa_weather GROUP BY 2
 UNION ALL SELECT 'damaged', 'S9', 0, 1"""
 
+ORACLE["verified_scan"] = ORACLE["multi_file_scan"]
+
+ORACLE["file_manifest"] = with_(FA_LAPS) + """
+SELECT 'S' || (race % 4) AS RaceId, count(*) AS n, CASE WHEN race % 4 = 3 THEN 4 ELSE 5 END AS n_columns,
+       CASE race % 4 WHEN 1 THEN 'int64' WHEN 2 THEN 'double' ELSE 'int32' END AS lap_type, 1 AS readable, CAST(NULL AS VARCHAR) AS error
+FROM fa_laps GROUP BY 1, 3, 4
+UNION ALL SELECT 'S9', NULL, NULL, NULL, 0, 'no Parquet footer'"""
+
 ORACLE["partitioned_scan"] = with_(FA_LAPS) + """
 SELECT event_id, race, driver, lap, round(lap_time_s, 6) AS lap_time_s FROM fa_laps"""
 

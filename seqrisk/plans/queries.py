@@ -23,7 +23,7 @@ from seqrisk.operators.reports import (count_by, flagged_laps, lap_risk, null_fr
 from seqrisk.plans.jobs import (boosted_job, decided, profile_report, race_report, report_rows, season_job, train_job,
                                 transform_job, tuned_threshold)
 from seqrisk.plans.scratch import scratch_dir
-from seqrisk.sources.files import (load_dataframe, pending_in_folder, pending_sessions, read_session_files, read_sessions, tag_session,
+from seqrisk.sources.files import (file_manifest, load_dataframe, pending_in_folder, pending_sessions, read_session_files, read_sessions, tag_session,
                                    union_by_name, unreadable_files, write_session_files, write_sessions)
 from seqrisk.streaming.requests import score_body_stream, score_stream
 from seqrisk.operators.enrich import (add_seconds_columns, add_track, clean, fill_constant,
@@ -850,6 +850,23 @@ def q_session_kinds(spark, d):
     return out.unionByName(bad)
 
 
+@query("file_manifest")
+def q_file_manifest(spark, d):
+    """What the footers of the flat laps files say, every row group decoded: per session the
+    rows, the columns, the stored type of lap, and whether its files are readable."""
+    files = file_manifest(spark, session_folder(spark, d), "laps", verify=True)
+    lap_type = F.filter("columns", lambda c: c["name"] == "lap")[0]["type"]
+    return files.groupBy("RaceId").agg(F.sum("rows").alias("n"), F.max(F.size("columns")).cast("long").alias("n_columns"), F.max(lap_type).alias("lap_type"),
+                                       F.min(F.col("readable").cast("int")).alias("readable"), F.max("error").alias("error"))
+
+
+@query("verified_scan")
+def q_verified_scan(spark, d):
+    """The laps files that decode in full, each session's types cast to the contract."""
+    back = read_session_files(spark, session_folder(spark, d), "laps", contract=LAP_CONTRACT, verify=True)
+    return back.select("event_id", "RaceId", "race", "driver", "lap", r6("lap_time_s").alias("lap_time_s"))
+
+
 @query("partitioned_scan")
 def q_partitioned_scan(spark, d):
     """S5 / S6, native layout: F-A laps written one directory per race and read

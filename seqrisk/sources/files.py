@@ -10,15 +10,16 @@ Two layouts are read:
 
 Files whose column types drift (int64 in one, double in another) are read
 one DataFrame per distinct schema, cast to a contract and unioned by name,
-so the plan grows with the number of schemas, not of files.
+so the plan grows with the number of schemas, not of files. Footers are read
+in tasks (``file_manifest``); the driver holds names and schemas only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,13 +75,75 @@ def _key(path, kind: str):
     return F.regexp_extract(path, rf"([^/]+)_{kind}\.parquet(/[^/]*)?$", 1)
 
 
+def file_manifest(spark: SparkSession, root: str, kind: str = "laps", key: str = "RaceId", verify: bool = False,
+                  open_file: Callable | None = None) -> DataFrame:
+    """One row per data file of a kind under ``root``: key, path, bytes,
+    rows, row_groups, columns (name, type), readable, error. Spark lists the
+    tree; footers are read in its tasks, a few kilobytes a file. ``verify`` also
+    decodes every row group, batch by batch, and checks page checksums where a
+    file has them. A file without a footer, or with a row group that does not
+    decode, is not readable and its error says why; its counts are null if it
+    has no footer. Files of no bytes are not listed. Files are opened by pyarrow's file systems (local, HDFS, S3,
+    GCS, Azure); ``open_file`` (path -> seekable file) serves any other. A file
+    that cannot be opened at all is an error of the job, not of the file.
+    """
+    def work(batches):
+        import re
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        systems = {}
+
+        def opened(path):
+            scheme, authority, name = re.match(r"^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(?://([^/]*))?(/.*)$", path).groups()
+            if scheme in (None, "file"):
+                return pafs.LocalFileSystem().open_input_file(name)
+            at = f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{authority or ''}/"
+            if at not in systems:
+                systems[at] = pafs.FileSystem.from_uri(at)
+            fs, base = systems[at]
+            return fs.open_input_file(base.rstrip("/") + name)
+
+        def row(path):
+            columns, rows, groups = None, None, None
+            with (open_file or opened)(path) as f:
+                try:
+                    pf = pq.ParquetFile(f, page_checksum_verification=verify)
+                    columns = [{"name": c.name, "type": str(c.type)} for c in pf.schema_arrow]
+                    rows, groups = pf.metadata.num_rows, pf.metadata.num_row_groups
+                except (pa.ArrowException, OSError, ValueError):
+                    return columns, rows, groups, "no Parquet footer"
+                for g in range(groups if verify else 0):
+                    try:
+                        n = sum(len(b) for b in pf.iter_batches(65_536, row_groups=[g]))
+                        if n != pf.metadata.row_group(g).num_rows:
+                            return columns, rows, groups, f"row group {g} is short"
+                    except (pa.ArrowException, OSError, ValueError):
+                        return columns, rows, groups, f"row group {g} is damaged"
+            return columns, rows, groups, None
+
+        kinds = [pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())])), pa.int64(), pa.int32(), pa.string()]
+        for batch in batches:
+            found = list(zip(*[row(p) for p in batch.column(1).to_pylist()])) or [()] * 4
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(list(v), t) for v, t in zip(found, kinds)]],
+                                             names=["k", "path", "bytes", "columns", "rows", "row_groups", "error"])
+
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*").load(root)
+    ours = raw.where(F.col("path").rlike(rf"_{kind}\.parquet(/(part-|[^_./])[^/]*)?$"))
+    found = ours.select(_key(F.col("path"), kind).alias("k"), "path", F.col("length").alias("bytes")).mapInArrow(
+        work, "k string, path string, bytes long, columns array<struct<name:string,type:string>>, rows long, row_groups int, error string")
+    return found.select(F.col("k").alias(key), "path", "bytes", "rows", "row_groups", "columns", F.col("error").isNull().alias("readable"), "error")
+
+
 def read_session_files(spark: SparkSession, root: str, kind: str = "laps", key: str = "RaceId",
-                       contract: T.StructType | None = None, required: bool = True) -> DataFrame:
+                       contract: T.StructType | None = None, required: bool = True, verify: bool = False) -> DataFrame:
     """S1 (required) / S2, S3 (optional): every ``*_<kind>.parquet`` under
     ``root``, unioned by name, ``key`` := file name without ``_<kind>.parquet``.
     Files without a Parquet footer are skipped whole (``unreadable_files`` lists
-    them). No file: an error when required, else an empty frame with the
-    contract's schema (plus ``key``).
+    them); with ``verify`` so are files with a damaged row group, at the price of
+    reading all once more (else Spark skips what it cannot decode of them). No
+    file: an error when required, else an empty frame with the contract's schema
+    (plus ``key``).
 
     One read with merged schemas; only where column types conflict, one read
     per distinct schema, cast to the contract. Timestamps that pandas wrote in
@@ -97,35 +160,32 @@ def read_session_files(spark: SparkSession, root: str, kind: str = "laps", key:
         return spark.createDataFrame([], T.StructType(fields))
     reader = spark.read.option("ignoreCorruptFiles", "true")
     key_expr = _key(F.col("_metadata.file_path"), kind)
-    try:
-        merged = reader.option("mergeSchema", "true").parquet(*files)
-        return union_by_name([merged.withColumn(key, key_expr)], contract)
-    except (PySparkException, Py4JJavaError) as e:
-        if "CANNOT_MERGE" not in str(e):
-            raise
-    groups: dict[str, list[str]] = {}
-    for f in files:
+    groups: list[list[str]] = []
+
+    def by_schema() -> list[list[str]]:
+        whole = file_manifest(spark, f"{root}/*_{kind}.parquet", kind, key, verify).where("readable")
+        return [r.paths for r in whole.groupBy("columns").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()]
+
+    if verify:
+        groups = by_schema()
+        files = [p for g in groups for p in g]
+    if files:
         try:
-            schema = reader.parquet(f).schema
-        except AnalysisException as e:
-            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            merged = reader.option("mergeSchema", "true").parquet(*files)
+            return union_by_name([merged.withColumn(key, key_expr)], contract)
+        except (PySparkException, Py4JJavaError) as e:
+            if "CANNOT_MERGE" not in str(e):
                 raise
-            continue                          # no footer: skipped whole
-        groups.setdefault(schema.json(), []).append(f)
-    frames = [reader.parquet(*paths).withColumn(key, key_expr) for paths in groups.values()]
-    if not frames:
+        groups = groups or by_schema()
+    if not groups:
         raise FileNotFoundError(f"no readable *_{kind}.parquet under {root}")
-    return union_by_name(frames, contract)
+    return union_by_name([reader.parquet(*paths).withColumn(key, key_expr) for paths in sorted(groups)], contract)
 
 
-def unreadable_files(spark: SparkSession, root: str, kind: str = "laps", key: str = "RaceId") -> DataFrame:
-    """(key, path, error) of the files of a kind that do not begin and end with
-    the Parquet mark. Reads the files, so it is for reports, not for every scan."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*").load(root)
-    mark = F.lit("PAR1").cast("binary")
-    whole = (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark)
-    ours = raw.where(F.col("path").rlike(rf"_{kind}\.parquet(/(part-|[^_./])[^/]*)?$") & ~whole)
-    return ours.select(_key(F.col("path"), kind).alias(key), "path", F.lit("no Parquet mark").alias("error"))
+def unreadable_files(spark: SparkSession, root: str, kind: str = "laps", key: str = "RaceId", verify: bool = False) -> DataFrame:
+    """(key, path, error) of the files of a kind that have no Parquet footer or,
+    with ``verify``, a damaged row group."""
+    return file_manifest(spark, root, kind, key, verify).where(~F.col("readable")).select(key, "path", "error")
 
 
 def write_session_files(frames: dict, root: str, key: str) -> None:

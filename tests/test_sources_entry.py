@@ -116,3 +116,56 @@ def test_track_table_lookup(spark):
     assert got["Albert_Park"] == ("Albert", 5.0, "Unknown", 15)      # multi-word keys never match a first token
     assert got["Lusail_International"] == ("Lusail", 5.380, "Permanent", 16)
     assert got["Nowhere"] == ("Nowhere", 5.0, "Unknown", 15)
+
+
+def test_manifest_reads_footers_in_tasks_and_damage_skips_a_file(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql import types as T
+    from seqrisk.sources.files import file_manifest
+    d = tmp_path / "raw files"
+    d.mkdir()
+    n = 5_000
+    for i, kind in enumerate((pa.int64(), pa.float64(), pa.int64())):
+        pq.write_table(pa.table({"LapNumber": pa.array(range(n), kind), "Speed": pa.array([float(v * i) for v in range(n)])}),
+                       d / f"2023_0{i}_A_R_laps.parquet", row_group_size=1_000, compression="none", write_page_checksum=True)
+    hurt = d / "2023_02_A_R_laps.parquet"
+    raw = bytearray(hurt.read_bytes())
+    at = pq.ParquetFile(hurt).metadata.row_group(3).column(1).data_page_offset + 200
+    raw[at:at + 40] = bytes(255 - b for b in raw[at:at + 40])
+    hurt.write_bytes(bytes(raw))
+    (d / "2023_03_A_R_laps.parquet").write_bytes(b"")
+    (d / "2023_04_A_R_laps.parquet").write_bytes(b"not parquet")
+    pq.write_table(pa.table({"LapNumber": pa.array([], pa.int64())}), d / "2023_05_A_R_laps.parquet")     # whole, without rows
+    pq.write_table(pa.table({"x": [1]}), d / "2023_00_A_R_weather.parquet")
+    quick = {r.RaceId[:7]: r for r in file_manifest(spark, str(d)).collect()}
+    assert {k: (r.rows, r.row_groups, r.readable) for k, r in quick.items()} == {
+        "2023_00": (n, 5, True), "2023_01": (n, 5, True), "2023_02": (n, 5, True),
+        "2023_04": (None, None, False), "2023_05": (0, quick["2023_05"].row_groups, True)}
+    assert [(c.name, c.type) for c in quick["2023_01"].columns] == [("LapNumber", "double"), ("Speed", "double")]
+    errors = {r.RaceId[:7]: r.error for r in unreadable_files(spark, str(d), verify=True).collect()}
+    assert errors == {"2023_02": "row group 3 is damaged", "2023_04": "no Parquet footer"}
+    contract = T.StructType([T.StructField("LapNumber", T.IntegerType()), T.StructField("Speed", T.DoubleType())])
+    got = read_session_files(spark, str(d), "laps", contract=contract, verify=True)
+    assert {r.RaceId[:7]: r["count"] for r in got.groupBy("RaceId").count().collect()} == {"2023_00": n, "2023_01": n}
+    with pytest.raises(FileNotFoundError):
+        only = tmp_path / "hurt"
+        only.mkdir()
+        (only / "2023_02_A_R_laps.parquet").write_bytes(bytes(raw))
+        read_session_files(spark, str(only), "laps", verify=True)
+
+
+def test_manifest_of_many_files_and_a_reader_of_its_own(spark, tmp_path):
+    """Types that conflict over 300 files: one read per schema, no read per file on the driver."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from seqrisk.sources.files import file_manifest
+    kinds = (pa.int32(), pa.int64(), pa.float64())
+    for i in range(300):
+        pq.write_table(pa.table({"LapNumber": pa.array([i], kinds[i % 3])}), tmp_path / f"S{i}_laps.parquet")
+    df = read_session_files(spark, str(tmp_path), "laps", contract=spark.createDataFrame([], "LapNumber int").schema)
+    assert {(r.RaceId, r.LapNumber) for r in df.collect()} == {(f"S{i}", i) for i in range(300)}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 3
+    opened = file_manifest(spark, str(tmp_path), open_file=lambda path: open(path.removeprefix("file:"), "rb"))
+    assert opened.where("readable").count() == 300
