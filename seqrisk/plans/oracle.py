@@ -442,6 +442,8 @@ def _scaled_select() -> str:
 
 ORACLE["scaled_features"] = with_(FB_LAPS, FB_CLEAN, FB_INTER, _stats_cte()) + _scaled_select()
 
+ORACLE["model_unit"] = ORACLE["scaled_features"].replace("SELECT h.l_orderkey,", "SELECT true AS same, h.l_orderkey,")
+
 ONE_HOT = {"Team": ["0", "1", "2", "3", "4"], "Compound": ["A", "N", "R", "Unknown"]}
 
 ORACLE["one_hot"] = with_(FB_LAPS, FB_CLEAN, FB_INTER) + "SELECT l_orderkey, l_linenumber, " + ", ".join(

@@ -39,6 +39,7 @@ from seqrisk.operators.label import attach_labels, label_stats, onset_label, ons
 from seqrisk.operators.model import (ModelScorer, balanced_weights, cross_validate, lap_attribution,
                                      linear_attribution, load_model, mean_abs_attribution, save_model, score,
                                      train_classifier)
+from seqrisk.operators.unit import as_unit, load_unit, save_unit, score_unit
 from seqrisk.operators.attribution import attribute, base_value
 from seqrisk.operators.boosting import BoostParams, cross_validate_boosted, fit_boosted, fold_auc, load_boosted
 from seqrisk.operators.split import (prefix_split, seeded_sample, split_by_group, split_labels,
@@ -514,6 +515,20 @@ def q_model_round_trip(spark, d):
     return both.select("l_orderkey", "l_linenumber", (F.col("p1") == F.col("sc_probability")).alias("same"))
 
 
+@query("model_unit")
+def q_model_unit(spark, d):
+    """M5 + M6 as one pipeline: what its reloaded feature stage makes of the holdout rows, and
+    whether its probability is that of the model that was saved."""
+    train, holdout = fb_parts(spark, d)
+    m, fp = train_classifier(onset_label(train, "RaceId", "LapNumber", "SafetyCar"), "sc_next_lap", FB_ROLES, {"maxIter": 3, "maxDepth": 3})
+    path = scratch_dir(spark, "unit")
+    save_unit(as_unit(m, fp, FB_ROLES), path)
+    scored = score_unit(score(holdout, m, fp, 0.5, FB_ROLES).withColumnRenamed("sc_probability", "p1"), load_unit(path), "p2")
+    made = load_unit(path).stages[0].transform(scored)
+    return made.select("l_orderkey", "l_linenumber", *[r6(f"__f_{c}").alias(c) for c in [*fp.numeric, *fp.boolean]],
+                       F.col("p1").eqNullSafe(F.col("p2")).alias("same"))
+
+
 @query("model_requests")
 def q_model_requests(spark, d):
     """M7 with a trained model: the F-A requests scored by a (model, parameters)
