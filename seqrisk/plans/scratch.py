@@ -7,9 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from seqrisk.session import ensure_checkpoint_dir
+from seqrisk.session import SCRATCH, scratch_path
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/seqrisk-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return scratch_path(spark, SCRATCH, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +26,9 @@ BASE_CONF = {
 }
 
 
+TABLES, SCRATCH = "seqrisk-tables", "seqrisk-scratch"     # folders of scratch tables
+
+
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
                 app: str = "seqrisk", extra: dict | None = None,
                 driver_memory: str = "16g") -> SparkSession:
@@ -61,14 +68,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_scope: ContextVar[str] = ContextVar("scratch_scope", default="")
+
+
+def scratch_path(spark: SparkSession, kind: str, name: str) -> str:
+    """A new path for a scratch table under the shared checkpoint directory;
+    within a ``scratch_scope``, under the folder of that scope."""
+    parts = [ensure_checkpoint_dir(spark).rstrip("/"), kind, _scope.get(), name]
+    return "/".join(p for p in parts if p)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch tables made inside belong to the scope and are deleted at its
+    end, also after an error; those of other scopes, other jobs and of an outer
+    scope are left alone. Results must be written (or collected) inside: a frame
+    that still reads a scratch table cannot be used afterwards. Yields the
+    scope's name."""
+    name = f"scope-{uuid.uuid4().hex}"
+    inner = f"{_scope.get()}/{name}".lstrip("/")
+    token = _scope.set(inner)
+    try:
+        yield inner
+    finally:
+        _scope.reset(token)
+        base = ensure_checkpoint_dir(spark).rstrip("/")
+        jvm = spark.sparkContext._jvm
+        for kind in (TABLES, SCRATCH):
+            path = jvm.org.apache.hadoop.fs.Path(f"{base}/{kind}/{inner}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing the frame as a Parquet table under the
     shared checkpoint directory and reading it back. The written table
     survives executor loss (unlike a local checkpoint), is columnar, and the
     re-read plan gets column pruning and filter pushdown."""
-    import uuid
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/seqrisk-tables/{uuid.uuid4().hex}"
+    path = scratch_path(spark, TABLES, uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
