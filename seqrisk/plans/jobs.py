@@ -26,22 +26,29 @@ from seqrisk.operators.reports import (count_by, lap_risk, lap_rows, null_fracti
                                        race_summary, shape, value_share)
 from seqrisk.operators.split import label_parts
 from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end
+from seqrisk.operators.timeline import TimelineRoles, step_features, store_timeline
 from seqrisk.plans.scratch import scratch_dir
 from seqrisk.session import cut_lineage
 from seqrisk.sources.files import load_dataframe, save_dataframe
 
 
-def merge_sessions(laps: DataFrame, status: DataFrame, weather: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def merge_sessions(laps: DataFrame, status: DataFrame, weather: DataFrame, roles: Roles = Roles(),
+                   layout: str | None = None) -> DataFrame:
     """J1 + J2 + J3 + A1: flags from status changes inside each lap, weather
-    at lap start, weather gaps filled with race medians."""
+    at lap start, weather gaps filled with race medians. ``layout``: a new folder
+    for a stored timeline, which J1 to J3 then read without a shuffle of their own."""
     r = roles
     lt = "__lap_s"
     d = laps.withColumn(lt, seconds(r.lap_time, laps.schema[r.lap_time].dataType)) \
         if r.lap_time in laps.columns else laps.withColumn(lt, F.lit(None).cast("double"))
+    wcols = [c for c in WEATHER_COLUMNS if c in weather.columns]
+    if layout:
+        tl = store_timeline(d, status, weather, TimelineRoles(r.race, r.driver, r.lap, r.start, r.event_time, r.status, lt), layout, wcols)
+        d = step_features(laps.sparkSession, tl, STATUS_FLAGS, [r.driver, r.lap], end="__end")
+        return fill_group_median(d, WEATHER_MEDIAN_COLUMNS, r.race).drop(lt, "__end")
     d = cut_lineage(interval_end(d, r.race, r.driver, r.lap, r.start, lt, out="__end"))   # feeds points and rows
     d = flag_intervals(d, status, r.race, r.driver, r.lap, r.start, "__end", r.race, r.event_time, r.status,
                        STATUS_FLAGS)
-    wcols = [c for c in WEATHER_COLUMNS if c in weather.columns]
     d = asof_join(d, weather, r.race, r.start, r.race, r.event_time, wcols,
                   require=[r.driver, r.lap])
     d = fill_group_median(d, WEATHER_MEDIAN_COLUMNS, r.race)
@@ -50,11 +57,11 @@ def merge_sessions(laps: DataFrame, status: DataFrame, weather: DataFrame, roles
 
 def transform_job(spark: SparkSession, laps: DataFrame, status: DataFrame, weather: DataFrame,
                   out_dir: str | None = None, roles: Roles = Roles(), dim=None,
-                  test_frac: float = TEST_FRACTION, holdout_years=HOLDOUT_YEARS, seed=SEED) -> dict:
-    """Merge, clean, label, split. The result is written once, with a
+                  test_frac: float = TEST_FRACTION, holdout_years=HOLDOUT_YEARS, seed=SEED, layout: str | None = None) -> dict:
+    """Merge (over a stored timeline in the folder ``layout`` if given), clean, label, split. The result is written once, with a
     ``part`` column, to ``out_dir``/full (partitioned by part and year) or a
     scratch table; train, test and holdout are reads of their partitions."""
-    merged = cut_lineage(merge_sessions(laps, status, weather, roles))
+    merged = cut_lineage(merge_sessions(laps, status, weather, roles, layout))
     cleaned = clean(merged, roles, dim)
     labeled = onset_label(cleaned, roles.race, roles.lap, roles.flag, roles.target)
     labeled = labeled.withColumn(roles.year, year_of(roles.race))

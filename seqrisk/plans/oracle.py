@@ -90,6 +90,16 @@ SELECT l.event_id, l.race, l.driver, l.lap, round(w.air_temp, 6) AS air_temp,
        round(w.humidity, 6) AS humidity
 FROM fa_laps l ASOF LEFT JOIN fa_weather w ON l.race = w.race AND l.start >= w.time"""
 
+ORACLE["stored_timeline"] = with_(FA_LAPS, FA_STATUS, FA_WEATHER, FA_IV, FA_FLAGS) + """,
+st AS (SELECT race, lap, bool_or(SafetyCar) AS cur FROM fa_flagged
+       WHERE race IS NOT NULL AND lap IS NOT NULL GROUP BY race, lap),
+lab AS (SELECT a.race, a.lap FROM st a JOIN st b ON a.race = b.race AND b.lap = a.lap + 1
+        WHERE b.cur AND NOT a.cur AND a.lap >= 1)
+SELECT f.event_id, f.race, f.driver, f.lap, epoch_us(f.interval_end) AS end_us, f.YellowFlag, f.SafetyCar, f.RedFlag, f.VirtualSafetyCar,
+       round(w.air_temp, 6) AS air_temp, round(w.humidity, 6) AS humidity, CASE WHEN l.race IS NULL THEN 0 ELSE 1 END AS sc_next_lap
+FROM fa_flagged f ASOF LEFT JOIN fa_weather w ON f.race = w.race AND f.start >= w.time
+LEFT JOIN lab l ON f.race = l.race AND f.lap = l.lap"""
+
 # ------------------------------------------------------------------ F-B CTEs
 FB_LAPS = """
 fb_laps AS (
@@ -693,6 +703,8 @@ ORACLE["transform_job"] = FM_ALL + """
 SELECT event_id, RaceId, Driver, LapNumber, SafetyCar, YellowFlag, RedFlag, VirtualSafetyCar, round(AirTemp, 6) AS AirTemp,
        TrackId, round(TrackLength, 6) AS TrackLength, Corners, sc_next_lap, Year, part FROM fm_full"""
 
+ORACLE["stored_transform"] = ORACLE["transform_job"]
+
 ORACLE["train_job"] = FM_ALL + """,
 p AS (SELECT part, CAST(count(*) AS DOUBLE) AS n, CAST(sum(sc_next_lap) AS DOUBLE) AS pos FROM fm_full WHERE part <> 'train' GROUP BY part)
 SELECT 'rows' AS section, part AS item, n AS value, CAST(NULL AS VARCHAR) AS text FROM p

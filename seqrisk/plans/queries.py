@@ -45,6 +45,7 @@ from seqrisk.operators.boosting import BoostParams, cross_validate_boosted, fit_
 from seqrisk.operators.split import (prefix_split, seeded_sample, split_by_group, split_labels,
                                      stratified_folds, year_holdout)
 from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end, interval_flag_table
+from seqrisk.operators.timeline import TimelineRoles, step_features, store_timeline
 from seqrisk.plans import fixtures as fx
 from seqrisk.session import cut_lineage
 
@@ -118,6 +119,21 @@ def q_asof_weather(spark, d):
                     r6("humidity").alias("humidity"))
 
 
+def fa_timeline(spark, d, **bounds):
+    """F-A's laps, status changes and weather as a stored timeline."""
+    roles = TimelineRoles("race", "driver", "lap", "start", "time", "status", "lap_time_s")
+    return store_timeline(cut_lineage(fx.fa_laps(spark, d).drop("props")), fx.fa_status(spark, d), fx.fa_weather(spark, d), roles,
+                          scratch_dir(spark, "timeline"), ["air_temp", "humidity"], **bounds)
+
+
+@query("stored_timeline")
+def q_stored_timeline(spark, d):
+    """J1 + J2 + J3 + A3 + A4 on F-A from a table bucketed by race, without an exchange."""
+    j = step_features(spark, fa_timeline(spark, d), label_flag="SafetyCar")
+    return j.select("event_id", "race", "driver", "lap", epoch_micros("interval_end").alias("end_us"), *FLAG_COLS,
+                    r6("air_temp").alias("air_temp"), r6("humidity").alias("humidity"), "sc_next_lap")
+
+
 # ------------------------------------------------------- labels, splits (F-B)
 @query("onset_label")
 def q_onset_label(spark, d):
@@ -930,20 +946,30 @@ def q_stream_scores(spark, d):
 
 
 # ------------------------------------------------------ end-to-end jobs (F-M)
-def fm_transform(spark, d) -> dict:
+def fm_transform(spark, d, layout=None) -> dict:
     """X1 outputs on F-M."""
-    return transform_job(spark, fx.fm_laps(spark, d), fx.fm_status(spark, d), fx.fm_weather(spark, d))
+    return transform_job(spark, fx.fm_laps(spark, d), fx.fm_status(spark, d), fx.fm_weather(spark, d), layout=layout)
 
 
 @query("transform_job")
 def q_transform_job(spark, d):
     """X1 on the motorsport-shaped fixture: merged, cleaned, labeled rows
     with the train / test / holdout part of each."""
-    return fm_transform(spark, d)["full"].select(
+    return transformed(fm_transform(spark, d))
+
+
+def transformed(out: dict) -> DataFrame:
+    return out["full"].select(
         "event_id", "RaceId", "Driver", "LapNumber", "SafetyCar", "YellowFlag", "RedFlag", "VirtualSafetyCar",
         r6("AirTemp").alias("AirTemp"), "TrackId", r6("TrackLength").alias("TrackLength"), "Corners", "sc_next_lap", "Year", "part")
 
 
+@query("stored_transform")
+def q_stored_transform(spark, d):
+    """X1 over a stored timeline."""
+    return transformed(fm_transform(spark, d, scratch_dir(spark, "layout")))
+
+
 @query("train_job")
 def q_train_job(spark, d):
     """GBT trained on the X1 train part (few trees, as an argument), metrics
