@@ -15,15 +15,16 @@ from seqrisk.config import (AUC_GATE, CV_FOLDS, DEFAULT_THRESHOLD, HOLDOUT_YEARS
                             WEATHER_COLUMNS, WEATHER_MEDIAN_COLUMNS, FeatureRoles, Roles)
 from seqrisk.functions.expr import contains_flag, decide, seconds, year_of
 from seqrisk.operators.attribution import attribute, margin
-from seqrisk.operators.boosting import BoostedModel, BoostParams, fit_boosted, fold_auc
+from seqrisk.operators.boosting import BoostedModel, BoostParams, fit_boosted, fold_auc, load_boosted
 from seqrisk.operators.enrich import clean, fill_group_median
 from seqrisk.operators.evaluation import calibration, latest_metric, metrics_row, quality_gate, roc_curve
-from seqrisk.operators.ledger import commit_run, read_ledger, run_key
+from seqrisk.operators.ledger import commit_run, read_ledger, run_key, stored_threshold
 from seqrisk.operators.label import label_stats, onset_label
 from seqrisk.operators.model import (cross_validate, cv_summary, feature_importance, save_model, score,
                                      train_classifier)
 from seqrisk.operators.reports import (count_by, lap_risk, lap_rows, null_fraction, preview, race_list, race_rows,
                                        race_summary, shape, value_share)
+from seqrisk.operators.scoring import score_bodies, score_requests
 from seqrisk.operators.split import label_parts
 from seqrisk.operators.temporal import asof_join, flag_intervals, interval_end
 from seqrisk.operators.timeline import TimelineRoles, step_features, store_timeline
@@ -110,6 +111,19 @@ def tuned_threshold(metrics: DataFrame, dataset: str = "holdout"):
     return latest_metric(metrics, dataset, "optimal_threshold", DEFAULT_THRESHOLD).select("optimal_threshold").scalar()
 
 
+def deployed_scores(spark: SparkSession, requests: DataFrame, scorer, metrics_path: str, dataset: str = "holdout", body: str | None = None,
+                    keep: list[str] | None = None) -> DataFrame:
+    """M7 as it runs behind a deployed model: no threshold is handed in, the one
+    that the ledger at ``metrics_path`` holds is used (0.5 without one). ``scorer``:
+    a function, a ``ModelScorer``, a ``BoostedModel`` or the path of a saved one;
+    ``body`` names a column of raw JSON bodies, else requests are typed rows."""
+    scorer = load_boosted(spark, scorer) if isinstance(scorer, str) else scorer
+    threshold = stored_threshold(spark, metrics_path, dataset)
+    if body:
+        return score_bodies(requests, scorer, threshold, body=body, keep=keep)
+    return score_requests(requests, scorer, threshold, keep=keep)
+
+
 def race_report(spark: SparkSession, df: DataFrame, model, fp=None, race_id: str | None = None,
                 threshold=0.5, roles: FeatureRoles = FeatureRoles(), r: Roles = Roles(), lap: int | None = None,
                 row_order: list[str] | None = None) -> dict:

@@ -305,13 +305,11 @@ FROM fc WHERE score IS NOT NULL GROUP BY 1"""
 
 ORACLE["base_rate"] = with_(FC) + "SELECT round(avg(CAST(y AS DOUBLE)), 6) AS base_rate FROM fc"
 
-FC_ODD = "fc_odd AS (SELECT * FROM fc WHERE doc_id % 2 = 1)"
-
-ORACLE["metric_lookup"] = with_(FC, FC_ODD, curve("fc_odd"), metrics_sql()) + """
+ORACLE["metric_lookup"] = with_(FC, curve("fc"), metrics_sql()) + """
 SELECT 'holdout' AS dataset, round(auc, 6) AS auc, round(optimal_threshold, 6) AS optimal_threshold FROM cv_row
 UNION ALL SELECT 'missing', 0.81, 0.5"""
 
-ORACLE["quality_gate"] = with_(FC, FC_ODD, curve("fc_odd"), metrics_sql()) + """
+ORACLE["quality_gate"] = with_(FC, curve("fc"), metrics_sql()) + """
 SELECT round(auc, 6) AS value, 0.8 AS minimum, auc >= 0.8 AS passed FROM cv_row"""
 
 # ---------------------------------------------------------- F-B cleaning CTEs
@@ -869,6 +867,14 @@ ORACLE["ledger_lookup"] = TWO_RUNS + """
 SELECT 'holdout' AS dataset, round(auc, 6) AS auc, round(optimal_threshold, 6) AS optimal_threshold, auc >= 0.8 AS passed FROM c2_row
 UNION ALL SELECT 'missing', 0.81, 0.5, true"""
 
+ORACLE["deployed_requests"] = with_(FC, curve("fc", "c2"), metrics_sql("c2"), FA_LAPS, FA_REQ) + """,
+scored AS (SELECT * FROM fa_p CROSS JOIN (SELECT optimal_threshold AS t FROM c2_row) q)
+SELECT event_id, race_id, lap_i AS lap, CASE WHEN y0 IS NULL THEN 2024 ELSE y0 END AS year,
+       CASE WHEN y0 IS NULL THEN 'Unknown' ELSE t0 END AS track, round(p, 6) AS probability,
+       round(t, 6) AS threshold, p >= t AS will_deploy_sc, CAST(NULL AS VARCHAR) AS error FROM scored
+UNION ALL SELECT event_id, race_id, CASE WHEN NOT missing THEN lap_i END, NULL, NULL, NULL, NULL, NULL,
+       CASE WHEN missing THEN 'Invalid request' ELSE 'Invalid value' END FROM fa_v WHERE missing OR lap_i IS NULL"""
+
 ORACLE["pending_in_folder"] = ORACLE["pending_sessions"]
 
 FA_BODY = """

@@ -20,7 +20,7 @@ from seqrisk.functions.expr import (bool_to_int, contains_flag, decide, epoch_mi
                                     parse_session_key, session_key)
 from seqrisk.operators.reports import (count_by, flagged_laps, lap_risk, null_fraction, preview, race_list, race_rows,
                                        race_summary, shape, value_share)
-from seqrisk.plans.jobs import (boosted_job, decided, profile_report, race_report, report_rows, season_job, train_job,
+from seqrisk.plans.jobs import (boosted_job, decided, deployed_scores, profile_report, race_report, report_rows, season_job, train_job,
                                 transform_job, tuned_threshold)
 from seqrisk.plans.scratch import scratch_dir
 from seqrisk.sources.files import (file_manifest, load_dataframe, pending_in_folder, pending_sessions, read_session_files, read_sessions, tag_session,
@@ -303,9 +303,10 @@ def q_base_rate(spark, d):
 
 
 def _metrics_table(spark, d):
+    """Metrics of two runs over all scored labels, the older one on a coarser score."""
     s = fc(spark, d)
-    runs = [(1, "test", s.where(F.col("doc_id") % 2 == 0)), (1, "holdout", s),
-            (2, "holdout", s.where(F.col("doc_id") % 2 == 1))]
+    coarse = s.withColumn("score", F.round("score", 1))
+    runs = [(1, "test", coarse), (1, "holdout", coarse), (2, "holdout", s)]
     out = None
     for run, name, part in runs:
         m = metrics_row(part, dataset=name).withColumn("run_ts", F.lit(run))
@@ -334,15 +335,19 @@ def q_quality_gate(spark, d):
     return g.select(r6("value").alias("value"), "minimum", "passed")
 
 
-def _two_runs(spark, d) -> DataFrame:
-    """A ledger of two runs over all scored labels: an older one on a coarser score, and a newer one that was committed
-    twice, as a retried job does."""
+def _ledger(spark, d) -> str:
+    """The folder of a ledger of two runs over all scored labels: an older one on a coarser score, and a newer one that
+    was committed twice, as a retried job does."""
     s = fc(spark, d)
     path = scratch_dir(spark, "ledger")
     runs = [(1, "score to one place", s.withColumn("score", F.round("score", 1))), (2, "score", s), (2, "score", s)]
     for ts, what, rows in runs:
         commit_run(metrics_row(rows, dataset="holdout"), path, run_key({"scores": rows}, {"what": what}), ts)
-    return read_ledger(spark, path)
+    return path
+
+
+def _two_runs(spark, d) -> DataFrame:
+    return read_ledger(spark, _ledger(spark, d))
 
 
 @query("metrics_ledger")
@@ -682,6 +687,14 @@ def q_score_requests(spark, d):
         "will_deploy_sc")
 
 
+@query("deployed_requests")
+def q_deployed_requests(spark, d):
+    """M7 + E11 as deployed: the F-A requests scored at the threshold that the ledger's latest holdout run was tuned to."""
+    r = deployed_scores(spark, fx.fa_requests(spark, d), linear_scorer(REQ_COEFS, -3.0), _ledger(spark, d), keep=["event_id"])
+    return r.select("event_id", "race_id", "lap", "year", "track", r6("probability").alias("probability"), r6("threshold").alias("threshold"),
+                    "will_deploy_sc", "error")
+
+
 @query("request_errors")
 def q_request_errors(spark, d):
     """The rejected requests with their error and message."""

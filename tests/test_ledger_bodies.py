@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqrisk.operators.evaluation import calibration, confusion, latest_metric, metrics_row
-from seqrisk.operators.ledger import commit_run, fingerprint, read_ledger, run_key
+from seqrisk.operators.ledger import commit_run, fingerprint, read_ledger, run_key, stored_threshold
 from seqrisk.operators.reports import flagged_laps, lap_rows, race_summary
 from seqrisk.operators.scoring import linear_scorer, parse_bodies, score_bodies
+from seqrisk.plans.jobs import deployed_scores
 from seqrisk.sources.files import pending_in_folder, session_catalog
 from seqrisk.streaming.requests import score_body_stream
 
@@ -120,3 +121,33 @@ def test_catalogue_of_a_folder(spark, tmp_path):
     left = {(r["round"], r["session_type"]) for r in pending_in_folder(spark, schedule, root, "2024-06-01").collect()}
     assert left == {(1, "Q"), (2, "R"), (9, "Q"), (9, "R")}
     assert pending_in_folder(spark, schedule, root, "2020-01-01").count() == 0
+
+
+def test_deployed_threshold_follows_the_ledger(spark, tmp_path):
+    """0.5 without a ledger or a run of the data set; then the latest run's, for typed rows, bodies and each micro-batch."""
+    path, source = str(tmp_path / "ledger"), tmp_path / "in"
+    source.mkdir()
+    scorer = linear_scorer({"TyreLife": 1.0}, -10.0)                 # 0.269 for a tyre life of 9
+    text = json.dumps({"race_id": "2024_01_X_R", "lap": 3, "lap_data": {"TyreLife": 9}})
+    typed = spark.createDataFrame([("2024_01_X_R", "3", (9,)), (None, "3", (9,))], "race_id string, lap string, lap_data struct<TyreLife:int>")
+    bodies = spark.createDataFrame([(text,), ("{",)], "body string")
+
+    def found():
+        rows = deployed_scores(spark, typed, scorer, path).unionByName(deployed_scores(spark, bodies, scorer, path, body="body")).collect()
+        assert [(r.probability, r.threshold, r.will_deploy_sc) for r in rows if r.error] == [(None, None, None)] * 2
+        return {(r.threshold, r.will_deploy_sc) for r in rows if not r.error}
+
+    def stream(n):
+        (source / f"{n}.txt").write_text(text + "\n")
+        score_body_stream(spark, str(source), scorer, str(tmp_path / "out"), str(tmp_path / "dead"), str(tmp_path / "check"),
+                          metrics_path=path).awaitTermination(120)
+        return sorted((r.threshold, r.will_deploy_sc) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert found() == {(0.5, False)} and stream(1) == [(0.5, False)]
+    s = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, 0.25), (0, 0.2)], "y int, score double")
+    commit_run(metrics_row(s, dataset="test"), path, "a", 1)
+    assert found() == {(0.5, False)}                                 # no run on the holdout yet
+    commit_run(metrics_row(s, dataset="holdout"), path, "a", 1)
+    assert found() == {(0.25, True)} and stream(2) == [(0.25, True), (0.5, False)]
+    commit_run(metrics_row(s.withColumn("score", F.col("score") / 2 + 0.3), dataset="holdout"), path, "b", 2)
+    assert found() == {(0.425, False)}
