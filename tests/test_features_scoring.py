@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seqrisk.config import INTERACTIONS, FeatureRoles
 from seqrisk.functions.expr import parse_race_id
 from seqrisk.operators.features import add_interactions, fit_features, one_hot_rows, transform_features, vocab_table
-from seqrisk.operators.model import (ModelScorer, feature_importance, load_model, save_model, score,
+from seqrisk.operators.model import (ModelScorer, cross_validate, feature_importance, load_model, prepare, save_model, score,
                                      train_classifier)
 from seqrisk.operators.scoring import linear_scorer, score_requests, validate_requests
 
@@ -124,3 +124,28 @@ def test_requests(spark):
     assert abs(ok.probability - 1 / (1 + math.exp(-(-1.0 + 0.1 * 20)))) < 1e-12
     assert ok.will_deploy_sc == (ok.probability >= 0.5) and ok.track == "Bahrain" and ok.lap == 3
     assert all(r.probability is None for r in out[1:])
+
+
+def test_categories_are_split_off_without_a_column_each(spark):
+    """20,000 categories, one of them positive: found by itself, without a vector as wide as the vocabulary."""
+    n = 20_000
+    df = spark.range(0, 2 * n).select(F.concat(F.lit("d"), F.lpad((F.col("id") % n).cast("string"), 5, "0")).alias("Driver"),
+                                      (F.col("id") % 3).cast("double").alias("TyreLife"), (F.col("id") % n == 77).cast("int").alias("sc_next_lap"))
+    roles = FeatureRoles(categorical=("Driver",), numeric=("TyreLife",), boolean=())
+    model, fp = train_classifier(df, "sc_next_lap", roles, {"maxIter": 1, "maxDepth": 1, "featureSubsetStrategy": "all", "subsamplingRate": 1.0})
+    assert not any("features" in s.transform(prepare(df, fp, roles, [])).columns for s in model.stages[:1])
+    assert model.stages[-1].model.trees[0].cut[0] == 77
+    p = {r.Driver: r.sc_probability for r in score(df.where("Driver < 'd00100'"), model, fp, 0.5, roles).collect()}
+    assert p["d00077"] > 0.5 and all(v < 0.5 for k, v in p.items() if k != "d00077")
+    imp = {r.feature: r.importance for r in feature_importance(model, fp).where("importance > 0").collect()}
+    assert imp == {"Driver_d00077": 1.0}
+
+
+def test_cross_validation_holds_each_row_out_once(spark):
+    df = spark.range(0, 600).select("id", F.concat(F.lit("d"), (F.col("id") % 200).cast("string")).alias("Driver"),
+                                    F.when(F.col("id") % 5 > 0, F.col("id") % 7).cast("double").alias("TyreLife"), (F.col("id") % 7 > 4).cast("int").alias("sc_next_lap"))
+    roles = FeatureRoles(categorical=("Driver",), numeric=("TyreLife",), boolean=())
+    got = {r.fold: r for r in cross_validate(df, "sc_next_lap", ["id"], 3, roles, {"maxIter": 2, "maxDepth": 2}).collect()}
+    positives = sum(i % 7 > 4 for i in range(600))
+    assert sorted(got) == [0, 1, 2] and sum(r.rows for r in got.values()) == 600 and sum(r.positives for r in got.values()) == positives
+    assert all(r.auc > 0.7 for r in got.values())
