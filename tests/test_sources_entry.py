@@ -4,6 +4,7 @@ import os
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from seqrisk.sources.files import (pending_sessions, read_session_files, read_sessions, union_by_name,
                                    unreadable_files, write_sessions)
@@ -169,3 +170,17 @@ def test_manifest_of_many_files_and_a_reader_of_its_own(spark, tmp_path):
     assert plan.count("Relation") == 3
     opened = file_manifest(spark, str(tmp_path), open_file=lambda path: open(path.removeprefix("file:"), "rb"))
     assert opened.where("readable").count() == 300
+
+
+def test_many_small_sessions_are_written_by_many_tasks(spark, tmp_path):
+    """One task for all of many small sessions would write their files one after another; a hot one is split too."""
+    from seqrisk.sources.files import read_sessions, write_sessions
+    df = spark.range(0, 4000).select(F.when(F.col("id") < 2000, F.lit(0)).otherwise(F.col("id") % 300).alias("race"), "id")
+    df = df.unionByName(spark.createDataFrame([(None, 9999)], "race long, id long"))
+    write_sessions(df, str(tmp_path), "laps", ["race"])
+    files = [(f.parent.name, f.name.split("-")[1]) for f in (tmp_path / "laps").rglob("part-*.parquet")]
+    assert len({t for _, t in files}) > 4 and len({t for d, t in files if d == "race=0"}) > 1
+    assert len(files) < 300 + 1 + 2 * len({t for _, t in files})
+    back = read_sessions(spark, str(tmp_path))
+    assert sorted((r.race, r.id) for r in back.where("race is not null").collect()) == sorted((r.race, r.id) for r in df.where("race is not null").collect())
+    assert back.where("race is null").count() == 1
