@@ -42,7 +42,7 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 CHILDREN = 6
-CACHE = 1 << 20
+CACHE = 1 << 16          # pieces whose ids a task keeps, some 0.4 KB each
 SPECIAL = b"<|endoftext|>"
 by_value(__name__)
 

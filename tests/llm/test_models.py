@@ -252,3 +252,19 @@ def test_pipeline_matches_its_operators(spark, tmp_path):
     final = corpus_pipeline.run(spark, str(tmp_path))
     key = lambda r: (r.doc_id, r.piece, r.ids_crc32)
     assert sorted(map(key, final.collect())) == sorted(map(key, seen["best_fit_packing"].collect()))
+
+
+def test_encoder_keeps_a_bounded_number_of_pieces():
+    """Every block has new words; what is kept of them stays small, and the ids are those of the tokenizer."""
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = packing._Encoder(path), Tokenizer.from_file(path)
+    word = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+    for turn in range(4):
+        text = " ".join(word(i) for i in range(turn * 50_000, (turn + 1) * 50_000))
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids = encoder.encode(data, np.array([0, len(data)]))[0]
+        assert len(encoder.known) < 130_000
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
