@@ -184,3 +184,9 @@ def test_many_small_sessions_are_written_by_many_tasks(spark, tmp_path):
     back = read_sessions(spark, str(tmp_path))
     assert sorted((r.race, r.id) for r in back.where("race is not null").collect()) == sorted((r.race, r.id) for r in df.where("race is not null").collect())
     assert back.where("race is null").count() == 1
+
+
+def test_sessions_with_map_columns_are_written(spark, tmp_path):
+    from seqrisk.sources.files import read_sessions, write_sessions
+    write_sessions(spark.range(3).select(F.col("id").alias("race"), F.create_map(F.lit("a"), F.col("id")).alias("a.b")), str(tmp_path), "laps", ["race"])
+    assert sorted((r["race"], r["a.b"]["a"]) for r in read_sessions(spark, str(tmp_path)).collect()) == [(0, 0), (1, 1), (2, 2)]
