@@ -42,7 +42,8 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 CHILDREN = 6
-CACHE = 1 << 16          # pieces whose ids a task keeps, some 0.4 KB each
+CACHE = 1 << 16          # pieces that a task keeps in a dictionary, some 0.4 KB each
+KEPT = 1 << 20           # pieces that a task keeps in flat arrays, some 50 bytes each
 SPECIAL = b"<|endoftext|>"
 by_value(__name__)
 
@@ -104,7 +105,9 @@ def _piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 class _Encoder:
     """Token ids of many texts. A piece's ids are found once and kept in flat
-    arrays, up to ``CACHE`` pieces; then the memory is emptied."""
+    arrays. New pieces are found in a dictionary; when it holds ``CACHE`` of them
+    they move into arrays sorted by hash, which are emptied at ``KEPT`` pieces or
+    16 bytes for each."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -120,27 +123,73 @@ class _Encoder:
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat, self.begin = array("I"), array("q", [0])
-
-    def _learn(self, piece: bytes) -> int:
-        spelled = piece.decode("latin-1").translate(self.letters)
-        self.flat.extend([t.id for t in self.tokenizer.model.tokenize(spelled)])
-        self.begin.append(len(self.flat))
-        self.known[piece] = k = len(self.begin) - 2
-        return k
+        self.raw, self.raw_begin = bytearray(), array("q", [0])
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def _merge(self, pieces: list[bytes]) -> tuple[list[int], np.ndarray]:
+        """Ids of all ``pieces``, and how many each has."""
+        merge, letters = self.tokenizer.model.tokenize, self.letters
+        found = [[t.id for t in merge(p.decode("latin-1").translate(letters))] for p in pieces]
+        return [i for ids in found for i in ids], np.array([len(ids) for ids in found], np.int64)
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Take new pieces into the dictionary."""
+        ids, n = self._merge(pieces)
+        first = len(self.begin) - 1
+        self.flat.extend(ids)
+        self.begin.extend((self.begin[-1] + np.cumsum(n)).tolist())
+        self.raw += b"".join(pieces)
+        self.raw_begin.extend((self.raw_begin[-1] + np.cumsum([len(p) for p in pieces])).tolist())
+        self.known.update(zip(pieces, range(first, first + len(pieces))))
+
+    def _settle(self) -> None:
+        """Move the dictionary's pieces into the sorted arrays."""
+        if len(self.begin) > KEPT or len(self.raw) > 16 * KEPT:
+            self._forget()
+            return
+        number = np.fromiter(self.known.values(), np.int64, len(self.known))        # neighbours: they were learnt in a row
+        ends = np.frombuffer(self.raw_begin, np.int64)[number[0]:]
+        made = bt.span_hashes(np.frombuffer(self.raw, np.uint8)[ends[0]:], ends[:-1] - ends[0], ends[1:] - ends[0])
+        hashes, numbers = np.append(self.hashes, made), np.append(self.numbers, number)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.numbers = hashes[order], numbers[order]
+        self.known = {}
+
+    def _settled(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Number of each piece in the sorted arrays, -1: it has none. The bytes decide, not the hash."""
+        out = np.full(len(hashes), -1)
+        at = np.searchsorted(self.hashes, hashes)
+        seen = np.flatnonzero(at < len(self.hashes))
+        seen = seen[self.hashes[at[seen]] == hashes[seen]]
+        number, begin = self.numbers[at[seen]], np.frombuffer(self.raw_begin, np.int64)
+        size = ends[seen] - starts[seen]
+        alike = size == begin[number + 1] - begin[number]
+        seen, number, size = seen[alike], number[alike], size[alike]
+        if len(seen):
+            ahead = np.cumsum(size) - size
+            within = np.arange(int(size.sum()))
+            differs = (data[np.repeat(starts[seen] - ahead, size) + within]
+                       != np.frombuffer(self.raw, np.uint8)[np.repeat(begin[number] - ahead, size) + within])
+            same = np.add.reduceat(differs, ahead, dtype=np.int64) == 0
+            out[seen[same]] = number[same]
+        return out
 
     def _plain_ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, and where each piece's begin."""
-        _, at, which = np.unique(bt.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) > CACHE:
-            self._forget()
+        hashes, at, which = np.unique(bt.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.known) > CACHE or len(self.raw) > 16 * KEPT:
+            self._settle()
+        found = self._settled(data, starts[at], ends[at], hashes)
+        asked = np.flatnonzero(found < 0)
         raw, known = data.tobytes(), self.known
-        found = []
-        for s, e in zip(starts[at].tolist(), ends[at].tolist()):
-            piece = raw[s:e]
-            k = known.get(piece)
-            found.append(self._learn(piece) if k is None else k)
-        flat, begin = np.array(self.flat, np.uint32), np.array(self.begin, np.int64)
-        token = np.array(found, np.int64)[which]
+        pieces = [raw[s:e] for s, e in zip(starts[at[asked]].tolist(), ends[at[asked]].tolist())]
+        new = list(dict.fromkeys(p for p in pieces if p not in known))
+        if new:
+            self._learn(new)
+        found[asked] = [known[p] for p in pieces]
+        flat = np.frombuffer(self.flat, np.uint32) if self.flat else np.zeros(0, np.uint32)
+        begin = np.frombuffer(self.begin, np.int64)
+        token = found[which]
         n = begin[token + 1] - begin[token]
         ahead = np.cumsum(n) - n
         ids = flat[np.repeat(begin[token] - ahead, n) + np.arange(int(n.sum()))]

@@ -118,11 +118,10 @@ class _SideB(_Encoder):
         self.space = self.model.piece_to_id("▁")
         self._forget()
 
-    def _learn(self, piece: bytes) -> int:
-        self.flat.extend([self.space] if piece == b" " else self.model.encode(piece[1:].decode()))
-        self.begin.append(len(self.flat))
-        self.known[piece] = k = len(self.begin) - 2
-        return k
+    def _merge(self, pieces: list[bytes]) -> tuple[list[int], np.ndarray]:
+        found = [[self.space] if p == b" " else ids
+                 for p, ids in zip(pieces, self.model.encode([p[1:].decode() for p in pieces], num_threads=1))]
+        return [i for ids in found for i in ids], np.array([len(ids) for ids in found], np.int64)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         if not self.by_words:

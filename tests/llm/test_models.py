@@ -268,3 +268,29 @@ def test_encoder_keeps_a_bounded_number_of_pieces():
         ids = encoder.encode(data, np.array([0, len(data)]))[0]
         assert len(encoder.known) < 130_000
     assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_learns_a_piece_once_and_trusts_bytes():
+    """Words of several blocks come again: none is merged twice, and a hash that leads to another piece changes no id."""
+    import types
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = packing._Encoder(path), Tokenizer.from_file(path)
+    word = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+    texts = [" ".join(["", *(word(i) for i in range(turn * 40_000, (turn + 1) * 40_000))]) for turn in range(4)]
+    model, merged = encoder.tokenizer.model, []
+    encoder.tokenizer = types.SimpleNamespace(model=types.SimpleNamespace(tokenize=lambda s: merged.append(s) or model.tokenize(s)),
+                                              encode_batch=tokenizer.encode_batch)
+    for text in texts * 2:
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert encoder.encode(data, np.array([0, len(data)]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(merged) == len(set(merged)) == 160_000
+    encoder.numbers = np.roll(encoder.numbers, 1)
+    data = np.frombuffer(texts[0].encode(), np.uint8)
+    assert encoder.encode(data, np.array([0, len(data)]))[0].tolist() == tokenizer.encode(texts[0], add_special_tokens=False).ids
+    long = [chr(97 + i) * 9_000 for i in range(20)]
+    for w in long:
+        data = np.frombuffer(w.encode(), np.uint8)
+        assert encoder.encode(data, np.array([0, len(data)]))[0].tolist() == tokenizer.encode(w, add_special_tokens=False).ids
