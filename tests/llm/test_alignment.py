@@ -111,3 +111,26 @@ def test_sums_leave_early_without_loss(spark, monkeypatch):
     rows, df = table(spark)
     assert result(ta.align_tokens(df, A, B, run_links=500, fan_in=3).where(F.col("doc_id") < 200)) == [
         r for r in sorted(expected([(r[0], r[1]) for r in rows]), key=key) if r[0] is not None and r[0] < 200]
+
+
+def test_side_b_learns_a_word_once():
+    """Words that come again in later texts are not encoded anew, and the ids are those of the whole text."""
+    import types
+    import numpy as np
+    import public_tokenizers
+    import sentencepiece
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    side, model = ta._SideB(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    asked = []
+
+    def encode(words, **settings):
+        asked.extend([words] if isinstance(words, str) else words)
+        return model.encode(words, **settings)
+
+    side.model = types.SimpleNamespace(encode=encode)
+    word = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+    texts = [" ".join(["", *(word(i) for i in range(turn * 40_000, (turn + 1) * 40_000))]) for turn in range(4)]
+    for text in texts * 2:
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert side.encode(data, np.array([0, len(data)]))[0].tolist() == model.encode(text[1:])
+    assert len(asked) == len(set(asked)) == 160_000
