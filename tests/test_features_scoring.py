@@ -149,3 +149,24 @@ def test_cross_validation_holds_each_row_out_once(spark):
     positives = sum(i % 7 > 4 for i in range(600))
     assert sorted(got) == [0, 1, 2] and sum(r.rows for r in got.values()) == 600 and sum(r.positives for r in got.values()) == positives
     assert all(r.auc > 0.7 for r in got.values())
+
+
+def test_cross_validation_fits_folds_beside_each_other(spark, tmp_path, monkeypatch):
+    """Two fits wait for each other, both write their scratch tables in the caller's scope, and each fold has its own rows."""
+    import threading
+    from seqrisk.operators import model
+    from seqrisk.session import scratch_path, scratch_scope
+    both, paths = threading.Barrier(2, timeout=60), []
+
+    def fit(train, *settings):
+        paths.append(scratch_path(spark, "seqrisk-tables", "x"))
+        both.wait()
+        return train_classifier(train, *settings)
+
+    monkeypatch.setattr(model, "train_classifier", fit)
+    df = spark.range(0, 200).select("id", F.lit("d").alias("Driver"), (F.col("id") % 7).cast("double").alias("TyreLife"), (F.col("id") % 7 > 4).cast("int").alias("sc_next_lap"))
+    roles = FeatureRoles(categorical=("Driver",), numeric=("TyreLife",), boolean=())
+    with scratch_scope(spark) as scope:
+        got = {r.fold: r.rows for r in cross_validate(df, "sc_next_lap", ["id"], 2, roles, {"maxIter": 1, "maxDepth": 1}).collect()}
+    assert len(paths) == 2 and all(scope in p for p in paths)
+    assert sorted(got) == [0, 1] and sum(got.values()) == 200
