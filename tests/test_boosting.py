@@ -4,7 +4,9 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from seqrisk.config import FeatureRoles
 from seqrisk.operators import attribution as at
@@ -215,3 +217,33 @@ def test_many_categories_and_odd_tables(spark):
         bo.fit_boosted(df.limit(0), "y", ROLES)
     with pytest.raises(ValueError):
         bo.fit_boosted(df.select("id", "y"), "y", ROLES)
+
+
+def test_packed_rows_and_row_groups_stay_small(spark):
+    """A task's rows are packed a few thousand to a table row, and its file has many row groups: no reader or writer holds all."""
+    df = spark.range(0, 600_000, 1, 1).select("id", *[F.rand(i).alias(f"x{i}") for i in range(4)], (F.col("id") % 5 == 0).cast("int").alias("y"))
+    roles = FeatureRoles(categorical=(), numeric=("x0", "x1", "x2", "x3"), boolean=(), include_interactions=False)
+    fit = bo.fit_boosted(df, "y", roles, bo.BoostParams(trees=1, depth=1, rows=1.0, columns=1.0), key=["id"], impute=False)
+    assert fit.blocks.agg(F.max("n"), F.sum("n")).first()[:] == (bo.STORED_ROWS, 600_000)
+    groups = [g for f in fit.blocks.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file:")).metadata]
+              for g in (m.row_group(i).total_byte_size for i in range(m.num_row_groups))]
+    assert sum(groups) > 30e6 and max(groups) < 16e6
+
+
+def test_categories_handed_over_in_pieces_give_the_same_trees(spark, monkeypatch):
+    """Histograms of many categories come in ranges and pieces; the split is that of all of them together."""
+    df = spark.range(0, 6000, 1, 3).select("id", (F.xxhash64("id") % 900).cast("string").alias("c"), (F.col("id") % 11).cast("double").alias("x"),
+                                           ((F.xxhash64("id") % 900 == 7) | (F.col("id") % 11 > 8)).cast("int").alias("y"))
+    roles = FeatureRoles(categorical=("c",), numeric=("x",), boolean=(), include_interactions=False)
+    params = bo.BoostParams(trees=2, depth=3, rate=0.3, rows=1.0, columns=1.0, min_child=0.1)
+
+    def nodes():
+        fit = bo.fit_boosted(df, "y", roles, params, 2, key=["id"])
+        scores = sorted((r.fold, r.y, round(r.score, 9)) for r in fit.held_out_scores().collect())
+        return [(t.feature, t.cut, t.left, [round(v, 9) for v in t.value]) for m in fit.models for t in m.trees], scores
+
+    whole = nodes()
+    assert any(0 in feature for feature, *_ in whole[0]) and len(whole[1]) == 6000
+    for name, value in (("STORED_ROWS", 64), ("BLOCK_ROWS", 300), ("HELD", 100), ("RANGE", 32)):
+        monkeypatch.setattr(bo, name, value)
+    assert nodes() == whole
