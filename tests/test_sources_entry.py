@@ -190,3 +190,22 @@ def test_sessions_with_map_columns_are_written(spark, tmp_path):
     from seqrisk.sources.files import read_sessions, write_sessions
     write_sessions(spark.range(3).select(F.col("id").alias("race"), F.create_map(F.lit("a"), F.col("id")).alias("a.b")), str(tmp_path), "laps", ["race"])
     assert sorted((r["race"], r["a.b"]["a"]) for r in read_sessions(spark, str(tmp_path)).collect()) == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_a_damaged_session_is_an_error_not_fewer_rows(spark, tmp_path):
+    """A file of the native layout that does not decode fails the read, whatever the session's settings say."""
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+    from seqrisk.sources.files import read_sessions, write_sessions
+    write_sessions(spark.range(0, 40).select((F.col("id") % 4).alias("race"), "id"), str(tmp_path), "laps", ["race"])
+    assert read_sessions(spark, str(tmp_path)).count() == 40
+    hurt = next((tmp_path / "laps" / "race=2").glob("part-*.parquet"))
+    (hurt.parent / f".{hurt.name}.crc").unlink(missing_ok=True)
+    hurt.write_bytes(b"not parquet, but long enough to be opened")
+    for skip in ("false", "true"):
+        spark.conf.set("spark.sql.files.ignoreCorruptFiles", skip)
+        try:
+            with pytest.raises((PySparkException, Py4JJavaError), match="race=2"):
+                read_sessions(spark, str(tmp_path)).agg(F.sum("id")).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
