@@ -247,3 +247,26 @@ def test_categories_handed_over_in_pieces_give_the_same_trees(spark, monkeypatch
     for name, value in (("STORED_ROWS", 64), ("BLOCK_ROWS", 300), ("HELD", 100), ("RANGE", 32)):
         monkeypatch.setattr(bo, name, value)
     assert nodes() == whole
+
+
+@pytest.mark.parametrize("columns, folds", [(1.0, 2), (0.7, 0)])
+def test_a_task_of_its_own_grows_the_same_trees(spark, monkeypatch, columns, folds):
+    """Many trees on few rows are grown in one task per model, with the splits, values and held-out scores that levels of jobs give."""
+    df = spark.createDataFrame(rows(600, 3), SCHEMA).repartition(3)
+    roles = FeatureRoles(categorical=["team", "a"], numeric=["b", "a"], boolean=["wet"], interactions=[], include_interactions=False)
+    params = bo.BoostParams(trees=4, depth=4, rate=0.3, rows=0.8, columns=columns)
+
+    def fitted():
+        fit = bo.fit_boosted(df, "y", roles, params, folds, key=["id"], impute=False)
+        trees = [(t.feature, t.cut, t.missing_left, t.left, t.right) for m in fit.models for t in m.trees]
+        numbers = [v for m in fit.models for t in m.trees for c in (t.value, t.cover, t.gain) for v in c]
+        return trees, numbers, sorted((r.fold, r.y, round(r.score, 9)) for r in fit.held_out_scores().collect()), fit.models[0].to_json()
+
+    monkeypatch.setattr(bo, "REWRITE", 2)
+    monkeypatch.setattr(bo, "ONE_TASK_ROWS", 0)
+    by_levels = fitted()
+    monkeypatch.setattr(bo, "ONE_TASK_ROWS", 600)
+    monkeypatch.setattr(bo, "_level", None)             # no job of a level
+    alone = fitted()
+    assert alone[0] == by_levels[0] and np.allclose(alone[1], by_levels[1]) and alone[2] == by_levels[2]
+    assert len(alone[0]) == 4 * (1 + folds) and max(len(t[0]) for t in alone[0]) > 9 and bo.from_json(alone[3]).trees[3].left == alone[0][3][3]

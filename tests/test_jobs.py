@@ -95,3 +95,22 @@ def test_boosted_job_finds_a_planted_signal(spark, tmp_path):
     want = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
     assert len(rows) == 500 and want > 0.75 and abs(job["metrics"].first()["auc"] - want) < 1e-9
     assert load_boosted(spark, path).trees == job["model"].trees
+
+
+def test_the_training_query_grows_all_trees(spark, monkeypatch):
+    """The query trains the model of the settings, in full, as do its five folds."""
+    from seqrisk.config import GBT_PARAMS
+    from seqrisk.operators import model
+    from seqrisk.plans import jobs, queries
+    fits = []
+
+    def fit(*args, **settings):
+        fits.append((args[3] if len(args) > 3 else settings["params"]))
+        raise StopIteration("seen")
+
+    monkeypatch.setattr(queries, "fm_transform", lambda spark, d: dict.fromkeys(("train", "test", "holdout")))
+    monkeypatch.setattr(jobs, "train_classifier", fit)
+    with pytest.raises(StopIteration):
+        queries.q_train_job(spark, "none")
+    p = model._boost_params(fits[0])
+    assert (p.trees, p.depth) == (GBT_PARAMS["maxIter"], GBT_PARAMS["maxDepth"]) == (600, 6)
